@@ -27,15 +27,32 @@ SESSION_DEFAULTS = {
 }
 
 
+_REPO_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def _export_package_path() -> None:
+    """Python workers must import ``orderlake`` (for mapInPandas functions).
+
+    On a cluster the package ships with ``--py-files``; locally the workers
+    inherit the driver environment, so the repo root goes on PYTHONPATH.
+    """
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _REPO_ROOT not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([_REPO_ROOT] + paths)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "orderlake") -> SparkSession:
+    _export_package_path()
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("ORDERLAKE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.executorEnv.PYTHONPATH", os.environ["PYTHONPATH"])
     )
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)
