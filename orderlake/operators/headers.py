@@ -44,12 +44,34 @@ def normalize_contains(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(t, " +", " "))
 
 
-@F.pandas_udf(DoubleType())
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """difflib ratio of two strings (Arrow-batched; candidate pairs only)."""
-    from difflib import SequenceMatcher
-    return pd.Series([SequenceMatcher(None, x, y).ratio() if x is not None and y is not None else 0.0
-                      for x, y in zip(a, b)], dtype="float64")
+def ratio_udf(threshold: float):
+    """Pandas UDF: difflib ratio of candidate pairs, exact above ``threshold``.
+
+    One matcher per distinct right-hand string (difflib indexes the second
+    sequence once); pairs are pre-sorted by it.  The cheap upper bounds
+    ``real_quick_ratio`` and ``quick_ratio`` skip the full ratio when it
+    cannot exceed ``threshold``; such pairs get their bound (≤ threshold).
+    """
+    @F.pandas_udf(DoubleType())
+    def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        from difflib import SequenceMatcher
+        out = [0.0] * len(a)
+        matchers: dict = {}
+        for i, (x, y) in enumerate(zip(a, b)):
+            if x is None or y is None:
+                continue
+            m = matchers.get(y)
+            if m is None:
+                m = matchers[y] = SequenceMatcher(None, "", y)
+            m.set_seq1(x)
+            q = m.real_quick_ratio()
+            if q <= threshold:
+                out[i] = q
+                continue
+            q = m.quick_ratio()
+            out[i] = q if q <= threshold else m.ratio()
+        return pd.Series(out, dtype="float64")
+    return sequence_ratio
 
 
 def _grams(c: Column) -> Column:
@@ -59,10 +81,21 @@ def _grams(c: Column) -> Column:
     return F.array_distinct(bi)
 
 
+def _ratio_possible(la: Column, lb: Column, min_ratio: float) -> Column:
+    """difflib ratio is at most 2·min(la, lb)/(la + lb)."""
+    return (F.least(la, lb) * 2.0 / (la + lb)) > min_ratio
+
+
 def match_fuzzy(headers: DataFrame, registry: DataFrame, min_ratio: float = 0.85) -> DataFrame:
     """Exact normalised match, else best difflib ratio above ``min_ratio``
     (ties: registry order).  Returns (file, position, header, name, score, how);
-    unmatched headers are absent (the caller keeps only mapped columns)."""
+    unmatched headers are absent (the caller keeps only mapped columns).
+
+    Candidate pairs share a character bigram *and* a feasible length: each
+    normalised header is exploded over the registry lengths that can still
+    reach ``min_ratio`` (ratio ≤ 2·min/(la+lb)), so the equi join key is
+    (bigram, length).  Only distinct normalised strings are paired and scored.
+    """
     h = headers.withColumn("__hn", normalize_fuzzy("header"))
     r = registry.select("name", "reg_order", normalize_fuzzy("local_name").alias("__rn"))
     exact = (h.join(r, h["__hn"] == r["__rn"], "inner")
@@ -70,10 +103,18 @@ def match_fuzzy(headers: DataFrame, registry: DataFrame, min_ratio: float = 0.85
              .filter("__k = 1").select("file", "position", "header", "name", F.lit(1.0).alias("score"),
                                        F.lit("exact").alias("how")))
     rest = h.join(exact.select("file", "position"), ["file", "position"], "left_anti")
-    hn = rest.select("__hn").distinct().select("__hn", F.explode(_grams(F.col("__hn"))).alias("__g"))
-    rg = r.select("__rn").distinct().select("__rn", F.explode(_grams(F.col("__rn"))).alias("__g"))
-    pairs = hn.join(rg, "__g").select("__hn", "__rn").distinct()
-    scored = pairs.withColumn("score", sequence_ratio("__hn", "__rn")).filter(F.col("score") > min_ratio)
+    la = F.length("__hn")
+    lo = F.greatest(F.lit(1), F.floor(la * min_ratio / (2 - min_ratio)).cast("int"))
+    hi = F.ceil(la * (2 - min_ratio) / min_ratio).cast("int")
+    hn = (rest.select("__hn").distinct().filter(la > 0)
+          .select("__hn", F.explode(_grams(F.col("__hn"))).alias("__g"),
+                  F.explode(F.sequence(lo, hi)).alias("__lb")))
+    rg = (r.select("__rn").distinct().filter(F.length("__rn") > 0)
+          .select("__rn", F.explode(_grams(F.col("__rn"))).alias("__g"), F.length("__rn").alias("__lb")))
+    pairs = (hn.join(rg, ["__g", "__lb"]).select("__hn", "__rn").distinct()
+             .filter(_ratio_possible(F.length("__hn"), F.length("__rn"), min_ratio))
+             .repartition("__rn").sortWithinPartitions("__rn"))
+    scored = pairs.withColumn("score", ratio_udf(min_ratio)("__hn", "__rn")).filter(F.col("score") > min_ratio)
     fuzzy = (rest.join(scored, "__hn").join(r, "__rn")
              .withColumn("__k", F.row_number().over(Window.partitionBy("file", "position")
                                                     .orderBy(F.col("score").desc(), "reg_order")))

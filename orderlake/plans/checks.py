@@ -755,7 +755,7 @@ ID_SQL = ("strftime(o_orderdate, '%y%m%d') || lpad(CAST(o_orderkey AS VARCHAR),
 @check("parse_dates", f"""
 WITH s AS (SELECT o_orderkey, {_rendered_sql()} AS date_text,
                   CAST(year(o_orderdate) AS VARCHAR) || '/' || CAST(month(o_orderdate) AS VARCHAR) || '/' || CAST(day(o_orderdate) AS VARCHAR) || ' 上午 12:00:00' AS ampm_text,
-                  {ID_SQL} AS order_id
+                  {ID_SQL} AS order_id, o_orderdate
            FROM orders)
 SELECT o_orderkey, date_text,
        CAST({_multi_ts_sql('date_text')} AS DATE) AS parsed_date,
@@ -1149,7 +1149,7 @@ def _rules_sql(first: bool) -> str:
 
 @check("report_type", f"""
 WITH h AS (SELECT doc_id, source || '_' || CAST(doc_id AS VARCHAR) || '.csv' AS file,
-                  list_filter(string_split(lower(regexp_replace(split_part(text, chr(10), 1), '[.,;:!?]', '', 'g')), ' '), x -> x <> '') AS header_list
+                  list_filter(string_split(lower(regexp_replace(split_part(text, chr(10), 1), '[.,;:!?]', '', 'g')), ' '), lambda x: x <> '') AS header_list
            FROM documents)
 SELECT doc_id, file, CASE WHEN contains(file, 'src0_') THEN 'priority_feed' {_rules_sql(True)} {_rules_sql(False)} ELSE 'unknown' END AS report_type
 FROM h
@@ -1236,8 +1236,8 @@ def stream_upsert(spark, d):
     run = uuid.uuid4().hex
     target = scratch_path(spark, f"stream-target-{run}")
     ckpt = scratch_path(spark, f"stream-ckpt-{run}")
-    q = ingest_stream(spark, f"{d.rstrip('/')}/events.parquet", ev.schema, target, ckpt,
-                      keys=["user_id", "event_type"], ts="ts", order=["event_id"], buckets=16)
+    q = ingest_stream(spark, d.rstrip("/"), ev.schema, target, ckpt, keys=["user_id", "event_type"],
+                      ts="ts", order=["event_id"], buckets=16, options={"pathGlobFilter": "events.parquet"})
     q.awaitTermination()
     return current_table(spark, target).select(*ev.columns)
 
