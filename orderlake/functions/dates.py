@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from orderlake.functions._util import col
 
 __all__ = [
-    "DATE_PATTERNS", "WEEKDAY_LABELS", "parse_date_multi", "dash_date",
+    "DATE_PATTERNS", "WEEKDAY_LABELS", "pattern_shape", "parse_timestamp_multi", "parse_date_multi", "dash_date",
     "dash_datetime", "split_datetime", "parse_ampm_local", "date_from_id_yymmdd",
     "date_from_id_prefixed", "date_from_id_yyyymmdd", "weekday_sun1", "iso_week",
     "month_bounds", "year_month", "date_from_timestamp", "weekday_label",
@@ -37,8 +37,42 @@ DATE_PATTERNS = [
 WEEKDAY_LABELS = ["星期一", "星期二", "星期三", "星期四", "星期五", "星期六", "星期日"]
 
 
+_REGEX_META = set(".^$*+?()[]{}|\\")
+
+
+def pattern_shape(fmt: str) -> str:
+    """Regex accepting exactly the text shapes a datetime pattern can parse.
+
+    ``yyyy`` -> four digits; a doubled letter (``MM``) -> two digits; a single
+    letter (``M``, ``d``, ``H``) -> one or two digits; other characters literal.
+    Used as a cheap pre-check so the parser only sees candidates (a failed
+    parse is far more expensive than a regex test).
+    """
+    out, i = ["^"], 0
+    while i < len(fmt):
+        ch = fmt[i]
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        n = j - i
+        if ch.isalpha():
+            out.append("[0-9]{4}" if n == 4 else "[0-9]{2}" if n == 2 else "[0-9]{1,2}" if n == 1 else f"[0-9]{{{n}}}")
+        else:
+            out.append("".join("\\" + c if c in _REGEX_META else c for c in fmt[i:j]))
+        i = j
+    out.append("$")
+    return "".join(out)
+
+
 def _ts(c: Column, fmt: str) -> Column:
-    return F.try_to_timestamp(c, F.lit(fmt))
+    return F.when(c.rlike(pattern_shape(fmt)), F.try_to_timestamp(c, F.lit(fmt)))
+
+
+def parse_timestamp_multi(c: Column | str, patterns: list[str] | None = None) -> Column:
+    """First layout that parses wins; TIMESTAMP result."""
+    t = F.trim(col(c))
+    pats = DATE_PATTERNS if patterns is None else patterns
+    return F.coalesce(*[_ts(t, p) for p in pats])
 
 
 def parse_date_multi(c: Column | str, patterns: list[str] | None = None) -> Column:

@@ -20,11 +20,20 @@ BOOL_MAP_TRUE = ["true", "1", "yes"]
 BOOL_MAP_FALSE = ["false", "0", "no"]
 
 
+# Text shapes a numeric cast can accept; checked first because a failed cast
+# is far more expensive than a regex test.
+NUMBER_SHAPE = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+INTEGER_SHAPE = "^[+-]?[0-9]+$"
+
+
+def _guarded(t: Column, shape: str, to: str) -> Column:
+    return F.when(t.rlike(shape), t.try_cast(to))
+
+
 def to_number(c: Column | str, default: float | None = None) -> Column:
     """Numeric text -> DOUBLE; unparseable (and the text ``nan``) -> NULL
     or ``default``."""
-    d = (F.trim(col(c))).try_cast("double")
-    d = F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
+    d = _guarded(F.trim(col(c).cast("string")), NUMBER_SHAPE, "double")
     return F.coalesce(d, F.lit(default).cast("double")) if default is not None else d
 
 
@@ -33,7 +42,7 @@ def money2(c: Column | str, default: float | None = None) -> Column:
 
     Rounds the exact decimal text (not a binary double), so 2.675 -> 2.68.
     """
-    d = (F.trim(col(c).cast("string"))).try_cast("decimal(38,10)")
+    d = _guarded(F.trim(col(c).cast("string")), NUMBER_SHAPE, "decimal(38,10)")
     out = F.bround(d, 2).cast("decimal(18,2)")
     return F.coalesce(out, F.lit(default).cast("decimal(18,2)")) if default is not None else out
 
@@ -41,7 +50,7 @@ def money2(c: Column | str, default: float | None = None) -> Column:
 def to_int_zero(c: Column | str) -> Column:
     """Cut decimals, coerce to BIGINT, failure -> 0."""
     s = strip_float_suffix(F.trim(col(c).cast("string")), mode="cut")
-    return F.coalesce((s).try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(_guarded(s, INTEGER_SHAPE, "bigint"), F.lit(0).cast("bigint"))
 
 
 def compact_number(c: Column | str) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.functions.dates import DATE_PATTERNS, parse_date_multi
+from orderlake.functions.dates import parse_date_multi, parse_timestamp_multi
 from orderlake.functions.numbers import bool_true_tokens, money2, to_number
 from orderlake.functions.text import null_tokens, strip_float_suffix
 
@@ -97,13 +97,20 @@ def registry_rename(df: DataFrame, registry: Sequence[Field], unmapped: str = "k
     return rename(df, {f.local_name: f.name for f in registry if f.local_name}, unmapped)
 
 
-def cast_field(c: Column, typ: str, on_error: str = "default", default=None) -> Column:
+def normalize_text(c: Column) -> Column:
+    """Raw cell -> trimmed text with null tokens as NULL (the cast input)."""
+    return F.trim(null_tokens(c.cast("string")))
+
+
+def cast_field(c: Column, typ: str, on_error: str = "default", default=None,
+               normalized: bool = False) -> Column:
     """Coerce text to a registry type; failures become the type default
-    (``on_error='default'``) or NULL (``'null'``)."""
+    (``on_error='default'``) or NULL (``'null'``).  ``normalized`` says the
+    input already went through ``normalize_text``."""
     typ = typ.upper()
-    s = null_tokens(c.cast("string"))
+    s = c if normalized else normalize_text(c)
     if typ in ("INTEGER", "INT64"):
-        v = to_number(strip_float_suffix(F.trim(s))).cast("bigint")
+        v = to_number(strip_float_suffix(s)).cast("bigint")
     elif typ in ("FLOAT", "FLOAT64"):
         v = to_number(s)
     elif typ == "NUMERIC":
@@ -113,10 +120,9 @@ def cast_field(c: Column, typ: str, on_error: str = "default", default=None) ->
     elif typ == "DATE":
         v = parse_date_multi(s)
     elif typ in ("DATETIME", "TIMESTAMP"):
-        t = F.trim(s)
-        v = F.coalesce(*[F.try_to_timestamp(t, F.lit(p)) for p in DATE_PATTERNS]).cast("timestamp_ntz")
-    else:
-        v = s
+        v = parse_timestamp_multi(s).cast("timestamp_ntz")
+    else:   # STRING keeps inner whitespace and is not trimmed
+        v = s if normalized else null_tokens(c.cast("string"))
     spark_type = SPARK_TYPES.get(typ, T.StringType())
     if on_error == "null":
         return v.cast(spark_type)
@@ -126,18 +132,35 @@ def cast_field(c: Column, typ: str, on_error: str = "default", default=None) ->
 
 def conform(df: DataFrame, registry: Sequence[Field], extras: str = "drop",
             on_error: str = "default", drop: Sequence[str] = ()) -> DataFrame:
-    """One projection in registry order.  Missing fields get their
-    default; present fields are cast; other columns go last (``extras='last'``)
-    or are dropped; ``drop`` removes listed columns if present."""
-    present = set(df.columns) - set(drop)
+    """Registry order, defaults for missing fields, casts for
+    present ones; other columns go last (``extras='last'``) or are dropped;
+    ``drop`` removes listed columns if present.
+
+    Two projections: every present field is normalised once (trim, null
+    tokens), then cast.  Keeping them apart stops the optimizer from inlining
+    the normalisation into each of the many parse branches.
+    """
+    present = [f for f in registry if f.name in set(df.columns) - set(drop)]
+    names = {f.name for f in registry}
+    extra_cols = [c for c in df.columns if c not in names and c not in set(drop)] if extras == "last" else []
+    stage1 = df.select(*[F.col(f"`{c}`") for c in extra_cols],
+                       *[(F.col(f"`{f.name}`").cast("string") if f.type.upper() == "STRING"
+                          else normalize_text(F.col(f"`{f.name}`"))).alias(f"__n_{i}")
+                         for i, f in enumerate(present)])
+    idx = {f.name: i for i, f in enumerate(present)}
     sel = []
     for f in registry:
-        src = F.col(f"`{f.name}`") if f.name in present else F.lit(None)
-        sel.append(cast_field(src, f.type, on_error, f.default).alias(f.name))
-    if extras == "last":
-        names = {f.name for f in registry}
-        sel += [F.col(f"`{c}`") for c in df.columns if c in present and c not in names]
-    return df.select(*sel)
+        if f.name in idx:
+            src = F.col(f"__n_{idx[f.name]}")
+            if f.type.upper() == "STRING":
+                out = cast_field(src, f.type, on_error, f.default)
+            else:
+                out = cast_field(src, f.type, on_error, f.default, normalized=True)
+        else:
+            out = cast_field(F.lit(None), f.type, on_error, f.default)
+        sel.append(out.alias(f.name))
+    sel += [F.col(f"`{c}`") for c in extra_cols]
+    return stage1.select(*sel)
 
 
 def stamp(df: DataFrame, always: Mapping[str, object] | None = None,

@@ -167,13 +167,18 @@ def lookup_cascade(df: DataFrame, dim: DataFrame, code: str, dim_key: str, posit
     master = (dim.select(clean_code(dim_key).alias("__key"), F.col(position).alias("__pos"))
               .filter(F.col("__key").isNotNull())
               .groupBy("__key").agg(F.min("__pos").alias("__pos")))
-    codes = df.select(clean_code(code).alias("__code")).filter(F.col("__code").isNotNull()).distinct()
+    # distinct codes and the exact-stage map feed several branches below;
+    # checkpointing them (shared checkpoint folder) computes each once and
+    # cuts lineage, instead of re-running the fact scan per branch.
+    codes = df.select(clean_code(code).alias("__code")).filter(F.col("__code").isNotNull()).distinct() \
+        .checkpoint(eager=True)
 
     cand = codes.select("__code", F.explode(_cascade_candidates(F.col("__code"))).alias("c")) \
         .select("__code", "c.prio", "c.cand").filter(F.col("cand").isNotNull())
     hit = cand.join(master, cand["cand"] == master["__key"], "inner")
     exact = hit.groupBy("__code").agg(F.min_by(F.struct("prio", "cand"), "prio").alias("m")) \
-        .select("__code", F.col("m.cand").alias("__mkey"), F.col("m.prio").alias("__stage"))
+        .select("__code", F.col("m.cand").alias("__mkey"), F.col("m.prio").alias("__stage")) \
+        .checkpoint(eager=True)
 
     rest = codes.join(exact, "__code", "left_anti").filter(F.length("__code") >= MIN_PREFIX_LEN)
     # master key is a prefix of the code

@@ -93,7 +93,8 @@ def order_reconcile(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select(
         F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("order_status"),
         F.to_date("o_orderdate").alias("order_date"))
-    rec = reconcile.reconcile(orders, lines, "order_key",
+    raw_keys = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("order_key"))
+    rec = reconcile.reconcile(orders, lines, "order_key", unique="left", null_safe=False, many_keys=raw_keys,
                               coalesce_cols={"report_date": ("order_date", "ship_date")})
     rec = rec.withColumn("product_name", F.when(F.col("part_key").isNotNull(),
                                                 F.concat(F.lit("part-"), F.col("part_key").cast("string"))))
