@@ -16,6 +16,26 @@ from pyspark.sql import types as T
 from orderlake.operators._common import as_list
 
 
+def require_key(df: DataFrame, keys) -> DataFrame:
+    """drop rows whose key is NULL or blank."""
+    out = df
+    for k in as_list(keys):
+        out = out.filter(F.col(k).isNotNull() & (F.trim(F.col(k).cast("string")) != ""))
+    return out
+
+
+def require_date(df: DataFrame, date: str, parsed: Column | None = None) -> DataFrame:
+    """drop rows with a blank date (F2) or, given ``parsed``, a date
+    that does not parse (F5)."""
+    out = df.filter(F.col(date).isNotNull() & (F.trim(F.col(date).cast("string")) != ""))
+    return out.filter(parsed.isNotNull()) if parsed is not None else out
+
+
+def distinct_values(df: DataFrame, col: str) -> DataFrame:
+    """Distinct values of a column (aggregate, never collected)."""
+    return df.select(col).distinct()
+
+
 def date_range(df: DataFrame, date: str) -> DataFrame:
     """A5: first and last date."""
     d = F.to_date(F.col(date))

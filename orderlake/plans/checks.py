@@ -1267,3 +1267,49 @@ def csv_roundtrip(spark, d):
     r = files.read_orders(spark, paths)
     return r.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
                     "source_encoding")
+
+
+# ---------------------------------------------------------------- ordering / suppression
+
+@check("prefixed_id_order", """
+WITH t AS (SELECT o_orderkey,
+                  CASE WHEN o_orderkey % 17 = 0 THEN 'RMX' || CAST(o_orderkey AS VARCHAR)
+                       ELSE 'RM' || CAST(o_orderkey AS VARCHAR) END AS sn FROM orders),
+k AS (SELECT o_orderkey, sn,
+             coalesce(CASE WHEN regexp_matches(trim(replace(sn, 'RM', '')), '^[0-9]{1,18}$')
+                           THEN CAST(trim(replace(sn, 'RM', '')) AS BIGINT) END, 0) AS sort_key,
+             NOT regexp_matches(sn, '^RM[0-9]+$') AS invalid FROM t)
+SELECT o_orderkey, sn, sort_key, invalid,
+       CAST(row_number() OVER (ORDER BY invalid ASC, sort_key ASC, sn ASC, o_orderkey ASC) AS BIGINT) AS position
+FROM k
+""")
+def prefixed_id_order(spark, d):
+    """O2 + F4: prefixed order ids sorted by their number, invalid ids last;
+    the position is materialised with the distributed global sequence."""
+    from orderlake.operators import ordering as od
+    o = table(spark, d, "orders").select("o_orderkey")
+    sn = F.when(F.col("o_orderkey") % 17 == 0, F.concat(F.lit("RMX"), F.col("o_orderkey").cast("string"))) \
+        .otherwise(F.concat(F.lit("RM"), F.col("o_orderkey").cast("string")))
+    k = o.select("o_orderkey", sn.alias("sn")).select(
+        "o_orderkey", "sn", od.prefixed_id_key("sn", "RM").alias("sort_key"),
+        (~F.col("sn").rlike("^RM[0-9]+$")).alias("invalid"))
+    return sq.global_sequence(k, [("invalid", True), ("sort_key", True), ("sn", True), ("o_orderkey", True)],
+                              out="position")
+
+
+@check("stream_suppress_duplicates", """
+SELECT DISTINCT user_id, event_type FROM events
+""")
+def stream_suppress_duplicates(spark, d):
+    """R2: the events file replayed as a stream with duplicate suppression per
+    (user, event type) inside a 30-day event-time horizon; which duplicate
+    survives is arbitrary by design, so only the keys are reported."""
+    from orderlake.streaming import suppress_duplicates
+    ev = table(spark, d, "events")
+    stream = spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet").parquet(d.rstrip("/"))
+    name = f"suppressed_{uuid.uuid4().hex}"
+    q = (suppress_duplicates(stream, ["user_id", "event_type"], "ts", "30 days").writeStream
+         .format("parquet").option("path", scratch_path(spark, name))
+         .option("checkpointLocation", scratch_path(spark, name + "-ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(scratch_path(spark, name)).select("user_id", "event_type")

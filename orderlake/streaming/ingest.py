@@ -93,5 +93,12 @@ def ingest_stream(spark: SparkSession, source: str, schema: T.StructType, target
 
 
 def suppress_duplicates(stream: DataFrame, keys, ts: str, horizon: str = "1 day") -> DataFrame:
-    """R2: emit each key once within ``horizon`` of event time."""
+    """R2: emit each key once within ``horizon`` of event time.
+
+    Watermarks need a TIMESTAMP; a TIMESTAMP_NTZ event time is read in the
+    session time zone through a helper column, leaving the original intact."""
+    if dict(stream.dtypes).get(ts) == "timestamp_ntz":
+        out = stream.withColumn("__event_time", F.col(ts).cast("timestamp"))
+        return (out.withWatermark("__event_time", horizon)
+                .dropDuplicatesWithinWatermark(as_list(keys)).drop("__event_time"))
     return stream.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(as_list(keys))

@@ -273,3 +273,36 @@ def test_classify_reports(spark):
                               "file string, header_list array<string>")
     out = headers.classify_reports(h, {"retgood": ["退貨單號", "退貨單序號"]}, {"orders_": "orders"}, min_hits=2)
     assert rows(out, "file", "report_type") == [("f2", "retgood"), ("f3", "unknown"), ("orders_x.csv", "orders")]
+
+
+def test_ordering_and_requirements(spark):
+    from orderlake.operators import ordering as od
+    df = spark.createDataFrame([("10",), ("9",), ("x",), ("100",)], "sn string")
+    assert [r[0] for r in od.sort_numeric(df, "sn").collect()] == ["9", "10", "100", "x"]
+    ids = spark.createDataFrame([("RM2506210008428", True), ("RMABC", False), ("RM2506210008426", True), ("", True)],
+                                "sn string, ok boolean")
+    got = [r[0] for r in od.sort_prefixed_id(ids, "sn", "RM", invalid=~F.col("ok")).collect()]
+    assert got == ["", "RM2506210008426", "RM2506210008428", "RMABC"]
+    assert [r[0] for r in od.head(df, 2, "sn").collect()] == ["10", "100"]
+    assert [r[0] for r in od.valid_invalid_split(ids, F.col("ok"), "sn").collect()][-1] == "RMABC"
+    q = spark.createDataFrame([("a", "2025-07-01"), (" ", "2025-07-02"), (None, "x"), ("b", "")], "k string, d string")
+    assert quality.require_key(q, "k").count() == 2
+    assert quality.require_date(quality.require_key(q, "k"), "d").count() == 1
+    from orderlake import functions as fn
+    assert quality.require_date(q, "d", fn.parse_date_multi("d")).count() == 2
+    assert sorted(r[0] for r in quality.distinct_values(q, "d").collect()) == ["", "2025-07-01", "2025-07-02", "x"]
+
+
+def test_suppress_duplicates_stream(spark, tmp_dir):
+    import os
+    from orderlake.streaming import suppress_duplicates
+    src = f"{tmp_dir}/ev"
+    os.makedirs(src)
+    spark.createDataFrame([(1, "a", dt.datetime(2024, 1, 1, 0, 0)), (1, "a", dt.datetime(2024, 1, 1, 0, 5)),
+                           (2, "a", dt.datetime(2024, 1, 1, 0, 1))], "u long, t string, ts timestamp") \
+        .write.mode("overwrite").parquet(f"{src}/b1")
+    stream = spark.readStream.schema("u long, t string, ts timestamp").parquet(f"{src}/b1")
+    q = (suppress_duplicates(stream, ["u", "t"], "ts", "1 hour").writeStream.format("memory")
+         .queryName("suppressed").option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.sql("select count(*) from suppressed").first()[0] == 2
