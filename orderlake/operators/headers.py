@@ -126,14 +126,17 @@ def match_contains(headers: DataFrame, registry: DataFrame, min_len: int = 5,
                    min_len_ratio: float = 0.7) -> DataFrame:
     """Exact, then cleaned-exact, then containment (both longer than
     ``min_len`` and length ratio above ``min_len_ratio``); the first registry
-    entry that hits wins.  Containment pairs come from exploding substrings of
-    the allowed lengths and equi-joining them."""
+    entry that hits wins.  Matching runs once per distinct header text;
+    containment pairs come from exploding substrings of the allowed lengths
+    and equi-joining them, then the best match is joined back to every
+    (file, position)."""
     h = headers.withColumn("__hc", normalize_contains("header"))
+    hd = h.select("header", "__hc").distinct()
     r = registry.withColumn("__rc", normalize_contains("local_name"))
-    e1 = h.join(r.select("name", "reg_order", F.col("local_name").alias("__x")), h["header"] == F.col("__x")) \
-        .select("file", "position", "header", "name", "reg_order", F.lit(1).alias("stage"))
-    e2 = h.join(r.select("name", "reg_order", F.col("__rc").alias("__x")), h["__hc"] == F.col("__x")) \
-        .select("file", "position", "header", "name", "reg_order", F.lit(2).alias("stage"))
+    e1 = hd.join(r.select("name", "reg_order", F.col("local_name").alias("__x")), hd["header"] == F.col("__x")) \
+        .select("header", "name", "reg_order", F.lit(1).alias("stage"))
+    e2 = hd.join(r.select("name", "reg_order", F.col("__rc").alias("__x")), hd["__hc"] == F.col("__x")) \
+        .select("header", "name", "reg_order", F.lit(2).alias("stage"))
 
     def subs(df: DataFrame, col: str, key: Sequence[str]) -> DataFrame:
         n = F.length(F.col(col))
@@ -144,18 +147,17 @@ def match_contains(headers: DataFrame, registry: DataFrame, min_len: int = 5,
                 .select(*key, col, F.expr(f"substring({col}, __s, __l)").alias("__sub")).distinct())
 
     ratio_ok = (F.least(F.length("__hc"), F.length("__rc")) / F.greatest(F.length("__hc"), F.length("__rc"))) > min_len_ratio
-    hs = subs(h, "__hc", ["file", "position", "header"])
+    hs = subs(hd, "__hc", ["header"])
     c1 = hs.join(r.filter(F.length("__rc") > min_len), hs["__sub"] == r["__rc"]).filter(ratio_ok) \
-        .select("file", "position", "header", "name", "reg_order")
+        .select("header", "name", "reg_order")
     rs = subs(r, "__rc", ["name", "reg_order"])
-    hh = h.filter(F.length("__hc") > min_len)
-    c2 = rs.join(hh, rs["__sub"] == hh["__hc"]).filter(ratio_ok) \
-        .select("file", "position", "header", "name", "reg_order")
+    hh = hd.filter(F.length("__hc") > min_len)
+    c2 = rs.join(hh, rs["__sub"] == hh["__hc"]).filter(ratio_ok).select("header", "name", "reg_order")
     c = c1.unionByName(c2).distinct().withColumn("stage", F.lit(3))
-    allm = e1.unionByName(e2).unionByName(c)
-    w = Window.partitionBy("file", "position").orderBy("stage", "reg_order")
-    return (allm.withColumn("__k", F.row_number().over(w)).filter("__k = 1")
-            .select("file", "position", "header", "name", F.col("stage").cast("bigint").alias("stage")))
+    best = (e1.unionByName(e2).unionByName(c).groupBy("header")
+            .agg(F.min_by(F.struct("name", "stage"), F.struct("stage", "reg_order")).alias("m"))
+            .select("header", F.col("m.name").alias("name"), F.col("m.stage").cast("bigint").alias("stage")))
+    return h.join(best, "header").select("file", "position", "header", "name", "stage")
 
 
 def classify_reports(headers: DataFrame, rules: Mapping[str, Sequence[str]],

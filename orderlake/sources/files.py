@@ -158,13 +158,17 @@ def file_metadata(files: DataFrame, name: str = "name",
 def duplicate_files(files: DataFrame, size: str = "length", content: str = "content",
                     order: str = "path") -> DataFrame:
     """Files with identical bytes.  Cheap test first: only files sharing a
-    size are hashed (semi join on repeated sizes); then group by (size, sha-256).
+    size are hashed (semi join on repeated sizes); then group by (size,
+    SHA-256).  Groups are aggregates (count, first member), joined back to
+    their members — no window holds a whole group, however many copies it has.
     Returns every member of a duplicate group with ``keep`` on the first."""
     sizes = files.groupBy(size).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(size)
-    cand = files.join(sizes, size, "left_semi").withColumn("digest", F.sha2(F.col(content), 256))
-    w = Window.partitionBy(size, "digest")
-    grp = cand.withColumn("group_size", F.count(F.lit(1)).over(w)).filter("group_size > 1")
-    return grp.withColumn("keep", F.row_number().over(w.orderBy(order)) == 1).drop(content)
+    cand = files.join(sizes, size, "left_semi").withColumn("digest", F.sha2(F.col(content), 256)).drop(content)
+    groups = (cand.groupBy(size, "digest")
+              .agg(F.count(F.lit(1)).alias("group_size"), F.min(order).alias("__first"))
+              .filter("group_size > 1"))
+    return (cand.join(groups, [size, "digest"])
+            .withColumn("keep", F.col(order) == F.col("__first")).drop("__first"))
 
 
 def newest_version(files: DataFrame, canonical: Column) -> DataFrame:
