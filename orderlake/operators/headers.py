@@ -86,16 +86,48 @@ def _ratio_possible(la: Column, lb: Column, min_ratio: float) -> Column:
     return (F.least(la, lb) * 2.0 / (la + lb)) > min_ratio
 
 
+def _bigram_tokens(c: Column) -> Column:
+    """Bigrams of ``c`` with their occurrence number (``ab#1``, ``ab#2``), so
+    the token-set overlap equals the bigram multiset overlap."""
+    grams = F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(c, i, 2))
+    return F.transform(grams, lambda x, i: F.concat(
+        x, F.lit("\u0001"), F.size(F.filter(F.slice(grams, 1, i), lambda y: y == x)).cast("string")))
+
+
+PREFIX_FILTER_MIN_RATIO = 0.85
+
+
+def _prefix_tokens(strings: DataFrame, col: str, freq: DataFrame, min_ratio: float) -> DataFrame:
+    """(string, token) for the rarest ``n - τ + 1`` bigram tokens of each string.
+
+    For a difflib ratio r > 0.85 any matching pair shares more than
+    (1.5r − 1)(La + Lb) − 1 bigram tokens: matching blocks give M − b shared
+    occurrences, blocks are separated by unmatched characters (b − 1 ≤ u) and
+    u < (1 − r)(La + Lb).  With La + Lb > 2·La/(2 − r) this gives a per-string
+    bound τ = max(1, ⌊c·L − 1⌋), c = (1.5r − 1)·2/(2 − r); two strings whose
+    overlap is at least τ share one of their first n − τ + 1 tokens in any
+    fixed global order (prefix filtering).  Rare tokens first keeps it selective.
+    """
+    c = (1.5 * min_ratio - 1) * 2 / (2 - min_ratio)
+    toks = strings.select(col, F.explode(_bigram_tokens(F.col(col))).alias("__t"))
+    ranked = toks.join(freq, "__t").groupBy(col).agg(F.array_sort(F.collect_list(F.struct("__f", "__t"))).alias("__a"))
+    n = F.length(col) - 1
+    tau = F.greatest(F.lit(1), F.floor(F.length(col) * c - 1).cast("int"))
+    return ranked.select(col, F.explode(F.slice("__a", 1, n - tau + 1)).alias("__e")).select(col, F.col("__e.__t").alias("__t"))
+
+
 def match_fuzzy(headers: DataFrame, registry: DataFrame, min_ratio: float = 0.85) -> DataFrame:
     """Exact normalised match, else best difflib ratio above ``min_ratio``
     (ties: registry order).  Returns (file, position, header, name, score, how);
     unmatched headers are absent (the caller keeps only mapped columns).
 
-    Candidate pairs share a character bigram *and* a feasible length: each
-    normalised header is exploded over the registry lengths that can still
-    reach ``min_ratio`` (ratio ≤ 2·min/(la+lb)), so the equi join key is
-    (bigram, length).  Only distinct normalised strings are paired and scored.
+    Candidate pairs come from an equi join on *prefix* bigram tokens (see
+    ``_prefix_tokens``) of distinct normalised strings, then the length bound;
+    only those pairs reach the difflib UDF.  No pair is enumerated just for
+    sharing a common bigram.
     """
+    if min_ratio < PREFIX_FILTER_MIN_RATIO:
+        raise ValueError("match_fuzzy needs min_ratio >= 0.85 (prefix-filter bound)")
     h = headers.withColumn("__hn", normalize_fuzzy("header"))
     r = registry.select("name", "reg_order", normalize_fuzzy("local_name").alias("__rn"))
     exact = (h.join(r, h["__hn"] == r["__rn"], "inner")
@@ -103,15 +135,14 @@ def match_fuzzy(headers: DataFrame, registry: DataFrame, min_ratio: float = 0.85
              .filter("__k = 1").select("file", "position", "header", "name", F.lit(1.0).alias("score"),
                                        F.lit("exact").alias("how")))
     rest = h.join(exact.select("file", "position"), ["file", "position"], "left_anti")
-    la = F.length("__hn")
-    lo = F.greatest(F.lit(1), F.floor(la * min_ratio / (2 - min_ratio)).cast("int"))
-    hi = F.ceil(la * (2 - min_ratio) / min_ratio).cast("int")
-    hn = (rest.select("__hn").distinct().filter(la > 0)
-          .select("__hn", F.explode(_grams(F.col("__hn"))).alias("__g"),
-                  F.explode(F.sequence(lo, hi)).alias("__lb")))
-    rg = (r.select("__rn").distinct().filter(F.length("__rn") > 0)
-          .select("__rn", F.explode(_grams(F.col("__rn"))).alias("__g"), F.length("__rn").alias("__lb")))
-    pairs = (hn.join(rg, ["__g", "__lb"]).select("__hn", "__rn").distinct()
+    hs = rest.select(F.col("__hn").alias("__s")).distinct().filter(F.length("__s") >= 2)
+    rs = r.select(F.col("__rn").alias("__s")).distinct().filter(F.length("__s") >= 2)
+    both = hs.unionByName(rs).distinct()
+    freq = (both.select(F.explode(_bigram_tokens(F.col("__s"))).alias("__t"))
+            .groupBy("__t").agg(F.count(F.lit(1)).alias("__f")))
+    hp = _prefix_tokens(hs, "__s", freq, min_ratio).withColumnRenamed("__s", "__hn")
+    rp = _prefix_tokens(rs, "__s", freq, min_ratio).withColumnRenamed("__s", "__rn")
+    pairs = (hp.join(rp, "__t").select("__hn", "__rn").distinct()
              .filter(_ratio_possible(F.length("__hn"), F.length("__rn"), min_ratio))
              .repartition("__rn").sortWithinPartitions("__rn"))
     scored = pairs.withColumn("score", ratio_udf(min_ratio)("__hn", "__rn")).filter(F.col("score") > min_ratio)
