@@ -51,3 +51,37 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "line_uid" in df.columns
+
+
+def test_fuzzy_headers_equal_brute_force(spark):
+    """P3's prefix-filtered candidates lose no match: compare with difflib over
+    all (distinct header, registry) pairs on the smallest fixture (difflib's
+    own upper bounds skip pairs that cannot reach the threshold)."""
+    from difflib import SequenceMatcher
+
+    from orderlake.operators import headers as H
+    from orderlake.plans import checks
+    h, reg = checks._header_tables(spark, SF)
+    got = sorted(tuple(x) for x in H.match_fuzzy(h, reg).select("file", "position", "name", "how").collect())
+    hd = h.withColumn("n", H.normalize_fuzzy("header")).select("file", "position", "n").collect()
+    rg = sorted((g["reg_order"], g["name"], g["n"]) for g in
+                reg.withColumn("n", H.normalize_fuzzy("local_name")).select("name", "reg_order", "n").collect())
+    matchers = [(o, nm, SequenceMatcher(None, "", n)) for o, nm, n in rg]
+    best_of = {}
+    for n in {x["n"] for x in hd}:
+        exact = [(o, nm) for o, nm, rn in rg if rn == n]
+        if exact:
+            best_of[n] = (min(exact)[1], "exact")
+            continue
+        top = None
+        for o, nm, m in matchers:
+            m.set_seq1(n)
+            if m.real_quick_ratio() <= 0.85 or m.quick_ratio() <= 0.85:
+                continue
+            r = m.ratio()
+            if r > 0.85 and (top is None or (-r, o) < top[0]):
+                top = ((-r, o), nm)
+        if top:
+            best_of[n] = (top[1], "fuzzy")
+    want = sorted((x["file"], x["position"], *best_of[x["n"]]) for x in hd if x["n"] in best_of)
+    assert got == want
