@@ -9,8 +9,11 @@ configured (local runs).
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -85,3 +88,42 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the (shared) checkpoint directory for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def _package_zip() -> bytes:
+    buf = io.BytesIO()
+    pkg = os.path.join(_REPO_ROOT, "orderlake")
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, names in os.walk(pkg):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(root, n)
+                    z.write(full, os.path.relpath(full, _REPO_ROOT))
+    return buf.getvalue()
+
+
+def ship_package(spark: SparkSession) -> str:
+    """Make ``orderlake`` importable on executors (mapInPandas / pandas UDFs).
+
+    The package is zipped into the shared checkpoint folder and registered with
+    ``addPyFile`` — the programmatic form of ``--py-files``.  Idempotent per
+    session and package version.
+    """
+    sc = spark.sparkContext
+    data = _package_zip()
+    digest = hashlib.sha1(data).hexdigest()[:12]
+    if getattr(sc, "_orderlake_shipped", None) == digest:
+        return digest
+    target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pyfiles/orderlake-{digest}.zip"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, True)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
+    sc.addPyFile(target)
+    sc._orderlake_shipped = digest
+    return digest
