@@ -1313,3 +1313,36 @@ def stream_suppress_duplicates(spark, d):
          .option("checkpointLocation", scratch_path(spark, name + "-ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(scratch_path(spark, name)).select("user_id", "event_type")
+
+
+@check("product_refs", """
+WITH t AS (SELECT p_partkey,
+                  CASE WHEN p_partkey % 4 = 0 THEN p_name
+                       WHEN p_partkey % 4 = 1 THEN p_name || ' (' || upper(replace(p_brand, '#', '')) || '-' || CAST(p_size AS VARCHAR) || ')'
+                       WHEN p_partkey % 4 = 2 THEN p_name || ' (' || upper(replace(p_type, ' ', '_')) || '-X' || CAST(p_partkey AS VARCHAR) || '-' || CAST(p_size % 10 AS VARCHAR) || ')'
+                       ELSE p_name || ' (' || CAST(p_partkey AS VARCHAR) || '-' || CAST(p_size * 100 AS VARCHAR) || ')' END AS product_name
+           FROM part)
+SELECT p_partkey, product_name,
+       CASE WHEN regexp_matches(product_name, '\\(([A-Za-z0-9_-]+)-([0-9]{1,3})\\)$')
+            THEN regexp_extract(product_name, '\\(([A-Za-z0-9_-]+)-([0-9]{1,3})\\)$', 1) END AS ref_id,
+       CASE WHEN regexp_matches(product_name, '\\(([A-Za-z0-9_-]+)-([0-9]{1,3})\\)$')
+            THEN lpad(regexp_extract(product_name, '\\(([A-Za-z0-9_-]+)-([0-9]{1,3})\\)$', 2), 3, '0') END AS ref_option
+FROM t
+""")
+def product_refs(spark, d):
+    """Product id and zero-padded option parsed from a trailing
+    ``(ID-nn)`` in product names (names without one, or with a 4-digit option,
+    give NULLs)."""
+    p = table(spark, d, "part")
+    k = F.col("p_partkey") % 4
+    name = (F.when(k == 0, F.col("p_name"))
+            .when(k == 1, F.concat(F.col("p_name"), F.lit(" ("), F.upper(F.regexp_replace("p_brand", "#", "")),
+                                   F.lit("-"), F.col("p_size").cast("string"), F.lit(")")))
+            .when(k == 2, F.concat(F.col("p_name"), F.lit(" ("), F.upper(F.regexp_replace("p_type", " ", "_")),
+                                   F.lit("-X"), F.col("p_partkey").cast("string"), F.lit("-"),
+                                   (F.col("p_size") % 10).cast("string"), F.lit(")")))
+            .otherwise(F.concat(F.col("p_name"), F.lit(" ("), F.col("p_partkey").cast("string"), F.lit("-"),
+                                (F.col("p_size") * 100).cast("string"), F.lit(")"))))
+    t = p.select("p_partkey", name.alias("product_name"))
+    ref = fn.product_ref_from_name("product_name")
+    return t.select("p_partkey", "product_name", ref.ref_id.alias("ref_id"), ref.ref_option.alias("ref_option"))
