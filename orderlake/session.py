@@ -127,3 +127,35 @@ def ship_package(spark: SparkSession) -> str:
     sc.addPyFile(target)
     sc._orderlake_shipped = digest
     return digest
+
+
+def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Partition sizing for a run over ``input_bytes`` on ``total_cores`` cores.
+
+    Scan splits and post-shuffle partitions target ~256 MB so a task's working
+    set fits executor memory; shuffle partitions start at max(3 × cores,
+    input / target) and AQE coalesces or splits from there (skewed partitions
+    above 5 × median and 1 GB are split).  Broadcasts stay small (64 MB): the
+    library broadcasts dimensions only behind an explicit row-count bound.
+    """
+    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict, only_unset: bool = True) -> None:
+    """Set runtime SQL options; by default leaves explicitly configured keys alone."""
+    explicit = dict(spark.sparkContext.getConf().getAll())
+    for k, v in settings.items():
+        if only_unset and k in explicit:
+            continue
+        spark.conf.set(k, v)

@@ -131,3 +131,10 @@ def test_booleans(spark, text, tokens, mapped):
 
 def test_clean_code(spark):
     assert one_col(spark, [" 471.0 ", "nan", "", None, "0012"], fn.clean_code) == ["471", None, None, None, "0012"]
+
+
+def test_scale_settings():
+    from orderlake.session import scale_settings
+    s = scale_settings(100 << 40, 8000)          # 100 TB on 1000 executors × 8 cores
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_settings(1 << 20, 8)["spark.sql.shuffle.partitions"] == "24"
