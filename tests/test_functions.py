@@ -51,7 +51,7 @@ def test_unquote_phone_note_zip(spark):
 def test_line_uid(spark):
     df = spark.createDataFrame([("123", "01"), ("9", None)], "a string, b string")
     assert [r[0] for r in df.select(fn.line_uid("a", "b")).collect()] == ["123_01", "9_"]
-    assert [r[0] for r in df.select(fn.line_uid("a", prefix="momo_")).collect()] == ["momo_123", "momo_9"]
+    assert [r[0] for r in df.select(fn.line_uid("a", prefix="mk_")).collect()] == ["mk_123", "mk_9"]
 
 
 def test_split_composite_id(spark):

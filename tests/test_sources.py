@@ -72,8 +72,8 @@ def test_file_jobs(spark, tmp_dir):
 
 
 def test_load_dimension_last_wins(spark, tmp_dir):
-    doc = {"shops": [{"shop_id": "s1", "platform": "momo", "shop_name": "A"},
-                     {"shop_id": "s1", "platform": "momo", "shop_name": "B"},
+    doc = {"shops": [{"shop_id": "s1", "platform": "mkt-b", "shop_name": "A"},
+                     {"shop_id": "s1", "platform": "mkt-b", "shop_name": "B"},
                      {"shop_id": "", "platform": "x", "shop_name": "blank"}]}
     write(f"{tmp_dir}/shops.json", json.dumps(doc).encode())
     dim = master.load_dimension(spark, f"{tmp_dir}/shops.json", "shop_id", root="shops")
