@@ -39,25 +39,24 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None,
 
 
 def detect_encoding(spark: SparkSession, paths: DataFrame | None = None, path: str | None = None,
-                    encodings: Sequence[str] = ENCODINGS, probe_bytes: int = 65536) -> DataFrame:
-    """Per file, the first encoding whose decoding of the first
-    ``probe_bytes`` bytes is clean.  UTF-16 byte-order marks are recognised
-    first; UTF-8 is validated with ``is_valid_utf8``; legacy charsets decode
-    with replacement (``spark.sql.legacy.codingErrorAction``) and must yield
-    no U+FFFD (the last two characters are ignored: the probe may cut one)."""
+                    encodings: Sequence[str] = ENCODINGS) -> DataFrame:
+    """Per file, the first encoding that decodes the *whole* file cleanly.
+
+    UTF-16 byte-order marks are recognised first; UTF-8 is validated with
+    ``is_valid_utf8``; legacy charsets decode with replacement
+    (``spark.sql.legacy.codingErrorAction``) and must yield no U+FFFD.  One
+    task per file; nothing but (path, encoding) leaves the executors."""
     spark.conf.set("spark.sql.legacy.codingErrorAction", "true")
     files_df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path) \
         if paths is None else paths
-    head = F.substring(F.col("content"), 1, probe_bytes)
-    hexhead = F.hex(F.substring(F.col("content"), 1, 3))
+    content = F.col("content")
+    hexhead = F.hex(F.substring(content, 1, 3))
     choice = F.when(hexhead.startswith("FFFE") | hexhead.startswith("FEFF"), F.lit("UTF-16"))
     for enc in encodings:
         if enc.upper().replace("-", "") == "UTF8":
-            ok = F.is_valid_utf8(head) | F.is_valid_utf8(F.substring(head, 1, F.greatest(F.length(head) - 3, F.lit(0))))
+            ok = F.is_valid_utf8(content.cast("string"))
         else:
-            txt = F.decode(head, enc)
-            body = F.substring(txt, 1, F.greatest(F.length(txt) - 2, F.lit(0)))
-            ok = ~body.contains("\ufffd")
+            ok = ~F.decode(content, enc).contains("\ufffd")
         choice = choice.when(ok, F.lit(enc))
     return files_df.select("path", choice.otherwise(F.lit(encodings[0])).alias("encoding"))
 
