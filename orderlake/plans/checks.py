@@ -786,10 +786,12 @@ def parse_dates(spark, d):
     oid = F.concat(F.date_format("o_orderdate", "yyMMdd"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0"))
     s = o.select("o_orderkey", _rendered().alias("date_text"), ampm.alias("ampm_text"), oid.alias("order_id"),
                  F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.col("o_orderkey").cast("string")).alias("id8"))
+    # the multi-layout timestamp feeds two outputs: parse it once, in its own projection
+    s = s.withColumn("__ts", fn.parse_timestamp_multi("date_text"))
     return s.select(
-        "o_orderkey", "date_text", fn.parse_date_multi("date_text").alias("parsed_date"),
+        "o_orderkey", "date_text", F.to_date("__ts").alias("parsed_date"),
         fn.dash_date("date_text").alias("dash_date"), fn.dash_datetime("date_text").alias("dash_datetime"),
-        fn.split_datetime("date_text").time.alias("time_part"),
+        F.date_format("__ts", "HH:mm:ss").alias("time_part"),
         fn.parse_ampm_local("ampm_text").alias("ampm_date"),
         fn.date_from_id_yymmdd("order_id").alias("id_date_text"),
         fn.date_from_id_prefixed(F.concat(F.lit("RM"), F.col("order_id"))).alias("prefixed_id_date"),

@@ -102,3 +102,29 @@ def suppress_duplicates(stream: DataFrame, keys, ts: str, horizon: str = "1 day"
         return (out.withWatermark("__event_time", horizon)
                 .dropDuplicatesWithinWatermark(as_list(keys)).drop("__event_time"))
     return stream.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(as_list(keys))
+
+
+def compact_epochs(spark: SparkSession, target: str, keep: int = 1) -> int:
+    """Delete superseded epochs of the target table, keeping the newest ``keep``
+    per bucket (readers only ever use the newest).  Returns the number of
+    epoch folders removed.  Run between micro-batches, not during one."""
+    sc = spark.sparkContext
+    jvm = sc._jvm
+    root = jvm.org.apache.hadoop.fs.Path(target)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return 0
+    removed = 0
+    for b in fs.listStatus(root):
+        name = b.getPath().getName()
+        if not (b.isDirectory() and name.startswith("bucket=")):
+            continue
+        epochs = []
+        for e in fs.listStatus(b.getPath()):
+            en = e.getPath().getName()
+            if e.isDirectory() and en.startswith("epoch="):
+                epochs.append((int(en.split("=", 1)[1]), e.getPath()))
+        for _, p in sorted(epochs, key=lambda t: t[0])[:-keep] if keep > 0 else []:
+            fs.delete(p, True)
+            removed += 1
+    return removed

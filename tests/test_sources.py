@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from orderlake.sources import files, master, sinks
-from orderlake.streaming import current_table, upsert_batch
+from orderlake.streaming import current_table, upsert_batch  # noqa: F401
 
 
 def write(path, data: bytes):
@@ -121,3 +121,7 @@ def test_stream_fold_is_idempotent(spark, tmp_dir):
     upsert_batch(b2, 1, target, "k", ts="ts", buckets=4)          # replayed micro-batch
     again = sorted(tuple(r) for r in current_table(spark, target).select("k", "v").collect())
     assert first == again == [("a", 2), ("b", 1), ("c", 1)]
+    from orderlake.streaming import compact_epochs
+    assert compact_epochs(spark, target) > 0
+    after = sorted(tuple(r) for r in current_table(spark, target).select("k", "v").collect())
+    assert after == first
