@@ -6,7 +6,6 @@ import io
 import os
 import time
 
-from pyspark.sql import functions as F
 
 from orderlake.operators import conform as cf
 from orderlake.plans import marketplace as mp
