@@ -23,7 +23,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,17 +133,32 @@ def segmented_number(df: DataFrame, sort: Sequence[tuple[str, bool]], break_cols
     return result.select(*df.columns, out)
 
 
+def _window_order(df: DataFrame, spec: list[tuple[str, bool]], group: list[str]) -> list:
+    named = [c for c, _ in spec]
+    order = [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in spec if c not in group]
+    return order + [F.col(c).asc_nulls_first() for c in orderable(df, exclude=named)]
+
+
 def number_within(df: DataFrame, group, order, out: str = "seq", pad: int | None = None,
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, method: str = "scan") -> DataFrame:
     """1-based position of each row inside its group under ``order``.
 
     ``order`` is a list of column names (ascending) or ``(name, ascending)``
     pairs; remaining columns break ties.  With ``pad`` a zero-padded text copy
     ``{out}_text`` is added (no truncation of wider numbers).
+
+    ``method='scan'`` (default) is the skew-safe segmented scan.
+    ``method='window'`` is one ``row_number`` window — one shuffle and no
+    written intermediate, but each group is processed by one task: use it only
+    where group sizes are known to be bounded (e.g. lines per order).
     """
     group = as_list(group)
     spec = [(g, True) for g in group] + [o if isinstance(o, tuple) else (o, True) for o in as_list(order)]
-    res = segmented_number(df, spec, group, group_change(group), out=out, partitions=partitions)
+    if method == "window":
+        w = Window.partitionBy(*group).orderBy(*_window_order(df, spec, group))
+        res = df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    else:
+        res = segmented_number(df, spec, group, group_change(group), out=out, partitions=partitions)
     if pad:
         txt = F.col(out).cast("string")
         res = res.withColumn(f"{out}_text", F.when(F.length(txt) < pad, F.lpad(txt, pad, "0")).otherwise(txt))
@@ -200,15 +215,37 @@ def run_breaks(date: str, recipient: str, order_id: str, prefix: str = "RM",
     return f
 
 
+def _id_value(c: Column, prefix: str) -> Column:
+    t = F.trim(F.regexp_replace(c, prefix, "") if prefix else c)
+    return F.when(t.rlike("^[+-]?[0-9]{1,18}$"), t.cast("decimal(20,0)"))
+
+
 def consecutive_runs(df: DataFrame, date: str, recipient: str, order_id: str,
                      prefix: str = "RM", scope: Sequence[str] = (), out: str = "line_no",
-                     partitions: int | None = None) -> DataFrame:
+                     partitions: int | None = None, method: str = "scan") -> DataFrame:
     """Number rows inside runs of consecutive order ids.
 
     Rows are ordered by (scope, date, recipient, order_id as text); see
     ``run_breaks`` for the run rule.  ``out`` is the 1-based number as text.
+    ``method='window'`` uses lag / running sum / row_number per (scope, date,
+    recipient) — one task per such group, so only for bounded groups; the
+    default segmented scan is skew-safe.
     """
     scope = list(scope)
+    if method == "window":
+        grp = scope + [date, recipient]
+        order = _window_order(df, [(order_id, True)], grp)
+        w = Window.partitionBy(*grp).orderBy(*order)
+        prev = F.lag(order_id).over(w)
+        blank = lambda c: c.isNull() | (F.trim(c) == "")
+        pv, cv = _id_value(prev, prefix), _id_value(F.col(order_id), prefix)
+        brk = (F.when(prev.isNull() & (F.row_number().over(w) == 1), F.lit(1))
+               .when(~blank(prev) & ~blank(F.col(order_id))
+                     & (pv.isNull() | cv.isNull() | (cv != pv + 1)), F.lit(1)).otherwise(F.lit(0)))
+        runs = F.sum("__brk").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        t = df.withColumn("__brk", brk).withColumn("__run", runs)
+        w2 = Window.partitionBy(*grp, "__run").orderBy(*order)
+        return t.withColumn(out, F.row_number().over(w2).cast("string")).drop("__brk", "__run")
     spec = [(c, True) for c in scope + [date, recipient, order_id]]
     brk = run_breaks(date, recipient, order_id, prefix, scope)
     res = segmented_number(df, spec, scope + [date, recipient, order_id], brk, out=out,

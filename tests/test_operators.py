@@ -306,3 +306,18 @@ def test_suppress_duplicates_stream(spark, tmp_dir):
          .queryName("suppressed").option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.sql("select count(*) from suppressed").first()[0] == 2
+
+
+def test_window_and_scan_methods_agree(spark):
+    df = spark.range(0, 800).select((F.col("id") % 13).alias("g"), (F.col("id") * 31 % 97).alias("o"), "id")
+    a = sq.number_within(df, "g", ["o"], partitions=4)
+    b = sq.number_within(df, "g", ["o"], method="window")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    ids = spark.range(0, 400).select(
+        (F.col("id") % 3).cast("string").alias("d"), (F.col("id") % 2).cast("string").alias("r"),
+        F.when(F.col("id") % 17 == 0, F.lit("RMX")).when(F.col("id") % 19 == 0, F.lit(""))
+        .otherwise(F.concat(F.lit("RM"), (F.col("id") - F.col("id") % 5).cast("string"))).alias("sn"),
+        "id")
+    x = sq.consecutive_runs(ids, "d", "r", "sn", partitions=4)
+    y = sq.consecutive_runs(ids, "d", "r", "sn", method="window")
+    assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
