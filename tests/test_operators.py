@@ -321,3 +321,19 @@ def test_window_and_scan_methods_agree(spark):
     x = sq.consecutive_runs(ids, "d", "r", "sn", partitions=4)
     y = sq.consecutive_runs(ids, "d", "r", "sn", method="window")
     assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
+def test_schema_helpers():
+    from pyspark.sql import types as T
+    cols = ["shop_name", "x", "product_sku", "order_date", "order_time", "data_import_timestamp", "product_name"]
+    assert cf.order_columns(cols, first=["order_date", "order_time"], prefixes=["product_", "shop_"],
+                            last=["data_import_timestamp"]) == \
+        ["order_date", "order_time", "product_sku", "product_name", "shop_name", "x", "data_import_timestamp"]
+    rules = [(r"(^|_)(qty|quantity)$", "INTEGER"), (r"(price|cost|amount)", "NUMERIC"), (r"_date$", "DATE")]
+    assert [cf.type_for_name(n, rules) for n in ["order_qty", "unit_price", "order_date", "note"]] == \
+        ["INTEGER", "NUMERIC", "DATE", "STRING"]
+    reg = cf.registry_from_rows([{"order": 1, "name": "a", "type": "NUMERIC"}, {"order": 2, "name": "b", "type": "DATETIME"},
+                                 {"order": 3, "name": "c", "type": "whatever"}])
+    assert cf.schema_for(reg) == T.StructType([T.StructField("a", T.DecimalType(18, 2)),
+                                               T.StructField("b", T.TimestampNTZType()),
+                                               T.StructField("c", T.StringType())])
