@@ -1348,3 +1348,43 @@ def product_refs(spark, d):
     t = p.select("p_partkey", name.alias("product_name"))
     ref = fn.product_ref_from_name("product_name")
     return t.select("p_partkey", "product_name", ref.ref_id.alias("ref_id"), ref.ref_option.alias("ref_option"))
+
+
+# ---------------------------------------------------------------- banner TSV (S3)
+
+BANNER_TSV_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+
+
+@check("banner_tsv_roundtrip", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+       o_orderpriority AS report
+FROM orders WHERE o_orderpriority <> '5-LOW'
+""")
+def banner_tsv_roundtrip(spark, d):
+    """S3: orders exported as UTF-16 tab-separated reports, one per priority,
+    with a banner line before the header (the 5-LOW report lacks the banner
+    and must be skipped), then read back by banner and header position."""
+    from orderlake.plans.marketplace import BANNER_C
+    o = table(spark, d, "orders")
+    cols = BANNER_TSV_COLUMNS
+    data = o.select(F.col("o_orderpriority").alias("report"), F.lit(2).alias("__ord"),
+                    F.col("o_orderkey").cast("string").alias("c0"), F.col("o_custkey").cast("string").alias("c1"),
+                    F.col("o_orderstatus").alias("c2"),
+                    F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("c3"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("c4"))
+    reports = o.select(F.col("o_orderpriority").alias("report")).distinct()
+    head = reports.select("report", F.lit(1).alias("__ord"), *[F.lit(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    banner = reports.filter(F.col("report") != "5-LOW").select(
+        "report", F.lit(0).alias("__ord"), F.lit(BANNER_C + "僅供參考】").alias("c0"),
+        *[F.lit("").alias(f"c{i}") for i in range(1, len(cols))])
+    rows = banner.unionByName(head).unionByName(data)
+    path = scratch_path(spark, f"banner-{uuid.uuid4().hex}")
+    (rows.repartition("report").sortWithinPartitions("report", "__ord", "c0").drop("__ord")
+     .write.partitionBy("report").option("sep", "\t").option("encoding", "UTF-16").option("header", "false")
+     .option("emptyValue", "").csv(path))
+    long = files.read_banner_tsv(spark, path, banner=BANNER_C, encoding="UTF-16")
+    wide = files.pivot_banner_rows(long, cols)
+    # the report name is the partition folder of the file
+    report = F.expr("url_decode(regexp_extract(source_path, 'report=([^/]+)/', 1))")
+    return wide.select(*cols, report.alias("report"))

@@ -166,8 +166,8 @@ def marketplace_b(spark: SparkSession, paths_by_source: Mapping[str, str], regis
 # ------------------------------------------------------------------ marketplace C
 
 def _header_table(rows: DataFrame) -> DataFrame:
-    return (rows.select("source_file", "header").distinct()
-            .select(F.col("source_file").alias("file"), F.posexplode("header").alias("position", "header")))
+    return (rows.select("source_path", "header").distinct()
+            .select(F.col("source_path").alias("file"), F.posexplode("header").alias("position", "header")))
 
 
 def _project_matched(rows: DataFrame, matched: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -176,10 +176,10 @@ def _project_matched(rows: DataFrame, matched: DataFrame, names: Sequence[str])
     Cells are exploded to (file, line, position, value), joined to the header
     match (one row per file and position) and pivoted back per line: each
     pivot group is one report line, bounded by its number of columns."""
-    cells = rows.select("source_file", "line_no", F.posexplode("values").alias("position", "value"))
-    m = matched.select(F.col("file").alias("source_file"), "position", "name")
-    j = cells.join(m, ["source_file", "position"])
-    return j.groupBy("source_file", "line_no").pivot("name", list(names)).agg(F.first("value"))
+    cells = rows.select("source_path", "source_file", "line_no", F.posexplode("values").alias("position", "value"))
+    m = matched.select(F.col("file").alias("source_path"), "position", "name")
+    j = cells.join(m, ["source_path", "position"])
+    return j.groupBy("source_path", "source_file", "line_no").pivot("name", list(names)).agg(F.first("value"))
 
 
 def marketplace_c(spark: SparkSession, orders_path: str, returns_path: str, registry: DataFrame,
@@ -196,12 +196,12 @@ def marketplace_c(spark: SparkSession, orders_path: str, returns_path: str, regi
     for df in (o, r):
         df = _clean_all(df, fn.unquote_formula)
         df = quality.require_key(df, "order_sn")
-        df = sq.number_within(df, "order_sn", ["source_file", "line_no"], out="__seq", pad=2)
+        df = sq.number_within(df, "order_sn", ["source_path", "line_no"], out="__seq", pad=2)
         df = df.withColumn("item_seq", F.coalesce(F.when(F.col("item_seq") != "", fn.zero_pad("item_seq", 2)),
                                                   F.col("__seq_text"))).drop("__seq", "__seq_text")
         out.append(df.withColumn("order_id", fn.line_uid("order_sn", "item_seq", sep="-")))
     o, r = out
-    allrows = up.upsert(o, r, "order_id", order=["source_file", "line_no"])
+    allrows = up.upsert(o, r, "order_id", order=["source_path", "line_no"])
     ref = fn.product_ref_from_name("product_name")
     return (allrows.withColumn("order_date", fn.date_from_id_yyyymmdd("order_sn"))
             .withColumn("order_weekday", fn.weekday_sun1("order_date"))

@@ -93,24 +93,24 @@ def read_banner_tsv(spark: SparkSession, path: str, banner: str | None = None,
     (1-based).  With ``banner`` the first line must start with it, else the
     file is skipped.  ``require_headers`` keeps only files whose header
     contains every listed keyword (substring).  Returns long form
-    (source_file, line_no, header array, values array) so files with different
+    (source_path, source_file, line_no, header array, values array) so files with different
     headers stay separate; ``pivot_banner_rows`` turns it into columns."""
     raw = spark.read.format("binaryFile").load(path)
-    lines = raw.select(F.element_at(F.split("path", "/"), -1).alias("source_file"),
+    lines = raw.select(F.col("path").alias("source_path"), F.element_at(F.split("path", "/"), -1).alias("source_file"),
                        F.posexplode(F.split(F.regexp_replace(F.decode("content", encoding), "\r", ""), "\n"))
                        .alias("line_no", "line"))
     lines = lines.withColumn("line", F.regexp_replace("line", "^﻿", ""))
-    first = lines.filter(F.col("line_no") == 0).select("source_file", F.col("line").alias("__first"))
+    first = lines.filter(F.col("line_no") == 0).select("source_path", F.col("line").alias("__first"))
     hdr = lines.filter(F.col("line_no") == header_line - 1).select(
-        "source_file", F.split("line", "\t").alias("header"))
-    ok = hdr.join(first, "source_file")
+        "source_path", F.split("line", "\t").alias("header"))
+    ok = hdr.join(first, "source_path")
     if banner:
         ok = ok.filter(F.col("__first").startswith(banner))
     for kw in require_headers:
         ok = ok.filter(F.exists("header", lambda h: h.contains(kw)))
     body = lines.filter((F.col("line_no") >= header_line) & (F.trim("line") != ""))
-    return body.join(ok.select("source_file", "header"), "source_file") \
-        .select("source_file", "line_no", "header", F.split("line", "\t").alias("values"))
+    return body.join(ok.select("source_path", "header"), "source_path") \
+        .select("source_path", "source_file", "line_no", "header", F.split("line", "\t").alias("values"))
 
 
 def pivot_banner_rows(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -119,7 +119,7 @@ def pivot_banner_rows(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     for c in columns:
         idx = F.array_position(F.col("header"), c)
         sel.append(F.when(idx > 0, F.element_at("values", idx.cast("int"))).alias(c))
-    return rows.select("source_file", "line_no", *sel)
+    return rows.select("source_path", "source_file", "line_no", *sel)
 
 
 def latest_snapshot(files: DataFrame, stem: Column, by: str = "mtime") -> DataFrame:
