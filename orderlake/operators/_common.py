@@ -30,11 +30,14 @@ def null_safe_eq(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Colu
     return cond
 
 
-def sized_broadcast(dim: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
+def sized_broadcast(dim: DataFrame, max_rows: int = 2_000_000, bound_by: DataFrame | None = None) -> DataFrame:
     """Broadcast ``dim`` only when it is proven to hold at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (a bounded action).  Larger
-    dimensions stay un-hinted and the planner picks a shuffle join.
+    The check reads at most ``max_rows + 1`` rows (a bounded action).
+    ``bound_by`` may name a cheaper frame with at least as many rows as
+    ``dim`` (e.g. the raw master before de-duplication), so the check is a
+    plain scan instead of running ``dim``'s own shuffle.  Larger dimensions
+    stay un-hinted and the planner picks a shuffle join.
     """
-    n = dim.limit(max_rows + 1).count()
+    n = (bound_by if bound_by is not None else dim).limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim

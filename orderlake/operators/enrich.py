@@ -26,7 +26,8 @@ def _dim(dim: DataFrame, key: str, cols: Sequence[str], position: str | None,
     d = dim.select(key, *[c for c in cols if c != key], *([position] if position and position not in cols else []))
     d = keep_last(d, key, position) if position else keep_last(d, key, [])
     d = d.filter(F.col(key).isNotNull() & (F.trim(F.col(key).cast("string")) != ""))
-    return sized_broadcast(d, max_rows) if max_rows else d
+    # de-duplication only removes rows: the raw key column bounds the size
+    return sized_broadcast(d, max_rows, bound_by=dim.select(key)) if max_rows else d
 
 
 def overwrite(df: DataFrame, dim: DataFrame, on: str, cols: Sequence[str], dim_key: str | None = None,
@@ -86,7 +87,7 @@ def casefold_join(df: DataFrame, dim: DataFrame, on: str, dim_key: str, cols: Se
     d = dim.select(casefold_key(dim_key).alias("__ck"), position, *cols)
     d = keep_last(d, "__ck", position).filter(F.col("__ck").isNotNull() & (F.col("__ck") != ""))
     d = d.select("__ck", *[F.col(c).alias(prefix + c) for c in cols])
-    d = sized_broadcast(d, max_rows) if max_rows else d
+    d = sized_broadcast(d, max_rows, bound_by=dim.select(dim_key)) if max_rows else d
     return df.join(d, casefold_key(on) == d["__ck"], "left").drop("__ck")
 
 
@@ -110,7 +111,7 @@ def lookup_multi(df: DataFrame, dim: DataFrame, dim_key: str, key_cols: Sequence
     """Try ``key_cols`` in order; the first whose cleaned value exists in
     the master wins (``out`` = that master key, NULL if none)."""
     keys = dim.select(clean_code(dim_key).alias("__k")).filter(F.col("__k").isNotNull()).distinct()
-    keys = sized_broadcast(keys, max_rows) if max_rows else keys
+    keys = sized_broadcast(keys, max_rows, bound_by=dim.select(dim_key)) if max_rows else keys
     j = df
     hits = []
     for i, c in enumerate(key_cols):
