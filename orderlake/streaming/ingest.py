@@ -35,11 +35,40 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def _latest_epoch_paths(spark: SparkSession, target: str, buckets: set[int] | None = None) -> list[str]:
+    """Newest ``epoch=`` folder of every (or every listed) bucket, from the
+    folder listing alone — no data file is opened."""
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(target)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    out = []
+    for b in fs.listStatus(root):
+        name = b.getPath().getName()
+        if not (b.isDirectory() and name.startswith("bucket=")):
+            continue
+        if buckets is not None and int(name.split("=", 1)[1]) not in buckets:
+            continue
+        epochs = [(int(e.getPath().getName().split("=", 1)[1]), e.getPath().toString())
+                  for e in fs.listStatus(b.getPath())
+                  if e.isDirectory() and e.getPath().getName().startswith("epoch=")]
+        if epochs:
+            out.append(max(epochs)[1])
+    return out
+
+
+def _read_epochs(spark: SparkSession, target: str, paths: list[str], keep_bucket: bool) -> DataFrame | None:
+    if not paths:
+        return None
+    df = spark.read.option("basePath", target).parquet(*paths).drop("epoch")
+    return df if keep_bucket else df.drop("bucket")
+
+
 def current_table(spark: SparkSession, path: str) -> DataFrame:
-    """Newest epoch of every bucket (the current table), without the layout columns."""
-    df = spark.read.parquet(path)
-    latest = df.groupBy("bucket").agg(F.max("epoch").alias("epoch"))   # ≤ one row per bucket
-    return df.join(F.broadcast(latest), ["bucket", "epoch"], "left_semi").drop("bucket", "epoch")
+    """Newest epoch of every bucket (the current table), without the layout
+    columns.  Only the newest epoch folders are read."""
+    return _read_epochs(spark, path, _latest_epoch_paths(spark, path), keep_bucket=False)
 
 
 def upsert_batch(batch: DataFrame, epoch: int, target: str, keys, ts: str | None = None,
@@ -50,23 +79,16 @@ def upsert_batch(batch: DataFrame, epoch: int, target: str, keys, ts: str | None
     new = batch.withColumn("bucket", _bucket(keys, buckets))
     spec = ([(ts, False)] if ts else []) + [(c, False) for c in as_list(order)]
     new = keep_best(new, keys, spec, tiebreak_ascending=False)
-    if _exists(spark, target):
-        touched = new.select("bucket").distinct()
-        old = current_table_with_bucket(spark, target).join(F.broadcast(touched), "bucket", "left_semi")
-        merged = upsert(old, new, keys, order=order, ts=ts)
-    else:
-        merged = new
+    # touched buckets: at most ``buckets`` values, so collecting them is bounded
+    touched = {r[0] for r in new.select("bucket").distinct().collect()}
+    old = _read_epochs(spark, target, _latest_epoch_paths(spark, target, touched), keep_bucket=True) \
+        if _exists(spark, target) else None
+    merged = upsert(old, new, keys, order=order, ts=ts) if old is not None else new
     (merged.withColumn("epoch", F.lit(int(epoch)))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("bucket", "epoch").parquet(target))
 
 
-def current_table_with_bucket(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.parquet(path)
-    latest = df.groupBy("bucket").agg(F.max("epoch").alias("epoch"))
-    return df.join(F.broadcast(latest), ["bucket", "epoch"], "left_semi").drop("epoch")
-
-
 def ingest_stream(spark: SparkSession, source: str, schema: T.StructType, target: str,
                   checkpoint: str, keys, ts: str | None = None, order=None,
                   clean: Callable[[DataFrame], DataFrame] | None = None, fmt: str = "parquet",
