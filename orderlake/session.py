@@ -45,7 +45,7 @@ def _export_package_path() -> None:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "orderlake") -> SparkSession:
+                  app: str = "orderlake", extra_conf: dict | None = None) -> SparkSession:
     _export_package_path()
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -57,7 +57,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.executorEnv.PYTHONPATH", os.environ["PYTHONPATH"])
     )
-    for k, v in SESSION_DEFAULTS.items():
+    for k, v in {**SESSION_DEFAULTS, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

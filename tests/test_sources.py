@@ -125,3 +125,25 @@ def test_stream_fold_is_idempotent(spark, tmp_dir):
     assert compact_epochs(spark, target) > 0
     after = sorted(tuple(r) for r in current_table(spark, target).select("k", "v").collect())
     assert after == first
+
+
+def test_write_modes_and_archive_layout(spark, tmp_dir):
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([("sales", "2025", "07", "o1", "1"), ("ship", "2025", "08", "o2", "x")],
+                               "report_type string, year string, month string, order_sn string, qty string")
+    schema = T.StructType([T.StructField("report_type", T.StringType()), T.StructField("year", T.StringType()),
+                           T.StructField("month", T.StringType()), T.StructField("order_sn", T.StringType()),
+                           T.StructField("qty", T.LongType()), T.StructField("note", T.StringType())])
+    path = f"{tmp_dir}/archive"
+    assert sinks.write_table(df.withColumn("qty", F.col("qty").try_cast("bigint")), path, mode="empty", schema=schema,
+                             partition_by=["report_type", "year", "month"]).first()[0] == 2
+    assert os.path.isdir(f"{path}/report_type=ship/year=2025/month=08")
+    try:
+        sinks.write_table(df, path, mode="empty")
+        raise AssertionError("EMPTY mode must refuse an existing table")
+    except Exception as e:  # noqa: BLE001
+        assert "already exists" in str(e) or "PATH_ALREADY_EXISTS" in str(e)
+    assert sinks.write_table(df.withColumn("qty", F.lit(1).cast("bigint")), path, mode="append", schema=schema,
+                             partition_by=["report_type", "year", "month"]).first()[0] == 4
+    back = spark.read.parquet(path)
+    assert back.filter("note is null").count() == 4 and dict(back.dtypes)["qty"] == "bigint"
