@@ -32,6 +32,12 @@ from orderlake.session import scratch_path
 
 BreakFn = Callable[[pd.DataFrame, pd.DataFrame], np.ndarray]
 
+# Range bounds come from ~100 sampled sort keys per output partition, collected
+# on the driver; the scan's key is every column, so its partition count is
+# capped (override with ``partitions``).  At 100 TB the cap means ~3 GB range
+# partitions, which the sort spills as needed.
+MAX_SCAN_PARTITIONS = 32768
+
 _EXTRA = [("_pid", T.IntegerType()), ("_row", T.LongType()), ("_run", T.LongType()),
           ("_rn", T.LongType())]
 
@@ -98,7 +104,7 @@ def segmented_number(df: DataFrame, sort: Sequence[tuple[str, bool]], break_cols
     starts.  Returns ``df`` plus a BIGINT column ``out``.
     """
     spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_SCAN_PARTITIONS)
     break_cols = list(break_cols)
     named = [c for c, _ in sort]
     order = [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in sort]
