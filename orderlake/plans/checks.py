@@ -1388,3 +1388,36 @@ def banner_tsv_roundtrip(spark, d):
     # the report name is the partition folder of the file
     report = F.expr("url_decode(regexp_extract(source_path, 'report=([^/]+)/', 1))")
     return wide.select(*cols, report.alias("report"))
+
+
+# Fixed test values: return-report headers (two carry the required keywords).
+RETURN_TSV_HEADERS = ["訂單編號", "退貨申請日", "審核通過日", "訂單狀態"]
+
+
+@check("return_tsv_roundtrip", """
+SELECT CAST(o_orderkey AS VARCHAR) AS "訂單編號", strftime(o_orderdate, '%Y-%m-%d') AS "退貨申請日",
+       strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d') AS "審核通過日", o_orderstatus AS "訂單狀態"
+FROM orders WHERE o_orderstatus <> 'O'
+""")
+def return_tsv_roundtrip(spark, d):
+    """UTF-16 TSV reports with the header on the first line; a report is
+    kept only if its headers contain both the return-request and the approval
+    keyword (the 'O' status report uses other headers and is skipped)."""
+    from orderlake.plans.marketplace import RETURN_HEADERS_C
+    o = table(spark, d, "orders")
+    data = o.select(F.col("o_orderstatus").alias("report"), F.lit(1).alias("__ord"),
+                    F.col("o_orderkey").cast("string").alias("c0"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("c1"),
+                    F.date_format(F.date_add(F.to_date("o_orderdate"), 1), "yyyy-MM-dd").alias("c2"),
+                    F.col("o_orderstatus").alias("c3"))
+    reports = o.select(F.col("o_orderstatus").alias("report")).distinct()
+    plain = ["訂單編號", "建立日", "更新日", "訂單狀態"]            # no return keywords
+    head = reports.select("report", F.lit(0).alias("__ord"), *[
+        F.when(F.col("report") == "O", F.lit(p)).otherwise(F.lit(h)).alias(f"c{i}")
+        for i, (h, p) in enumerate(zip(RETURN_TSV_HEADERS, plain))])
+    path = scratch_path(spark, f"returns-{uuid.uuid4().hex}")
+    (head.unionByName(data).repartition("report").sortWithinPartitions("report", "__ord", "c0").drop("__ord")
+     .write.partitionBy("report").option("sep", "\t").option("encoding", "UTF-16").option("header", "false")
+     .csv(path))
+    long = files.read_banner_tsv(spark, path, header_line=1, encoding="UTF-16", require_headers=RETURN_HEADERS_C)
+    return files.pivot_banner_rows(long, RETURN_TSV_HEADERS).select(*RETURN_TSV_HEADERS)
