@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlake.functions.text import NULL_TOKENS
 
@@ -61,11 +62,19 @@ def detect_encoding(spark: SparkSession, paths: DataFrame | None = None, path: s
     return files_df.select("path", choice.otherwise(F.lit(encodings[0])).alias("encoding"))
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_orders(spark: SparkSession, paths_by_encoding: Mapping[str, Sequence[str]],
                 sep: str = ",", null_tokens: Sequence[str] | None = None,
-                keep_blank: bool = True) -> DataFrame:
+                keep_blank: bool = True, columns: Sequence[str] | None = None) -> DataFrame:
     """One all-string CSV read per encoding group, unioned by name
-    (missing columns NULL) with file provenance columns."""
+    (missing columns NULL) with file provenance columns.
+
+    With ``columns`` (the report's header names, in file order) the read uses
+    that all-string schema plus ``_corrupt_record``: malformed lines are kept
+    (PERMISSIVE) and flagged instead of silently misparsed — see
+    ``quarantine``."""
     out = None
     for enc, paths in paths_by_encoding.items():
         if not paths:
@@ -73,6 +82,10 @@ def read_orders(spark: SparkSession, paths_by_encoding: Mapping[str, Sequence[st
         r = (spark.read.option("header", "true").option("inferSchema", "false")
              .option("sep", sep).option("encoding", enc).option("multiLine", "true")
              .option("mode", "PERMISSIVE"))
+        if columns is not None:
+            schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
+                                  + [T.StructField(CORRUPT, T.StringType())])
+            r = r.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
         if keep_blank:
             r = r.option("emptyValue", "")
         df = _with_provenance(r.csv(list(paths)), enc)
@@ -86,6 +99,16 @@ def read_orders(spark: SparkSession, paths_by_encoding: Mapping[str, Sequence[st
     return out
 
 
+def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split a ``read_orders(columns=…)`` result into (good rows, bad rows);
+    bad rows keep their raw line and file provenance for the report."""
+    if CORRUPT not in df.columns:
+        return df, df.limit(0)
+    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    bad = df.filter(F.col(CORRUPT).isNotNull())
+    return good, bad
+
+
 def read_banner_tsv(spark: SparkSession, path: str, banner: str | None = None,
                     encoding: str = "UTF-16", header_line: int = 2,
                     require_headers: Sequence[str] = ()) -> DataFrame:

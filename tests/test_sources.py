@@ -147,3 +147,12 @@ def test_write_modes_and_archive_layout(spark, tmp_dir):
                              partition_by=["report_type", "year", "month"]).first()[0] == 4
     back = spark.read.parquet(path)
     assert back.filter("note is null").count() == 4 and dict(back.dtypes)["qty"] == "bigint"
+
+
+def test_read_orders_quarantines_malformed_lines(spark, tmp_dir):
+    write(f"{tmp_dir}/q/a.csv", "訂單編號,數量\nA1,2\nA2,3,extra,fields\nA3,4\n".encode())
+    df = files.read_orders(spark, {"UTF-8": [f"{tmp_dir}/q/a.csv"]}, columns=["訂單編號", "數量"])
+    good, bad = files.quarantine(df.cache())
+    assert sorted(r["訂單編號"] for r in good.collect()) == ["A1", "A3"]
+    b = bad.collect()
+    assert len(b) == 1 and b[0]["_corrupt_record"].startswith("A2,3,extra") and b[0]["source_file"] == "a.csv"
