@@ -109,16 +109,37 @@ def attach_single(df: DataFrame, dim: DataFrame, where: Column, cols: Sequence[s
 def lookup_multi(df: DataFrame, dim: DataFrame, dim_key: str, key_cols: Sequence[str],
                  out: str = "matched_key", max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Try ``key_cols`` in order; the first whose cleaned value exists in
-    the master wins (``out`` = that master key, NULL if none)."""
+    the master wins (``out`` = that master key, NULL if none).
+
+    With a master key set proven small enough to broadcast, each column is a
+    broadcast lookup (no shuffle of the fact table).  Otherwise the distinct
+    code tuples are exploded with their priority, equi-joined once with the
+    keys, reduced to the first hit per tuple, and joined back to the facts in
+    a single (null-safe) shuffle join.
+    """
     keys = dim.select(clean_code(dim_key).alias("__k")).filter(F.col("__k").isNotNull()).distinct()
-    keys = sized_broadcast(keys, max_rows, bound_by=dim.select(dim_key)) if max_rows else keys
-    j = df
-    hits = []
-    for i, c in enumerate(key_cols):
-        kk = keys.select(F.col("__k").alias(f"__k{i}"))
-        j = j.join(kk, clean_code(c) == kk[f"__k{i}"], "left")
-        hits.append(F.col(f"__k{i}"))
-    return j.withColumn(out, F.coalesce(*hits)).drop(*[f"__k{i}" for i in range(len(key_cols))])
+    small = bool(max_rows) and dim.select(dim_key).limit(max_rows + 1).count() <= max_rows
+    cleaned = [clean_code(c) for c in key_cols]
+    if small:
+        keys = F.broadcast(keys)
+        j = df
+        for i, c in enumerate(cleaned):
+            kk = keys.select(F.col("__k").alias(f"__k{i}"))
+            j = j.join(kk, c == kk[f"__k{i}"], "left")
+        return j.withColumn(out, F.coalesce(*[F.col(f"__k{i}") for i in range(len(key_cols))])) \
+            .drop(*[f"__k{i}" for i in range(len(key_cols))])
+    t = [f"__t{i}" for i in range(len(key_cols))]
+    tuples = df.select(*[c.alias(n) for c, n in zip(cleaned, t)]).distinct()
+    cand = tuples.select(*t, F.explode(F.array(*[F.struct(F.lit(i).alias("p"), F.col(n).alias("c"))
+                                                 for i, n in enumerate(t)])).alias("e")) \
+        .select(*t, "e.p", "e.c").filter(F.col("c").isNotNull())
+    hit = cand.join(keys, cand["c"] == keys["__k"]).groupBy(*t).agg(F.min_by("c", "p").alias(out))
+    j = df.select("*", *[c.alias(n) for c, n in zip(cleaned, t)])
+    cond = None
+    for n in t:
+        c = j[n].eqNullSafe(hit[n])
+        cond = c if cond is None else cond & c
+    return j.join(hit, cond, "left").drop(*[j[n] for n in t]).drop(*t)
 
 
 # ------------------------------------------------------- cascading lookup J8/J9

@@ -337,3 +337,16 @@ def test_schema_helpers():
     assert cf.schema_for(reg) == T.StructType([T.StructField("a", T.DecimalType(18, 2)),
                                                T.StructField("b", T.TimestampNTZType()),
                                                T.StructField("c", T.StringType())])
+
+
+def test_lookup_multi_shuffle_path_matches_broadcast_path(spark):
+    master = spark.createDataFrame([(f"{i:05d}",) for i in range(0, 300, 3)], "k string")
+    fact = spark.range(0, 400).select(
+        F.lpad((F.col("id") * 7 % 311).cast("string"), 5, "0").alias("a"),
+        F.when(F.col("id") % 4 == 0, F.lit(None)).otherwise(F.lpad((F.col("id") % 300).cast("string"), 5, "0")).alias("b"),
+        F.concat(F.lpad((F.col("id") % 150).cast("string"), 5, "0"), F.lit(".0")).alias("c"), "id")
+    small = enrich.lookup_multi(fact, master, "k", ["a", "b", "c"], out="m")
+    large = enrich.lookup_multi(fact, master, "k", ["a", "b", "c"], out="m", max_rows=10)   # forces the shuffle path
+    assert small.columns == large.columns
+    assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
+    assert small.filter("m is not null").count() > 0
