@@ -146,7 +146,8 @@ def _window_order(df: DataFrame, spec: list[tuple[str, bool]], group: list[str])
 
 
 def number_within(df: DataFrame, group, order, out: str = "seq", pad: int | None = None,
-                  partitions: int | None = None, method: str = "scan") -> DataFrame:
+                  partitions: int | None = None, method: str = "scan",
+                  max_group_rows: int = 1_000_000) -> DataFrame:
     """1-based position of each row inside its group under ``order``.
 
     ``order`` is a list of column names (ascending) or ``(name, ascending)``
@@ -157,9 +158,14 @@ def number_within(df: DataFrame, group, order, out: str = "seq", pad: int | None
     ``method='window'`` is one ``row_number`` window — one shuffle and no
     written intermediate, but each group is processed by one task: use it only
     where group sizes are known to be bounded (e.g. lines per order).
+    ``method='auto'`` measures the largest group (a map-side-combined count)
+    and takes the window plan only when it holds at most ``max_group_rows``.
     """
     group = as_list(group)
     spec = [(g, True) for g in group] + [o if isinstance(o, tuple) else (o, True) for o in as_list(order)]
+    if method == "auto":
+        biggest = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0] or 0
+        method = "window" if biggest <= max_group_rows else "scan"
     if method == "window":
         w = Window.partitionBy(*group).orderBy(*_window_order(df, spec, group))
         res = df.withColumn(out, F.row_number().over(w).cast("bigint"))

@@ -350,3 +350,11 @@ def test_lookup_multi_shuffle_path_matches_broadcast_path(spark):
     assert small.columns == large.columns
     assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
     assert small.filter("m is not null").count() > 0
+
+
+def test_number_within_auto_picks_a_plan(spark):
+    df = spark.range(0, 500).select((F.col("id") % 5).alias("g"), "id")
+    ref = sq.number_within(df, "g", ["id"], method="window")
+    for limit in (10, 1_000):                       # 10 -> scan, 1000 -> window
+        got = sq.number_within(df, "g", ["id"], method="auto", max_group_rows=limit, partitions=3)
+        assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
