@@ -358,3 +358,18 @@ def test_number_within_auto_picks_a_plan(spark):
     for limit in (10, 1_000):                       # 10 -> scan, 1000 -> window
         got = sq.number_within(df, "g", ["id"], method="auto", max_group_rows=limit, partitions=3)
         assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+def test_apply_settings_respects_explicit_conf(spark):
+    from orderlake.session import apply_settings, scale_settings
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    explicit = dict(spark.sparkContext.getConf().getAll())
+    s = scale_settings(1 << 30, 8)
+    apply_settings(spark, {"spark.sql.shuffle.partitions": s["spark.sql.shuffle.partitions"],
+                           "spark.sql.adaptive.advisoryPartitionSizeInBytes": s["spark.sql.adaptive.advisoryPartitionSizeInBytes"]})
+    try:
+        if "spark.sql.shuffle.partitions" in explicit:           # set by the session builder: untouched
+            assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(256 << 20)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
