@@ -373,3 +373,4 @@ def test_apply_settings_respects_explicit_conf(spark):
         assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(256 << 20)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
