@@ -71,3 +71,10 @@ def ranked(df: DataFrame, order: Sequence[str], name: str, group: Sequence[str]
     out = local.join(offsets, cond, "left")
     return out.select(*df.columns, (F.col("_off") + F.col("_r")).alias("_row"),
                       *[(F.col(f"_off_{c}") + F.col(f"_s_{c}")).alias(f"_before_{c}") for c in sums])
+
+
+def opened(uri: str):
+    """(file system, path) of a folder or file in the shared store; tasks write
+    real files there (``file:``, ``hdfs:``, ``s3:`` and whatever else Arrow opens)."""
+    from pyarrow import fs
+    return fs.FileSystem.from_uri(uri)

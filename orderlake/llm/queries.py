@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, sharding
+from . import exact_dedup, sharding, urlfilter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,16 +17,37 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_read(spark, sf_dir, "documents"), shards=24)
 
 
+def op2_url_lm_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by rules, else by the language-model ratio."""
+    return urlfilter.judge_urls(_read(spark, sf_dir, "pages"))
+
+
+def op4_warc_seekable_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as seekable Zstandard WARC bundles and read back."""
+    return warc.archive_round_trip(_read(spark, sf_dir, "pages"), min_bytes=0)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact dedup of all documents by content without white space."""
     return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op7_exact_dedup": op7_exact_dedup}
+QUERIES = {"op1_sharding": op1_sharding, "op2_url_lm_ratio": op2_url_lm_ratio,
+           "op4_warc_seekable_zstd": op4_warc_seekable_zstd, "op7_exact_dedup": op7_exact_dedup}
 
 _STRIPPED = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')"
 
+_HTML = "coalesce(html, '')"
+_BASE32 = """array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(digest, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)), '')"""
+
 ORACLES = {
+    "op4_warc_seekable_zstd": f"""
+        WITH t AS (SELECT page_id, strlen({_HTML}) AS payload_bytes, sha1({_HTML}) AS digest,
+                          max(page_id) OVER (PARTITION BY {_HTML}) AS head FROM pages)
+        SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+               CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> head THEN head END AS refers_to FROM t""",
     "op7_exact_dedup": f"""
         WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS points, {_STRIPPED} AS body FROM documents),
              w AS (SELECT doc_id, body,
