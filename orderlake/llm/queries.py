@@ -38,7 +38,7 @@ QUERIES = {"op1_sharding": op1_sharding, "op2_url_lm_ratio": op2_url_lm_ratio,
 _STRIPPED = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')"
 
 _HTML = "coalesce(html, '')"
-_BASE32 = """array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+_BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + ((('0x' || substr(digest, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)), '')"""
 
 ORACLES = {
