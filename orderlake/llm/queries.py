@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, sharding, urlfilter, warc
+from . import exact_dedup, langid, minhash, sharding, urlfilter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,8 +32,19 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents"))
 
 
+def op8_language_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by bit-sliced Bloom filters of n-grams."""
+    return langid.identify(_read(spark, sf_dir, "documents"))
+
+
+def op9_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: three-word shingles, 0.85."""
+    return minhash.near_duplicates(_read(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 QUERIES = {"op1_sharding": op1_sharding, "op2_url_lm_ratio": op2_url_lm_ratio,
-           "op4_warc_seekable_zstd": op4_warc_seekable_zstd, "op7_exact_dedup": op7_exact_dedup}
+           "op4_warc_seekable_zstd": op4_warc_seekable_zstd, "op7_exact_dedup": op7_exact_dedup,
+           "op8_language_bloom": op8_language_bloom, "op9_minhash_components": op9_minhash_components}
 
 _STRIPPED = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')"
 
