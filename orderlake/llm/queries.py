@@ -4,8 +4,9 @@ and their DuckDB SQL where SQL can express them."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, minhash, sharding, urlfilter, warc
+from . import exact_dedup, langid, minhash, packing, sharding, token_files, urlfilter, vptree, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,11 +23,31 @@ def op2_url_lm_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(_read(spark, sf_dir, "pages"))
 
 
+def op3_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into batches inside optimal length buckets."""
+    return packing.pack(_read(spark, sf_dir, "documents"))
+
+
 def op4_warc_seekable_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as seekable Zstandard WARC bundles and read back."""
     return warc.archive_round_trip(_read(spark, sf_dir, "pages"), min_bytes=0)
 
 
+def op5_vantage_point_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest of all vectors for each vec_id divisible by 100; exact (factor 1)."""
+    rows = _read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vec"))
+    queries = rows.filter("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id")
+    return vptree.nearest(rows, queries, k=10, factor=1.0)
+
+
+def op6_ranked_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as files of frequency-ranked token ids, read back."""
+    import public_tokenizers
+
+    return token_files.token_round_trip(_read(spark, sf_dir, "documents"),
+                                        public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact dedup of all documents by content without white space."""
     return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents"))
@@ -43,7 +64,9 @@ def op9_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_sharding": op1_sharding, "op2_url_lm_ratio": op2_url_lm_ratio,
-           "op4_warc_seekable_zstd": op4_warc_seekable_zstd, "op7_exact_dedup": op7_exact_dedup,
+           "op3_length_buckets": op3_length_buckets, "op4_warc_seekable_zstd": op4_warc_seekable_zstd,
+           "op5_vantage_point_trees": op5_vantage_point_trees,
+           "op6_ranked_token_files": op6_ranked_token_files, "op7_exact_dedup": op7_exact_dedup,
            "op8_language_bloom": op8_language_bloom, "op9_minhash_components": op9_minhash_components}
 
 _STRIPPED = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')"
@@ -59,6 +82,14 @@ ORACLES = {
         SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
                CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> head THEN head END AS refers_to FROM t""",
+    "op5_vantage_point_trees": """
+        WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                     AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+             p AS (SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+                   FROM e q JOIN e c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
+             r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM p)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
     "op7_exact_dedup": f"""
         WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS points, {_STRIPPED} AS body FROM documents),
              w AS (SELECT doc_id, body,
