@@ -94,9 +94,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, columns as they were."""
-    kept = exact_dedup(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("_keep"), F.unhex("text_sha256").alias("_sha"))
+    judged = stored(exact_dedup(docs, id_col, text_col).select(
+        F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha"), "kept"), "exact-judged")
+    pairs = judged.groupBy("_id", "_sha").agg(F.max("kept").alias("_some"), F.min("kept").alias("_all"))
+    gone = stored(pairs.filter("NOT _all"), "exact-gone")
     marked = docs.withColumn("_own", F.unhex(F.sha2(utf8(normalised(F.col(text_col))), 256)))
-    same = marked.join(kept, F.col(id_col).eqNullSafe(F.col("_keep")) & (F.col("_own") == F.col("_sha")), "left_semi")
-    once = Window.partitionBy(id_col, "_own").orderBy(F.desc(F.length(F.coalesce(F.col(text_col), F.lit("")))))
-    return same.withColumn("_one", F.row_number().over(once)).filter("_one = 1").drop("_one", "_own")
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha"))
+    left = marked.join(sized_broadcast(gone, MAX_HASHES), same, "left_anti")
+    repeated = gone.filter("_some")                  # rows that share id and text with the kept one
+    if not repeated.isEmpty():
+        once = Window.partitionBy(id_col, "_own").orderBy(F.desc(F.length(F.coalesce(F.col(text_col), F.lit("")))))
+        first = marked.join(sized_broadcast(repeated, MAX_HASHES), same, "left_semi").withColumn(
+            "_one", F.row_number().over(once)).filter("_one = 1").drop("_one")
+        left = left.unionByName(first)
+    return left.drop("_own")

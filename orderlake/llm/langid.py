@@ -13,8 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import utf8
 
@@ -24,6 +26,8 @@ SHARE, LEAST = 0.3, 2       # an n-gram joins a language at this share of its be
 SLICE = 1 << 19             # characters that are worked on at once
 MAX_LANGS = 62
 UNKNOWN = "und"
+#: Share of n-grams that a kept document's language must explain.
+LEAST_KNOWN = 0.3
 #: Training documents per language, chosen by a hash of the id: the documented bound of the fit.
 TRAIN_DOCS = 3000
 
@@ -190,15 +194,17 @@ def predict(spark: SparkSession, docs: DataFrame, model: Filter, keep: list[str]
     """``keep`` columns of every row with lang_pred, score and known, from the text alone."""
     shared = spark.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = shared.value.predict(batch.pop("_text").tolist())
-            yield pd.concat([batch.reset_index(drop=True), got], axis=1)
+            got = shared.value.predict(batch.column("_text").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(got.lang_pred, pa.string()), pa.array(got.score), pa.array(got.known)],
+                names=[*batch.schema.names[:-1], "lang_pred", "score", "known"])
 
     rows = docs.select(*keep, F.col("text").alias("_text"))
-    schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-                       + ["lang_pred string", "score double", "known double"])
-    return rows.mapInPandas(run, schema)
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType()), T.StructField("known", T.DoubleType())])
+    return rows.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -211,3 +217,18 @@ def identify(docs: DataFrame) -> DataFrame:
     """
     out = predict(docs.sparkSession, docs, fit(docs))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "known")
+
+
+def keep_known(docs: DataFrame, least_known: float = LEAST_KNOWN) -> DataFrame:
+    """``docs`` without the documents that no learned language explains: those
+    without a letter, and those of whose n-grams less than ``least_known`` are
+    the best language's.  Columns stay as they were; where nothing can be
+    learned, nothing is rejected."""
+    model = fit(docs)
+    if not model.langs:
+        return docs
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])        # names may clash with the result's
+    judged = predict(docs.sparkSession, plain.withColumn("text", F.col(f"c{docs.columns.index('text')}")), model,
+                     plain.columns)
+    kept = judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("known") >= least_known))
+    return kept.select(*plain.columns).toDF(*docs.columns)

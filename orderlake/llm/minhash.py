@@ -304,4 +304,5 @@ def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
     """``docs`` with one document of each component, columns as they were (all
     rows that share the kept doc_id stay)."""
     gone = near_duplicates(docs, words, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
+    gone = sized_broadcast(stored(gone, "minhash-gone"), MAX_ENDS)
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, minhash, packing, sharding, token_files, urlfilter, vptree, warc
+from . import exact_dedup, langid, minhash, packing, sharding, sp_codec, token_files, urlfilter, vptree, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -63,11 +63,19 @@ def op9_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op10_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to SentencePiece ids and decoded again."""
+    import public_tokenizers
+
+    return sp_codec.codec_round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {"op1_sharding": op1_sharding, "op2_url_lm_ratio": op2_url_lm_ratio,
            "op3_length_buckets": op3_length_buckets, "op4_warc_seekable_zstd": op4_warc_seekable_zstd,
            "op5_vantage_point_trees": op5_vantage_point_trees,
            "op6_ranked_token_files": op6_ranked_token_files, "op7_exact_dedup": op7_exact_dedup,
-           "op8_language_bloom": op8_language_bloom, "op9_minhash_components": op9_minhash_components}
+           "op8_language_bloom": op8_language_bloom, "op9_minhash_components": op9_minhash_components,
+           "op10_suffix_array_pieces": op10_suffix_array_pieces}
 
 _STRIPPED = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')"
 
