@@ -120,18 +120,25 @@ def test_near_duplicates_large_group_in_cells(make_docs, monkeypatch):
     assert sorted(map(tuple, out.collect())) == _near(rows, 3, 85)
 
 
-def test_cells_find_all_close_pairs():
-    import numpy as np
+def test_cells_join_components_once(monkeypatch):
     import pandas as pd
-    rng = np.random.default_rng(4)
-    sig = rng.integers(0, 1 << 16, (40, minhash.HASHES)).astype(np.uint16)
-    sig[1], sig[30] = sig[0], sig[5]
-    cell = pd.DataFrame({"lo": 0, "hi": 1, "block": [0] * 20 + [1] * 20, "node": range(40), "label": range(40),
-                         "n_shingles": 50, "sig": [x.tobytes() for x in sig]})
-    assert minhash._cells(85)(cell).to_numpy().tolist() == [[30, 5]]
-    own = cell[cell.block == 0].assign(hi=0)
-    assert minhash._cells(85)(own).to_numpy().tolist() == [[1, 0]]
-    assert len(minhash._cells(85)(own.assign(label=1))) == 0
+    monkeypatch.setattr(minhash, "COLUMNS", 3)
+    texts = ["a b c d", "a b c d e", "x y z", "x y z w", "a b c d", "q"]
+    cell = pd.DataFrame({"lo": 0, "hi": 1, "block": [0, 1, 0, 1, 1, 0], "node": range(6), "label": range(6), "text": texts})
+    cross = minhash._cells(3, 50)
+    assert cross(cell).to_numpy().tolist() == [[0, 1], [0, 4], [2, 3]]
+    assert len(cross(cell.assign(label=[0, 0, 2, 2, 0, 5]))) == 0
+    within = cell.assign(hi=0, block=0)
+    assert cross(within).to_numpy().tolist() == [[0, 1], [0, 4], [2, 3]]
+
+
+def test_shared_counts():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40)).astype(np.uint64)) for _ in range(30)]
+    want = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    assert (minhash._shared(sets, None) == want)[~np.eye(30, dtype=bool)].all()
+    assert (minhash._shared(sets[:10], sets[10:]) == want[:10, 10:]).all()
 
 
 def test_near_duplicates_empty_and_repeated(spark, make_docs):
