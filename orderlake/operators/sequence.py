@@ -2,18 +2,19 @@
 
 A plain ``row_number() over (partition by g order by …)`` sends a whole group
 to one task; with one group holding a third of the table that task never
-finishes.  These operators run a *segmented scan* instead:
+finishes.  These operators run a *segmented scan* instead, on built-in
+functions only:
 
 1. range-partition on (group, order, every other column) — a total order, so a
-   hot group is spread over many partitions and numbering is deterministic;
-2. one vectorized pandas pass per partition (``mapInPandas``) finds segment
-   breaks and numbers rows locally, carrying state across Arrow batches;
-3. the scan output is written to the shared checkpoint folder (lineage cut,
-   survives executor loss), and a table of one row per partition — first row,
-   last row, local run count — is aggregated from it;
-4. the driver walks those P rows (P = number of partitions, a fixed bound) to
-   get the carry-over of each partition's first segment, and a broadcast join
-   on the partition id adds it.
+   hot group is spread over many partitions and numbering is deterministic —
+   and tag each row with its partition and its place there; the tagged table is
+   written to the shared checkpoint folder (lineage cut, survives executor loss);
+2. ``lag`` inside each range partition gives the row before; the first row of a
+   partition gets the last row of the partition before it from a table of one
+   row per partition;
+3. a running maximum of the break positions numbers the rows inside a partition;
+4. windows over one row per partition carry the open segment's length across
+   partitions, and a broadcast join on the partition number adds it.
 """
 
 from __future__ import annotations
@@ -21,128 +22,77 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from orderlake.operators._common import as_list, orderable
 from orderlake.session import scratch_path
 
-BreakFn = Callable[[pd.DataFrame, pd.DataFrame], np.ndarray]
+#: (row before, row) as struct columns -> whether a new segment starts.
+BreakRule = Callable[[Column, Column], Column]
 
-# Range bounds come from ~100 sampled sort keys per output partition, collected
-# on the driver; the scan's key is every column, so its partition count is
-# capped (override with ``partitions``).  At 100 TB the cap means ~3 GB range
-# partitions, which the sort spills as needed.
-MAX_SCAN_PARTITIONS = 32768
+_IN_PARTITION = (1 << 33) - 1        # monotonically_increasing_id: partition above, place below
 
-_EXTRA = [("_pid", T.IntegerType()), ("_row", T.LongType()), ("_run", T.LongType()),
-          ("_rn", T.LongType())]
 
+def _c(name: str) -> Column:
+    return F.col(f"`{name}`")
 
-def _same(p: pd.Series, q: pd.Series) -> np.ndarray:
-    """Element-wise equality of two aligned series, NULL equal to NULL."""
-    p = p.reset_index(drop=True)
-    q = q.reset_index(drop=True)
-    pn, qn = p.isna().to_numpy(), q.isna().to_numpy()
-    eq = p.eq(q).to_numpy(dtype=bool)
-    return (eq & ~pn & ~qn) | (pn & qn)
 
-
-def group_change(cols: Sequence[str]) -> BreakFn:
-    """Break whenever any of ``cols`` differs from the previous row (NULL = NULL)."""
-    cols = list(cols)
-
-    def f(prev: pd.DataFrame, cur: pd.DataFrame) -> np.ndarray:
-        out = np.zeros(len(cur), dtype=bool)
+def group_change(cols: Sequence[str]) -> BreakRule:
+    """Break whenever any of ``cols`` differs from the row before (NULL = NULL)."""
+    def rule(prev: Column, cur: Column) -> Column:
+        out = F.lit(False)
         for c in cols:
-            out |= ~_same(prev[c], cur[c])
+            out = out | ~prev.getField(c).eqNullSafe(cur.getField(c))
         return out
-    return f
-
-
-def _scan_fn(break_cols: list[str], breaks: BreakFn):
-    def scan(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        prev_last = None
-        row0 = run = carry = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            cur = pdf[break_cols].reset_index(drop=True)
-            if prev_last is None:
-                b = np.asarray(breaks(cur.shift(1), cur), dtype=bool)
-                b[0] = True
-            else:
-                prev = pd.concat([prev_last, cur.iloc[:-1]], ignore_index=True)
-                b = np.asarray(breaks(prev, cur), dtype=bool)
-            idx = np.arange(n)
-            start = np.maximum.accumulate(np.where(b, idx, -1))
-            rn = np.where(start >= 0, idx - start + 1, idx + 1 + carry)
-            runs = run + np.cumsum(b)
-            out = pdf.reset_index(drop=True)
-            out["_pid"] = np.int32(pid)
-            out["_row"] = row0 + idx
-            out["_run"] = runs
-            out["_rn"] = rn
-            yield out
-            carry, run, row0 = int(rn[-1]), int(runs[-1]), row0 + n
-            prev_last = cur.iloc[[n - 1]].reset_index(drop=True)
-    return scan
-
-
-def segmented_number(df: DataFrame, sort: Sequence[tuple[str, bool]], break_cols: Sequence[str],
-                     breaks: BreakFn, out: str = "seq", partitions: int | None = None) -> DataFrame:
+    return rule
+
+
+def segmented_number(df: DataFrame, sort: Sequence[tuple[str, bool]], watch: Sequence[str],
+                     breaks: BreakRule, out: str = "seq", partitions: int | None = None) -> DataFrame:
     """Number rows 1, 2, … inside segments of the total order ``sort``.
 
-    ``breaks(prev, cur)`` gets two aligned pandas frames holding ``break_cols``
-    of each row and of the row before it; it returns True where a new segment
-    starts.  Returns ``df`` plus a BIGINT column ``out``.
+    ``breaks(prev, cur)`` sees the ``watch`` columns of each row and of the row
+    before it.  Returns ``df`` plus a BIGINT column ``out``.  Rows equal in all
+    columns are interchangeable.
     """
     spark = df.sparkSession
-    n_parts = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_SCAN_PARTITIONS)
-    break_cols = list(break_cols)
-    named = [c for c, _ in sort]
-    order = [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in sort]
-    order += [F.col(c).asc_nulls_first() for c in orderable(df, exclude=named)]
-    ranged = df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
-    schema = T.StructType(list(df.schema.fields) + [T.StructField(n, t) for n, t in _EXTRA])
-    scanned = ranged.mapInPandas(_scan_fn(break_cols, breaks), schema)
-
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = _total_order(df, list(sort))
+    at = F.monotonically_increasing_id()
+    tagged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(
+        *[_c(c) for c in df.columns], F.shiftright(at, 33).cast("int").alias("__pid"),
+        at.bitwiseAND(F.lit(_IN_PARTITION)).alias("__row"))
     path = scratch_path(spark, f"segscan-{uuid.uuid4().hex}")
-    scanned.write.mode("overwrite").parquet(path)
-    stored = spark.read.parquet(path)
-
-    key = F.struct(*break_cols)
-    bounds = (stored.groupBy("_pid")
-              .agg(F.min_by(key, "_row").alias("first"), F.max_by(key, "_row").alias("last"),
-                   F.max("_run").alias("runs"), F.max_by("_rn", "_row").alias("last_rn"))
-              .orderBy("_pid").collect())          # one row per partition
-
-    offsets, carry, prev_last = [], 0, None
-    for r in bounds:
-        first = pd.DataFrame([r["first"].asDict()], columns=break_cols)
-        cont = prev_last is not None and not bool(np.asarray(breaks(prev_last, first))[0])
-        off = carry if cont else 0
-        offsets.append((int(r["_pid"]), int(off)))
-        carry = off + int(r["last_rn"]) if int(r["runs"]) == 1 else int(r["last_rn"])
-        prev_last = pd.DataFrame([r["last"].asDict()], columns=break_cols)
-
-    off_df = spark.createDataFrame(offsets or [(-1, 0)], "_pid int, _offset bigint")
-    result = (stored.join(F.broadcast(off_df), "_pid", "left")
-              .withColumn(out, (F.col("_rn") + F.when(F.col("_run") == 1, F.coalesce(F.col("_offset"), F.lit(0)))
-                                .otherwise(F.lit(0))).cast("bigint")))
-    return result.select(*df.columns, out)
-
-
-def _window_order(df: DataFrame, spec: list[tuple[str, bool]], group: list[str]) -> list:
+    tagged.write.parquet(path)
+    rows = spark.read.schema(tagged.schema).parquet(path).withColumn("__cur", F.struct(*[_c(c) for c in watch]))
+
+    by_pid = Window.orderBy("__pid")                      # one row per partition
+    ends = rows.groupBy("__pid").agg(F.max_by("__cur", "__row").alias("__last"))
+    ends = ends.select("__pid", F.lag("__last").over(by_pid).alias("__before"))
+    inside = Window.partitionBy("__pid").orderBy("__row")
+    prev = F.when(F.col("__row") == 0, F.col("__before")).otherwise(F.lag("__cur").over(inside))
+    seen = rows.join(F.broadcast(ends), "__pid").withColumn("__prev", prev)
+    broken = F.col("__prev").isNull() | breaks(F.col("__prev"), F.col("__cur"))
+    seen = seen.withColumn("__from", F.max(F.when(broken, F.col("__row"))).over(
+        inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    tails = seen.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.max("__from").alias("__open"))
+    tails = tails.withColumn("__part", F.sum(F.col("__open").isNotNull().cast("int")).over(by_pid))
+    length = F.sum(F.col("__n") - F.coalesce("__open", F.lit(0))).over(
+        Window.partitionBy("__part").orderBy("__pid"))      # rows of the segment that is open at the end
+    carry = tails.withColumn("__length", length).select(
+        "__pid", F.coalesce(F.lag("__length").over(by_pid), F.lit(0)).alias("__carry"))
+    number = F.when(F.col("__from").isNotNull(), F.col("__row") - F.col("__from") + 1).otherwise(
+        F.col("__carry") + F.col("__row") + 1)
+    return seen.join(F.broadcast(carry), "__pid").withColumn("__out", number.cast("bigint")).select(
+        *[_c(c) for c in df.columns if c != out], F.col("__out").alias(out))
+
+
+def _total_order(df: DataFrame, spec: list[tuple[str, bool]], skip: Sequence[str] = ()) -> list:
     named = [c for c, _ in spec]
-    order = [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in spec if c not in group]
-    return order + [F.col(c).asc_nulls_first() for c in orderable(df, exclude=named)]
+    order = [_c(c).asc_nulls_first() if asc else _c(c).desc_nulls_last() for c, asc in spec if c not in skip]
+    return order + [_c(c).asc_nulls_first() for c in orderable(df, exclude=[*named, *skip])]
 
 
 def number_within(df: DataFrame, group, order, out: str = "seq", pad: int | None = None,
@@ -154,11 +104,11 @@ def number_within(df: DataFrame, group, order, out: str = "seq", pad: int | None
     pairs; remaining columns break ties.  With ``pad`` a zero-padded text copy
     ``{out}_text`` is added (no truncation of wider numbers).
 
-    ``method='scan'`` (default) is the skew-safe segmented scan.
-    ``method='window'`` is one ``row_number`` window — one shuffle and no
-    written intermediate, but each group is processed by one task: use it only
-    where group sizes are known to be bounded (e.g. lines per order).
-    ``method='auto'`` measures the largest group (a map-side-combined count)
+    ``method`` picks a plan, never a result.  ``'scan'`` (default) is the
+    skew-safe segmented scan.  ``'window'`` is one ``row_number`` window — one
+    shuffle and no written intermediate, but each group is processed by one
+    task: use it only where group sizes are known to be bounded (e.g. lines per
+    order).  ``'auto'`` measures the largest group (a map-side-combined count)
     and takes the window plan only when it holds at most ``max_group_rows``.
     """
     group = as_list(group)
@@ -167,7 +117,7 @@ def number_within(df: DataFrame, group, order, out: str = "seq", pad: int | None
         biggest = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0] or 0
         method = "window" if biggest <= max_group_rows else "scan"
     if method == "window":
-        w = Window.partitionBy(*group).orderBy(*_window_order(df, spec, group))
+        w = Window.partitionBy(*group).orderBy(*_total_order(df, spec, group))
         res = df.withColumn(out, F.row_number().over(w).cast("bigint"))
     else:
         res = segmented_number(df, spec, group, group_change(group), out=out, partitions=partitions)
@@ -180,56 +130,42 @@ def number_within(df: DataFrame, group, order, out: str = "seq", pad: int | None
 def global_sequence(df: DataFrame, order, out: str = "seq", partitions: int | None = None) -> DataFrame:
     """1-based position of every row in the total order ``order`` (no group)."""
     spec = [o if isinstance(o, tuple) else (o, True) for o in as_list(order)]
-    return segmented_number(df, spec, [spec[0][0]], lambda p, c: np.zeros(len(c), dtype=bool),
-                            out=out, partitions=partitions)
+    return segmented_number(df, spec, [spec[0][0]], lambda prev, cur: F.lit(False), out=out, partitions=partitions)
 
 
-def _id_number(s: pd.Series, prefix: str) -> tuple[np.ndarray, np.ndarray]:
-    """Integer value of ids after removing ``prefix``; (values, parsed-mask).
+def _digits(c: Column, prefix: str) -> tuple[Column, Column]:
+    """(negative, digits without leading zeros) of an id after removing the text
+    ``prefix``; digits are NULL where the rest isn't an integer.  Text, so ids of
+    any length compare exactly."""
+    t = F.trim(F.replace(c, F.lit(prefix), F.lit("")) if prefix else c)
+    digits = F.when(t.rlike("^[+-]?[0-9]+$"), F.regexp_replace(t, "^[+-]?0*([0-9])", "$1"))
+    return t.startswith("-") & (digits != "0"), digits
 
-    Values are Python ints (object array) so ids of any length compare exactly.
-    """
-    txt = s.reset_index(drop=True).astype(object).where(s.reset_index(drop=True).notna(), "")
-    t = txt.astype(str)
-    if prefix:
-        t = t.str.replace(prefix, "", regex=False)
-    t = t.str.strip()
-    ok = t.str.fullmatch(r"[+-]?[0-9]+").fillna(False).to_numpy(dtype=bool)
-    short = ok & (t.str.len().to_numpy() <= 18)
-    vals = np.zeros(len(t), dtype=object)
-    if short.any():
-        vals[short] = t[short].astype("int64").to_numpy().astype(object)
-    for i in np.flatnonzero(ok & ~short):       # ids beyond 18 digits: rare
-        vals[i] = int(t.iloc[i])
-    return vals, ok
+
+def _successor(digits: Column) -> Column:
+    """Digits of the next natural number: the nines at the end become zeros and
+    the digit before them grows by one."""
+    head = F.regexp_replace(digits, "9+$", "")
+    zeros = F.repeat(F.lit("0"), F.length(digits) - F.length(head))
+    grown = F.concat(F.substr(head, F.lit(1), F.length(head) - 1), (F.right(head, F.lit(1)).try_cast("int") + 1).cast("string"))
+    return F.concat(F.when(head == "", F.lit("1")).otherwise(grown), zeros)
 
 
 def run_breaks(date: str, recipient: str, order_id: str, prefix: str = "RM",
-               scope: Sequence[str] = ()) -> BreakFn:
+               scope: Sequence[str] = ()) -> BreakRule:
     """W7 rule: a new run starts when scope/date/recipient change, or when both
     ids are non-blank and the id is not the previous id + 1 (or does not
     parse).  A blank id on either side continues the run."""
-    change = group_change(list(scope) + [date, recipient])
-
-    def f(prev: pd.DataFrame, cur: pd.DataFrame) -> np.ndarray:
-        out = change(prev, cur)
-        p, q = prev[order_id], cur[order_id]
-        p_blank = (p.isna() | (p.astype(str).str.strip() == "")).to_numpy(dtype=bool)
-        q_blank = (q.isna() | (q.astype(str).str.strip() == "")).to_numpy(dtype=bool)
-        both = ~p_blank & ~q_blank
-        pv, pok = _id_number(p, prefix)
-        qv, qok = _id_number(q, prefix)
-        both_ok = pok & qok
-        consecutive = np.zeros(len(cur), dtype=bool)
-        if both_ok.any():
-            consecutive[both_ok] = (qv[both_ok] == pv[both_ok] + 1).astype(bool)
-        return out | (both & ~consecutive)
-    return f
-
+    change = group_change([*scope, date, recipient])
 
-def _id_value(c: Column, prefix: str) -> Column:
-    t = F.trim(F.regexp_replace(c, prefix, "") if prefix else c)
-    return F.when(t.rlike("^[+-]?[0-9]{1,18}$"), t.cast("decimal(20,0)"))
+    def rule(prev: Column, cur: Column) -> Column:
+        p, q = prev.getField(order_id).cast("string"), cur.getField(order_id).cast("string")
+        filled = lambda c: F.coalesce(F.trim(c) != "", F.lit(False))          # noqa: E731
+        (pn, pd), (qn, qd) = _digits(p, prefix), _digits(q, prefix)
+        up = ~pn & ~qn & (qd == _successor(pd))
+        down = pn & (qn | (qd == "0")) & (pd == _successor(qd))               # below zero
+        return change(prev, cur) | (filled(p) & filled(q) & ~F.coalesce(up | down, F.lit(False)))
+    return rule
 
 
 def consecutive_runs(df: DataFrame, date: str, recipient: str, order_id: str,
@@ -239,27 +175,22 @@ def consecutive_runs(df: DataFrame, date: str, recipient: str, order_id: str,
 
     Rows are ordered by (scope, date, recipient, order_id as text); see
     ``run_breaks`` for the run rule.  ``out`` is the 1-based number as text.
-    ``method='window'`` uses lag / running sum / row_number per (scope, date,
-    recipient) — one task per such group, so only for bounded groups; the
-    default segmented scan is skew-safe.
+    ``method='window'`` gives the same result by lag / running sum / row_number
+    per (scope, date, recipient) — one task per such group, so only for bounded
+    groups; the default segmented scan is skew-safe.
     """
-    scope = list(scope)
+    groups = [*scope, date, recipient]
+    rule = run_breaks(date, recipient, order_id, prefix, scope)
+    spec = [(c, True) for c in [*groups, order_id]]
     if method == "window":
-        grp = scope + [date, recipient]
-        order = _window_order(df, [(order_id, True)], grp)
-        w = Window.partitionBy(*grp).orderBy(*order)
-        prev = F.lag(order_id).over(w)
-        blank = lambda c: c.isNull() | (F.trim(c) == "")
-        pv, cv = _id_value(prev, prefix), _id_value(F.col(order_id), prefix)
-        brk = (F.when(prev.isNull() & (F.row_number().over(w) == 1), F.lit(1))
-               .when(~blank(prev) & ~blank(F.col(order_id))
-                     & (pv.isNull() | cv.isNull() | (cv != pv + 1)), F.lit(1)).otherwise(F.lit(0)))
-        runs = F.sum("__brk").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        t = df.withColumn("__brk", brk).withColumn("__run", runs)
-        w2 = Window.partitionBy(*grp, "__run").orderBy(*order)
-        return t.withColumn(out, F.row_number().over(w2).cast("string")).drop("__brk", "__run")
-    spec = [(c, True) for c in scope + [date, recipient, order_id]]
-    brk = run_breaks(date, recipient, order_id, prefix, scope)
-    res = segmented_number(df, spec, scope + [date, recipient, order_id], brk, out=out,
-                           partitions=partitions)
+        order = _total_order(df, spec, groups)
+        w = Window.partitionBy(*groups).orderBy(*order)
+        t = df.withColumn("__cur", F.struct(*[_c(c) for c in [*groups, order_id]])).withColumn(
+            "__prev", F.lag("__cur").over(w))
+        broken = F.col("__prev").isNull() | rule(F.col("__prev"), F.col("__cur"))
+        t = t.withColumn("__run", F.sum(broken.cast("long")).over(
+            w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("__cur", "__prev")
+        w2 = Window.partitionBy(*groups, "__run").orderBy(*order)
+        return t.withColumn(out, F.row_number().over(w2).cast("string")).drop("__run")
+    res = segmented_number(df, spec, [*groups, order_id], rule, out=out, partitions=partitions)
     return res.withColumn(out, F.col(out).cast("string"))
