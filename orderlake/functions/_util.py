@@ -8,7 +8,22 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Characters that count as white space in report cells: the Unicode ones (such as
+# the no-break and the ideographic space) and the ASCII separators.
+SPACES = "\\t-\\r\\x1c- \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+
+
+def strip(c: Column | str) -> Column:
+    """Text without white space at either end."""
+    return F.regexp_replace(col(c), f"^[{SPACES}]+|[{SPACES}]+$", "")
+
+
+def is_blank(c: Column | str) -> Column:
+    """NULL, empty or white space only."""
+    return ~F.coalesce(col(c).cast("string").rlike(f"[^{SPACES}]"), F.lit(False))
+
+
 def blank_to_null(c: Column | str) -> Column:
     """'' and whitespace-only text become NULL."""
     c = col(c)
-    return F.when(F.trim(c) == "", F.lit(None).cast("string")).otherwise(c)
+    return F.when(~is_blank(c), c)

@@ -83,7 +83,11 @@ def parse_date_multi(c: Column | str, patterns: list[str] | None = None) -> Colu
 
 
 def _ymd_text(y: Column, m: Column, d: Column) -> Column:
-    return F.format_string("%04d-%02d-%02d", y.cast("int"), m.cast("int"), d.cast("int"))
+    """Numbers of any length without leading zeros, padded to 4, 2 and 2 digits."""
+    def padded(x: Column, width: int) -> Column:
+        x = F.regexp_replace(x, "^0+([0-9])", "$1")
+        return F.when(F.length(x) < width, F.lpad(x, width, "0")).otherwise(x)
+    return F.concat_ws("-", padded(y, 4), padded(m, 2), padded(d, 2))
 
 
 _SLASH3 = "^ *([0-9]+)/([0-9]+)/([0-9]+) *$"

@@ -9,7 +9,7 @@ from orderlake.functions._util import col
 from orderlake.functions.text import strip_float_suffix
 
 __all__ = [
-    "TRUE_TOKENS", "BOOL_MAP_TRUE", "BOOL_MAP_FALSE", "to_number", "money2",
+    "TRUE_TOKENS", "BOOL_MAP_TRUE", "BOOL_MAP_FALSE", "to_number", "to_bigint", "money2",
     "to_int_zero", "compact_number", "bool_true_tokens", "bool_map",
     "bool_equals_label",
 ]
@@ -37,13 +37,23 @@ def to_number(c: Column | str, default: float | None = None) -> Column:
     return F.coalesce(d, F.lit(default).cast("double")) if default is not None else d
 
 
+def to_bigint(c: Column | str) -> Column:
+    """Integer text -> BIGINT, exact to the last digit; other numbers lose their
+    fraction; what BIGINT can't hold, or isn't a number, is NULL."""
+    t = F.trim(col(c).cast("string"))
+    whole = _guarded(F.regexp_replace(t, "\\.0+$", ""), INTEGER_SHAPE, "bigint")
+    return F.coalesce(whole, F.when(~t.rlike(INTEGER_SHAPE), to_number(t)).try_cast("bigint"))
+
+
 def money2(c: Column | str, default: float | None = None) -> Column:
     """Amount rounded half-even to 2 decimals, stored as DECIMAL(18,2).
 
     Rounds the exact decimal text (not a binary double), so 2.675 -> 2.68.
+    An amount that the type can't hold is NULL or ``default``, like text that
+    isn't a number.
     """
     d = _guarded(F.trim(col(c).cast("string")), NUMBER_SHAPE, "decimal(38,10)")
-    out = F.bround(d, 2).cast("decimal(18,2)")
+    out = F.bround(d, 2).try_cast("decimal(18,2)")
     return F.coalesce(out, F.lit(default).cast("decimal(18,2)")) if default is not None else out
 
 

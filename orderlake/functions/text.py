@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from orderlake.functions._util import blank_to_null, col
+from orderlake.functions._util import SPACES, blank_to_null, col
 
 __all__ = [
     "NULL_TOKENS", "WS", "normalize_ws", "strip_newlines", "null_tokens",
@@ -25,21 +25,22 @@ __all__ = [
 # text spellings that mean "missing" in exported reports.
 NULL_TOKENS = ["nan", "None", "NULL", "null", "NaN", "NAN", "NaT", "Null"]
 
-# whitespace class shared by Java regex and RE2
-WS = "[ \\t\\r\\n]"
+# white space class
+WS = f"[{SPACES}]"
 
 
 def normalize_ws(c: Column | str, blank_as_null: bool = False) -> Column:
-    """CR/LF become spaces, whitespace runs collapse to one space, trim."""
+    """CR/LF become spaces, whitespace runs (Unicode spaces too) collapse to
+    one space, trim."""
     out = F.trim(F.regexp_replace(col(c), WS + "+", " "))
     return blank_to_null(out) if blank_as_null else out
 
 
 def strip_newlines(c: Column | str) -> Column:
-    """CR/LF removed, tabs become spaces, space runs collapse, trim."""
+    """CR/LF removed, whitespace runs (Unicode spaces too) collapse to one
+    space, trim."""
     out = F.regexp_replace(col(c), "[\\r\\n]", "")
-    out = F.regexp_replace(out, "\\t", " ")
-    return F.trim(F.regexp_replace(out, " +", " "))
+    return F.trim(F.regexp_replace(out, WS + "+", " "))
 
 
 def null_tokens(c: Column | str, tokens: list[str] | None = None) -> Column:
@@ -166,10 +167,11 @@ def is_abnormal_subseq(sub: Column | str, detail: Column | str) -> Column:
 def product_ref_from_name(c: Column | str, option_width: int = 3) -> Column:
     """Trailing ``(ID-nn)`` of a product name -> struct(ref_id, option).
 
-    The option part is zero-padded to ``option_width``; no match gives NULLs.
+    The id is letters and digits of any script, ``_`` and ``-``.  The option
+    part is zero-padded to ``option_width``; no match gives NULLs.
     """
     s = col(c)
-    pat = "\\(([A-Za-z0-9_-]+)-([0-9]{1,3})\\)$"
+    pat = "\\(([\\p{L}\\p{N}_-]+)-([0-9]{1,3})\\)$"
     hit = s.rlike(pat)
     ref = F.regexp_extract(s, pat, 1)
     opt = F.regexp_extract(s, pat, 2)

@@ -30,14 +30,36 @@ def null_safe_eq(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Colu
     return cond
 
 
-def sized_broadcast(dim: DataFrame, max_rows: int = 2_000_000, bound_by: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``dim`` only when it is proven to hold at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a bounded action).
-    ``bound_by`` may name a cheaper frame with at least as many rows as
-    ``dim`` (e.g. the raw master before de-duplication), so the check is a
-    plain scan instead of running ``dim``'s own shuffle.  Larger dimensions
-    stay un-hinted and the planner picks a shuffle join.
+#: Broadcast at most this many bytes of column values.
+BROADCAST_BYTES = 64 << 20
+
+
+def _width(df: DataFrame) -> Column:
+    """Bytes of a row's values: text, binary and nested values by their length."""
+    total = F.lit(0).cast("bigint")
+    for f in df.schema.fields:
+        fixed = isinstance(f.dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType))
+        value = F.col(f"`{f.name}`")
+        text = value if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.to_json(F.struct(value))
+        total = total + (F.lit(16) if fixed else F.coalesce(F.octet_length(text), F.lit(0)) + 16)
+    return total
+
+
+def proven_small(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_width(df)), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
+
+
+def sized_broadcast(dim: DataFrame, max_rows: int = 2_000_000, bound_by: DataFrame | None = None,
+                    max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``dim`` only when it is proven to hold at most ``max_rows`` rows
+    and ``max_bytes`` bytes of values.
+
+    The check is one aggregate with partial sums.  ``bound_by`` may name a
+    cheaper frame with at least the rows and the columns of ``dim`` (e.g. the
+    raw master before de-duplication), so the check is a plain scan instead of
+    running ``dim``'s own shuffle.  Larger dimensions stay un-hinted: the planner
+    and AQE decide by their own sizes, and the result is the same.
     """
-    n = (bound_by if bound_by is not None else dim).limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    probe = bound_by if bound_by is not None else dim
+    return F.broadcast(dim) if proven_small(probe, max_rows, max_bytes) else dim

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlake.functions._util import is_blank
 from orderlake.operators._common import as_list
 
 
@@ -86,7 +87,7 @@ def missing_counterpart(df: DataFrame, counterpart: DataFrame, keys, exclude_sta
     keys = as_list(keys)
     out = df
     for k in keys + ([date] if date else []):
-        out = out.filter(F.col(k).isNotNull() & (F.trim(F.col(k).cast("string")) != ""))
+        out = out.filter(~is_blank(k))
     if exclude_status and status:
         out = out.filter(~F.coalesce(F.col(status).rlike(exclude_status), F.lit(False)))
     ck = counterpart.select(*keys).distinct()

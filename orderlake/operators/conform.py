@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.functions.dates import parse_date_multi, parse_timestamp_multi
-from orderlake.functions.numbers import bool_true_tokens, money2, to_number
-from orderlake.functions.text import null_tokens, strip_float_suffix
+from orderlake.functions._util import is_blank
+from orderlake.functions.numbers import bool_true_tokens, money2, to_bigint, to_number
+from orderlake.functions.text import null_tokens
 
 
 @dataclass(frozen=True)
@@ -110,7 +111,7 @@ def cast_field(c: Column, typ: str, on_error: str = "default", default=None,
     typ = typ.upper()
     s = c if normalized else normalize_text(c)
     if typ in ("INTEGER", "INT64"):
-        v = to_number(strip_float_suffix(s)).cast("bigint")
+        v = to_bigint(s)
     elif typ in ("FLOAT", "FLOAT64"):
         v = to_number(s)
     elif typ == "NUMERIC":
@@ -163,6 +164,21 @@ def conform(df: DataFrame, registry: Sequence[Field], extras: str = "drop",
     return stage1.select(*sel)
 
 
+def reject_counts(df: DataFrame, registry: Sequence[Field]) -> DataFrame:
+    """Per registry field present in ``df``, the cells that aren't blank but
+    don't fit the field's type (``conform`` gives them the default); one
+    aggregate over the table."""
+    fields = [f for f in registry if f.name in df.columns and f.type.upper() != "STRING"]
+    bad = [F.count_if(~is_blank(normalize_text(F.col(f"`{f.name}`")))
+                      & cast_field(F.col(f"`{f.name}`"), f.type, "null").isNull()).alias(f"__{i}")
+           for i, f in enumerate(fields)]
+    rows = [F.struct(F.lit(f.name).alias("field"), F.lit(f.type).alias("type"), F.col(f"__{i}").alias("rejected"))
+            for i, f in enumerate(fields)]
+    if not fields:
+        return df.sparkSession.createDataFrame([], "field string, type string, rejected bigint")
+    return df.agg(*bad).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def stamp(df: DataFrame, always: Mapping[str, object] | None = None,
           if_blank: Mapping[str, object] | None = None) -> DataFrame:
     """constant/audit columns.  ``always`` overwrites; ``if_blank`` fills
@@ -193,22 +209,29 @@ def fallback_column(df: DataFrame, target: str, keyword: str) -> DataFrame:
     return df.withColumn(target, F.col(f"`{candidates[0]}`"))
 
 
+# Characters that a table name may not hold, and what takes their place.
+NAME_CHARACTERS = str.maketrans({" ": "_", "-": "_", ".": "_", **dict.fromkeys("()[]（）【】", "")})
+
+
 def sanitize_names(names: Sequence[str]) -> list[str]:
-    """Space, ``-`` and ``.`` -> ``_``; brackets dropped; names not starting
-    with a letter or ``_`` get ``col_``; lower case; duplicates get ``_n``."""
-    out, seen = [], {}
+    """Space, ``-`` and ``.`` -> ``_``; brackets dropped; names that start
+    with neither a letter (of any script) nor ``_`` get ``col_``; lower case.
+    A name that is taken gets the first free ``_n``; names that need no number
+    keep theirs."""
+    clean = []
     for n in names:
-        s = re.sub(r"[ \-.]", "_", str(n))
-        s = re.sub(r"[()\[\]{}（）]", "", s)
-        if not re.match(r"[A-Za-z_]", s):
-            s = "col_" + s
-        s = s.lower()
-        if s in seen:
-            seen[s] += 1
-            s = f"{s}_{seen[s]}"
-        else:
-            seen[s] = 0
-        out.append(s)
+        s = str(n).translate(NAME_CHARACTERS)
+        clean.append(("" if not s or s[0] == "_" or s[0].isalpha() else "col_") + s)
+    clean = [s.lower() for s in clean]
+    taken, out = set(clean), []
+    used: set[str] = set()
+    for s in clean:
+        name, n = s, 0
+        while name in used or (n and name in taken):
+            n += 1
+            name = f"{s}_{n}"
+        used.add(name)
+        out.append(name)
     return out
 
 

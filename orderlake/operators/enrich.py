@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions.text import clean_code
-from orderlake.operators._common import as_list, sized_broadcast
+from orderlake.functions._util import is_blank
+from orderlake.operators._common import BROADCAST_BYTES, as_list, proven_small, sized_broadcast
 from orderlake.operators.dedupe import keep_last
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
@@ -25,9 +26,9 @@ def _dim(dim: DataFrame, key: str, cols: Sequence[str], position: str | None,
          max_rows: int | None) -> DataFrame:
     d = dim.select(key, *[c for c in cols if c != key], *([position] if position and position not in cols else []))
     d = keep_last(d, key, position) if position else keep_last(d, key, [])
-    d = d.filter(F.col(key).isNotNull() & (F.trim(F.col(key).cast("string")) != ""))
-    # de-duplication only removes rows: the raw key column bounds the size
-    return sized_broadcast(d, max_rows, bound_by=dim.select(key)) if max_rows else d
+    d = d.filter(~is_blank(key))
+    # de-duplication only removes rows: the raw columns bound the size
+    return sized_broadcast(d, max_rows, bound_by=dim.select(*d.columns)) if max_rows else d
 
 
 def overwrite(df: DataFrame, dim: DataFrame, on: str, cols: Sequence[str], dim_key: str | None = None,
@@ -87,7 +88,7 @@ def casefold_join(df: DataFrame, dim: DataFrame, on: str, dim_key: str, cols: Se
     d = dim.select(casefold_key(dim_key).alias("__ck"), position, *cols)
     d = keep_last(d, "__ck", position).filter(F.col("__ck").isNotNull() & (F.col("__ck") != ""))
     d = d.select("__ck", *[F.col(c).alias(prefix + c) for c in cols])
-    d = sized_broadcast(d, max_rows, bound_by=dim.select(dim_key)) if max_rows else d
+    d = sized_broadcast(d, max_rows, bound_by=dim.select(dim_key, *cols)) if max_rows else d
     return df.join(d, casefold_key(on) == d["__ck"], "left").drop("__ck")
 
 
@@ -118,9 +119,9 @@ def lookup_multi(df: DataFrame, dim: DataFrame, dim_key: str, key_cols: Sequence
     a single (null-safe) shuffle join.
     """
     keys = dim.select(clean_code(dim_key).alias("__k")).filter(F.col("__k").isNotNull()).distinct()
-    small = bool(max_rows) and dim.select(dim_key).limit(max_rows + 1).count() <= max_rows
+    small = bool(max_rows) and proven_small(dim.select(dim_key), max_rows, BROADCAST_BYTES // max(1, len(key_cols)))
     cleaned = [clean_code(c) for c in key_cols]
-    if small:
+    if small:                                       # one broadcast per code column
         keys = F.broadcast(keys)
         j = df
         for i, c in enumerate(cleaned):
@@ -204,12 +205,19 @@ def lookup_cascade(df: DataFrame, dim: DataFrame, code: str, dim_key: str, posit
 
     rest = codes.join(exact, "__code", "left_anti").filter(F.length("__code") >= MIN_PREFIX_LEN)
     # master key is a prefix of the code
-    code_pref = rest.select("__code", F.explode(F.sequence(F.lit(1), F.length("__code"))).alias("__l")) \
+    # only prefixes as long as some key (some code) can match
+    key_lo, key_hi = master.agg(F.min(F.length("__key")), F.max(F.length("__key"))).first()
+    code_hi = rest.agg(F.max(F.length("__code"))).first()[0] or 0
+    key_lo, key_hi = key_lo or 1, key_hi or 0
+    code_pref = rest.filter(F.length("__code") >= key_lo).filter(F.lit(key_hi) >= key_lo) \
+        .select("__code", F.explode(F.sequence(F.lit(key_lo), F.least(F.length("__code"), F.lit(key_hi)))).alias("__l")) \
         .select("__code", F.expr("substring(__code, 1, __l)").alias("__p"))
     a = code_pref.join(master, code_pref["__p"] == master["__key"], "inner").select("__code", "__key", "__pos")
     # the code is a prefix of a master key: first key per prefix, then join
     mk = master.filter(F.length("__key") >= MIN_PREFIX_LEN)
-    key_pref = mk.select("__key", "__pos", F.explode(F.sequence(F.lit(MIN_PREFIX_LEN), F.length("__key"))).alias("__l")) \
+    key_pref = mk.filter(F.lit(code_hi) >= MIN_PREFIX_LEN) \
+        .select("__key", "__pos", F.explode(F.sequence(F.lit(MIN_PREFIX_LEN), F.least(F.length("__key"), F.lit(code_hi))))
+                .alias("__l")) \
         .select(F.expr("substring(__key, 1, __l)").alias("__p"), "__key", "__pos") \
         .groupBy("__p").agg(F.min_by(F.struct("__key", "__pos"), "__pos").alias("m")) \
         .select("__p", F.col("m.__key").alias("__key"), F.col("m.__pos").alias("__pos"))

@@ -19,9 +19,18 @@ def numeric_key(c: Column | str) -> Column:
 
 
 def prefixed_id_key(c: Column | str, prefix: str = "RM") -> Column:
-    """O2: integer after removing ``prefix``; non-conforming ids -> 0."""
-    x = F.regexp_replace(F.trim(F.col(c) if isinstance(c, str) else c), prefix, "")
-    return F.coalesce(F.when(x.rlike("^[0-9]{1,18}$"), x.cast("bigint")), F.lit(0).cast("bigint"))
+    """O2: digits (without leading zeros) of an id that is ``prefix`` and digits;
+    any other id -> '0'.  Text of any length: order it by ``prefixed_id_order``."""
+    x = F.col(c) if isinstance(c, str) else c
+    rest = F.substr(x, F.lit(len(prefix) + 1))
+    conforming = x.startswith(prefix) & rest.rlike("^[0-9]+$")
+    return F.coalesce(F.when(conforming, F.regexp_replace(rest, "^0+([0-9])", "$1")), F.lit("0"))
+
+
+def prefixed_id_order(c: Column | str, prefix: str = "RM") -> list[Column]:
+    """O2: sort keys that order ids by their number (fewer digits first)."""
+    key = prefixed_id_key(c, prefix)
+    return [F.length(key), key]
 
 
 def sort_numeric(df: DataFrame, c: str, *then: str) -> DataFrame:
@@ -31,13 +40,18 @@ def sort_numeric(df: DataFrame, c: str, *then: str) -> DataFrame:
 
 def sort_prefixed_id(df: DataFrame, c: str, prefix: str = "RM", invalid: Column | None = None,
                      *then: str) -> DataFrame:
-    """O2 + F4: by the prefixed id's number; with ``invalid`` (a boolean
-    column) the invalid rows come after all valid ones."""
-    order = ([F.coalesce(invalid, F.lit(False)).asc()] if invalid is not None else [])
-    order += [prefixed_id_key(c, prefix).asc(), F.col(c).asc_nulls_last()]
+    """O2 + F4: by the prefixed id's number; the invalid rows (``invalid``, else
+    those whose id is NULL or empty) come after all valid ones."""
+    invalid = ~filled(c) if invalid is None else F.coalesce(invalid, F.lit(False))
+    order = [invalid.asc(), *prefixed_id_order(c, prefix), F.col(c).asc_nulls_last()]
     return df.orderBy(*order, *[F.col(t).asc_nulls_last() for t in then])
 
 
+def filled(c: str) -> Column:
+    """an id counts as valid when it is neither NULL nor empty."""
+    return F.coalesce(F.col(c) != "", F.lit(False))
+
+
 def sort_by(df: DataFrame, *cols: str) -> DataFrame:
     """O3: multi-key ascending sort, NULLs last."""
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols])

@@ -12,21 +12,22 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlake.functions._util import is_blank
 from orderlake.operators._common import as_list
 
 
 def require_key(df: DataFrame, keys) -> DataFrame:
-    """drop rows whose key is NULL or blank."""
+    """drop rows whose key is NULL or blank (Unicode white space too)."""
     out = df
     for k in as_list(keys):
-        out = out.filter(F.col(k).isNotNull() & (F.trim(F.col(k).cast("string")) != ""))
+        out = out.filter(~is_blank(k))
     return out
 
 
 def require_date(df: DataFrame, date: str, parsed: Column | None = None) -> DataFrame:
     """drop rows with a blank date (F2) or, given ``parsed``, a date
     that does not parse (F5)."""
-    out = df.filter(F.col(date).isNotNull() & (F.trim(F.col(date).cast("string")) != ""))
+    out = df.filter(~is_blank(date))
     return out.filter(parsed.isNotNull()) if parsed is not None else out
 
 
@@ -49,7 +50,7 @@ def order_summary(df: DataFrame, date: str, amount: Column | str, order_key: str
     return df.agg(
         F.count(F.lit(1)).cast("bigint").alias("rows"),
         F.min(d).alias("first_date"), F.max(d).alias("last_date"),
-        F.sum(a.cast("decimal(18,2)")).cast("decimal(38,2)").alias("total_amount"),
+        F.sum(a.try_cast("decimal(18,2)")).cast("decimal(38,2)").alias("total_amount"),
         F.countDistinct(product_key).cast("bigint").alias("distinct_products"),
         F.countDistinct(order_key).cast("bigint").alias("distinct_orders"),
     )

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlake.functions._util import is_blank
 from orderlake.operators._common import as_list
 from orderlake.operators.dedupe import keep_best
 
@@ -36,7 +37,7 @@ def upsert(old: DataFrame, new: DataFrame, keys, order=None, ts: str | None = No
     spec += [(c, False) for c in as_list(order)]
     out = keep_best(both, keys, spec, tiebreak_ascending=False).drop("__gen")
     if require:
-        out = out.filter(F.col(require).isNotNull() & (F.trim(F.col(require).cast("string")) != ""))
+        out = out.filter(~is_blank(require))
     return out
 
 

@@ -541,7 +541,8 @@ def attach_single(spark, d):
 
 # ---------------------------------------------------------------- text cleaning
 
-WS_SQL = "'[ \\t\\r\\n]+'"
+# every white space character, Unicode ones included
+WS_SQL = "'[\\t-\\r\\x1c- \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+'"
 CTRL_SQL = "'[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\x9f]'"
 
 
@@ -550,7 +551,7 @@ def _ws_sql(x):
 
 
 def _nl_sql(x):
-    return (f"trim(regexp_replace(regexp_replace(regexp_replace({x}, '[\\r\\n]', '', 'g'), '\\t', ' ', 'g'), ' +', ' ', 'g'))")
+    return f"trim(regexp_replace(regexp_replace({x}, '[\\r\\n]', '', 'g'), {WS_SQL}, ' ', 'g'))"
 
 
 NULL_TOKENS_SQL = "('nan', 'None', 'NULL', 'null', 'NaN', 'NAN', 'NaT', 'Null')"
@@ -1000,9 +1001,9 @@ WITH raw AS (
          l_linestatus AS c9
   FROM lineitem)
 SELECT coalesce(c1, '') AS order_sn,
-       CAST(coalesce(CAST(TRY_CAST(regexp_replace(trim(c2), '\\.0+$', '') AS DOUBLE) AS BIGINT), 0) AS BIGINT) AS item_no,
+       coalesce(TRY_CAST(regexp_replace(trim(c2), '\\.0+$', '') AS BIGINT), 0) AS item_no,
        coalesce(c3, '') AS product_id,
-       CAST(coalesce(CAST(TRY_CAST(regexp_replace(trim(c4), '\\.0+$', '') AS DOUBLE) AS BIGINT), 0) AS BIGINT) AS quantity,
+       coalesce(TRY_CAST(regexp_replace(trim(c4), '\\.0+$', '') AS BIGINT), 0) AS quantity,
        CAST(coalesce(round_even(TRY_CAST(trim(c5) AS DECIMAL(38,10)), 2), 0) AS DECIMAL(18,2)) AS price,
        coalesce(TRY_CAST(trim(c6) AS DOUBLE), 0.0) AS discount,
        coalesce(lower(trim(c7)) IN ('true', '1', 'yes', 'y', '是'), false) AS is_returned,
@@ -1031,6 +1032,89 @@ def conform_order_lines(spark, d):
     return cf.stamp(conformed, always={"platform": "tpch"})
 
 
+# cells that a report may hold in a typed column, and what each type makes of them
+DIRTY_REGISTRY = [cf.Field("item", 1, type="STRING"), cf.Field("whole", 2, type="INTEGER"), cf.Field("amount", 3, type="NUMERIC"),
+                  cf.Field("day", 4, type="DATE")]
+DIRTY_WHOLE = ["12345678901234567", "1e30", "7.0", "-3", "99999999999999999999", " 42 ", "x", "", "2.75"]
+DIRTY_AMOUNT = ["99999999999999999999", "1.005", "2.675", "-0.125", "1e3", "", "n/a", "12345678901234.567"]
+DIRTY_DAY = ["99999999999/1/1", "2025/7/1", "2025-07-01 10:20", "31/12/2024", "2025/13/40", "", "20250701"]
+
+
+def _pick_sql(values, key):
+    cells = ", ".join(f"'{v}'" for v in values)
+    return f"([{cells}])[CAST({key} % {len(values)} AS INTEGER) + 1]"
+
+
+def _pick(values, key):
+    return F.get(F.array(*[F.lit(v) for v in values]), (F.col(key) % len(values)).cast("int"))
+
+
+DIRTY_SQL = f"""SELECT l_orderkey, l_linenumber, {_pick_sql(DIRTY_WHOLE, 'l_orderkey')} AS whole,
+       {_pick_sql(DIRTY_AMOUNT, 'l_partkey')} AS amount, {_pick_sql(DIRTY_DAY, 'l_suppkey')} AS day FROM lineitem"""
+
+
+def _dirty(spark, d):
+    return table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", _pick(DIRTY_WHOLE, "l_orderkey").alias("whole"),
+        _pick(DIRTY_AMOUNT, "l_partkey").alias("amount"), _pick(DIRTY_DAY, "l_suppkey").alias("day"))
+
+
+# the rule for a whole number: exact where the text is one, else the number without its fraction, else 0
+WHOLE_SQL = """coalesce(CASE WHEN regexp_matches(trim(whole), '^[+-]?[0-9]+([.]0+)?$')
+                   THEN TRY_CAST(regexp_replace(trim(whole), '[.]0+$', '') AS BIGINT)
+                   ELSE TRY_CAST(trunc(TRY_CAST(trim(whole) AS DOUBLE)) AS BIGINT) END, 0)"""
+AMOUNT_SQL = "coalesce(TRY_CAST(round_even(TRY_CAST(trim(amount) AS DECIMAL(38,10)), 2) AS DECIMAL(18,2)), 0)"
+DAY_SQL = """CAST(coalesce(try_strptime(day, '%Y-%m-%d'), CASE WHEN length(day) < 11 THEN try_strptime(day, '%Y/%m/%d') END,
+                   try_strptime(day, '%Y-%m-%d %H:%M'), try_strptime(day, '%d/%m/%Y'), try_strptime(day, '%m/%d/%Y'),
+                   CASE WHEN length(day) = 8 THEN try_strptime(day, '%Y%m%d') END) AS DATE)"""
+
+
+@check("conform_dirty_cells", f"""
+WITH t AS ({DIRTY_SQL})
+SELECT l_orderkey, l_linenumber, {WHOLE_SQL} AS whole, {AMOUNT_SQL} AS amount, {DAY_SQL} AS day,
+       CASE day WHEN '99999999999/1/1' THEN '99999999999-01-01' WHEN '2025/7/1' THEN '2025-07-01' WHEN '2025/13/40' THEN '2025-13-40'
+                WHEN '31/12/2024' THEN '0031-12-2024' ELSE day END AS dashed
+FROM t
+""")
+def conform_dirty_cells(spark, d):
+    """P6 + N2 + D2 on cells that don't fit their type: none aborts the job,
+    whole numbers keep all digits, unfit ones take the default."""
+    t = _dirty(spark, d).withColumn("dashed", fn.dash_date("day"))
+    fields = [cf.Field(c, k, type=typ) for k, (c, typ) in enumerate(
+        [("whole", "INTEGER"), ("amount", "NUMERIC"), ("day", "DATE")])]
+    return cf.conform(t, fields, extras="last").select("l_orderkey", "l_linenumber", "whole", "amount", "day", "dashed")
+
+
+@check("conform_reject_counts", f"""
+WITH t AS ({DIRTY_SQL}), r AS (
+SELECT count(*) FILTER (trim(whole) <> '' AND (trim(whole) IN ('x', '1e30', '99999999999999999999'))) AS w,
+       count(*) FILTER (trim(amount) <> '' AND trim(amount) IN ('n/a', '99999999999999999999')) AS a,
+       count(*) FILTER (trim(day) <> '' AND day IN ('99999999999/1/1', '2025/13/40')) AS d FROM t)
+SELECT 'whole' AS field, 'INTEGER' AS type, w AS rejected FROM r UNION ALL SELECT 'amount', 'NUMERIC', a FROM r
+UNION ALL SELECT 'day', 'DATE', d FROM r
+""")
+def conform_reject_counts(spark, d):
+    """Cells per field that don't fit the registry's type."""
+    return cf.reject_counts(_dirty(spark, d), DIRTY_REGISTRY)
+
+
+@check("clean_unicode_space", """
+WITH t AS (SELECT p_partkey, chr(12288) || replace(p_name, ' ', chr(160) || chr(8195)) || chr(9) || CASE p_partkey % 4 WHEN 0 THEN chr(12288)
+                  WHEN 1 THEN chr(10) || 'x' ELSE '' END AS raw, CASE p_partkey % 5 WHEN 0 THEN chr(12288) || chr(9) ELSE p_name END AS key FROM part)
+SELECT p_partkey, {ws} AS text_ws, {nl} AS text_nl FROM t WHERE key <> chr(12288) || chr(9)
+""".format(ws=_ws_sql("raw"), nl=_nl_sql("raw")))
+def clean_unicode_space(spark, d):
+    """T1 + T2 + F1: ideographic, no-break and other Unicode spaces collapse like
+    ASCII ones, and a key of nothing else is blank."""
+    p, k = table(spark, d, "part"), F.col("p_partkey")
+    wide = F.replace("p_name", F.lit(" "), F.lit("\u00a0\u2003"))
+    tail = F.when(k % 4 == 0, F.lit("\u3000")).when(k % 4 == 1, F.lit("\nx")).otherwise(F.lit(""))
+    t = p.select("p_partkey", F.concat(F.lit("\u3000"), wide, F.lit("\t"), tail).alias("raw"),
+                 F.when(k % 5 == 0, F.lit("\u3000\t")).otherwise(F.col("p_name")).alias("key"))
+    return quality.require_key(t, "key").select("p_partkey", fn.normalize_ws("raw").alias("text_ws"),
+                                                fn.strip_newlines("raw").alias("text_nl"))
+
+
 @check("union_reports", """
 SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, 'sales' AS data_source FROM lineitem
 UNION ALL BY NAME
@@ -1276,27 +1360,34 @@ def csv_roundtrip(spark, d):
 @check("prefixed_id_order", """
 WITH t AS (SELECT o_orderkey,
                   CASE WHEN o_orderkey % 17 = 0 THEN 'RMX' || CAST(o_orderkey AS VARCHAR)
+                       WHEN o_orderkey % 19 = 0 THEN '' WHEN o_orderkey % 23 = 0 THEN NULL
+                       WHEN o_orderkey % 29 = 0 THEN CAST(o_orderkey AS VARCHAR)
+                       WHEN o_orderkey % 31 = 0 THEN 'RM00' || repeat(CAST(o_orderkey AS VARCHAR), 5)
                        ELSE 'RM' || CAST(o_orderkey AS VARCHAR) END AS sn FROM orders),
 k AS (SELECT o_orderkey, sn,
-             coalesce(CASE WHEN regexp_matches(trim(replace(sn, 'RM', '')), '^[0-9]{1,18}$')
-                           THEN CAST(trim(replace(sn, 'RM', '')) AS BIGINT) END, 0) AS sort_key,
-             NOT regexp_matches(sn, '^RM[0-9]+$') AS invalid FROM t)
+             CASE WHEN regexp_matches(sn, '^RM[0-9]+$') THEN regexp_replace(substr(sn, 3), '^0+([0-9])', '\\1')
+                  ELSE '0' END AS sort_key,
+             coalesce(sn, '') = '' AS invalid FROM t)
 SELECT o_orderkey, sn, sort_key, invalid,
-       CAST(row_number() OVER (ORDER BY invalid ASC, sort_key ASC, sn ASC, o_orderkey ASC) AS BIGINT) AS position
+       CAST(row_number() OVER (ORDER BY invalid ASC, length(sort_key) ASC, sort_key ASC, sn ASC NULLS FIRST, o_orderkey ASC) AS BIGINT) AS position
 FROM k
 """)
 def prefixed_id_order(spark, d):
-    """O2 + F4: prefixed order ids sorted by their number, invalid ids last;
-    the position is materialised with the distributed global sequence."""
+    """O2 + F4: prefixed order ids of any length sorted by their number, blank
+    ids last, ids without the prefix as 0; the position is materialised with the
+    distributed global sequence."""
     from orderlake.operators import ordering as od
     o = table(spark, d, "orders").select("o_orderkey")
-    sn = F.when(F.col("o_orderkey") % 17 == 0, F.concat(F.lit("RMX"), F.col("o_orderkey").cast("string"))) \
-        .otherwise(F.concat(F.lit("RM"), F.col("o_orderkey").cast("string")))
+    key, text = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    sn = (F.when(key % 17 == 0, F.concat(F.lit("RMX"), text)).when(key % 19 == 0, F.lit(""))
+          .when(key % 23 == 0, F.lit(None).cast("string")).when(key % 29 == 0, text)
+          .when(key % 31 == 0, F.concat(F.lit("RM00"), F.repeat(text, F.lit(5))))
+          .otherwise(F.concat(F.lit("RM"), text)))
+    size, digits = od.prefixed_id_order("sn", "RM")
     k = o.select("o_orderkey", sn.alias("sn")).select(
-        "o_orderkey", "sn", od.prefixed_id_key("sn", "RM").alias("sort_key"),
-        (~F.col("sn").rlike("^RM[0-9]+$")).alias("invalid"))
-    return sq.global_sequence(k, [("invalid", True), ("sort_key", True), ("sn", True), ("o_orderkey", True)],
-                              out="position")
+        "o_orderkey", "sn", digits.alias("sort_key"), (~od.filled("sn")).alias("invalid"), size.alias("__size"))
+    order = ["invalid", "__size", "sort_key", "sn", "o_orderkey"]
+    return sq.global_sequence(k, order, out="position").drop("__size")
 
 
 @check("stream_suppress_duplicates", """

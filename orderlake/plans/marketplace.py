@@ -255,7 +255,7 @@ def marketplace_d(spark: SparkSession, path: str, registry: Sequence[cf.Field],
                            on="product_id", cols=["master_name"])
         allr = allr.withColumn("product_name", enrich.prefer_longer("product_name", "master_name")).drop("master_name")
     allr = cf.stamp(allr, always={"platform": platform})
-    invalid = ~F.coalesce(F.col("order_sn").rlike("^RM[0-9]+$"), F.lit(False))
+    invalid = ~ordering.filled("order_sn")
     return ordering.sort_prefixed_id(allr.withColumn("is_invalid", invalid), "order_sn", "RM", F.col("is_invalid"))
 
 

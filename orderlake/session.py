@@ -4,7 +4,7 @@ The library never creates a cluster session on its own: callers pass a
 ``SparkSession``.  ``local_session`` is for tests, benchmarks and the driver
 smoke check; ``ensure_checkpoint_dir`` respects a cluster-provided
 ``spark.checkpoint.dir`` and only falls back to a scratch folder when none is
-configured (local runs).
+configured on a local master.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import io
 import os
+import re
 import tempfile
 import zipfile
 
@@ -69,8 +70,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder; it is used as
-    is.  Only when nothing is configured (tests, local runs) a fresh scratch
-    folder is created.
+    is.  Only a local master with nothing configured (tests, local runs) gets a
+    fresh scratch folder; on a cluster executors couldn't read one, so a missing
+    setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -78,6 +80,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
+    if not conf_dir and not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="orderlake-ckpt-")
     sc.setCheckpointDir(conf_dir)

@@ -18,10 +18,11 @@ _MODES = {"truncate": "overwrite", "overwrite": "overwrite", "append": "append",
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists", schema: T.StructType | None = None,
                 partition_by: Sequence[str] | None = None, fmt: str = "parquet",
                 sort_within: Sequence[str] | None = None, **options) -> DataFrame:
-    """K1/K2/K8: enforce ``schema`` by select+cast, refuse empty input, write,
-    and return the row count read back from the written table."""
+    """K1/K2/K8: enforce ``schema`` by select+cast (a cell that doesn't fit
+    becomes NULL), refuse empty input, write, and return the row count read back
+    from the written table."""
     if schema is not None:
-        df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in df.columns
+        df = df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) if f.name in df.columns
                          else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
     if df.limit(1).count() == 0:
         raise ValueError("refusing to load an empty table")
@@ -52,7 +53,7 @@ def load_preview(df: DataFrame, date: str, amount: str, key: str) -> DataFrame:
     d = F.to_date(F.col(date))
     base = df.agg(F.count(F.lit(1)).cast("bigint").alias("rows"), F.min(d).alias("first_date"),
                   F.max(d).alias("last_date"),
-                  F.sum(F.col(amount).cast("decimal(18,2)")).cast("decimal(38,2)").alias("total_amount"))
+                  F.sum(F.col(amount).try_cast("decimal(18,2)")).cast("decimal(38,2)").alias("total_amount"))
     dups = key_counts(df, key).agg(F.count_if(F.col("n") > 1).cast("bigint").alias("repeated_keys"),
                                    F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("surplus_rows"))
     return _side_by_side(base, dups)
