@@ -19,7 +19,8 @@ from .components import components
 BANDS, ROWS = 40, 5              # 200 universal hash minima
 HASHES = BANDS * ROWS
 SLICE = 1 << 20                  # bytes that are hashed at once
-BLOCK = 512                      # rows of a bucket that are compared at once
+BLOCK, BLOCK_SHINGLES = 4096, 1_500_000     # rows and shingles of a block, about
+COLUMNS = 2048                   # shingles of a block that are compared at once
 #: Standard deviations below the threshold at which a signature rules a pair out.
 SLACK = 6.5
 MAX_ENDS = 1_000_000             # ids of candidate documents that may be broadcast (8 bytes each)
@@ -169,10 +170,6 @@ def least_matches(percent: int) -> int:
     return max(1, math.floor(HASHES * t - SLACK * math.sqrt(HASHES * t * (1 - t))))
 
 
-def _reachable(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
-
-
 def _by_signature(percent: int):
     least = least_matches(percent)
 
@@ -190,6 +187,11 @@ def text_shingles(text: str, words: int) -> set:
     return {tuple(w[i:i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
 
 
+def similar(a: set, b: set, percent: int) -> bool:
+    both = len(a & b)
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def _by_sets(words: int, percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held_id, held = None, set()
@@ -198,13 +200,15 @@ def _by_sets(words: int, percent: int):
             for u, v, a, b in batch[["u", "v", "text_a", "text_b"]].itertuples(index=False):
                 if v != held_id:                       # pairs of one hub come together
                     held_id, held = v, text_shingles(b, words)
-                own = text_shingles(a, words)
-                both = len(own & held)
-                good.append(100 * both >= percent * (len(own) + len(held) - both))
+                good.append(similar(text_shingles(a, words), held, percent))
             yield batch[np.array(good, bool)][["u", "v"]] if len(batch) else batch[["u", "v"]]
     return run
 
 
+def _few(ids: DataFrame) -> DataFrame:
+    return sized_broadcast(stored(ids, "minhash-ids"), MAX_ENDS)
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Distinct candidate pairs (u, v) that their signatures and then their full
     shingle sets confirm."""
@@ -216,34 +220,86 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int,
              .select("u", "v", "sig_a", "sig_b").mapInPandas(_by_signature(percent), "u long, v long"))
     close = stored(close, "minhash-close")
     ends = close.select(F.col("u").alias("doc_id")).union(close.select("v")).distinct()
-    own = texts.join(sized_broadcast(stored(ends, "minhash-ends"), MAX_ENDS), "doc_id", "left_semi")
+    own = texts.join(_few(ends), "doc_id", "left_semi")
     full = (close.join(own.select(F.col("doc_id").alias("u"), F.col("text").alias("text_a")), "u")
             .join(own.select(F.col("doc_id").alias("v"), F.col("text").alias("text_b")), "v")
             .sortWithinPartitions("v"))
     return stored(full.mapInPandas(_by_sets(words, percent), "u long, v long"), "minhash-links")
 
 
-def _cells(percent: int):
-    """Pairs of different components in one cell of a bucket, by signature."""
-    least = least_matches(percent)
+def _shared(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
+    """Sizes of the intersections of all left with all right sets (``right``
+    None: with each other), summed over slices of the shingles that two rows
+    share."""
+    both = left if right is None else [*left, *right]
+    row = np.repeat(np.arange(len(both)), [len(x) for x in both])
+    _, column, count = np.unique(np.concatenate(both), return_inverse=True, return_counts=True)
+    if right is None:
+        used = count > 1
+    else:
+        in_left = np.bincount(column[row < len(left)], minlength=len(count))
+        used = (in_left > 0) & (in_left < count)
+    place = np.cumsum(used) - 1
+    keep = used[column]
+    row, column = row[keep], place[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(left), len(both) - len(left) if right is not None else len(left)), np.float32)
+    for at in range(0, int(used.sum()), COLUMNS):
+        a, b = np.searchsorted(column, [at, at + COLUMNS])
+        dense = np.zeros((len(both), COLUMNS), np.float32)
+        dense[row[a:b], column[a:b] - at] = 1
+        out += dense[:len(left)] @ (dense if right is None else dense[len(left):]).T
+    return out
+
 
+def _cells(words: int, percent: int):
+    """Links between different components inside one cell of a bucket: the full
+    sets of all pairs are compared, and no more links leave than join the
+    cell's components."""
     def run(cell: pd.DataFrame) -> pd.DataFrame:
-        left, right = cell[cell.block == cell.lo], cell[cell.block == cell.hi]
         within = cell.lo.iloc[0] == cell.hi.iloc[0]
-        out = []
-        if len(left) and len(right):
-            b = np.frombuffer(b"".join(right.sig), np.uint16).reshape(-1, HASHES)
-            sizes, labels, ids = right.n_shingles.to_numpy(), right.label.to_numpy(), right.node.to_numpy()
-            for node, label, n, sig in left[["node", "label", "n_shingles", "sig"]].itertuples(index=False):
-                fits = (labels != label) & _reachable(sizes, n, percent)
-                idx = np.flatnonzero(fits & (ids < node) if within else fits)
-                if len(idx):
-                    same = (b[idx] == np.frombuffer(sig, np.uint16)).sum(axis=1) >= least
-                    out += [(max(node, v), min(node, v)) for v in ids[idx[same]]]
+        left = cell[cell.block == cell.lo]
+        right = left if within else cell[cell.block == cell.hi]
+        out: list[tuple[int, int]] = []
+        if len(left) and len(right) and cell.label.nunique() > 1:
+            own = list(shingle_sets(left.text.tolist(), words))
+            other = own if within else list(shingle_sets(right.text.tolist(), words))
+            shared = _shared(own, None if within else other)
+            sizes, labels = np.array([len(x) for x in other]), right.label.to_numpy()
+            root = {x: x for x in cell.label.tolist()}
+
+            def find(x):
+                while root[x] != x:
+                    root[x] = x = root[root[x]]
+                return x
+
+            for i, (node, label, text) in enumerate(left[["node", "label", "text"]].itertuples(index=False)):
+                linked = 100 * shared[i] >= percent * (len(own[i]) + sizes - shared[i])
+                for j in np.flatnonzero(linked & (labels != label)):
+                    a, b = find(label), find(labels[j])
+                    if a != b and similar(text_shingles(text, words), text_shingles(right.text.iloc[j], words), percent):
+                        root[max(a, b)] = min(a, b)
+                        out.append((node, right.node.iloc[j]))
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
     return run
 
 
+def _rest_links(rest: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links in buckets (key) of several components (label): members are dealt
+    to blocks of bounded size, and each pair of blocks is one cell."""
+    sizes = rest.groupBy("key").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("_blocks"))
+    own = texts.join(_few(rest.select(F.col("node").alias("doc_id")).distinct()), "doc_id", "left_semi")
+    dealt = (rest.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))))
+    cells = dealt.join(own.withColumnRenamed("doc_id", "node"), "node").select(
+        "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+        "block", "node", "label", "text")
+    found = cells.groupBy("key", "lo", "hi").applyInPandas(_cells(words, percent), "u long, v long")
+    return stored(found, "minhash-rest")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -257,10 +313,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     1. Rows of equal sets are one node (its smallest id).
     2. Nodes that share a band of BANDS are candidates: each bucket's members
        against its smallest node (a star, linear in the bucket).
-    3. Buckets that still hold several components are compared in cells of
-       BLOCK x BLOCK signatures inside tasks, so no pair is left out, and only
-       pairs that pass the signature test leave a cell.
-    4. Every pair is confirmed by signature, then on the full shingle sets.
+       Signatures rule pairs out, the full shingle sets confirm the others.
+    3. Buckets that then still hold several components are compared in cells of
+       two bounded blocks, on full shingle sets inside a task.  No pair is left
+       out, and no more rows leave a cell than it joins components.
     At the threshold itself a pair shares no band with a chance of
     (1 - s**ROWS)**BANDS: 1e-10 for 0.85, 1e-7 for 0.8.
     """
@@ -282,18 +338,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # buckets of several components: all members but the hub, which has been compared
     marked = buckets.filter("node <> hub").join(labels, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("label"))
-    open_keys = marked.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b"),
-                                          F.count(F.lit(1)).alias("_n")).filter("_a <> _b").select("key", "_n")
-    rest = marked.join(open_keys, "key").join(nodes.select("node", "n_shingles", "sig"), "node")
-    blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
-    rest = rest.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    cells = rest.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-                        "block", "node", "label", "n_shingles", "sig")
-    more = stored(cells.groupBy("key", "lo", "hi").applyInPandas(_cells(percent), "u long, v long").distinct(),
-                  "minhash-rest")
-    final = labels if more.isEmpty() else components(
-        links.union(_verified(more, nodes, texts, words, percent)))
+    open_keys = marked.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).filter("_a <> _b")
+    rest = stored(marked.join(open_keys.select("key"), "key").join(nodes.select("node", "n_shingles"), "node"),
+                  "minhash-open")
+    final = labels if rest.isEmpty() else components(links.union(_rest_links(rest, texts, words, percent)))
     named = classes.join(final, "node", "left").select("set_hash", F.coalesce("component", "node").alias("_component"))
     return rows.join(named, "set_hash", "left").select(
         "doc_id", "n_shingles", F.coalesce("_component", "doc_id").alias("component_id")).withColumn(
