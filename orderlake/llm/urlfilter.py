@@ -65,11 +65,11 @@ def _hashed(texts: Sequence[str]):
     target = np.arange(lengths.sum()) + np.repeat(begin - (np.cumsum(lengths) - lengths), lengths)
     mix, spread, shift = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - BITS)
     context = np.zeros(len(target), np.uint64)
-    grams, contexts, power = [], [], np.uint64(1)
+    grams, contexts = [], []
     for k in range(ORDER + 1):
         if k:
+            power = np.uint64(pow(int(mix), k, 1 << 64))
             context = context + (data[target - k] + np.uint64(1)) * power
-        power = power * mix
         contexts.append(((context * spread) >> shift).astype(np.int64))
         grams.append((((context * mix + data[target] + np.uint64(1)) * mix * spread) >> shift).astype(np.int64))
     return grams, contexts, lengths
