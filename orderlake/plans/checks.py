@@ -1355,6 +1355,34 @@ def csv_roundtrip(spark, d):
                     "source_encoding")
 
 
+MIXED_NOTE_SQL = "'訂單' || CAST(o_orderkey AS VARCHAR) || ', \"' || o_orderpriority || '\"，備註'"
+
+
+@check("mixed_reports", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS order_sn, CASE WHEN o_orderkey % 3 < 2 THEN o_orderstatus END AS status,
+       {MIXED_NOTE_SQL} AS note, CASE WHEN o_orderkey % 3 = 2 THEN CAST(o_custkey AS VARCHAR) END AS customer,
+       CASE o_orderkey % 3 WHEN 0 THEN 'UTF-8' WHEN 1 THEN 'x-windows-950' ELSE 'UTF-16' END AS source_encoding,
+       true AS has_line
+FROM orders
+""")
+def mixed_reports(spark, d):
+    """S1 + S5 + S6 + U1: orders exported as CSV files in three encodings, each
+    with another column order and other columns, found and read back: encodings
+    detected, rows united by the names in each file's own header."""
+    key = F.col("o_orderkey")
+    o = table(spark, d, "orders").select(
+        (key % 3).alias("__kind"), key.cast("string").alias("訂單編號"), F.col("o_orderstatus").alias("狀態"),
+        F.concat(F.lit("訂單"), key.cast("string"), F.lit(', "'), "o_orderpriority", F.lit('"，備註')).alias("備註"),
+        F.col("o_custkey").cast("string").alias("客戶"))
+    base = scratch_path(spark, f"mixed-{uuid.uuid4().hex}")
+    kinds = [("UTF-8", ["訂單編號", "狀態", "備註"]), ("Big5", ["備註", "訂單編號", "狀態"]), ("UTF-16", ["客戶", "備註", "訂單編號"])]
+    for k, (enc, cols) in enumerate(kinds):
+        o.filter(F.col("__kind") == k).select(*cols).write.option("header", "true").option("encoding", enc).csv(f"{base}/{enc}")
+    rows, _ = files.read_reports(spark, base)
+    return rows.select(F.col("訂單編號").alias("order_sn"), F.col("狀態").alias("status"), F.col("備註").alias("note"),
+                       F.col("客戶").alias("customer"), "source_encoding", (F.col("source_line") > 0).alias("has_line"))
+
+
 # ---------------------------------------------------------------- ordering / suppression
 
 @check("prefixed_id_order", """

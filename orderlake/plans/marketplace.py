@@ -7,6 +7,7 @@ Report files are plain text (CSV / TSV); provenance comes from file metadata.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,14 +63,10 @@ def _clean_all(df: DataFrame, cleaner) -> DataFrame:
 
 
 def _read_text_reports(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    listing = files.list_files(spark, path, glob=glob)
-    enc = files.detect_encoding(spark, paths=spark.read.format("binaryFile")
-                                .option("recursiveFileLookup", "true")
-                                .option("pathGlobFilter", glob or "*").load(path))
-    groups: dict[str, list[str]] = {}
-    for r in enc.join(listing.select("path"), "path").collect():     # one row per file
-        groups.setdefault(r["encoding"], []).append(r["path"])
-    return files.read_orders(spark, groups)
+    rows, report = files.read_reports(spark, path, glob=glob)
+    for r in report.filter("NOT readable").collect():                # one row per file
+        logging.getLogger("orderlake").warning("no encoding reads %s; the file is left out", r["path"])
+    return rows
 
 
 # ------------------------------------------------------------------ marketplace A
@@ -93,14 +90,14 @@ def marketplace_a(spark: SparkSession, sales_path: str, shipping_path: str, prod
         df = quality.require_key(df, "order_sn")
         df = df.withColumn("item_no", fn.zero_pad(fn.strip_float_suffix("item_no"), 2))
         df = df.withColumn("order_line_uid", fn.line_uid("order_sn", "item_no"))
-        out.append(dedupe.keep_last(df, "order_line_uid", ["source_mtime", "source_file"]))
+        out.append(dedupe.keep_last(df, "order_line_uid", ["source_mtime", "source_file", "source_line"]))
     sales, ship = out
     ship = (ship.withColumn("customer_phone", fn.format_phone("customer_phone", "nine"))
             .withColumn("note", fn.truncate_at_word("note", "無", anchored=True)))
     keep = [c for c in ship.columns if c in ("order_line_uid", "order_date", "customer_name", "customer_phone",
                                                "shipping_address", "shipping_carrier", "shipping_code", "note",
                                                "seller_product_sn", "product_id", "expected_stockin_date")]
-    rec = reconcile.reconcile(sales.drop("source_file", "source_path", "source_mtime", "source_encoding"),
+    rec = reconcile.reconcile(sales.drop("source_file", "source_path", "source_mtime", "source_encoding", "source_line"),
                               ship.select(*keep), "order_line_uid", suffix="_shipping",
                               coalesce_cols={"order_date": ("order_date", "order_date")})
     dt = fn.split_datetime("order_date")
@@ -137,7 +134,7 @@ def marketplace_b(spark: SparkSession, paths_by_source: Mapping[str, str], regis
         df = cf.registry_rename(_read_text_reports(spark, path), registry)
         parts.append(quality.require_key(df, "order_sn").withColumn("data_source", F.lit(label)))
     merged = up.priority_union(parts, "order_sn")
-    merged = dedupe.keep_priority(merged, "order_sn", "data_source", SOURCE_RANKS_B, ["source_mtime", "source_file"])
+    merged = dedupe.keep_priority(merged, "order_sn", "data_source", SOURCE_RANKS_B, ["source_mtime", "source_file", "source_line"])
     ids = fn.split_composite_id("order_sn")
     merged = (merged.withColumn("__id", ids)
               .withColumn("order_sn_main", F.col("__id.order_main")).withColumn("order_line_number", F.col("__id.order_line"))
@@ -247,7 +244,7 @@ def marketplace_d(spark: SparkSession, path: str, registry: Sequence[cf.Field],
     allr = sq.consecutive_runs(allr, "order_date", "recipient_name", "order_sn", prefix="RM",
                                scope=["source_file"], out="line_no")
     keys = [k for k in ("order_sn", "product_id", "recipient_name", "product_name") if k in allr.columns]
-    allr = dedupe.keep_first(allr, keys, ["source_mtime", "source_file"])
+    allr = dedupe.keep_first(allr, keys, ["source_mtime", "source_file", "source_line"])
     allr = enrich.attach_single(allr, shops, F.col("shop_name") == shop_name,
                                 [c for c in shops.columns if c != "shop_name"], prefix="shop_")
     if products is not None:
@@ -283,12 +280,11 @@ def marketplace_e(spark: SparkSession, path: str, registry: DataFrame, run_ts: s
             df = df.withColumn(c, fn.strip_float_suffix(c))
     df = df.withColumn("order_line_uid", fn.line_uid("order_sn", "product_sku_main", "product_sku_variation"))
     df = df.withColumn("data_import_timestamp", F.to_timestamp(F.lit(run_ts)))
+    source = ["source_mtime", "source_file", "source_line"]
+    df = dedupe.keep_last(df, "order_line_uid", ["data_import_timestamp", *source]).drop(
+        *source, "source_path", "source_encoding")
     if old is not None:
         if "data_import_timestamp" not in old.columns:
             old = old.withColumn("data_import_timestamp", F.to_timestamp(F.lit(default_import_ts)))
-        df = up.upsert(old, df.drop("source_file", "source_path", "source_mtime", "source_encoding"),
-                       "order_line_uid", ts="data_import_timestamp", require="order_date")
-    else:
-        df = dedupe.keep_latest(df.drop("source_file", "source_path", "source_mtime", "source_encoding"),
-                                "order_line_uid", "data_import_timestamp")
+        df = up.upsert(old, df, "order_line_uid", ts="data_import_timestamp", require="order_date")
     return sq.number_within(df, ["order_date", "order_sn"], ["order_line_uid"], out="item_seq")

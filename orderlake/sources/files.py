@@ -2,11 +2,13 @@
 
 Raw reports are read as all-string tables (no inference, so leading zeros
 survive).  Legacy CJK encodings are handled by grouping files per encoding and
-issuing one CSV read per group; provenance comes from ``_metadata``.
+issuing one CSV read per group; every file keeps its own header, and files are
+united by name.  Provenance comes from ``_metadata``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.functions.text import NULL_TOKENS
+from orderlake.operators._common import sized_broadcast
+from orderlake.session import ensure_checkpoint_dir, scratch_path
 
 # The order in which text encodings are tried for a report.
 ENCODINGS = ["UTF-8", "x-windows-950", "Big5", "GBK", "GB2312"]
@@ -45,8 +49,9 @@ def detect_encoding(spark: SparkSession, paths: DataFrame | None = None, path: s
 
     UTF-16 byte-order marks are recognised first; UTF-8 is validated with
     ``is_valid_utf8``; legacy charsets decode with replacement
-    (``spark.sql.legacy.codingErrorAction``) and must yield no U+FFFD.  One
-    task per file; nothing but (path, encoding) leaves the executors."""
+    (``spark.sql.legacy.codingErrorAction``) and must yield no U+FFFD.  The
+    encoding of a file that none decodes is NULL.  One task per file; nothing
+    but (path, encoding) leaves the executors."""
     spark.conf.set("spark.sql.legacy.codingErrorAction", "true")
     files_df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path) \
         if paths is None else paths
@@ -59,37 +64,104 @@ def detect_encoding(spark: SparkSession, paths: DataFrame | None = None, path: s
         else:
             ok = ~F.decode(content, enc).contains("\ufffd")
         choice = choice.when(ok, F.lit(enc))
-    return files_df.select("path", choice.otherwise(F.lit(encodings[0])).alias("encoding"))
+    return files_df.select("path", choice.alias("encoding"))
 
 
 CORRUPT = "_corrupt_record"
 
 
-def read_orders(spark: SparkSession, paths_by_encoding: Mapping[str, Sequence[str]],
-                sep: str = ",", null_tokens: Sequence[str] | None = None,
-                keep_blank: bool = True, columns: Sequence[str] | None = None) -> DataFrame:
-    """One all-string CSV read per encoding group, unioned by name
-    (missing columns NULL) with file provenance columns.
-
-    With ``columns`` (the report's header names, in file order) the read uses
-    that all-string schema plus ``_corrupt_record``: malformed lines are kept
-    (PERMISSIVE) and flagged instead of silently misparsed — see
-    ``quarantine``."""
-    out = None
+def _csv(spark: SparkSession, sep: str, encoding: str, multiline: bool, keep_blank: bool):
+    r = (spark.read.option("inferSchema", "false").option("sep", sep).option("encoding", encoding)
+         .option("multiLine", str(multiline).lower()).option("mode", "PERMISSIVE"))
+    return r.option("emptyValue", "") if keep_blank else r
+
+
+def _unique_names(header: Column) -> Column:
+    """Header cells as column names: no byte-order mark, blank cells by position
+    (``Unnamed: 2``), repeated names numbered (``a``, ``a.1``)."""
+    plain = F.transform(header, lambda h, i: F.when(
+        F.coalesce(h, F.lit("")) == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(
+        F.regexp_replace(h, "^\ufeff", "")))
+
+    def numbered(h, i):
+        before = F.size(F.filter(F.slice(plain, F.lit(1), i), lambda x: x == h))
+        return F.when(before > 0, F.concat(h, F.lit("."), before.cast("string"))).otherwise(h)
+    return F.transform(plain, numbered)
+
+
+def _own_headers(spark: SparkSession, paths_by_encoding: Mapping[str, Sequence[str]], sep: str,
+                 multiline: bool, keep_blank: bool) -> DataFrame | None:
+    """All-string rows of files that each have a header of their own, united by
+    name.
+
+    The cells are read by position and written once to the shared folder with
+    their file and place.  The first record of a file names its columns; the
+    headers (one row per file) are joined back, and each named column picks its
+    cell by the file's own position.  ``source_line`` orders a file's records
+    (the record number, where a file is read in one piece).
+    """
+    ensure_checkpoint_dir(spark)
+    raw = None
     for enc, paths in paths_by_encoding.items():
         if not paths:
             continue
-        r = (spark.read.option("header", "true").option("inferSchema", "false")
-             .option("sep", sep).option("encoding", enc).option("multiLine", "true")
-             .option("mode", "PERMISSIVE"))
-        if columns is not None:
-            schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
-                                  + [T.StructField(CORRUPT, T.StringType())])
-            r = r.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
-        if keep_blank:
-            r = r.option("emptyValue", "")
-        df = _with_provenance(r.csv(list(paths)), enc)
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+        cells = spark.read.text(list(paths)).select(
+            (F.length("value") - F.length(F.replace("value", F.lit(sep), F.lit("")))).alias("n"))
+        width = (cells.agg(F.max("n")).first()[0] or 0) + 1          # no record of these files has more cells
+        schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+        df = _with_provenance(_csv(spark, sep, enc, multiline, keep_blank).option("header", "false")
+                              .schema(schema).csv(list(paths)), enc)
+        df = df.select("source_file", "source_path", "source_mtime", "source_encoding",
+                       F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__id"),
+                       F.array(*[f"_c{i}" for i in range(width)]).alias("__cells"))
+        raw = df if raw is None else raw.unionByName(df)
+    if raw is None:
+        return None
+    path = scratch_path(spark, f"reports-{uuid.uuid4().hex}")
+    raw.write.parquet(path)
+    raw = spark.read.schema(raw.schema).parquet(path)
+    firsts = raw.groupBy("source_path", "__block").agg(
+        F.min("__id").alias("__first"), F.min_by("__cells", "__id").alias("__head"))       # one row per piece of a file
+    heads = firsts.filter("__block = 0").select("source_path", _unique_names(F.expr(
+        "slice(__head, 1, size(__head) - coalesce(array_position(transform(reverse(__head), x -> x is not null), true), 1) + 1)"
+    )).alias("__names"))
+    heads = heads.checkpoint(eager=True)
+    names = [r["n"] for r in heads.select("source_path", F.posexplode("__names").alias("p", "n")).groupBy("n").agg(
+        F.min(F.struct("source_path", "p")).alias("at")).orderBy("at").collect()]           # distinct header names
+    index = heads.select("source_path", F.transform(
+        F.array(*[F.lit(n) for n in names]), lambda n: F.array_position("__names", n).cast("int")).alias("__index"))
+    rows = (raw.join(sized_broadcast(firsts.select("source_path", "__block", "__first")), ["source_path", "__block"])
+            .join(sized_broadcast(index), "source_path")
+            .withColumn("source_line", F.col("__block") + F.col("__id") - F.col("__first"))
+            .filter((F.col("__block") > 0) | (F.col("__id") > F.col("__first"))))
+    cell = lambda k: F.when(F.col("__index")[k] > 0, F.get("__cells", F.col("__index")[k] - 1))        # noqa: E731
+    return rows.select(*[cell(k).alias(n) for k, n in enumerate(names)],
+                       "source_file", "source_path", "source_mtime", "source_encoding", "source_line")
+
+
+def read_orders(spark: SparkSession, paths_by_encoding: Mapping[str, Sequence[str]],
+                sep: str = ",", null_tokens: Sequence[str] | None = None,
+                keep_blank: bool = True, columns: Sequence[str] | None = None,
+                multiline: bool = True) -> DataFrame:
+    """All-string rows of the reports, united by the header of each
+    file (missing columns NULL), with file provenance and ``source_line``.
+
+    ``multiline=False`` reads files in splits; use it for reports whose cells
+    hold no line breaks.  With ``columns`` (the report's header names, in file
+    order) the read uses that all-string schema plus ``_corrupt_record``:
+    malformed lines are kept (PERMISSIVE) and flagged instead of silently
+    misparsed — see ``quarantine``."""
+    out = None
+    if columns is None:
+        out = _own_headers(spark, paths_by_encoding, sep, multiline, keep_blank)
+    else:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
+                              + [T.StructField(CORRUPT, T.StringType())])
+        for enc, paths in paths_by_encoding.items():
+            if paths:
+                df = _with_provenance(_csv(spark, sep, enc, multiline, keep_blank).option("header", "true").schema(schema)
+                                      .option("columnNameOfCorruptRecord", CORRUPT).csv(list(paths)), enc)
+                out = df if out is None else out.unionByName(df)
     if out is not None and null_tokens is not False:
         toks = list(NULL_TOKENS if null_tokens is None else null_tokens)
         out = out.select(*[F.when(F.col(f"`{c}`").isin(*toks), F.lit(None).cast("string"))
@@ -99,6 +171,22 @@ def read_orders(spark: SparkSession, paths_by_encoding: Mapping[str, Sequence[st
     return out
 
 
+def read_reports(spark: SparkSession, path: str, glob: str | None = None,
+                 encodings: Sequence[str] = ENCODINGS, **options) -> tuple[DataFrame | None, DataFrame]:
+    """S1 + S5 + S6: (rows of all readable reports below ``path``, scan report).
+    The scan report has one row per file: path, name, encoding, readable; a file
+    that no encoding decodes is left out of the rows and reported."""
+    listing = list_files(spark, path, glob=glob)
+    content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", glob or "*").load(path)
+    found = detect_encoding(spark, content, encodings=encodings).join(listing.select("path", "name"), "path")
+    report = found.select("path", "name", "encoding", F.col("encoding").isNotNull().alias("readable")).checkpoint(eager=True)
+    groups: dict[str, list[str]] = {}
+    for r in report.filter("readable").orderBy("path").collect():      # one row per file
+        groups.setdefault(r["encoding"], []).append(r["path"])
+    return read_orders(spark, groups, **options), report
+
+
 def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split a ``read_orders(columns=…)`` result into (good rows, bad rows);
     bad rows keep their raw line and file provenance for the report."""

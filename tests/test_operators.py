@@ -374,3 +374,32 @@ def test_apply_settings_respects_explicit_conf(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_numbering_keeps_every_value_and_agrees(spark):
+    """NaN, the last timestamp and NULL keys survive; both plans give one result."""
+    rows = [("a", float("nan"), "9999-12-31 23:59:59", None), ("a", 1.0, None, 5), (None, None, None, None), ("b", -0.0, "1970-01-01", 7),
+            ("a", float("nan"), "2020-01-01", 9)]
+    df = spark.createDataFrame(rows, "g string, x double, t string, n bigint").withColumn("t", F.to_timestamp("t"))
+    one = sq.number_within(df, "g", ["x"], out="seq", partitions=3)
+    two = sq.number_within(df, "g", ["x"], out="seq", method="window")
+    key = lambda r: str(r)                                                         # noqa: E731
+    assert sorted(one.collect(), key=key) == sorted(two.collect(), key=key) or \
+        sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+    assert one.filter("t > timestamp'9999-12-30'").count() == 1 and one.filter("isnan(x)").count() == 2
+
+
+def test_runs_of_long_and_signed_ids(spark):
+    big = 10 ** 45 - 2
+    ids = [f"RM{big + k}" for k in range(4)] + [f"RM{k}" for k in (-2, -1, 0, 1)] + ["RM007", "RM8", "x", "", None]
+    df = spark.createDataFrame([("d", str(len(i or "")) if i and len(i) > 9 else "s", i) for i in ids], "d string, r string, sn string")
+    a = {r["sn"]: r["n"] for r in sq.consecutive_runs(df, "d", "r", "sn", out="n", partitions=2).collect()}
+    b = {r["sn"]: r["n"] for r in sq.consecutive_runs(df, "d", "r", "sn", out="n", method="window").collect()}
+    assert a == b
+    assert [a[f"RM{big + k}"] for k in range(4)] == ["1", "2", "1", "2"]      # the recipient changes with the length
+    assert a["RM8"] == "1" and a["x"] == "1"
+
+
+def test_unique_names_for_any_collision():
+    got = cf.sanitize_names(["a", "a", "a_1", "編號", "【x】", "9", "", "A"])
+    assert len(set(got)) == len(got) and got[3] == "編號" and got[4] == "x" and got[5] == "col_9" and "a_1" in got

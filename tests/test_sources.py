@@ -31,7 +31,7 @@ def test_read_orders_legacy_encodings(spark, tmp_dir):
     assert len(got) == 6
     assert {g[2] for g in got} == {"狗糧", "貓砂"}
     assert {g[3] for g in got} == {"2.0", None}            # 'nan' token -> NULL
-    assert all(t == "string" for c, t in df.dtypes if c not in ("source_mtime",))
+    assert all(t == "string" for c, t in df.dtypes if c not in ("source_mtime", "source_line"))
 
 
 def test_banner_tsv_utf16(spark, tmp_dir):
@@ -156,3 +156,33 @@ def test_read_orders_quarantines_malformed_lines(spark, tmp_dir):
     assert sorted(r["訂單編號"] for r in good.collect()) == ["A1", "A3"]
     b = bad.collect()
     assert len(b) == 1 and b[0]["_corrupt_record"].startswith("A2,3,extra") and b[0]["source_file"] == "a.csv"
+
+
+def test_each_file_keeps_its_own_header(spark, tmp_dir):
+    """Other column orders, other columns, repeated and blank names, quoted line
+    breaks (read as line feeds); rows are united by name and keep their place in the file."""
+    write(f"{tmp_dir}/h/a.csv", "編號,name\r\n1,甲\r\n2,\"乙\r\n丙\"\r\n".encode())
+    write(f"{tmp_dir}/h/b.csv", "name,編號,extra\nbb,3,x\n".encode("cp950"))
+    write(f"{tmp_dir}/h/c.csv", "編號,編號,,name\n4,5,6,7\n".encode("utf-16"))
+    write(f"{tmp_dir}/h/bad.csv", "編號,name\n1,".encode() + b"\xff\x81\xff\xfe\x80\n")
+    write(f"{tmp_dir}/h/empty.csv", b"")
+    rows, report = files.read_reports(spark, f"{tmp_dir}/h", glob="*.csv")
+    assert rows.columns[:5] == ["編號", "name", "extra", "編號.1", "Unnamed: 2"]
+    got = sorted((r["編號"], r["name"], r["extra"], r["編號.1"], r["Unnamed: 2"], r["source_line"]) for r in rows.collect())
+    assert got == [("1", "甲", None, None, None, 1), ("2", "乙\n丙", None, None, None, 2), ("3", "bb", "x", None, None, 1),
+                   ("4", "7", None, "5", "6", 1)]
+    readable = {r["name"]: r["readable"] for r in report.collect()}
+    assert readable["bad.csv"] is False and readable["a.csv"] and readable["b.csv"] and readable["c.csv"]
+
+
+def test_split_reads_keep_the_order_of_lines(spark, tmp_dir):
+    lines = [f"{k},{'v' * (k % 50)}" for k in range(4000)]
+    write(f"{tmp_dir}/s/a.csv", ("k,v\n" + "\n".join(lines)).encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        rows = files.read_orders(spark, {"UTF-8": [f"{tmp_dir}/s/a.csv"]}, multiline=False, null_tokens=False)
+        got = [r["k"] for r in rows.orderBy("source_line").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [str(k) for k in range(4000)]
