@@ -15,33 +15,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-# Full-width ASCII block U+FF01..U+FF5E maps to U+0021..U+007E (the NFKC rule
-# for these characters), plus the ideographic space.
-_FULL = "".join(chr(0xFF01 + i) for i in range(94)) + "　"
-_HALF = "".join(chr(0x21 + i) for i in range(94)) + " "
+from orderlake.functions._util import SPACES, strip
 
+def _nfkc(text: pd.Series) -> pd.Series:
+    from unicodedata import normalize
+    return text.map(lambda t: normalize("NFKC", t), na_action="ignore")
 
-def fold_width(c: Column) -> Column:
-    """Full-width letters, digits and punctuation -> ASCII."""
-    return F.translate(c, _FULL, _HALF)
+
+def compatible_form(c: Column) -> Column:
+    """Unicode NFKC: full-width and half-width forms, circled numbers, unit signs."""
+    return F.pandas_udf(_nfkc, "string")(c)
+
+
+# Bracketed text of a header that doesn't count, and the characters that don't.
+BRACKETED = "[（(【\\[].*?[)）】\\]]"
+IGNORED = f"[{SPACES}_/-]"
 
 
 def normalize_fuzzy(c: Column | str) -> Column:
-    """P3 normalisation: drop bracketed text, fold width, drop spaces and
-    ``-_/``, lower case."""
+    """P3 normalisation: drop bracketed text (any bracket closes any other), then
+    NFKC, drop white space and ``-_/``, lower case."""
     c = F.col(c) if isinstance(c, str) else c
-    t = fold_width(c)
-    t = F.regexp_replace(t, "\\([^)]*\\)|\\[[^\\]]*\\]|【[^】]*】", "")
-    t = F.regexp_replace(t, "[ \\t\\r\\n_/-]", "")
-    return F.lower(t)
+    return F.lower(F.regexp_replace(compatible_form(F.regexp_replace(c, BRACKETED, "")), IGNORED, ""))
 
 
 def normalize_contains(c: Column | str) -> Column:
-    """P4 clean-up: trim, drop CR/LF, unify full-width ``：（）``, collapse spaces."""
+    """P4 clean-up: strip, drop CR/LF, unify full-width ``：（）``, collapse white space."""
     c = F.col(c) if isinstance(c, str) else c
-    t = F.regexp_replace(c, "[\\r\\n]", "")
-    t = F.translate(t, "：（）", ":()")
-    return F.trim(F.regexp_replace(t, " +", " "))
+    t = F.translate(F.regexp_replace(strip(c), "[\\r\\n]", ""), "：（）", ":()")
+    return strip(F.regexp_replace(t, f"[{SPACES}]+", " "))
 
 
 def ratio_udf(threshold: float):
@@ -117,47 +119,52 @@ def _prefix_tokens(strings: DataFrame, col: str, freq: DataFrame, min_ratio: flo
 
 
 def match_fuzzy(headers: DataFrame, registry: DataFrame, min_ratio: float = 0.85) -> DataFrame:
-    """Exact normalised match, else best difflib ratio above ``min_ratio``
-    (ties: registry order).  Returns (file, position, header, name, score, how);
-    unmatched headers are absent (the caller keeps only mapped columns).
+    """Per file and registry field the header with the same normalised text,
+    else the one with the best difflib ratio above ``min_ratio`` (the field's
+    text first; ties: the header that comes first).  Headers of a file with the
+    same normalised text count once; the last of them is taken.  Returns (file,
+    name, position, header, score, how); fields without a header are absent.
 
     Candidate pairs come from an equi join on *prefix* bigram tokens (see
     ``_prefix_tokens``) of distinct normalised strings, then the length bound;
     only those pairs reach the difflib UDF.  No pair is enumerated just for
-    sharing a common bigram.
+    sharing a common bigram.  The bound holds for ratios of 0.85 and more, so a
+    smaller ``min_ratio`` is refused.
     """
     if min_ratio < PREFIX_FILTER_MIN_RATIO:
         raise ValueError("match_fuzzy needs min_ratio >= 0.85 (prefix-filter bound)")
-    h = headers.withColumn("__hn", normalize_fuzzy("header"))
-    r = registry.select("name", "reg_order", normalize_fuzzy("local_name").alias("__rn"))
-    exact = (h.join(r, h["__hn"] == r["__rn"], "inner")
-             .withColumn("__k", F.row_number().over(Window.partitionBy("file", "position").orderBy("reg_order")))
-             .filter("__k = 1").select("file", "position", "header", "name", F.lit(1.0).alias("score"),
-                                       F.lit("exact").alias("how")))
-    rest = h.join(exact.select("file", "position"), ["file", "position"], "left_anti")
-    hs = rest.select(F.col("__hn").alias("__s")).distinct().filter(F.length("__s") >= 2)
+    texts = headers.select("header").distinct().withColumn("__hn", normalize_fuzzy("header"))
+    h = (headers.join(texts, "header").groupBy("file", "__hn")
+         .agg(F.min("position").alias("__first"), F.max(F.struct("position", "header")).alias("__h"))
+         .select("file", "__hn", "__first", "__h.position", "__h.header").checkpoint(eager=True))
+    r = registry.select("name", "reg_order", normalize_fuzzy("local_name").alias("__rn")).checkpoint(eager=True)
+    exact = (h.join(r, h["__hn"] == r["__rn"]).groupBy("file", "name")
+             .agg(F.min(F.struct("reg_order", "position", "header")).alias("__e"))          # one entry a name
+             .select("file", "name", "__e.position", "__e.header", F.lit(1.0).alias("score"), F.lit("exact").alias("how")))
+    hs = h.select(F.col("__hn").alias("__s")).distinct().filter(F.length("__s") >= 2)
     rs = r.select(F.col("__rn").alias("__s")).distinct().filter(F.length("__s") >= 2)
-    both = hs.unionByName(rs).distinct()
-    freq = (both.select(F.explode(_bigram_tokens(F.col("__s"))).alias("__t"))
-            .groupBy("__t").agg(F.count(F.lit(1)).alias("__f")))
+    freq = (hs.unionByName(rs).distinct().select(F.explode(_bigram_tokens(F.col("__s"))).alias("__t"))
+            .groupBy("__t").agg(F.count(F.lit(1)).alias("__f")).checkpoint(eager=True))
     hp = _prefix_tokens(hs, "__s", freq, min_ratio).withColumnRenamed("__s", "__hn")
     rp = _prefix_tokens(rs, "__s", freq, min_ratio).withColumnRenamed("__s", "__rn")
-    pairs = (hp.join(rp, "__t").select("__hn", "__rn").distinct()
+    pairs = (hp.join(rp, "__t").select("__hn", "__rn").distinct().filter(F.col("__hn") != F.col("__rn"))
              .filter(_ratio_possible(F.length("__hn"), F.length("__rn"), min_ratio))
-             .repartition("__rn").sortWithinPartitions("__rn"))
-    scored = pairs.withColumn("score", ratio_udf(min_ratio)("__hn", "__rn")).filter(F.col("score") > min_ratio)
-    fuzzy = (rest.join(scored, "__hn").join(r, "__rn")
-             .withColumn("__k", F.row_number().over(Window.partitionBy("file", "position")
-                                                    .orderBy(F.col("score").desc(), "reg_order")))
-             .filter("__k = 1").select("file", "position", "header", "name", "score", F.lit("fuzzy").alias("how")))
+             .repartition("__hn").sortWithinPartitions("__hn"))
+    scored = pairs.withColumn("score", ratio_udf(min_ratio)("__rn", "__hn")).filter(F.col("score") > min_ratio)
+    near = (scored.join(r, "__rn").select("__hn", "name", "score").join(h, "__hn")
+            .join(exact.select("file", "name"), ["file", "name"], "left_anti"))
+    best = Window.partitionBy("file", "name").orderBy(F.col("score").desc(), "__first")
+    fuzzy = (near.withColumn("__k", F.row_number().over(best)).filter("__k = 1")
+             .select("file", "name", "position", "header", "score", F.lit("fuzzy").alias("how")))
     return exact.unionByName(fuzzy)
 
 
 def match_contains(headers: DataFrame, registry: DataFrame, min_len: int = 5,
                    min_len_ratio: float = 0.7) -> DataFrame:
-    """Exact, then cleaned-exact, then containment (both longer than
-    ``min_len`` and length ratio above ``min_len_ratio``); the first registry
-    entry that hits wins.  Matching runs once per distinct header text;
+    """The header text, then its cleaned text, as a registry entry's text;
+    else the first registry entry whose cleaned text is the same or contains or
+    is contained in it (both longer than ``min_len`` and length ratio above
+    ``min_len_ratio``).  Matching runs once per distinct header text;
     containment pairs come from exploding substrings of the allowed lengths
     and equi-joining them, then the best match is joined back to every
     (file, position)."""
@@ -166,8 +173,10 @@ def match_contains(headers: DataFrame, registry: DataFrame, min_len: int = 5,
     r = registry.withColumn("__rc", normalize_contains("local_name"))
     e1 = hd.join(r.select("name", "reg_order", F.col("local_name").alias("__x")), hd["header"] == F.col("__x")) \
         .select("header", "name", "reg_order", F.lit(1).alias("stage"))
-    e2 = hd.join(r.select("name", "reg_order", F.col("__rc").alias("__x")), hd["__hc"] == F.col("__x")) \
+    e2 = hd.join(r.select("name", "reg_order", F.col("local_name").alias("__x")), hd["__hc"] == F.col("__x")) \
         .select("header", "name", "reg_order", F.lit(2).alias("stage"))
+    e3 = hd.join(r.select("name", "reg_order", F.col("__rc").alias("__x")), hd["__hc"] == F.col("__x")) \
+        .select("header", "name", "reg_order")
 
     def subs(df: DataFrame, col: str, key: Sequence[str]) -> DataFrame:
         n = F.length(F.col(col))
@@ -184,7 +193,7 @@ def match_contains(headers: DataFrame, registry: DataFrame, min_len: int = 5,
     rs = subs(r, "__rc", ["name", "reg_order"])
     hh = hd.filter(F.length("__hc") > min_len)
     c2 = rs.join(hh, rs["__sub"] == hh["__hc"]).filter(ratio_ok).select("header", "name", "reg_order")
-    c = c1.unionByName(c2).distinct().withColumn("stage", F.lit(3))
+    c = e3.unionByName(c1).unionByName(c2).distinct().withColumn("stage", F.lit(3))
     best = (e1.unionByName(e2).unionByName(c).groupBy("header")
             .agg(F.min_by(F.struct("name", "stage"), F.struct("stage", "reg_order")).alias("m"))
             .select("header", F.col("m.name").alias("name"), F.col("m.stage").cast("bigint").alias("stage")))

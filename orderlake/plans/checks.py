@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import functions as fn
@@ -1262,9 +1262,8 @@ def _header_tables(spark, d):
     bench = table(spark, d, "benchmark")
     words = bench.select(F.explode(F.split(F.regexp_replace("text", "[.,;:!?\n]", " "), " ")).alias("local_name")) \
         .filter(F.length("local_name") > 5).distinct()
-    reg = words.select(F.concat(F.lit("f_"), F.lower("local_name")).alias("name"), "local_name",
-                       F.dense_rank().over(Window.orderBy("local_name"))
-                       .cast("bigint").alias("reg_order"))
+    reg = sq.global_sequence(words, "local_name", out="reg_order").select(
+        F.concat(F.lit("f_"), F.lower("local_name")).alias("name"), "local_name", "reg_order")
     return h, reg
 
 
@@ -1280,7 +1279,7 @@ r AS (SELECT 'f_' || lower(local_name) AS name, local_name, CAST(dense_rank() OV
 
 
 def _contains_clean_sql(x):
-    return f"trim(regexp_replace(translate(regexp_replace({x}, '[\\r\\n]', '', 'g'), '：（）', ':()'), ' +', ' ', 'g'))"
+    return f"trim(regexp_replace(translate(regexp_replace({x}, '[\\r\\n]', '', 'g'), '：（）', ':()'), {WS_SQL}, ' ', 'g'))"
 
 
 @check("header_match_contains", f"""
@@ -1288,7 +1287,7 @@ WITH {HEADER_TABLES_SQL},
 hc AS (SELECT *, {_contains_clean_sql('header')} AS c FROM h),
 rc AS (SELECT *, {_contains_clean_sql('local_name')} AS c FROM r),
 m AS (SELECT hc.file, hc.position, hc.header, rc.name, rc.reg_order,
-             CASE WHEN hc.header = rc.local_name THEN 1 WHEN hc.c = rc.c THEN 2 ELSE 3 END AS stage
+             CASE WHEN hc.header = rc.local_name THEN 1 WHEN hc.c = rc.local_name THEN 2 ELSE 3 END AS stage
       FROM hc JOIN rc ON hc.header = rc.local_name OR hc.c = rc.c
                       OR (length(hc.c) > 5 AND length(rc.c) > 5
                           AND least(length(hc.c), length(rc.c)) / greatest(length(hc.c), length(rc.c)) > 0.7
@@ -1471,6 +1470,7 @@ def product_refs(spark, d):
 
 # ---------------------------------------------------------------- banner TSV (S3)
 
+TSV_PIECES = 8            # files of a report; size it so that a file stays small against a task's memory
 BANNER_TSV_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 
 
@@ -1492,15 +1492,17 @@ def banner_tsv_roundtrip(spark, d):
                     F.col("o_orderstatus").alias("c2"),
                     F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("c3"),
                     F.date_format("o_orderdate", "yyyy-MM-dd").alias("c4"))
-    reports = o.select(F.col("o_orderpriority").alias("report")).distinct()
-    head = reports.select("report", F.lit(1).alias("__ord"), *[F.lit(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    data = data.withColumn("piece", F.pmod(F.xxhash64("c0"), F.lit(TSV_PIECES)).cast("int"))
+    reports = o.select(F.col("o_orderpriority").alias("report")).distinct().withColumn(
+        "piece", F.explode(F.sequence(F.lit(0), F.lit(TSV_PIECES - 1))))
+    head = reports.select("report", F.lit(1).alias("__ord"), *[F.lit(c).alias(f"c{i}") for i, c in enumerate(cols)], "piece")
     banner = reports.filter(F.col("report") != "5-LOW").select(
         "report", F.lit(0).alias("__ord"), F.lit(BANNER_C + "僅供參考】").alias("c0"),
-        *[F.lit("").alias(f"c{i}") for i in range(1, len(cols))])
+        *[F.lit("").alias(f"c{i}") for i in range(1, len(cols))], "piece")
     rows = banner.unionByName(head).unionByName(data)
     path = scratch_path(spark, f"banner-{uuid.uuid4().hex}")
-    (rows.repartition("report").sortWithinPartitions("report", "__ord", "c0").drop("__ord")
-     .write.partitionBy("report").option("sep", "\t").option("encoding", "UTF-16").option("header", "false")
+    (rows.repartition("report", "piece").sortWithinPartitions("report", "piece", "__ord", "c0").drop("__ord")
+     .write.partitionBy("report", "piece").option("sep", "\t").option("encoding", "UTF-16").option("header", "false")
      .option("emptyValue", "").csv(path))
     long = files.read_banner_tsv(spark, path, banner=BANNER_C, encoding="UTF-16")
     wide = files.pivot_banner_rows(long, cols)
@@ -1529,14 +1531,16 @@ def return_tsv_roundtrip(spark, d):
                     F.date_format("o_orderdate", "yyyy-MM-dd").alias("c1"),
                     F.date_format(F.date_add(F.to_date("o_orderdate"), 1), "yyyy-MM-dd").alias("c2"),
                     F.col("o_orderstatus").alias("c3"))
-    reports = o.select(F.col("o_orderstatus").alias("report")).distinct()
+    data = data.withColumn("piece", F.pmod(F.xxhash64("c0"), F.lit(TSV_PIECES)).cast("int"))
+    reports = o.select(F.col("o_orderstatus").alias("report")).distinct().withColumn(
+        "piece", F.explode(F.sequence(F.lit(0), F.lit(TSV_PIECES - 1))))
     plain = ["訂單編號", "建立日", "更新日", "訂單狀態"]            # no return keywords
     head = reports.select("report", F.lit(0).alias("__ord"), *[
         F.when(F.col("report") == "O", F.lit(p)).otherwise(F.lit(h)).alias(f"c{i}")
-        for i, (h, p) in enumerate(zip(RETURN_TSV_HEADERS, plain))])
+        for i, (h, p) in enumerate(zip(RETURN_TSV_HEADERS, plain))], "piece")
     path = scratch_path(spark, f"returns-{uuid.uuid4().hex}")
-    (head.unionByName(data).repartition("report").sortWithinPartitions("report", "__ord", "c0").drop("__ord")
-     .write.partitionBy("report").option("sep", "\t").option("encoding", "UTF-16").option("header", "false")
+    (head.unionByName(data).repartition("report", "piece").sortWithinPartitions("report", "piece", "__ord", "c0").drop("__ord")
+     .write.partitionBy("report", "piece").option("sep", "\t").option("encoding", "UTF-16").option("header", "false")
      .csv(path))
     long = files.read_banner_tsv(spark, path, header_line=1, encoding="UTF-16", require_headers=RETURN_HEADERS_C)
     return files.pivot_banner_rows(long, RETURN_TSV_HEADERS).select(*RETURN_TSV_HEADERS)

@@ -18,6 +18,7 @@ from orderlake.operators import conform as cf
 from orderlake.operators import dedupe, enrich, headers, ordering, quality, reconcile
 from orderlake.operators import sequence as sq
 from orderlake.operators import upsert as up
+from orderlake.operators._common import sized_broadcast
 from orderlake.sources import files
 
 # ------------------------------------------------------------------ fixed values
@@ -168,15 +169,14 @@ def _header_table(rows: DataFrame) -> DataFrame:
 
 
 def _project_matched(rows: DataFrame, matched: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Long rows + (file, position -> name) -> one column per canonical name.
-
-    Cells are exploded to (file, line, position, value), joined to the header
-    match (one row per file and position) and pivoted back per line: each
-    pivot group is one report line, bounded by its number of columns."""
-    cells = rows.select("source_path", "source_file", "line_no", F.posexplode("values").alias("position", "value"))
-    m = matched.select(F.col("file").alias("source_path"), "position", "name")
-    j = cells.join(m, ["source_path", "position"])
-    return j.groupBy("source_path", "source_file", "line_no").pivot("name", list(names)).agg(F.first("value"))
+    """Long rows + the matched position of each canonical name per file -> one
+    column per canonical name: each cell is picked by its file's position (one
+    small row per file)."""
+    index = matched.groupBy(F.col("file").alias("source_path")).agg(
+        F.map_from_entries(F.collect_list(F.struct("name", "position"))).alias("__at"))    # at most one entry a name
+    j = rows.join(sized_broadcast(index), "source_path")
+    return j.select("source_path", "source_file", "line_no", *[
+        F.when(F.col("__at")[n].isNotNull(), F.get("values", F.col("__at")[n])).alias(n) for n in names])
 
 
 def marketplace_c(spark: SparkSession, orders_path: str, returns_path: str, registry: DataFrame,

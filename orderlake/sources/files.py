@@ -203,25 +203,24 @@ def read_banner_tsv(spark: SparkSession, path: str, banner: str | None = None,
     """Tab-separated exports whose header sits on ``header_line``
     (1-based).  With ``banner`` the first line must start with it, else the
     file is skipped.  ``require_headers`` keeps only files whose header
-    contains every listed keyword (substring).  Returns long form
+    contains every listed keyword (substring).  A file is decoded in one task
+    (2 GB at most), so large exports should come as several files; each has its
+    own banner and header.  Returns long form
     (source_path, source_file, line_no, header array, values array) so files with different
     headers stay separate; ``pivot_banner_rows`` turns it into columns."""
     raw = spark.read.format("binaryFile").load(path)
+    text = F.regexp_replace(F.decode("content", encoding), "\r|^\ufeff", "")
     lines = raw.select(F.col("path").alias("source_path"), F.element_at(F.split("path", "/"), -1).alias("source_file"),
-                       F.posexplode(F.split(F.regexp_replace(F.decode("content", encoding), "\r", ""), "\n"))
-                       .alias("line_no", "line"))
-    lines = lines.withColumn("line", F.regexp_replace("line", "^﻿", ""))
-    first = lines.filter(F.col("line_no") == 0).select("source_path", F.col("line").alias("__first"))
-    hdr = lines.filter(F.col("line_no") == header_line - 1).select(
-        "source_path", F.split("line", "\t").alias("header"))
-    ok = hdr.join(first, "source_path")
+                       F.split(text, "\n").alias("lines"))                    # decoded once per file
+    lines = lines.filter(F.size("lines") >= header_line)
     if banner:
-        ok = ok.filter(F.col("__first").startswith(banner))
+        lines = lines.filter(F.get("lines", F.lit(0)).startswith(banner))
+    lines = lines.withColumn("header", F.split(F.get("lines", F.lit(header_line - 1)), "\t"))
     for kw in require_headers:
-        ok = ok.filter(F.exists("header", lambda h: h.contains(kw)))
-    body = lines.filter((F.col("line_no") >= header_line) & (F.trim("line") != ""))
-    return body.join(ok.select("source_path", "header"), "source_path") \
-        .select("source_path", "source_file", "line_no", "header", F.split("line", "\t").alias("values"))
+        lines = lines.filter(F.exists("header", lambda h: h.contains(kw)))
+    body = lines.select("source_path", "source_file", "header", F.posexplode("lines").alias("line_no", "line"))
+    return body.filter((F.col("line_no") >= header_line) & (F.trim("line") != "")).select(
+        "source_path", "source_file", "line_no", "header", F.split("line", "\t").alias("values"))
 
 
 def pivot_banner_rows(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
