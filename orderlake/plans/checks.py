@@ -215,12 +215,17 @@ SELECT o_orderkey, o_custkey, o_orderstatus, 'F' AS source FROM orders WHERE o_o
 UNION ALL
 SELECT o_orderkey, o_custkey, o_orderstatus, 'P' AS source FROM orders p
 WHERE o_orderstatus = 'P' AND NOT EXISTS (SELECT 1 FROM orders f WHERE f.o_orderstatus = 'F' AND f.o_custkey = p.o_custkey)
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, 'other' AS source FROM orders p
+WHERE o_orderstatus NOT IN ('F', 'P') AND NOT EXISTS (SELECT 1 FROM orders f WHERE f.o_orderstatus IN ('F', 'P') AND f.o_custkey = p.o_custkey)
 """)
 def priority_union(spark, d):
-    """customers' F orders, plus P orders of customers without any F."""
+    """customers' F orders, then P orders of customers without any F,
+    then the other orders of customers without either."""
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return up.priority_union([o.filter("o_orderstatus = 'F'"), o.filter("o_orderstatus = 'P'")],
-                             "o_custkey", source_col="source", labels=["F", "P"])
+    return up.priority_union([o.filter("o_orderstatus = 'F'"), o.filter("o_orderstatus = 'P'"),
+                              o.filter("o_orderstatus NOT IN ('F', 'P')")],
+                             "o_custkey", source_col="source", labels=["F", "P", "other"])
 
 
 # ---------------------------------------------------------------- sequences
@@ -1544,3 +1549,127 @@ def return_tsv_roundtrip(spark, d):
      .csv(path))
     long = files.read_banner_tsv(spark, path, header_line=1, encoding="UTF-16", require_headers=RETURN_HEADERS_C)
     return files.pivot_banner_rows(long, RETURN_TSV_HEADERS).select(*RETURN_TSV_HEADERS)
+
+
+# ---------------------------------------------------------------- loads, files, columns, sorts
+
+@check("load_dispositions", """
+SELECT year(o_orderdate) * 100 + month(o_orderdate) AS month, count(*) AS rows, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS amount
+FROM orders GROUP BY 1
+""")
+def load_dispositions(spark, d):
+    """K2 + K3 + K5 + K8: orders loaded into a month-partitioned typed table;
+    loading them again as an append finds repeated keys and becomes a truncate,
+    so the table still holds each order once."""
+    fields = [cf.Field("order_sn", 1), cf.Field("amount", 2, type="NUMERIC"), cf.Field("month", 3, type="INTEGER")]
+    o = table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("order_sn"), F.col("o_totalprice").alias("amount"),
+        (F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("month"))
+    path, schema = scratch_path(spark, f"load-{uuid.uuid4().hex}"), cf.schema_for(fields)
+    sinks.write_table(o, path, "truncate", schema=schema, partition_by=["month"], sort_within=["order_sn"])
+    old = spark.read.schema(schema).parquet(path).checkpoint(eager=True)
+    mode = sinks.guarded_mode(old.unionByName(o.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])),
+                              "order_sn", "append", on_dup="overwrite")
+    sinks.write_table(o, path, mode, schema=schema, partition_by=["month"])
+    back = spark.read.schema(schema).parquet(path)
+    return back.groupBy("month").agg(F.count(F.lit(1)).alias("rows"), F.sum("amount").alias("amount"))
+
+
+@check("latest_files", """
+WITH f AS (SELECT url AS path, regexp_extract(url, '([^/?#]*)([?#].*)?$', 1) AS name, regexp_extract(url, '://([^/?#]*)', 1) AS stem,
+                  (page_id * 7919) % 1009 AS m FROM pages)
+SELECT path, name, stem, 'snapshot' AS kind FROM (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY m DESC, path DESC) AS k FROM f) WHERE k = 1
+UNION ALL
+SELECT path, name, canonical, 'newest' FROM (SELECT *, regexp_replace(name, '[0-9]', '', 'g') AS canonical,
+       row_number() OVER (PARTITION BY regexp_replace(name, '[0-9]', '', 'g') ORDER BY m DESC, path DESC) AS k FROM f) WHERE k = 1
+""")
+def latest_files(spark, d):
+    """S7 + S11: every page as a file of its host: the newest file per host, and
+    the newest per canonical name."""
+    url = F.col("url")
+    f = table(spark, d, "pages").select(
+        url.alias("path"), F.regexp_extract(url, r"([^/?#]*)([?#].*)?$", 1).alias("name"),
+        F.timestamp_seconds((F.col("page_id") * 7919) % 1009).alias("modificationTime"))
+    snap = files.latest_snapshot(f, F.regexp_extract("path", "://([^/?#]*)", 1))
+    newest = files.newest_version(f, F.regexp_replace("name", "[0-9]", ""))
+    return snap.select("path", "name", "stem", F.lit("snapshot").alias("kind")).unionByName(
+        newest.select("path", "name", F.col("canonical_name").alias("stem"), F.lit("newest").alias("kind")))
+
+
+@check("master_dimension", """
+WITH t AS (SELECT p_brand AS shop_id, p_partkey, p_name AS shop_name FROM part WHERE p_partkey % 10 <> 0)
+SELECT shop_id, shop_name FROM (SELECT *, row_number() OVER (PARTITION BY shop_id ORDER BY p_partkey DESC) AS k FROM t) WHERE k = 1
+""")
+def master_dimension(spark, d):
+    """The parts as JSON master entries (every tenth without a key), loaded
+    as a dimension: blank keys dropped, the last entry of a key wins."""
+    from orderlake.sources import master
+    p = table(spark, d, "part")
+    entries = p.select("p_partkey", F.when(F.col("p_partkey") % 10 != 0, F.col("p_brand")).otherwise(F.lit(" ")).alias("shop_id"),
+                       F.col("p_name").alias("shop_name"))
+    path = scratch_path(spark, f"master-{uuid.uuid4().hex}")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    entries.repartitionByRange(n, "p_partkey").sortWithinPartitions("p_partkey").write.json(path)
+    return master.load_dimension(spark, path, "shop_id", position="p_partkey").select("shop_id", "shop_name")
+
+
+@check("messy_columns", """
+SELECT p_partkey AS col_1st_key, p_name AS name中, p_size AS a_b, CAST(p_retailprice AS DECIMAL(18,2)) AS a_b_1, p_brand AS product_brand, p_brand AS brand_alt FROM part
+""")
+def messy_columns(spark, d):
+    """P8 + P9 + P10: names with brackets, dots, digits and a collision made
+    safe and unique; an absent column filled from the first that holds the
+    keyword; listed columns first."""
+    p = table(spark, d, "part").select("p_name", "p_partkey", "p_size", F.col("p_retailprice").cast("decimal(18,2)"), "p_brand")
+    p = p.toDF(*cf.sanitize_names(["Name【中】", "1st key", "a-b", "a.b", "Brand alt"]))
+    p = cf.fallback_column(p, "product_brand", "brand")
+    return p.select(*cf.order_columns(p.columns, first=["col_1st_key"], prefixes=["name", "a_"], last=["brand_alt"]))
+
+
+@check("sorted_positions", """
+WITH t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' ELSE CAST(o_orderkey AS VARCHAR) || CASE o_orderkey % 2 WHEN 0 THEN '.0' ELSE '' END END AS sn, o_custkey FROM orders)
+SELECT o_orderkey, sn, row_number() OVER (ORDER BY TRY_CAST(sn AS DOUBLE) ASC NULLS LAST, o_orderkey ASC) AS numeric_place,
+       row_number() OVER (ORDER BY o_custkey ASC NULLS LAST, sn ASC NULLS LAST, o_orderkey ASC) AS keyed_place FROM t
+""")
+def sorted_positions(spark, d):
+    """O1 + O3: places of all orders by the numeric value of their text ids and
+    by several keys, taken from the sorted rows themselves."""
+    from orderlake.operators import ordering as od
+    k = F.col("o_orderkey")
+    sn = F.when(k % 13 == 0, F.lit("n/a")).otherwise(F.concat(k.cast("string"), F.when(k % 2 == 0, F.lit(".0")).otherwise(F.lit(""))))
+    t = table(spark, d, "orders").select("o_orderkey", "o_custkey", sn.alias("sn"))
+
+    def placed(df, name):          # the rows' order in the sorted frame, as a number
+        return sq.global_sequence(df.withColumn("__at", F.monotonically_increasing_id()), "__at", out=name)
+    a = placed(od.sort_numeric(t, "sn", "o_orderkey"), "numeric_place").select("o_orderkey", "sn", "numeric_place")
+    b = placed(od.sort_by(t, "o_custkey", "sn", "o_orderkey"), "keyed_place").select("o_orderkey", "keyed_place")
+    return a.join(b, "o_orderkey")
+
+
+@check("largest_orders", """
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderpriority ASC NULLS LAST, o_orderkey ASC LIMIT 200
+""")
+def largest_orders(spark, d):
+    """The first 200 orders of a total order (the limit is the operator)."""
+    from orderlake.operators import ordering as od
+    return od.head(table(spark, d, "orders"), 200, "o_orderpriority", "o_orderkey").select("o_orderkey", "o_totalprice")
+
+
+@check("distinct_customers", "SELECT DISTINCT o_custkey FROM orders")
+def distinct_customers(spark, d):
+    """The distinct values of a column."""
+    return quality.distinct_values(table(spark, d, "orders"), "o_custkey")
+
+
+@check("split_date_times", f"""
+WITH s AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 3 THEN 'soon' WHEN o_orderkey % 7 = 4 THEN ' ' ELSE {_rendered_sql()} END AS cell FROM orders)
+SELECT o_orderkey, CAST({_multi_ts_sql('cell')} AS DATE) AS day, strftime({_multi_ts_sql('cell')}, '%H:%M:%S') AS time
+FROM s WHERE {_multi_ts_sql('cell')} IS NOT NULL
+""")
+def split_date_times(spark, d):
+    """D4 + F5: date-time cells split into a date and a time; rows whose date
+    doesn't parse are dropped."""
+    k = F.col("o_orderkey")
+    cell = F.when(k % 7 == 3, F.lit("soon")).when(k % 7 == 4, F.lit(" ")).otherwise(_rendered())
+    s = table(spark, d, "orders").select("o_orderkey", cell.alias("cell")).withColumn("x", fn.split_datetime("cell"))
+    return quality.require_date(s, "cell", F.col("x.date")).select("o_orderkey", F.col("x.date").alias("day"), F.col("x.time").alias("time"))

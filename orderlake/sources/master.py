@@ -5,20 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlake.functions._util import is_blank
 from orderlake.operators.dedupe import keep_last
 
 
 def load_dimension(spark: SparkSession, path: str, key: str, root: str | None = None,
                    position: str = "position") -> DataFrame:
-    """Read a JSON master file (``{root: [ {...}, … ]}`` or one object per
-    line), number entries in file order, drop blank keys and keep the last
-    entry per key (dict-overwrite semantics)."""
-    raw = spark.read.option("multiLine", "true").json(path)
+    """Read a JSON master file (``{root: [ {...}, … ]}``, or without ``root`` one
+    object per line), number entries in file order (objects that have a
+    ``position`` of their own keep it), drop blank keys and keep the last entry
+    per key (dict-overwrite semantics)."""
     if root:
+        raw = spark.read.option("multiLine", "true").json(path)
         raw = raw.select(F.posexplode(root).alias(position, "__e")).select(position, "__e.*")
     else:
-        raw = raw.withColumn(position, F.monotonically_increasing_id())
-    raw = raw.filter(F.col(key).isNotNull() & (F.trim(F.col(key).cast("string")) != ""))
+        raw = spark.read.json(path)
+        if position not in raw.columns:
+            raw = raw.withColumn(position, F.monotonically_increasing_id())
+    raw = raw.filter(~is_blank(key))
     return keep_last(raw, key, position)
 
 

@@ -35,6 +35,28 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def _fixed_buckets(spark: SparkSession, target: str, buckets: int) -> None:
+    """Keep the bucket count with the target: the first micro-batch writes it, a
+    later one with another count is refused (keys would change their bucket)."""
+    sc = spark.sparkContext
+    note = sc._jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/_buckets")
+    fs = note.getFileSystem(sc._jsc.hadoopConfiguration())
+    if fs.exists(note):
+        f = fs.open(note)
+        try:
+            kept = int(sc._jvm.org.apache.commons.io.IOUtils.toString(f, "UTF-8"))
+        finally:
+            f.close()
+        if kept != buckets:
+            raise ValueError(f"the target has {kept} buckets, not {buckets}")
+        return
+    f = fs.create(note, True)
+    try:
+        f.write(bytearray(str(buckets).encode()))
+    finally:
+        f.close()
+
+
 def _latest_epoch_paths(spark: SparkSession, target: str, buckets: set[int] | None = None) -> list[str]:
     """Newest ``epoch=`` folder of every (or every listed) bucket, from the
     folder listing alone — no data file is opened."""
@@ -67,8 +89,10 @@ def _read_epochs(spark: SparkSession, target: str, paths: list[str], keep_bucket
 
 def current_table(spark: SparkSession, path: str) -> DataFrame:
     """Newest epoch of every bucket (the current table), without the layout
-    columns.  Only the newest epoch folders are read."""
-    return _read_epochs(spark, path, _latest_epoch_paths(spark, path), keep_bucket=False)
+    columns.  Only the newest epoch folders are read.  A target that no
+    micro-batch has written yet is a frame without columns and rows."""
+    found = _read_epochs(spark, path, _latest_epoch_paths(spark, path), keep_bucket=False)
+    return found if found is not None else spark.createDataFrame([], T.StructType([]))
 
 
 def upsert_batch(batch: DataFrame, epoch: int, target: str, keys, ts: str | None = None,
@@ -76,6 +100,7 @@ def upsert_batch(batch: DataFrame, epoch: int, target: str, keys, ts: str | None
     """Fold one micro-batch into the target (see module docstring)."""
     keys = as_list(keys)
     spark = batch.sparkSession
+    _fixed_buckets(spark, target, buckets)
     new = batch.withColumn("bucket", _bucket(keys, buckets))
     spec = ([(ts, False)] if ts else []) + [(c, False) for c in as_list(order)]
     new = keep_best(new, keys, spec, tiebreak_ascending=False)
@@ -84,7 +109,8 @@ def upsert_batch(batch: DataFrame, epoch: int, target: str, keys, ts: str | None
     old = _read_epochs(spark, target, _latest_epoch_paths(spark, target, touched), keep_bucket=True) \
         if _exists(spark, target) else None
     merged = upsert(old, new, keys, order=order, ts=ts) if old is not None else new
-    (merged.withColumn("epoch", F.lit(int(epoch)))
+    # one file per bucket and micro-batch
+    (merged.withColumn("epoch", F.lit(int(epoch))).repartition(buckets, "bucket")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("bucket", "epoch").parquet(target))
 

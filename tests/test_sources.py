@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from orderlake.sources import files, master, sinks
@@ -186,3 +187,12 @@ def test_split_reads_keep_the_order_of_lines(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert got == [str(k) for k in range(4000)]
+
+
+def test_bucket_count_is_kept_with_the_target(spark, tmp_dir):
+    batch = spark.createDataFrame([(k, k) for k in range(50)], "k bigint, ts bigint")
+    upsert_batch(batch, 0, f"{tmp_dir}/t", "k", ts="ts", buckets=4)
+    with pytest.raises(ValueError):
+        upsert_batch(batch, 1, f"{tmp_dir}/t", "k", ts="ts", buckets=64)
+    assert current_table(spark, f"{tmp_dir}/t").count() == 50
+    assert current_table(spark, f"{tmp_dir}/none").count() == 0
