@@ -93,7 +93,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of equal texts, columns as they were."""
+    """``docs`` with one row of each group of equal texts, columns as they were
+    (also those named like this operator's own)."""
+    columns = docs.columns
+    docs = docs.toDF(*[f"c{k}" for k in range(len(columns))])
+    id_col, text_col = (f"c{columns.index(c)}" for c in (id_col, text_col))
     judged = stored(exact_dedup(docs, id_col, text_col).select(
         F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha"), "kept"), "exact-judged")
     pairs = judged.groupBy("_id", "_sha").agg(F.max("kept").alias("_some"), F.min("kept").alias("_all"))
@@ -107,4 +111,4 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         first = marked.join(sized_broadcast(repeated, MAX_HASHES), same, "left_semi").withColumn(
             "_one", F.row_number().over(once)).filter("_one = 1").drop("_one")
         left = left.unionByName(first)
-    return left.drop("_own")
+    return left.drop("_own").toDF(*columns)

@@ -353,4 +353,6 @@ def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
     rows that share the kept doc_id stay)."""
     gone = near_duplicates(docs, words, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
     gone = sized_broadcast(stored(gone, "minhash-gone"), MAX_ENDS)
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])       # names may clash
+    left = plain.join(gone, F.col(f"c{docs.columns.index('doc_id')}") == F.col("_gone"), "left_anti")
+    return left.toDF(*docs.columns)

@@ -63,6 +63,9 @@ def test_exact_dedup_empty_and_clashing_columns(spark):
                                "doc_id long, text string, _h string, kept boolean")
     assert exact_dedup.exact_dedup(df).filter("kept").count() == 1
     assert exact_dedup.drop_copies(df).columns == df.columns
+    clash = df.withColumnsRenamed({"_h": "_own", "kept": "_id"}).withColumns({"_gone": F.lit(1), "c0": F.lit(2)})
+    assert exact_dedup.drop_copies(clash).columns == clash.columns and exact_dedup.drop_copies(clash).count() == 1
+    assert minhash.drop_near_copies(clash).columns == clash.columns and minhash.drop_near_copies(clash).count() == 1
 
 
 def _near(rows, words, percent):
