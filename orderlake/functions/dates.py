@@ -68,18 +68,21 @@ def _ts(c: Column, fmt: str) -> Column:
     return F.when(c.rlike(pattern_shape(fmt)), F.try_to_timestamp(c, F.lit(fmt)))
 
 
+def _iso(t: Column) -> Column:
+    return F.when(t.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]"), t.try_cast("timestamp"))
+
+
 def parse_timestamp_multi(c: Column | str, patterns: list[str] | None = None) -> Column:
-    """First layout that parses wins; TIMESTAMP result."""
+    """First layout that parses wins, then ISO 8601 with a ``T``; TIMESTAMP result."""
     t = F.trim(col(c))
     pats = DATE_PATTERNS if patterns is None else patterns
-    return F.coalesce(*[_ts(t, p) for p in pats])
+    return F.coalesce(*[_ts(t, p) for p in pats], _iso(t))
 
 
 def parse_date_multi(c: Column | str, patterns: list[str] | None = None) -> Column:
-    """First layout that parses wins; the result is a DATE (time dropped)."""
-    t = F.trim(col(c))
-    pats = DATE_PATTERNS if patterns is None else patterns
-    return F.to_date(F.coalesce(*[_ts(t, p) for p in pats]))
+    """First layout that parses wins, then ISO 8601 with a ``T``; the result
+    is a DATE (time dropped)."""
+    return F.to_date(parse_timestamp_multi(c, patterns))
 
 
 def _ymd_text(y: Column, m: Column, d: Column) -> Column:

@@ -42,8 +42,11 @@ _TYPE_DEFAULTS = {"STRING": "", "INTEGER": 0, "INT64": 0, "FLOAT": 0.0, "FLOAT64
 
 
 def registry_from_rows(rows: Sequence[Mapping]) -> list[Field]:
-    """Registry sheet rows -> fields.  All-blank rows and rows without a
-    name are skipped; a later duplicate name replaces the earlier one."""
+    """Registry sheet rows -> fields.  A sheet without the column ``name`` is
+    refused.  All-blank rows and rows without a name are skipped; a later
+    duplicate name replaces the earlier one."""
+    if rows and not any("name" in r for r in rows):
+        raise ValueError("the registry sheet has no column name")
     out: dict[str, Field] = {}
     for r in rows:
         vals = [str(v).strip() for v in r.values() if v is not None]

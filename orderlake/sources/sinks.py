@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderlake.functions._util import is_blank
 from orderlake.functions.dates import year_month
 from orderlake.operators.dedupe import key_counts
 
@@ -17,15 +18,20 @@ _MODES = {"truncate": "overwrite", "overwrite": "overwrite", "append": "append",
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists", schema: T.StructType | None = None,
                 partition_by: Sequence[str] | None = None, fmt: str = "parquet",
-                sort_within: Sequence[str] | None = None, **options) -> DataFrame:
+                sort_within: Sequence[str] | None = None, bom: bool = False, **options) -> DataFrame:
     """K1/K2/K8: enforce ``schema`` by select+cast (a cell that doesn't fit
     becomes NULL), refuse empty input, write, and return the row count read back
-    from the written table."""
+    from the written table.  ``bom`` marks CSV files with a header as UTF-8 for
+    spreadsheets: the byte-order mark leads the first header cell."""
     if schema is not None:
         df = df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) if f.name in df.columns
                          else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
     if df.limit(1).count() == 0:
         raise ValueError("refusing to load an empty table")
+    if bom and fmt == "csv":
+        first = next(c for c in df.columns if c not in (partition_by or ()))
+        df = df.withColumnRenamed(first, "\ufeff" + first)
+        sort_within = ["\ufeff" + c if c == first else c for c in sort_within or ()]
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     w = df.write.mode(_MODES.get(mode.lower(), mode)).format(fmt).options(**options)
@@ -101,11 +107,14 @@ def monthly_export(df: DataFrame, date: str, path: str, rename: Mapping[str, str
 
 
 def date_coverage(df: DataFrame, by: str, date: str, prefix_col: str | None = None,
-                  prefix: str = "orders") -> DataFrame:
-    """K9: per group the first/last date and a ``<prefix>_YYYYMMDD_YYYYMMDD`` label."""
+                  prefix: str = "orders", fallback: Sequence[Column] = ()) -> DataFrame:
+    """K9: per group the first/last date and a ``<prefix>_YYYYMMDD_YYYYMMDD``
+    label.  A group without dates takes the first non-blank of the ``fallback``
+    texts (such as a date in its file name, then the run time)."""
     d = F.to_date(F.col(date))
     agg = df.groupBy(by).agg(F.min(d).alias("first_date"), F.max(d).alias("last_date"),
                              F.count(F.lit(1)).cast("bigint").alias("rows"))
     p = F.col(prefix_col) if prefix_col else F.lit(prefix)
     label = F.concat_ws("_", p, F.date_format("first_date", "yyyyMMdd"), F.date_format("last_date", "yyyyMMdd"))
-    return agg.withColumn("label", label)
+    other = F.coalesce(*[F.when(~is_blank(c), c) for c in fallback], F.lit("nodate"))
+    return agg.withColumn("label", F.when(F.col("first_date").isNotNull(), label).otherwise(F.concat_ws("_", p, other)))

@@ -196,3 +196,17 @@ def test_bucket_count_is_kept_with_the_target(spark, tmp_dir):
         upsert_batch(batch, 1, f"{tmp_dir}/t", "k", ts="ts", buckets=64)
     assert current_table(spark, f"{tmp_dir}/t").count() == 50
     assert current_table(spark, f"{tmp_dir}/none").count() == 0
+
+
+def test_csv_mark_and_coverage_fallback(spark, tmp_dir):
+    from orderlake.sources import sinks
+    df = spark.createDataFrame([("訂1", "x"), ("訂2", "y")], ["編號", "v"])
+    assert sinks.write_table(df, f"{tmp_dir}/bom", fmt="csv", header="true", bom=True, sort_within=["編號"]).first()[0] == 2
+    parts = [f for f in os.listdir(f"{tmp_dir}/bom") if f.endswith(".csv")]
+    assert all(open(f"{tmp_dir}/bom/{f}", "rb").read().startswith(b"\xef\xbb\xbf") for f in parts)
+    back = files.read_orders(spark, {"UTF-8": [f"{tmp_dir}/bom"]})
+    assert sorted(r["編號"] for r in back.collect()) == ["訂1", "訂2"]
+    d = spark.createDataFrame([("a", "2025-07-01"), ("a", "2025-07-03"), ("orders_20250105.csv", None), ("x", None)], "f string, d string")
+    name = F.regexp_extract("f", "([0-9]{8})", 1)
+    got = {r["f"]: r["label"] for r in sinks.date_coverage(d, "f", "d", fallback=[name, F.lit("20250801_120000")]).collect()}
+    assert got == {"a": "orders_20250701_20250703", "orders_20250105.csv": "orders_20250105", "x": "orders_20250801_120000"}
