@@ -1,15 +1,17 @@
 """Structured Streaming ingest.
 
-The target table is a folder partitioned by ``bucket`` (hash of the key) and
-``epoch`` (micro-batch id).  A micro-batch rewrites only the buckets it
-touches, into its own epoch; readers take the newest epoch per bucket.  With
-dynamic partition overwrite a replayed batch rewrites exactly the same
-partitions, and because ``upsert`` is idempotent the replay yields the same
-rows — so a lost executor or a restarted query never double-applies a batch.
+The target is a folder partitioned by ``bucket`` (hash of the key) and ``epoch``
+(micro-batch id).  A micro-batch appends only its own rows, one per key, so its
+cost follows the batch and not the table.  Readers keep the winner of each key
+over all epochs; ``compact_epochs`` folds them into one base per bucket (epoch
+-1) from time to time.  With dynamic partition overwrite a replayed batch
+rewrites exactly its own partitions, and the winner rule is idempotent, so a
+lost executor or a restarted query never double-applies a batch.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,102 +21,113 @@ from pyspark.sql.streaming import StreamingQuery
 
 from orderlake.operators._common import as_list
 from orderlake.operators.dedupe import keep_best
-from orderlake.operators.upsert import upsert
+from orderlake.session import ensure_checkpoint_dir
 
 DEFAULT_BUCKETS = 64
+BASE_EPOCH = -1
 
 
 def _bucket(keys: Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+def _hadoop(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
-def _fixed_buckets(spark: SparkSession, target: str, buckets: int) -> None:
-    """Keep the bucket count with the target: the first micro-batch writes it, a
-    later one with another count is refused (keys would change their bucket)."""
-    sc = spark.sparkContext
-    note = sc._jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/_buckets")
-    fs = note.getFileSystem(sc._jsc.hadoopConfiguration())
-    if fs.exists(note):
-        f = fs.open(note)
-        try:
-            kept = int(sc._jvm.org.apache.commons.io.IOUtils.toString(f, "UTF-8"))
-        finally:
-            f.close()
-        if kept != buckets:
-            raise ValueError(f"the target has {kept} buckets, not {buckets}")
-        return
-    f = fs.create(note, True)
+def _rule(spark: SparkSession, target: str) -> dict | None:
+    """The merge rule kept with the target (``_rule``), None before the first batch."""
+    fs, path = _hadoop(spark, f"{target.rstrip('/')}/_rule")
+    if not fs.exists(path):
+        return None
+    f = fs.open(path)
     try:
-        f.write(bytearray(str(buckets).encode()))
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(f, "UTF-8"))
     finally:
         f.close()
 
 
-def _latest_epoch_paths(spark: SparkSession, target: str, buckets: set[int] | None = None) -> list[str]:
-    """Newest ``epoch=`` folder of every (or every listed) bucket, from the
-    folder listing alone — no data file is opened."""
-    sc = spark.sparkContext
-    root = sc._jvm.org.apache.hadoop.fs.Path(target)
-    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    out = []
-    for b in fs.listStatus(root):
-        name = b.getPath().getName()
-        if not (b.isDirectory() and name.startswith("bucket=")):
-            continue
-        if buckets is not None and int(name.split("=", 1)[1]) not in buckets:
-            continue
-        epochs = [(int(e.getPath().getName().split("=", 1)[1]), e.getPath().toString())
-                  for e in fs.listStatus(b.getPath())
-                  if e.isDirectory() and e.getPath().getName().startswith("epoch=")]
-        if epochs:
-            out.append(max(epochs)[1])
-    return out
+def _keep_rule(spark: SparkSession, target: str, rule: dict) -> None:
+    """Keep buckets, keys and order with the target; later micro-batches with
+    others are refused (keys would change their bucket or their winner)."""
+    kept = _rule(spark, target)
+    if kept is None:
+        fs, path = _hadoop(spark, f"{target.rstrip('/')}/_rule")
+        f = fs.create(path, True)
+        try:
+            f.write(bytearray(json.dumps(rule).encode()))
+        finally:
+            f.close()
+    elif kept != rule:
+        raise ValueError(f"the target was written with {kept}, not {rule}")
 
 
-def _read_epochs(spark: SparkSession, target: str, paths: list[str], keep_bucket: bool) -> DataFrame | None:
-    if not paths:
-        return None
-    df = spark.read.option("basePath", target).parquet(*paths).drop("epoch")
-    return df if keep_bucket else df.drop("bucket")
+def _winners(rows: DataFrame, rule: dict) -> DataFrame:
+    """One row per key: the latest ``ts`` (if given), then the newest epoch, then
+    the greatest ``order``."""
+    spec = ([(rule["ts"], False)] if rule["ts"] else []) + [("epoch", False)] + [(c, False) for c in rule["order"]]
+    return keep_best(rows, rule["keys"], spec, tiebreak_ascending=False)
 
 
 def current_table(spark: SparkSession, path: str) -> DataFrame:
-    """Newest epoch of every bucket (the current table), without the layout
-    columns.  Only the newest epoch folders are read.  A target that no
+    """The winner of every key, without the layout columns.  A target that no
     micro-batch has written yet is a frame without columns and rows."""
-    found = _read_epochs(spark, path, _latest_epoch_paths(spark, path), keep_bucket=False)
-    return found if found is not None else spark.createDataFrame([], T.StructType([]))
+    rule = _rule(spark, path)
+    if rule is None:
+        return spark.createDataFrame([], T.StructType([]))
+    return _winners(spark.read.parquet(path), rule).drop("bucket", "epoch")
 
 
 def upsert_batch(batch: DataFrame, epoch: int, target: str, keys, ts: str | None = None,
                  order=None, buckets: int = DEFAULT_BUCKETS) -> None:
-    """Fold one micro-batch into the target (see module docstring)."""
-    keys = as_list(keys)
-    spark = batch.sparkSession
-    _fixed_buckets(spark, target, buckets)
-    new = batch.withColumn("bucket", _bucket(keys, buckets))
-    spec = ([(ts, False)] if ts else []) + [(c, False) for c in as_list(order)]
-    new = keep_best(new, keys, spec, tiebreak_ascending=False)
-    # touched buckets: at most ``buckets`` values, so collecting them is bounded
-    touched = {r[0] for r in new.select("bucket").distinct().collect()}
-    old = _read_epochs(spark, target, _latest_epoch_paths(spark, target, touched), keep_bucket=True) \
-        if _exists(spark, target) else None
-    merged = upsert(old, new, keys, order=order, ts=ts) if old is not None else new
+    """Add one micro-batch to the target (see module docstring)."""
+    rule = {"buckets": buckets, "keys": as_list(keys), "ts": ts, "order": as_list(order)}
+    rows = batch.withColumn("bucket", _bucket(rule["keys"], buckets)).withColumn("epoch", F.lit(int(epoch)))
+    if batch.isEmpty():
+        return
+    _keep_rule(batch.sparkSession, target, rule)
     # one file per bucket and micro-batch
-    (merged.withColumn("epoch", F.lit(int(epoch))).repartition(buckets, "bucket")
+    (_winners(rows, rule).repartition(buckets, "bucket")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("bucket", "epoch").parquet(target))
 
 
+def compact_epochs(spark: SparkSession, target: str) -> int:
+    """Fold all epochs of the target into one base per bucket; returns the number
+    of epoch folders removed.
+
+    The base has an epoch of its own (-1), so a replay of the last micro-batch
+    can't overwrite it.  Run between micro-batches, not during one: the winners
+    are checkpointed, written as the base, and only then are the epochs removed.
+    """
+    rule = _rule(spark, target)
+    if rule is None:
+        return 0
+    ensure_checkpoint_dir(spark)
+    done = _epoch_folders(spark, target)
+    base = _winners(spark.read.parquet(target), rule).withColumn("epoch", F.lit(BASE_EPOCH)).checkpoint(eager=True)
+    (base.repartition(rule["buckets"], "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket", "epoch").parquet(target))
+    for path in done:
+        fs, jpath = _hadoop(spark, path)
+        fs.delete(jpath, True)
+    return len(done)
+
+
+def _epoch_folders(spark: SparkSession, target: str) -> list[str]:
+    """Folders of micro-batches (not of the base), from the listing alone."""
+    fs, root = _hadoop(spark, target)
+    out = []
+    for b in fs.listStatus(root):
+        if b.isDirectory() and b.getPath().getName().startswith("bucket="):
+            for e in fs.listStatus(b.getPath()):
+                name = e.getPath().getName()
+                if e.isDirectory() and name.startswith("epoch=") and name != f"epoch={BASE_EPOCH}":
+                    out.append(e.getPath().toString())
+    return out
+
+
 def ingest_stream(spark: SparkSession, source: str, schema: T.StructType, target: str,
                   checkpoint: str, keys, ts: str | None = None, order=None,
                   clean: Callable[[DataFrame], DataFrame] | None = None, fmt: str = "parquet",
@@ -150,29 +163,3 @@ def suppress_duplicates(stream: DataFrame, keys, ts: str, horizon: str = "1 day"
         return (out.withWatermark("__event_time", horizon)
                 .dropDuplicatesWithinWatermark(as_list(keys)).drop("__event_time"))
     return stream.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(as_list(keys))
-
-
-def compact_epochs(spark: SparkSession, target: str, keep: int = 1) -> int:
-    """Delete superseded epochs of the target table, keeping the newest ``keep``
-    per bucket (readers only ever use the newest).  Returns the number of
-    epoch folders removed.  Run between micro-batches, not during one."""
-    sc = spark.sparkContext
-    jvm = sc._jvm
-    root = jvm.org.apache.hadoop.fs.Path(target)
-    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return 0
-    removed = 0
-    for b in fs.listStatus(root):
-        name = b.getPath().getName()
-        if not (b.isDirectory() and name.startswith("bucket=")):
-            continue
-        epochs = []
-        for e in fs.listStatus(b.getPath()):
-            en = e.getPath().getName()
-            if e.isDirectory() and en.startswith("epoch="):
-                epochs.append((int(en.split("=", 1)[1]), e.getPath()))
-        for _, p in sorted(epochs, key=lambda t: t[0])[:-keep] if keep > 0 else []:
-            fs.delete(p, True)
-            removed += 1
-    return removed

@@ -210,3 +210,20 @@ def test_csv_mark_and_coverage_fallback(spark, tmp_dir):
     name = F.regexp_extract("f", "([0-9]{8})", 1)
     got = {r["f"]: r["label"] for r in sinks.date_coverage(d, "f", "d", fallback=[name, F.lit("20250801_120000")]).collect()}
     assert got == {"a": "orders_20250701_20250703", "orders_20250105.csv": "orders_20250105", "x": "orders_20250801_120000"}
+
+
+def test_compaction_then_more_batches(spark, tmp_dir):
+    """Base plus later epochs, a replay of the last batch, and a second compaction."""
+    from orderlake.streaming import compact_epochs
+    schema = "k bigint, v bigint"
+    batch = lambda lo, hi, v: spark.createDataFrame([(k, v) for k in range(lo, hi)], schema)     # noqa: E731
+    got = lambda: sorted(map(tuple, current_table(spark, f"{tmp_dir}/c").select("k", "v").collect()))
+    for epoch, (lo, hi) in enumerate([(0, 30), (10, 40)]):
+        upsert_batch(batch(lo, hi, epoch), epoch, f"{tmp_dir}/c", "k", buckets=4)
+    want = [(k, 0 if k < 10 else 1) for k in range(40)]
+    assert got() == want and compact_epochs(spark, f"{tmp_dir}/c") == 8 and got() == want
+    upsert_batch(batch(10, 40, 1), 1, f"{tmp_dir}/c", "k", buckets=4)                          # replayed
+    assert got() == want
+    upsert_batch(batch(35, 50, 2), 2, f"{tmp_dir}/c", "k", buckets=4)
+    want = [(k, 0 if k < 10 else 1 if k < 35 else 2) for k in range(50)]
+    assert got() == want and compact_epochs(spark, f"{tmp_dir}/c") > 0 and got() == want
