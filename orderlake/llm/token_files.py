@@ -33,7 +33,7 @@ from .common import opened, ranked, scratch, shuffle_partitions, stored
 MAGIC, HEAD = b"TKB1", struct.Struct("<4sIQIQ")
 NULL_ID = np.iinfo(np.int64).min
 BLOCK_IDS = 4_000_000          # ids of a block, and one document more at most
-MEMO = 500_000                 # pieces whose ids a worker remembers
+MEMO = 1_000_000               # pieces whose ids a worker remembers
 SPARK_BLOCKS = "path string, part int, block int, block_offset long, block_bytes long, n_ids long"
 
 #: Lengths of the four ids of each control byte.
@@ -77,8 +77,8 @@ class Pieces:
             for group, ids in zip(groups, self._encode([" " + " ".join(g) for g in groups]), strict=True):
                 begin = np.flatnonzero(self.opens[ids])   # a piece has one space, its first byte
                 if len(begin) == len(group) and begin[0] == 0:
-                    for p, x in zip(group, np.split(ids, begin[1:]), strict=True):
-                        self.memo[p] = x.tobytes()
+                    raw, places = ids.tobytes(), (begin * ids.itemsize).tolist()
+                    self.memo.update((p, raw[a:b]) for p, a, b in zip(group, places, [*places[1:], len(raw)], strict=True))
                 else:
                     for p, x in zip(group, self._encode([" " + p for p in group]), strict=True):
                         self.memo[p] = x.tobytes()
