@@ -133,6 +133,7 @@ def match_fuzzy(headers: DataFrame, registry: DataFrame, min_ratio: float = 0.85
     """
     if min_ratio < PREFIX_FILTER_MIN_RATIO:
         raise ValueError("match_fuzzy needs min_ratio >= 0.85 (prefix-filter bound)")
+    tasks = int(headers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = headers.select("header").distinct().withColumn("__hn", normalize_fuzzy("header"))
     h = (headers.join(texts, "header").groupBy("file", "__hn")
          .agg(F.min("position").alias("__first"), F.max(F.struct("position", "header")).alias("__h"))
@@ -149,7 +150,7 @@ def match_fuzzy(headers: DataFrame, registry: DataFrame, min_ratio: float = 0.85
     rp = _prefix_tokens(rs, "__s", freq, min_ratio).withColumnRenamed("__s", "__rn")
     pairs = (hp.join(rp, "__t").select("__hn", "__rn").distinct().filter(F.col("__hn") != F.col("__rn"))
              .filter(_ratio_possible(F.length("__hn"), F.length("__rn"), min_ratio))
-             .repartition("__hn").sortWithinPartitions("__hn"))
+             .repartition(tasks, "__hn").sortWithinPartitions("__hn"))        # scoring is slow: not coalesced by size
     scored = pairs.withColumn("score", ratio_udf(min_ratio)("__rn", "__hn")).filter(F.col("score") > min_ratio)
     near = (scored.join(r, "__rn").select("__hn", "name", "score").join(h, "__hn")
             .join(exact.select("file", "name"), ["file", "name"], "left_anti"))
