@@ -18,12 +18,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import utf8
+from .common import stored, utf8
 
 SIZES = (3, 4)              # n-gram lengths in characters
 SLOT_BITS, PROBES = 21, 3   # 2**21 slots, three probes
 SHARE, LEAST = 0.3, 2       # an n-gram joins a language at this share of its best rate, seen twice or more
 SLICE = 1 << 19             # characters that are worked on at once
+ROWS = 1000                 # rows whose texts are Python strings at once
 MAX_LANGS = 62
 UNKNOWN = "und"
 #: Share of n-grams that a kept document's language must explain.
@@ -170,7 +171,7 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Filter:
     chance = F.create_map(*[F.lit(v) for r in sizes for v in (r["lang"], int(1e6 * min(1, train_docs / r["count"])))])
     chosen = own.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("train")), F.lit(1_000_000)) < chance[F.col("lang")])
     counts = chosen.select("lang", "text").mapInPandas(_count, "lang string, gram long, n long")
-    counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = stored(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "langid-counts")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     if not totals:
         return Filter(langs, table)
@@ -190,21 +191,25 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Filter:
     return Filter(langs, table)
 
 
-def predict(spark: SparkSession, docs: DataFrame, model: Filter, keep: list[str] = ("doc_id",)) -> DataFrame:
+def predict(spark: SparkSession, docs: DataFrame, model: Filter, keep: list[str] = ("doc_id",),
+            text: str = "text") -> DataFrame:
     """``keep`` columns of every row with lang_pred, score and known, from the text alone."""
     shared = spark.sparkContext.broadcast(model)
+    own = [*keep] if text in keep else [*keep, text]
+    place = own.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = shared.value.predict(batch.column("_text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(got.lang_pred, pa.string()), pa.array(got.score), pa.array(got.known)],
-                names=[*batch.schema.names[:-1], "lang_pred", "score", "known"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                got = shared.value.predict(batch.column(place).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:len(keep)], pa.array(got.lang_pred, pa.string()), pa.array(got.score),
+                     pa.array(got.known)], names=[*keep, "lang_pred", "score", "known"])
 
-    rows = docs.select(*keep, F.col("text").alias("_text"))
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("known", T.DoubleType())])
-    return rows.mapInArrow(run, schema)
+    return docs.select(*own).mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -228,7 +233,6 @@ def keep_known(docs: DataFrame, least_known: float = LEAST_KNOWN) -> DataFrame:
     if not model.langs:
         return docs
     plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])        # names may clash with the result's
-    judged = predict(docs.sparkSession, plain.withColumn("text", F.col(f"c{docs.columns.index('text')}")), model,
-                     plain.columns)
+    judged = predict(docs.sparkSession, plain, model, plain.columns, f"c{docs.columns.index('text')}")
     kept = judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("known") >= least_known))
     return kept.select(*plain.columns).toDF(*docs.columns)
