@@ -4,6 +4,11 @@ Two smoothed variable-order Markov models over the bytes of host and path are
 counted from all URLs that a rule accepts or rejects.  A URL without a rule is
 judged by the difference of its log-likelihoods, divided by its length, against
 a threshold that is calibrated on rule-judged URLs left out of the counts.
+
+The model is a Spark table with one row for each distinct n-gram of the URLs, so
+it grows with them.  An n-gram's ORDER + 1 bytes fit a long, which is its key;
+shorter n-grams and all contexts are sums over the same rows, so a gram never
+counts more than its context.
 """
 
 from __future__ import annotations
@@ -12,16 +17,21 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlake.operators._common import sized_broadcast
+
 from .common import LOWER, UPPER, stored
 
 #: (verdict, rule); a rule is a host suffix and a path prefix.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
-#: Longest context in bytes; bits of a hashed count table; weight of the shorter context.
+#: Longest context in bytes; bits of a hashed count table (``ratio`` alone); weight of the shorter context.
 ORDER, BITS, PRIOR = 4, 16, 4.0
+#: Summed weights are whole multiples of 1 / UNIT nats, so their order doesn't matter.
+UNIT = float(1 << 32)
+ROWS = 1000          # URLs whose n-grams leave a task at once
 #: Every CALIBRATE-th rule-judged URL (by crc32 of its id) sets the threshold instead of the counts.
 CALIBRATE = 5
 BINS = 4000          # of the calibration histogram, each a hundredth of a nat per byte wide
@@ -47,12 +57,10 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES
     return rule, verdict
 
 
-def _hashed(texts: Sequence[str]):
-    """Table slots of every position of every text and its end.
-
-    Returns (grams, contexts, lengths): grams[k] and contexts[k] are the slots
-    of the n-gram with k bytes of context and of that context alone.
-    """
+def _positions(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, places, lengths): the joined bytes of all texts, each after ORDER
+    bytes of padding and with an end byte; the places of all bytes but padding;
+    and how many each text has."""
     lengths = []
     parts = []
     for t in texts:
@@ -63,6 +71,87 @@ def _hashed(texts: Sequence[str]):
     lengths = np.array(lengths)
     begin = np.cumsum(lengths + ORDER) - lengths
     target = np.arange(lengths.sum()) + np.repeat(begin - (np.cumsum(lengths) - lengths), lengths)
+    return data, target, lengths
+
+
+def _keys(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, lengths): the n-gram that ends at each position, its bytes as one
+    number (the last byte lowest)."""
+    data, target, lengths = _positions(texts)
+    keys = np.zeros(len(target), np.uint64)
+    for k in range(ORDER, -1, -1):
+        keys = (keys << np.uint64(8)) | data[target - k]
+    return keys.astype(np.int64), lengths
+
+
+def _spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for whole in batches:
+        for at in range(0, len(whole), ROWS):
+            batch = whole.iloc[at:at + ROWS]
+            keys, lengths = _keys(batch.text.tolist())
+            yield pd.DataFrame({c: np.repeat(batch[c].to_numpy(), lengths) for c in ("row", "block", "allow")}
+                               | {"gram": keys})
+
+
+def spelled(rows: DataFrame) -> DataFrame:
+    """One row per byte and end of each of ``rows`` (row, text, block, allow):
+    row, block, allow, gram."""
+    return rows.mapInPandas(_spell, "row long, block long, allow long, gram long")
+
+
+def weights(grams: DataFrame, block: int, allow: int) -> DataFrame:
+    """(gram, weight): what an n-gram adds to the log-likelihood difference,
+    accepted minus rejected, in 1 / UNIT nats.
+
+    ``grams`` has the exact counts (gram, block, allow) of the longest n-grams, and
+    0 for those that are only to be scored; ``block`` and ``allow`` are the sums of
+    the counts.  Level by level, an n-gram meets its context (at most 256 n-grams
+    each) and its own end (the end of at most 256).
+    """
+    classes = {"block": block, "allow": allow}
+    levels = [grams]
+    for k in range(ORDER - 1, -1, -1):
+        shorter = F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1))
+        levels.insert(0, levels[0].groupBy(shorter.alias("gram")).agg(*[F.sum(c).alias(c) for c in classes]))
+    below = levels[0].select("gram", *[
+        ((F.col(c) + F.lit(PRIOR / 256)) / F.lit(n + PRIOR)).alias(f"p_{c}") for c, n in classes.items()])
+    for k in range(1, ORDER + 1):
+        context = Window.partitionBy(F.shiftright("gram", 8))
+        counted = levels[k].select("gram", F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("_end"), *classes,
+                                   *[F.sum(c).over(context).alias(f"_of_{c}") for c in classes])
+        below = counted.join(below.withColumnRenamed("gram", "_end"), "_end").select("gram", *[
+            ((F.col(c) + F.lit(PRIOR) * F.col(f"p_{c}")) / (F.col(f"_of_{c}") + F.lit(PRIOR))).alias(f"p_{c}")
+            for c in classes])
+    weight = F.round((F.log("p_allow") - F.log("p_block")) * F.lit(UNIT)).cast("long")
+    return below.select("gram", weight.alias("weight"))
+
+
+def scores(rows: DataFrame) -> DataFrame | None:
+    """(row, score): the length-normalised log-likelihood difference of each of
+    ``rows`` (row, text, block, allow), accepted minus rejected; ``block`` and
+    ``allow`` are 1 where a row counts for that class, else 0.  None where a class
+    has no row.
+
+    The n-grams are counted and weighted once each; the positions then look their
+    weights up by a join.
+    """
+    grams = stored(spelled(rows).groupBy("gram").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")),
+                   "url-grams")
+    block, allow = grams.agg(F.sum("block"), F.sum("allow")).first()
+    if not block or not allow:
+        return None
+    model = sized_broadcast(stored(weights(grams, block, allow), "url-weights"))
+    return spelled(rows).select("row", "gram").join(model, "gram").groupBy("row").agg(
+        (F.sum("weight") / F.lit(UNIT) / F.count(F.lit(1))).alias("score"))
+
+
+def _hashed(texts: Sequence[str]):
+    """Table slots of every position of every text and its end.
+
+    Returns (grams, contexts, lengths): grams[k] and contexts[k] are the slots
+    of the n-gram with k bytes of context and of that context alone.
+    """
+    data, target, lengths = _positions(texts)
     mix, spread, shift = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - BITS)
     context = np.zeros(len(target), np.uint64)
     grams, contexts = [], []
@@ -75,36 +164,10 @@ def _hashed(texts: Sequence[str]):
     return grams, contexts, lengths
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts = np.zeros((2, TABLES, 1 << BITS), np.int64)
-    for batch in batches:
-        for c, what in enumerate(("block", "allow")):
-            texts = batch.text[batch.verdict == what].tolist()
-            if not texts:
-                continue
-            grams, contexts, _ = _hashed(texts)
-            for k in range(ORDER + 1):
-                counts[c, k] += np.bincount(grams[k], minlength=1 << BITS)
-                if k:
-                    counts[c, ORDER + k] += np.bincount(contexts[k], minlength=1 << BITS)
-    flat = counts.reshape(-1)
-    slots = np.flatnonzero(flat)
-    yield pd.DataFrame({"slot": slots, "n": flat[slots]})
-
-
-def fit(judged: DataFrame) -> np.ndarray:
-    """Count tables of both classes from all rows (text, verdict), summed by Spark.
-
-    The model has a fixed size: 2 classes x TABLES tables x 2**BITS counts.
-    """
-    sums = judged.mapInPandas(_count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    flat = np.zeros(2 * TABLES << BITS)
-    flat[sums.slot.to_numpy(np.int64)] = sums.n.to_numpy(float)
-    return flat.reshape(2, TABLES, 1 << BITS).astype(np.float32)
-
-
 def ratio(texts: Sequence[str], model: np.ndarray) -> np.ndarray:
-    """Length-normalised log-likelihood difference, accepted minus rejected."""
+    """Length-normalised log-likelihood difference, accepted minus rejected, from
+    hashed count tables in memory (2 classes x TABLES x 2**BITS).  Hashed n-grams
+    collide, so ``judge_urls`` doesn't use it."""
     grams, contexts, lengths = _hashed(texts)
     total = np.zeros(int(lengths.sum()))
     for c, sign in ((0, -1.0), (1, 1.0)):
@@ -139,26 +202,19 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> Da
     from one class or none); ``allow`` wins ties.  Repeated rows are judged
     alike.  An empty table gives no rows.
     """
-    spark = pages.sparkSession
     host, path = split_url(F.col("url"))
-    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.select("*", rule.alias("rule"), verdict.alias("_given"), F.concat("host", "path").alias("_text"),
-                       (F.crc32(F.coalesce(F.col("page_id").cast("string"), F.lit("")).cast("binary")) % CALIBRATE == 0)
-                       .alias("_held"))
-    model = fit(rows.filter("_given IS NOT NULL AND NOT _held").select(
-        F.col("_text").alias("text"), F.col("_given").alias("verdict")))
-    shared = spark.sparkContext.broadcast(model)
-    both = bool(model[0].any() and model[1].any())
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            got = ratio(batch.pop("_text").tolist(), shared.value) if both else 0.0
-            yield batch.assign(score=got)
-
-    scored = stored(rows.mapInPandas(
-        score, "page_id long, host string, path string, rule string, _given string, _held boolean, score double"),
-        "url-scores")
+    held = F.crc32(F.coalesce(F.col("page_id").cast("string"), F.lit("")).cast("binary")) % CALIBRATE == 0
+    rows = stored(rows.select("*", rule.alias("rule"), verdict.alias("_given"), held.alias("_held"),
+                              F.monotonically_increasing_id().alias("_row")), "url-rows")
+    counts = lambda what: F.coalesce((F.col("_given") == what) & ~F.col("_held"), F.lit(False)).cast("long")
+    judged = scores(rows.select(F.col("_row").alias("row"), F.concat("host", "path").alias("text"),
+                                counts("block").alias("block"), counts("allow").alias("allow")))
+    if judged is None:
+        scored = rows.withColumn("score", F.lit(0.0))
+    else:
+        scored = stored(rows.join(judged.withColumnRenamed("row", "_row"), "_row"), "url-scores")
     bins = F.least(F.greatest(F.floor(F.col("score") * 100), F.lit(-BINS // 2)), F.lit(BINS // 2 - 1))
     cut = threshold(scored.filter("_held AND _given IS NOT NULL").groupBy(
         F.col("_given").alias("verdict"), bins.alias("bin")).agg(F.count(F.lit(1)).alias("n")).toPandas())

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import struct
+import zlib
 
 import pyarrow.fs as pafs
 import pytest
@@ -89,6 +90,40 @@ def test_ratio_matches_a_plain_model():
         assert value == pytest.approx(total / (len(t.encode()) + 1), rel=1e-4, abs=1e-5)
 
 
+def test_scores_are_exact_beyond_a_fixed_table(spark):
+    """More n-grams of an order than any 2**16 slots hold apart, against counts in dictionaries."""
+    import math
+    from collections import Counter
+
+    rng = random.Random(5)
+    rows = []
+    for k in range(6000):
+        name = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789-_~%") for _ in range(40))
+        rows.append((k, f"http://{['b.net', 'a.org/fr', 'h.test'][k % 3]}/{name}", None))
+    out = {r.page_id: r for r in urlfilter.judge_urls(spark.createDataFrame(rows, PAGES).repartition(5)).collect()}
+    assert len(out) == len(rows)
+    grams, contexts = Counter(), Counter()
+    spell = lambda r: [1] * 4 + [*(r.host + r.path).encode(), 0]                    # noqa: E731
+    for r in out.values():
+        if r.rule and zlib.crc32(str(r.page_id).encode()) % urlfilter.CALIBRATE:
+            b = spell(r)
+            for at in range(4, len(b)):
+                for n in range(5):
+                    grams[r.verdict, tuple(b[at - n:at + 1])] += 1
+                    contexts[r.verdict, n, tuple(b[at - n:at])] += 1
+    assert sum(len(g) == 5 and c == "block" for c, g in grams) > 60_000
+    for k in range(2, 6000, 97):
+        b, total = spell(out[k]), 0.0
+        for at in range(4, len(b)):
+            for c, sign in (("block", -1), ("allow", 1)):
+                p = 1 / 256
+                for n in range(5):
+                    p = (grams[c, tuple(b[at - n:at + 1])] + urlfilter.PRIOR * p) / (
+                        contexts[c, n, tuple(b[at - n:at])] + urlfilter.PRIOR)
+                total += sign * math.log(p)
+        assert out[k].score == pytest.approx(total / (len(b) - 4), abs=1e-8)
+
+
 def test_url_empty_and_query(spark):
     assert urlfilter.judge_urls(spark.createDataFrame([], PAGES)).count() == 0
     sf = "/root/testdata/sf0.001"
