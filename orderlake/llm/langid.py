@@ -1,8 +1,8 @@
 """Language identification with bit-sliced Bloom filters of character n-grams.
 
-The filter is one table of slots; a slot holds one bit per language.  Looking
-an n-gram up in PROBES slots and AND-ing them returns all languages whose set
-holds it at once.  A text's hits per language, less the expected false
+The filter is one table of slots; a slot holds one bit per language, in as many
+words of WORD bits as the languages need.  Looking an n-gram up in PROBES slots
+and AND-ing them returns all languages of a word whose set holds it at once.  A text's hits per language, less the expected false
 positives of that language's share of set bits, decide.
 """
 
@@ -25,7 +25,7 @@ SLOT_BITS, PROBES = 21, 3   # 2**21 slots, three probes
 SHARE, LEAST = 0.3, 2       # an n-gram joins a language at this share of its best rate, seen twice or more
 SLICE = 1 << 19             # characters that are worked on at once
 ROWS = 1000                 # rows whose texts are Python strings at once
-MAX_LANGS = 62
+WORD = 64                   # languages of a mask word
 UNKNOWN = "und"
 #: Share of n-grams that a kept document's language must explain.
 LEAST_KNOWN = 0.3
@@ -115,13 +115,15 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class Filter:
-    """The fitted filter: languages (most documents first), slot table, and each
-    language's chance of a false positive."""
+    """The fitted filter: languages (most documents first), slot table (one row
+    of slots for every WORD languages), and each language's chance of a false
+    positive."""
 
     def __init__(self, langs: list[str], table: np.ndarray):
-        self.langs, self.table = langs, table
-        fill = np.array([((table >> k) & 1).mean() for k in range(len(langs))]) if langs else np.zeros(0)
-        self.false = fill ** PROBES
+        self.langs, self.table = langs, np.atleast_2d(table)
+        one = self.table.dtype.type
+        fill = [((self.table[k // WORD] >> one(k % WORD)) & one(1)).mean() for k in range(len(langs))]
+        self.false = np.array(fill, float) ** PROBES
 
     def predict(self, texts: list) -> pd.DataFrame:
         """lang_pred, score (best share of the corrected hits) and known (corrected
@@ -134,13 +136,17 @@ class Filter:
             for h, own in _grams(codes, of):
                 if not len(h):
                     continue
-                found = functools.reduce(np.bitwise_and, (self.table[s] for s in _slots(h)))
+                slots = _slots(h)
                 begin = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
                 at = own[begin]
                 np.add.at(total, at, np.diff(np.r_[begin, len(own)]))
-                for k in range(len(self.langs)):
-                    bits = ((found >> self.table.dtype.type(k)) & self.table.dtype.type(1)).astype(np.int32)
-                    np.add.at(hits[:, k], at, np.add.reduceat(bits, begin))
+                for w, word in enumerate(self.table):
+                    found = functools.reduce(np.bitwise_and, (word[s] for s in slots))
+                    there = int(np.bitwise_or.reduce(found))
+                    for k in range(w * WORD, min((w + 1) * WORD, len(self.langs))):
+                        if there >> (k % WORD) & 1:
+                            bits = ((found >> word.dtype.type(k % WORD)) & word.dtype.type(1)).astype(np.int32)
+                            np.add.at(hits[:, k], at, np.add.reduceat(bits, begin))
         if not self.langs:
             return pd.DataFrame({"lang_pred": [UNKNOWN] * n, "score": np.zeros(n), "known": np.zeros(n)})
         right = np.maximum(0, (hits - total[:, None] * self.false) / np.maximum(1e-9, 1 - self.false))
@@ -157,37 +163,37 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Filter:
     """Fit on ``lang`` and whole texts of the labelled documents that aren't held
     out, about ``train_docs`` of each language (all, where there are fewer),
     chosen by a hash of the id.  N-grams are counted and the slots are filled by
-    Spark; the driver gets at most 2**SLOT_BITS slots and one row a language."""
+    Spark; the driver gets one row a language, and of every WORD languages at
+    most 2**SLOT_BITS slots."""
     own = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = own.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS + 1).collect()
-    if len(sizes) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+    sizes = own.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     langs = [r["lang"] for r in sizes]
     kind = np.uint8 if len(langs) <= 8 else np.uint16 if len(langs) <= 16 else np.uint64
-    table = np.zeros(1 << SLOT_BITS, kind)
+    table = np.zeros((max(1, -(-len(langs) // WORD)), 1 << SLOT_BITS), kind)
     if not langs:
         return Filter(langs, table)
-    number = F.create_map(*[F.lit(v) for k, x in enumerate(langs) for v in (x, k)])
-    chance = F.create_map(*[F.lit(v) for r in sizes for v in (r["lang"], int(1e6 * min(1, train_docs / r["count"])))])
-    chosen = own.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("train")), F.lit(1_000_000)) < chance[F.col("lang")])
+    about = docs.sparkSession.createDataFrame(
+        [(r["lang"], k, int(1e6 * min(1, train_docs / r["count"]))) for k, r in enumerate(sizes)],
+        "lang string, k int, chance long")
+    chosen = own.select("doc_id", "lang", "text").join(F.broadcast(about), "lang").filter(
+        F.pmod(F.xxhash64(F.col("doc_id"), F.lit("train")), F.lit(1_000_000)) < F.col("chance"))
     counts = chosen.select("lang", "text").mapInPandas(_count, "lang string, gram long, n long")
     counts = stored(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "langid-counts")
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    if not totals:
-        return Filter(langs, table)
-    every = F.create_map(*[F.lit(v) for x, n in totals.items() for v in (x, float(n))])
-    rates = counts.filter(F.col("n") >= LEAST).select(
-        "gram", F.struct((F.col("n") / every[F.col("lang")]).alias("rate"), number[F.col("lang")].alias("k")).alias("x"))
+    totals = counts.groupBy("lang").agg(F.sum("n").cast("double").alias("every")).join(F.broadcast(about), "lang")
+    rates = counts.filter(F.col("n") >= LEAST).join(F.broadcast(totals), "lang").select(
+        "gram", F.struct((F.col("n") / F.col("every")).alias("rate"), "k").alias("x"))
     sets = rates.groupBy("gram").agg(F.collect_list("x").alias("xs"))      # at most one entry a language
     top = F.array_max(F.transform("xs", lambda x: x["rate"]))
-    bits = F.aggregate(F.filter("xs", lambda x: x["rate"] >= SHARE * F.col("top")), F.lit(0).cast("long"),
-                       lambda a, x: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), x["k"])))
-    masks = sets.withColumn("top", top).select("gram", bits.alias("mask"))
+    members = sets.withColumn("top", top).select(
+        "gram", F.explode(F.filter("xs", lambda x: x["rate"] >= SHARE * F.col("top"))["k"]).alias("k"))
     low = F.col("gram").bitwiseAND(F.lit(0xFFFFFFFF))
     high = F.shiftrightunsigned("gram", 32).bitwiseOR(F.lit(1).cast("long"))
     probes = F.explode(F.array(*[(low + F.lit(j) * high).bitwiseAND(F.lit((1 << SLOT_BITS) - 1)) for j in range(PROBES)]))
-    slots = masks.select(probes.alias("slot"), "mask").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toPandas()
-    table[slots.slot.to_numpy(np.int64)] = slots["mask"].to_numpy(np.int64).astype(kind)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("k") % WORD)
+    slots = members.select(probes.alias("slot"), F.floor(F.col("k") / WORD).alias("word"), bit.alias("bit")).groupBy(
+        "slot", "word").agg(F.bit_or("bit").alias("mask")).toPandas()
+    table[slots["word"].to_numpy(np.int64), slots.slot.to_numpy(np.int64)] = (
+        slots["mask"].to_numpy(np.int64).view(np.uint64).astype(kind))
     return Filter(langs, table)
 
 

@@ -54,6 +54,19 @@ def test_language_without_labels_or_rows(spark, make_docs):
     assert langid.keep_known(clash).columns == clash.columns
 
 
+def test_any_number_of_languages(spark, make_docs):
+    """More languages than the bits of two mask words, each with words of its own."""
+    rng = random.Random(6)
+    words = {f"l{n:03}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(6)]
+             for n in range(140)}
+    rows = [(8 * n + k, " ".join(rng.choice(w) for _ in range(30)), lang) for n, (lang, w) in enumerate(words.items())
+            for k in range(8)]
+    out = {r.doc_id: r for r in langid.identify(make_docs(rows)).collect()}
+    assert len(out) == len(rows) and sum(r.held_out for r in out.values()) > 100
+    assert all(out[i].lang_pred == lang for i, _, lang in rows)
+    assert langid.keep_known(make_docs(rows)).count() == len(rows)
+
+
 def test_slices_of_long_texts_agree(monkeypatch):
     table = np.zeros(1 << langid.SLOT_BITS, np.uint8)
     table[::3] = 1
