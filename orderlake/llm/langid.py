@@ -159,24 +159,35 @@ class Filter:
         return pd.DataFrame({"lang_pred": names, "score": score, "known": known})
 
 
+def _train_hash(doc_id: Column) -> Column:
+    return F.xxhash64(doc_id, F.lit("train")).bitwiseAND(F.lit((1 << 63) - 1))
+
+
+def _limit(rows: int, least: int, train_docs: int) -> int:
+    """Largest 63-bit hash that trains, for about ``train_docs`` of a language's
+    ``rows``; its ``least`` hash always does."""
+    return max(least, min(1 << 63, (train_docs << 63) // rows) - 1)
+
+
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Filter:
     """Fit on ``lang`` and whole texts of the labelled documents that aren't held
     out, about ``train_docs`` of each language (all, where there are fewer),
-    chosen by a hash of the id.  N-grams are counted and the slots are filled by
+    chosen by a hash of the id, and never none.  N-grams are counted and the slots are filled by
     Spark; the driver gets one row a language, and of every WORD languages at
     most 2**SLOT_BITS slots."""
     own = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = own.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
+    sizes = own.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), F.min(_train_hash(F.col("doc_id"))).alias("least")
+                                    ).orderBy(F.desc("rows"), "lang").collect()
     langs = [r["lang"] for r in sizes]
     kind = np.uint8 if len(langs) <= 8 else np.uint16 if len(langs) <= 16 else np.uint64
     table = np.zeros((max(1, -(-len(langs) // WORD)), 1 << SLOT_BITS), kind)
     if not langs:
         return Filter(langs, table)
     about = docs.sparkSession.createDataFrame(
-        [(r["lang"], k, int(1e6 * min(1, train_docs / r["count"]))) for k, r in enumerate(sizes)],
-        "lang string, k int, chance long")
+        [(r["lang"], k, _limit(r["rows"], r["least"], train_docs)) for k, r in enumerate(sizes)],
+        "lang string, k int, limit long")
     chosen = own.select("doc_id", "lang", "text").join(F.broadcast(about), "lang").filter(
-        F.pmod(F.xxhash64(F.col("doc_id"), F.lit("train")), F.lit(1_000_000)) < F.col("chance"))
+        _train_hash(F.col("doc_id")) <= F.col("limit"))
     counts = chosen.select("lang", "text").mapInPandas(_count, "lang string, gram long, n long")
     counts = stored(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "langid-counts")
     totals = counts.groupBy("lang").agg(F.sum("n").cast("double").alias("every")).join(F.broadcast(about), "lang")

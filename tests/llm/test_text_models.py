@@ -67,6 +67,18 @@ def test_any_number_of_languages(spark, make_docs):
     assert langid.keep_known(make_docs(rows)).count() == len(rows)
 
 
+def test_no_language_trains_on_nothing(spark, make_docs):
+    """A language keeps a training text where its rows are many for the sample, or share an id."""
+    for rows in (3000, 10**9, 4 * 10**9, 10**12):
+        assert langid._limit(rows, 0, 3000) / 2**63 == pytest.approx(3000 / rows, rel=1e-6)
+    rows = [(i, " ".join([w] * 9), lang) for i, w, lang in [(1, "alpha", "xa"), (2, "gamma", "xb"), (4, "zeta", "xc")]
+            for _ in range(50)]
+    assert not any(zlib.crc32(str(i).encode()) % 4 == 2 for i, _, _ in rows)
+    model = langid.fit(make_docs(rows), train_docs=1)
+    assert len(model.langs) == 3 and (model.false > 0).all()
+    assert list(model.predict(["alpha alpha", "gamma", "zeta"]).lang_pred) == ["xa", "xb", "xc"]
+
+
 def test_slices_of_long_texts_agree(monkeypatch):
     table = np.zeros(1 << langid.SLOT_BITS, np.uint8)
     table[::3] = 1
