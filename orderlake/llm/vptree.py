@@ -119,7 +119,6 @@ def _search(k: int, factor: float):
         if not len(trees) or not len(queries):
             return out.astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
         dim = len(trees.vec.iloc[0])
-        trees = trees.drop_duplicates("vec_id")
         tree = Tree(_matrix(trees.vec, dim), trees.vec_id.to_numpy(np.int64))
         ids, vectors = queries.query_id.to_numpy(np.int64), _matrix(queries.vec, dim)
         found = []
@@ -140,28 +139,28 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, factor: float =
     vec_id, score; ties to the smaller vec_id, a query's own id left out.
 
     Every usable row is in one tree: shards of about ``shard_rows`` by a hash of
-    the id, per dimension.  Queries meet every shard of their dimension in
+    the row's number, per dimension.  Queries meet every shard of their dimension in
     blocks of about GROUP_QUERIES, so a group has a bounded size on both sides;
     a shard returns at most k rows a query.  ``factor`` 1 is exact;
-    larger factors prune more.  Unusable vectors (see ``usable``) take no part;
-    of rows that share a vec_id one counts (the largest vector, component by
-    component); an empty table gives no rows.
+    larger factors prune more.  Unusable vectors (see ``usable``) take no part.
+    Rows that share a vec_id are neighbours each; the different vectors of a
+    query_id are all asked, and its k nearest are those of all of them.  An empty
+    table gives no rows.
     """
-    own = stored(vectors.filter(usable(F.col("vec"))).filter("vec_id IS NOT NULL")
-                 .groupBy("vec_id").agg(F.max("vec").alias("vec"))
-                 .withColumn("_dim", F.size("vec")), "vp-vectors")
-    asked = stored(queries.filter(usable(F.col("vec"))).filter("query_id IS NOT NULL")
-                   .groupBy("query_id").agg(F.max("vec").alias("vec")).withColumn("_dim", F.size("vec")), "vp-queries")
+    own = stored(vectors.filter(usable(F.col("vec"))).filter("vec_id IS NOT NULL").select(
+        "vec_id", "vec", F.size("vec").alias("_dim"), F.monotonically_increasing_id().alias("_row")), "vp-vectors")
+    asked = stored(queries.filter(usable(F.col("vec"))).filter("query_id IS NOT NULL").select("query_id", "vec")
+                   .distinct().withColumn("_dim", F.size("vec")), "vp-queries")
     count = lambda most: F.ceil(F.count(F.lit(1)) / most).cast("int")     # noqa: E731
     sizes = own.groupBy("_dim").agg(count(shard_rows).alias("_shards")).join(
         asked.groupBy("_dim").agg(count(GROUP_QUERIES).alias("_blocks")), "_dim")
     sizes = sized_broadcast(stored(sizes, "vp-sizes"), MAX_DIMS)
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))           # noqa: E731
     sharded = (own.join(sizes, "_dim")
-               .withColumn("_shard", F.pmod(F.xxhash64("vec_id"), F.col("_shards")).cast("int"))
+               .withColumn("_shard", F.pmod(F.xxhash64("_row"), F.col("_shards")).cast("int"))
                .withColumn("_block", numbers("_blocks")))
     asked = (asked.join(sizes, "_dim")
-             .withColumn("_block", F.pmod(F.xxhash64("query_id"), F.col("_blocks")).cast("int"))
+             .withColumn("_block", F.pmod(F.xxhash64("query_id", "vec"), F.col("_blocks")).cast("int"))
              .withColumn("_shard", numbers("_shards")))
     found = (sharded.select("_dim", "_shard", "_block", "vec_id", "vec").groupBy("_dim", "_shard", "_block")
              .cogroup(asked.select("_dim", "_shard", "_block", "query_id", "vec").groupBy("_dim", "_shard", "_block"))

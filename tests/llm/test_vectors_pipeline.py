@@ -74,6 +74,13 @@ def test_unusable_vectors_and_small_tables(spark):
     assert _search(spark, [], [1]) == []
 
 
+def test_rows_that_share_an_id_are_neighbours_each(spark):
+    rows = [(1, [0.0, 1.0]), (2, [0.0, 2.0]), (2, [0.0, 9.0]), (2, [0.0, 2.0]), (3, [0.0, 5.0]), (3, [0.0, 30.0])]
+    got = _search(spark, rows, [1, 3], k=4, shard_rows=2)
+    assert got == [(1, 1, 2, 1.0), (1, 2, 2, 1.0), (1, 3, 3, 4.0), (1, 4, 2, 8.0),
+                   (3, 1, 2, 3.0), (3, 2, 2, 3.0), (3, 3, 1, 4.0), (3, 4, 2, 4.0)]
+
+
 def test_nearest_query_matches_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF}/embeddings.parquet')")
