@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, minhash, packing, sharding, sp_codec, token_files, urlfilter, vptree, warc
+from . import (dualtree, exact_dedup, langid, minhash, packing, sharding, sp_codec, token_files, urlfilter, vptree,
+               warc, whitening)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -70,15 +71,30 @@ def op10_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_codec.codec_round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on their eight leading components, whitened."""
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"), k=8)
+
+
+def op13_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best of all documents for every benchmark item."""
+    return dualtree.rank_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES = {"op1_sharding": op1_sharding, "op2_url_lm_ratio": op2_url_lm_ratio,
            "op3_length_buckets": op3_length_buckets, "op4_warc_seekable_zstd": op4_warc_seekable_zstd,
            "op5_vantage_point_trees": op5_vantage_point_trees,
            "op6_ranked_token_files": op6_ranked_token_files, "op7_exact_dedup": op7_exact_dedup,
            "op8_language_bloom": op8_language_bloom, "op9_minhash_components": op9_minhash_components,
-           "op10_suffix_array_pieces": op10_suffix_array_pieces}
+           "op10_suffix_array_pieces": op10_suffix_array_pieces,
+           "op12_embedding_whitening": op12_embedding_whitening, "op13_dual_tree_search": op13_dual_tree_search}
 
 _STRIPPED = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')"
 
+#: A-Z lower-cased only: translate() on the ASCII letters.
+_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+          r" 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
 _HTML = "coalesce(html, '')"
 _BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + ((('0x' || substr(digest, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)), '')"""
@@ -98,6 +114,22 @@ ORACLES = {
                    FROM e q JOIN e c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
              r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM p)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op13_dual_tree_search": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+             i AS (SELECT row_number() OVER () AS q, item_id, list_distinct({_TERMS}) AS t FROM benchmark),
+             asked AS (SELECT DISTINCT unnest(t) AS term FROM i),
+             c AS (SELECT count(*) AS docs, sum(len(t))::BIGINT AS terms FROM d WHERE len(t) > 0),
+             p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) JOIN asked USING (term)
+                   GROUP BY ALL),
+             w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+                   FROM p, c GROUP BY term, docs),
+             s AS (SELECT q, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(d.t) * docs) // terms))))
+                          ::BIGINT AS score
+                   FROM (SELECT q, unnest(t) AS term FROM i) JOIN w USING (term) JOIN p USING (term) JOIN d USING (r), c
+                   GROUP BY q, r),
+             o AS (SELECT q, r, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id)::INTEGER AS rank
+                   FROM s JOIN d USING (r) WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM o JOIN i USING (q) JOIN d USING (r) WHERE rank <= 50""",
     "op7_exact_dedup": f"""
         WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS points, {_STRIPPED} AS body FROM documents),
              w AS (SELECT doc_id, body,
