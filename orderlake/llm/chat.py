@@ -87,12 +87,21 @@ _WINDOWS = ("segment int, window int, n_tokens long, repeated int, formatted str
 
 
 def _windows(path: str, budget: int, history_tokens: int, history_turns: int):
+    def size(text: str) -> int:
+        return len(next(pieces(path).ids([text])))
+
     def turns(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        heads: dict[str, int] = {}
+        tail = size(END + "\n")
         for b in batches:
             rows = [((conv, seg), lead, role or "", render(role or "", text or "")) for conv, seg, lead, role, text
                     in zip(*(c.to_pylist() for c in b.columns), strict=True)]
-            sizes = map(len, pieces(path).ids(["".join(r[3]) for r in rows]))
-            yield from ((*r, n) for r, n in zip(rows, sizes, strict=True))
+            for r, ids in zip(rows, pieces(path).ids([r[3][1] for r in rows]), strict=True):
+                if r[2] not in heads:
+                    if len(heads) >= 1000:                   # roles are few, but nothing says so
+                        heads.clear()
+                    heads[r[2]] = size(r[3][0])
+                yield (*r, heads[r[2]] + len(ids) + tail)
 
     def group(key: tuple, rows: list[tuple]) -> Iterator[tuple]:
         lead = rows[0][1]                                    # the system turn of an earlier segment
@@ -234,7 +243,7 @@ def format_windows(turns: DataFrame, path: str, budget: int = BUDGET, history_to
     """The conversations of (conv_id, turn, role, text) rows as training windows.
 
     One row per window: conv_id, segment and window (its order), n_tokens (by
-    the tokenizer file ``path``, turn by turn), repeated (leading turns that an
+    the tokenizer file ``path``; opening, text and closing of a turn apart), repeated (leading turns that an
     earlier window has as new ones), formatted, and loss_begin / loss_end, the
     code points of the targets: the texts of the new assistant turns.  Turns
     come by (turn, role, MD5 of the text), nulls first; repeated rows are turns
