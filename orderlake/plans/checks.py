@@ -1360,11 +1360,13 @@ def csv_roundtrip(spark, d):
 
 
 MIXED_NOTE_SQL = "'訂單' || CAST(o_orderkey AS VARCHAR) || ', \"' || o_orderpriority || '\"，備註'"
+MIXED_SHELF_SQL = "'上午' || chr(10) || '上' || CAST(o_custkey AS VARCHAR)"
 
 
 @check("mixed_reports", f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS order_sn, CASE WHEN o_orderkey % 3 < 2 THEN o_orderstatus END AS status,
        {MIXED_NOTE_SQL} AS note, CASE WHEN o_orderkey % 3 = 2 THEN CAST(o_custkey AS VARCHAR) END AS customer,
+       CASE WHEN o_orderkey % 3 > 0 THEN {MIXED_SHELF_SQL} END AS shelf,
        CASE o_orderkey % 3 WHEN 0 THEN 'UTF-8' WHEN 1 THEN 'x-windows-950' ELSE 'UTF-16' END AS source_encoding,
        true AS has_line
 FROM orders
@@ -1372,19 +1374,53 @@ FROM orders
 def mixed_reports(spark, d):
     """S1 + S5 + S6 + U1: orders exported as CSV files in three encodings, each
     with another column order and other columns, found and read back: encodings
-    detected, rows united by the names in each file's own header."""
+    detected, rows united by the names in each file's own header.  A header and
+    its cells hold line breaks, and characters whose UTF-16 bytes do."""
     key = F.col("o_orderkey")
     o = table(spark, d, "orders").select(
         (key % 3).alias("__kind"), key.cast("string").alias("訂單編號"), F.col("o_orderstatus").alias("狀態"),
         F.concat(F.lit("訂單"), key.cast("string"), F.lit(', "'), "o_orderpriority", F.lit('"，備註')).alias("備註"),
+        F.concat(F.lit("上午\n上"), F.col("o_custkey").cast("string")).alias("上\n架"),
         F.col("o_custkey").cast("string").alias("客戶"))
     base = scratch_path(spark, f"mixed-{uuid.uuid4().hex}")
-    kinds = [("UTF-8", ["訂單編號", "狀態", "備註"]), ("Big5", ["備註", "訂單編號", "狀態"]), ("UTF-16", ["客戶", "備註", "訂單編號"])]
+    kinds = [("UTF-8", ["訂單編號", "狀態", "備註"]), ("Big5", ["備註", "上\n架", "訂單編號", "狀態"]),
+             ("UTF-16", ["客戶", "上\n架", "備註", "訂單編號"])]
     for k, (enc, cols) in enumerate(kinds):
-        o.filter(F.col("__kind") == k).select(*cols).write.option("header", "true").option("encoding", enc).csv(f"{base}/{enc}")
+        o.filter(F.col("__kind") == k).select(*cols).write.option("header", "true").option("encoding", enc).option(
+            "escape", '"').csv(f"{base}/{enc}")
     rows, _ = files.read_reports(spark, base)
     return rows.select(F.col("訂單編號").alias("order_sn"), F.col("狀態").alias("status"), F.col("備註").alias("note"),
-                       F.col("客戶").alias("customer"), "source_encoding", (F.col("source_line") > 0).alias("has_line"))
+                       F.col("客戶").alias("customer"), F.col("上\n架").alias("shelf"), "source_encoding",
+                       (F.col("source_line") > 0).alias("has_line"))
+
+
+@check("messy_reports", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS id_1, 'f' || CAST(o_custkey AS VARCHAR) AS file_1,
+       o_orderpriority || chr(10) || '"q", ' || CAST(o_orderkey AS VARCHAR) AS note,
+       CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_orderkey AS VARCHAR) || ',' || o_orderstatus || ',f' || CAST(o_custkey AS VARCHAR)
+            || ',"' || o_orderpriority || chr(10) || '""q"", ' || CAST(o_orderkey AS VARCHAR) || '",surplus' END AS bad_record,
+       row_number() OVER (ORDER BY o_orderkey, o_custkey) AS line
+FROM orders
+""")
+def messy_reports(spark, d):
+    """S1/S2 in splits: all orders as one CSV file whose records all span two
+    lines, with names that differ in case only or are reserved; a fifth of the
+    records have a cell more than the header.  Read by as many tasks as the file
+    has splits; ``line`` is the record's place in the file."""
+    key = F.col("o_orderkey").cast("string")
+    note = F.concat("o_orderpriority", F.lit('\n""q"", '), key)
+    line = F.concat_ws(",", key, "o_orderstatus", F.concat(F.lit("f"), F.col("o_custkey").cast("string")),
+                       F.concat(F.lit('"'), note, F.lit('"')), F.when(F.col("o_orderkey") % 5 == 0, F.lit("surplus")))
+    path = scratch_path(spark, f"messy-{uuid.uuid4().hex}")
+    head = spark.createDataFrame([(-1, 0, 'ID,id,source_file,"備\n註"')], "a long, b long, value string")
+    body = table(spark, d, "orders").select(F.col("o_orderkey").cast("long").alias("a"),
+                                            F.col("o_custkey").cast("long").alias("b"), line.alias("value"))
+    # the export is one file on purpose: it is what splits have to cut
+    head.unionByName(body).repartition(1).sortWithinPartitions("a", "b").select("value").write.text(path)
+    rows, _ = files.read_reports(spark, path)
+    return rows.select(F.col("ID").alias("id"), F.col("`id.1`").alias("id_1"), F.col("`source_file.1`").alias("file_1"),
+                       F.col("備\n註").alias("note"), F.col(files.CORRUPT).alias("bad_record"),
+                       F.col("source_line").alias("line"))
 
 
 # ---------------------------------------------------------------- ordering / suppression
@@ -1475,7 +1511,21 @@ def product_refs(spark, d):
 
 # ---------------------------------------------------------------- banner TSV (S3)
 
-TSV_PIECES = 8            # files of a report; size it so that a file stays small against a task's memory
+#: Rows of an exported file, which one task writes; reading is in splits of any size.
+TSV_ROWS = 1_000_000
+
+
+def _report_files(rows, col):
+    """(report, pieces): files of each report, by its row count."""
+    return rows.groupBy(F.col(col).alias("report")).agg(
+        F.ceil(F.count(F.lit(1)) / TSV_ROWS).cast("int").alias("pieces"))
+
+
+def _with_piece(data, counts):
+    return (data.join(F.broadcast(counts), data["report"].eqNullSafe(counts["report"])).drop(counts["report"])
+            .withColumn("piece", F.pmod(F.xxhash64("c0"), F.col("pieces")).cast("int")).drop("pieces"))
+
+
 BANNER_TSV_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 
 
@@ -1497,9 +1547,9 @@ def banner_tsv_roundtrip(spark, d):
                     F.col("o_orderstatus").alias("c2"),
                     F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("c3"),
                     F.date_format("o_orderdate", "yyyy-MM-dd").alias("c4"))
-    data = data.withColumn("piece", F.pmod(F.xxhash64("c0"), F.lit(TSV_PIECES)).cast("int"))
-    reports = o.select(F.col("o_orderpriority").alias("report")).distinct().withColumn(
-        "piece", F.explode(F.sequence(F.lit(0), F.lit(TSV_PIECES - 1))))
+    counts = _report_files(o, "o_orderpriority")
+    data = _with_piece(data, counts)
+    reports = counts.select("report", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
     head = reports.select("report", F.lit(1).alias("__ord"), *[F.lit(c).alias(f"c{i}") for i, c in enumerate(cols)], "piece")
     banner = reports.filter(F.col("report") != "5-LOW").select(
         "report", F.lit(0).alias("__ord"), F.lit(BANNER_C + "僅供參考】").alias("c0"),
@@ -1536,9 +1586,9 @@ def return_tsv_roundtrip(spark, d):
                     F.date_format("o_orderdate", "yyyy-MM-dd").alias("c1"),
                     F.date_format(F.date_add(F.to_date("o_orderdate"), 1), "yyyy-MM-dd").alias("c2"),
                     F.col("o_orderstatus").alias("c3"))
-    data = data.withColumn("piece", F.pmod(F.xxhash64("c0"), F.lit(TSV_PIECES)).cast("int"))
-    reports = o.select(F.col("o_orderstatus").alias("report")).distinct().withColumn(
-        "piece", F.explode(F.sequence(F.lit(0), F.lit(TSV_PIECES - 1))))
+    counts = _report_files(o, "o_orderstatus")
+    data = _with_piece(data, counts)
+    reports = counts.select("report", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
     plain = ["訂單編號", "建立日", "更新日", "訂單狀態"]            # no return keywords
     head = reports.select("report", F.lit(0).alias("__ord"), *[
         F.when(F.col("report") == "O", F.lit(p)).otherwise(F.lit(h)).alias(f"c{i}")

@@ -65,9 +65,11 @@ def _clean_all(df: DataFrame, cleaner) -> DataFrame:
 
 def _read_text_reports(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     rows, report = files.read_reports(spark, path, glob=glob)
-    for r in report.filter("NOT readable").collect():                # one row per file
-        logging.getLogger("orderlake").warning("no encoding reads %s; the file is left out", r["path"])
-    return rows
+    for r in report.filter("NOT readable OR bad_records > 0").collect():       # one row per file
+        logging.getLogger("orderlake").warning(
+            "%s: %s", r["path"], f"{r['bad_records']} records have more cells than the header" if r["readable"]
+            else "no encoding reads it; the file is left out")
+    return rows.drop(files.CORRUPT)
 
 
 # ------------------------------------------------------------------ marketplace A
@@ -213,12 +215,9 @@ def marketplace_c(spark: SparkSession, orders_path: str, returns_path: str, regi
 # ------------------------------------------------------------------ marketplace D
 
 def classify_files(spark: SparkSession, path: str) -> DataFrame:
-    """S8 for marketplace D: (path, file, report_type) by file name, then by
-    the header line's indicators."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    first = F.substring_index(F.regexp_replace(F.decode("content", "UTF-8"), "^﻿", ""), "\n", 1)
-    h = raw.select("path", F.element_at(F.split("path", "/"), -1).alias("file"),
-                   F.split(F.regexp_replace(first, "\r", ""), ",").alias("header_list"))
+    """S8 for marketplace D: (path, file, encoding, report_type) by file name,
+    then by the header line's indicators."""
+    h = files.header_lines(spark, path).withColumnRenamed("header", "header_list")
     return headers.classify_reports(h, REPORT_TYPES_D, NAME_KEYWORDS_D, min_hits=1, first_n=8).drop("header_list")
 
 
@@ -230,11 +229,12 @@ def marketplace_d(spark: SparkSession, path: str, registry: Sequence[cf.Field],
     composite-key duplicates keep the first row (W2), ids sort by their
     number with unparseable ids last (O2/F4), the one shop is stamped (J11) and
     product names take the longer master name (J6)."""
-    types = classify_files(spark, path)
+    types: dict[str, dict[str, list[str]]] = {}
+    for r in classify_files(spark, path).orderBy("path").collect():        # one row per file, ≤ 5 types
+        types.setdefault(r["report_type"], {}).setdefault(r["encoding"], []).append(files.splits.escaped(r["path"]))
     parts = []
-    for t in [r["report_type"] for r in types.select("report_type").distinct().collect()]:   # ≤ 5 types
-        paths = [r["path"] for r in types.filter(F.col("report_type") == t).select("path").collect()]
-        df = cf.registry_rename(files.read_orders(spark, {"UTF-8": paths}), registry)
+    for t, paths in types.items():
+        df = cf.registry_rename(files.read_orders(spark, paths).drop(files.CORRUPT), registry)
         parts.append(df.withColumn("report_type", F.lit(t)))
     allr = reconcile.union_reports(*parts, source_col=None)
     if "order_date" not in allr.columns:

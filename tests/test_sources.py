@@ -22,7 +22,7 @@ def test_read_orders_legacy_encodings(spark, tmp_dir):
     write(f"{tmp_dir}/in/a.csv", "﻿".encode() + CSV_TEXT.encode("utf-8"))
     write(f"{tmp_dir}/in/b.csv", CSV_TEXT.encode("cp950"))
     write(f"{tmp_dir}/in/c.csv", CSV_TEXT.encode("big5"))
-    enc = {r["path"].rsplit("/", 1)[-1]: r["encoding"] for r in files.detect_encoding(spark, path=f"{tmp_dir}/in").collect()}
+    enc = {r["path"].rsplit("/", 1)[-1]: r["encoding"] for r in files.detect_encoding(spark, f"{tmp_dir}/in").collect()}
     assert enc["a.csv"] == "UTF-8" and enc["b.csv"] != "UTF-8" and enc["c.csv"] != "UTF-8"
     groups = {}
     for name, e in enc.items():
@@ -182,7 +182,7 @@ def test_split_reads_keep_the_order_of_lines(spark, tmp_dir):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-        rows = files.read_orders(spark, {"UTF-8": [f"{tmp_dir}/s/a.csv"]}, multiline=False, null_tokens=False)
+        rows = files.read_orders(spark, {"UTF-8": [f"{tmp_dir}/s/a.csv"]}, null_tokens=False)
         got = [r["k"] for r in rows.orderBy("source_line").collect()]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
