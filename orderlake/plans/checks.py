@@ -1333,6 +1333,55 @@ def stream_upsert(spark, d):
     return current_table(spark, target).select(*ev.columns)
 
 
+@check("stream_restart", """
+SELECT event_id, ts, user_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id % 2 DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1
+""")
+def stream_restart(spark, d):
+    """R1 + K6: a stream that is started again with a new checkpoint in the
+    middle.  The even events come first and are compacted, the odd ones by the
+    new query, whose batches count from 0 again; the newest arrival wins, and no
+    key of the first half is lost.  A replayed batch and the table's earlier
+    version are left as they were."""
+    from orderlake.sources import versions
+    from orderlake.streaming import compact_epochs, current_table, ingest_stream, upsert_batch
+    ev = table(spark, d, "events")
+    run = uuid.uuid4().hex
+    base, target = scratch_path(spark, f"halves-{run}"), scratch_path(spark, f"restart-target-{run}")
+    for half in (0, 1):
+        ev.filter(F.pmod("event_id", F.lit(2)) == half).write.parquet(f"{base}/{half}")
+        ingest_stream(spark, f"{base}/{half}", ev.schema, target, f"{base}/checkpoint-{half}",
+                      keys=["user_id", "event_type"], order=["event_id"], buckets=16).awaitTermination()
+        if half == 0:
+            upsert_batch(ev, 0, target, ["user_id", "event_type"], order=["event_id"], buckets=16,
+                         writer=next(iter(versions.manifest(spark, target)["writers"])))          # a replay: nothing
+            compact_epochs(spark, target)
+    return current_table(spark, target).select("event_id", "ts", "user_id", "event_type", "value")
+
+
+@check("versioned_upsert", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS round FROM orders
+UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, -1 FROM orders WHERE o_orderkey % 2 = 0
+""")
+def versioned_upsert(spark, d):
+    """K6: half of the orders loaded, then an upsert of the rest and of changed
+    ones swapped in as one version.  Round -1 is the first version, read back
+    after the swap."""
+    from orderlake.sources import versions
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    target = scratch_path(spark, f"versioned-{uuid.uuid4().hex}")
+    first = versions.replace_table(o.filter("o_orderkey % 2 = 0").withColumn("round", F.lit(0)), target)
+    old = versions.read_table(spark, target)
+    new = o.filter("o_orderkey % 2 <> 0 OR o_orderkey % 3 = 0").withColumn(
+        "round", F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(0)).withColumn(
+        "o_orderstatus", F.when(F.col("o_orderkey") % 3 == 0, "new").otherwise(F.col("o_orderstatus")))
+    versions.replace_table(up.upsert(old, new, ["o_orderkey"]), target, seen=first)
+    before = versions.read_table(spark, target, first["version"]).withColumn("round", F.lit(-1))
+    return versions.read_table(spark, target).unionByName(before)
+
+
 @check("csv_roundtrip", """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
        CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,

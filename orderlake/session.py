@@ -94,6 +94,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a name in any store that Spark reaches."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
 def _package_zip() -> bytes:
     buf = io.BytesIO()
     pkg = os.path.join(_REPO_ROOT, "orderlake")

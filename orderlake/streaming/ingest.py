@@ -1,17 +1,17 @@
 """Structured Streaming ingest.
 
-The target is a folder partitioned by ``bucket`` (hash of the key) and ``epoch``
-(micro-batch id).  A micro-batch appends only its own rows, one per key, so its
-cost follows the batch and not the table.  Readers keep the winner of each key
-over all epochs; ``compact_epochs`` folds them into one base per bucket (epoch
--1) from time to time.  With dynamic partition overwrite a replayed batch
-rewrites exactly its own partitions, and the winner rule is idempotent, so a
-lost executor or a restarted query never double-applies a batch.
+The target is a versioned table (see ``sources.versions``).  A micro-batch adds
+one folder with its own rows, one per key, in files by ``bucket`` (hash of the
+key), so its cost follows the batch and not the table.  Readers keep the winner
+of each key over all folders of one manifest; ``compact_epochs`` folds them into
+one folder from time to time.  The manifest names each writer's last batch, so a
+replayed batch is a no-op, and a query with a new checkpoint is another writer,
+whose batches come after those that are there.
 """
 
 from __future__ import annotations
 
-import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,111 +21,106 @@ from pyspark.sql.streaming import StreamingQuery
 
 from orderlake.operators._common import as_list
 from orderlake.operators.dedupe import keep_best
-from orderlake.session import ensure_checkpoint_dir
+from orderlake.session import hadoop_path
+from orderlake.sources import versions as V
 
 DEFAULT_BUCKETS = 64
-BASE_EPOCH = -1
 
 
 def _bucket(keys: Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
-def _hadoop(spark: SparkSession, path: str):
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
-
-
-def _rule(spark: SparkSession, target: str) -> dict | None:
-    """The merge rule kept with the target (``_rule``), None before the first batch."""
-    fs, path = _hadoop(spark, f"{target.rstrip('/')}/_rule")
-    if not fs.exists(path):
-        return None
-    f = fs.open(path)
-    try:
-        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(f, "UTF-8"))
-    finally:
-        f.close()
-
-
-def _keep_rule(spark: SparkSession, target: str, rule: dict) -> None:
-    """Keep buckets, keys and order with the target; later micro-batches with
-    others are refused (keys would change their bucket or their winner)."""
-    kept = _rule(spark, target)
-    if kept is None:
-        fs, path = _hadoop(spark, f"{target.rstrip('/')}/_rule")
-        f = fs.create(path, True)
-        try:
-            f.write(bytearray(json.dumps(rule).encode()))
-        finally:
-            f.close()
-    elif kept != rule:
-        raise ValueError(f"the target was written with {kept}, not {rule}")
-
-
 def _winners(rows: DataFrame, rule: dict) -> DataFrame:
-    """One row per key: the latest ``ts`` (if given), then the newest epoch, then
-    the greatest ``order``."""
-    spec = ([(rule["ts"], False)] if rule["ts"] else []) + [("epoch", False)] + [(c, False) for c in rule["order"]]
+    """One row per key: the latest ``ts`` (if given), then the newest generation,
+    then the greatest ``order``."""
+    spec = ([(rule["ts"], False)] if rule["ts"] else []) + [("generation", False)] + [(c, False) for c in rule["order"]]
     return keep_best(rows, rule["keys"], spec, tiebreak_ascending=False)
 
 
-def current_table(spark: SparkSession, path: str) -> DataFrame:
-    """The winner of every key, without the layout columns.  A target that no
-    micro-batch has written yet is a frame without columns and rows."""
-    rule = _rule(spark, path)
-    if rule is None:
+def current_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The winner of every key as of ``version`` (default: the newest), without
+    the layout columns.  A target that no micro-batch has written yet is a frame
+    without columns and rows."""
+    seen = V.manifest(spark, path, version)
+    if seen is None:
         return spark.createDataFrame([], T.StructType([]))
-    return _winners(spark.read.parquet(path), rule).drop("bucket", "epoch")
+    return _winners(V.read_folders(spark, path, seen), seen["rule"]).drop("bucket", "generation")
+
+
+def _wider(old: dict | None, new: T.StructType) -> dict:
+    """The target's columns and those a batch adds; a column keeps its type."""
+    out = T.StructType.fromJson(old) if old else T.StructType([])
+    for f in new.fields:
+        if f.name not in out.names:
+            out = out.add(f.name, f.dataType)
+        elif out[f.name].dataType != f.dataType:
+            raise ValueError(f"column {f.name} is {out[f.name].dataType.simpleString()}, not {f.dataType.simpleString()}")
+    return out.jsonValue()
 
 
 def upsert_batch(batch: DataFrame, epoch: int, target: str, keys, ts: str | None = None,
-                 order=None, buckets: int = DEFAULT_BUCKETS) -> None:
-    """Add one micro-batch to the target (see module docstring)."""
+                 order=None, buckets: int = DEFAULT_BUCKETS, writer: str = "batches") -> None:
+    """Add one micro-batch to the target (see module docstring).  ``epoch`` counts
+    the batches of ``writer``; one that is not after its last is a replay."""
+    spark = batch.sparkSession
     rule = {"buckets": buckets, "keys": as_list(keys), "ts": ts, "order": as_list(order)}
-    rows = batch.withColumn("bucket", _bucket(rule["keys"], buckets)).withColumn("epoch", F.lit(int(epoch)))
-    if batch.isEmpty():
-        return
-    _keep_rule(batch.sparkSession, target, rule)
-    # one file per bucket and micro-batch
-    (_winners(rows, rule).repartition(buckets, "bucket")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("bucket", "epoch").parquet(target))
+    state: dict = {}
+
+    def put():
+        seen = V.manifest(spark, target)
+        if seen is not None and seen["rule"] != rule:
+            raise ValueError(f"the target was written with {seen['rule']}, not {rule}")
+        if seen is not None and seen["writers"].get(writer, -1) >= int(epoch):
+            return
+        if "name" not in state:
+            rows = batch.withColumn("bucket", _bucket(rule["keys"], buckets)).withColumn("generation", F.lit(0))
+            # one file per bucket and micro-batch
+            out = _winners(rows, rule).drop("generation").repartition(buckets, "bucket")
+            state["schema"], state["name"] = out.schema, V.write_folder(out, target, ["bucket"])
+        version = 0 if seen is None else seen["version"] + 1
+        V.commit(spark, target, seen, {
+            "rule": rule, "schema": _wider(seen and seen["schema"], state["schema"]),
+            "folders": [*(seen["folders"] if seen else []), {"name": state["name"], "generation": version}],
+            "writers": {**(seen["writers"] if seen else {}), writer: int(epoch)}})
+    if not batch.isEmpty():
+        V.retry(put)
 
 
 def compact_epochs(spark: SparkSession, target: str) -> int:
-    """Fold all epochs of the target into one base per bucket; returns the number
-    of epoch folders removed.
+    """Fold the folders of the target into one; returns how many there were (0:
+    nothing to fold).
 
-    The base has an epoch of its own (-1), so a replay of the last micro-batch
-    can't overwrite it.  Run between micro-batches, not during one: the winners
-    are checkpointed, written as the base, and only then are the epochs removed.
+    Micro-batches may be committed meanwhile: their folders stay beside the new
+    one.  Old folders stay for readers of older versions until
+    ``sources.versions.expire``.
     """
-    rule = _rule(spark, target)
-    if rule is None:
+    seen = V.manifest(spark, target)
+    if seen is None or len(seen["folders"]) < 2:
         return 0
-    ensure_checkpoint_dir(spark)
-    done = _epoch_folders(spark, target)
-    base = _winners(spark.read.parquet(target), rule).withColumn("epoch", F.lit(BASE_EPOCH)).checkpoint(eager=True)
-    (base.repartition(rule["buckets"], "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("bucket", "epoch").parquet(target))
-    for path in done:
-        fs, jpath = _hadoop(spark, path)
-        fs.delete(jpath, True)
-    return len(done)
-
-
-def _epoch_folders(spark: SparkSession, target: str) -> list[str]:
-    """Folders of micro-batches (not of the base), from the listing alone."""
-    fs, root = _hadoop(spark, target)
-    out = []
-    for b in fs.listStatus(root):
-        if b.isDirectory() and b.getPath().getName().startswith("bucket="):
-            for e in fs.listStatus(b.getPath()):
-                name = e.getPath().getName()
-                if e.isDirectory() and name.startswith("epoch=") and name != f"epoch={BASE_EPOCH}":
-                    out.append(e.getPath().toString())
-    return out
+    rule, folded = seen["rule"], {f["name"] for f in seen["folders"]}
+    rows = _winners(V.read_folders(spark, target, seen), rule).drop("generation")
+    name = V.write_folder(rows.repartition(rule["buckets"], "bucket"), target, ["bucket"])
+    base = {"name": name, "generation": max(f["generation"] for f in seen["folders"])}
+
+    def put():
+        last = V.manifest(spark, target)
+        if not folded <= {f["name"] for f in last["folders"]}:
+            return 0                                     # another compaction was first; ours stays unnamed
+        V.commit(spark, target, last, {"folders": [base, *(f for f in last["folders"] if f["name"] not in folded)]})
+        return len(folded)
+    return V.retry(put)
+
+
+def _writer_of(spark: SparkSession, checkpoint: str) -> str:
+    """The identity of a streaming query: kept with its checkpoint, so that a
+    restart has the same and a new checkpoint another one."""
+    path = f"{checkpoint.rstrip('/')}/_orderlake_writer"
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        fs.mkdirs(p.getParent())
+        V._create_if_absent(spark, path, uuid.uuid4().hex)
+    return V._read_text(spark, path)
 
 
 def ingest_stream(spark: SparkSession, source: str, schema: T.StructType, target: str,
@@ -144,9 +139,10 @@ def ingest_stream(spark: SparkSession, source: str, schema: T.StructType, target
     stream = r.load(source)
     if clean is not None:
         stream = clean(stream)
+    writer = _writer_of(spark, checkpoint)
 
     def fold(batch: DataFrame, epoch: int) -> None:
-        upsert_batch(batch, epoch, target, keys, ts=ts, order=order, buckets=buckets)
+        upsert_batch(batch, epoch, target, keys, ts=ts, order=order, buckets=buckets, writer=writer)
 
     w = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
