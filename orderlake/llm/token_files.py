@@ -20,7 +20,8 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import filterfalse
+from itertools import chain, compress, filterfalse, repeat
+from operator import not_
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ from .common import opened, ranked, scratch, shuffle_partitions, stored
 MAGIC, HEAD = b"TKB1", struct.Struct("<4sIQIQ")
 NULL_ID = np.iinfo(np.int64).min
 BLOCK_IDS = 4_000_000          # ids of a block, and one document more at most
-MEMO = 1_000_000               # pieces whose ids a worker remembers
+MEMO = 700_000                 # pieces of a generation; a worker remembers two
 SPARK_BLOCKS = "path string, part int, block int, block_offset long, block_bytes long, n_ids long"
 
 #: Lengths of the four ids of each control byte.
@@ -59,7 +60,8 @@ class Pieces:
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         names = [self.tokenizer.id_to_token(k) or "" for k in range(size)]
         self.opens = np.array([x.startswith("Ġ") for x in names])     # begins with the space byte
-        self.memo: dict[str, bytes | None] = {}           # text after a space; None: look at the whole text
+        self.memo: dict[str, bytes | bool] = {}           # text after a space; True: look at the whole text
+        self.past: dict[str, bytes | bool] = {}           # the generation before
         self.odd: dict[str, bytes] = {}                   # pieces as they are
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -68,8 +70,11 @@ class Pieces:
     def _learn(self, new: list[str]) -> None:
         plain = []
         for p in new:
-            if not p or p[-1].isspace():
-                self.memo[p] = None
+            known = self.past.get(p)
+            if known is not None:
+                self.memo[p] = known
+            elif not p or p[-1].isspace():
+                self.memo[p] = True
             else:
                 plain.append(p)
         for at in range(0, len(plain), 20_000):
@@ -101,22 +106,26 @@ class Pieces:
 
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         for at in range(0, len(texts), 256):
-            if len(self.memo) + len(self.odd) > MEMO:
-                self.memo.clear()
-                self.odd.clear()
+            if len(self.memo) > MEMO:
+                self.past, self.memo = self.memo, {}
+            if len(self.odd) > MEMO:
+                self.odd = {}
             split = [t.split(" ") for t in texts[at:at + 256]]
-            new: set[str] = set()
-            for parts in split:
-                new.update(filterfalse(self.memo.__contains__, parts[1:]))
-            self._learn(list(new))
+            flat = list(chain.from_iterable(split))
+            found = list(map(self.memo.get, flat, repeat(b"")))       # no piece has no ids
+            new = list(compress(range(len(flat)), map(not_, found)))
+            self._learn(list(dict.fromkeys(flat[k] for k in new)))
+            for k in new:
+                found[k] = self.memo[flat[k]]
+            end = 0
             for parts in split:
+                begin, end = end, end + len(parts)
                 try:
                     if len(parts) > 1 and (not parts[0] or parts[0][-1].isspace()):
                         raise TypeError
-                    rest = b"".join(map(self.memo.__getitem__, parts[1:]))
                     first = self._odd(parts[:1])[0] if parts[0] else b""
-                    yield np.frombuffer(first + rest, self.kind)
-                except TypeError:                         # a None among the pieces
+                    yield np.frombuffer(first + b"".join(found[begin + 1:end]), self.kind)
+                except TypeError:                         # True among the pieces
                     yield np.frombuffer(b"".join(self._odd([p for p in self._whole(parts) if p])), self.kind)
 
 
