@@ -28,20 +28,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-MEMO = 400_000                 # segments whose ids a worker remembers
+MEMO = 500_000                 # segments of a generation; a worker remembers two
 CHARS = 500_000              # characters of new segments in one suffix array, about
 SEPARATOR, UNSEEN = 0, 1       # codes of characters that no piece has
 
 
+BPE = 2                        # model_type of a BPE model
+
+
+def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """(number, value) of a protocol buffer message's fields."""
+    at = 0
+
+    def varint() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = message[at]
+            at += 1
+            value |= (byte & 0x7F) << shift
+            shift += 7
+            if byte < 0x80:
+                return value
+    while at < len(message):
+        tag = varint()
+        kind = tag & 7
+        size = varint() if kind == 2 else {0: 0, 1: 8, 5: 4}[kind]
+        if kind == 0:
+            yield tag >> 3, varint()
+        else:
+            yield tag >> 3, message[at:at + size]
+            at += size
+
+
+def model_type(proto: bytes) -> int:
+    """trainer_spec (field 2) . model_type (field 3) of a model file; 1, a
+    unigram model, is its default."""
+    spec = b"".join(v for n, v in _fields(proto) if n == 2)
+    return [1, *(v for n, v in _fields(spec) if n == 3)][-1]
+
+
 class Model:
     """Vocabulary of a SentencePiece BPE model with byte fallback, identity
-    normalisation and a dummy prefix."""
+    normalisation and a dummy prefix.  Ids and characters are held in 16 or 32
+    bits, as the vocabulary needs; a model of another type is refused."""
 
     def __init__(self, path: str):
         import sentencepiece
 
         lib = sentencepiece.SentencePieceProcessor(model_file=path)
+        if (found := model_type(lib.serialized_model_proto())) != BPE:
+            raise ValueError(f"{path} is no BPE model (model_type {found})")
         self.size = lib.get_piece_size()
+        self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.byte_id = np.zeros(256, np.int64)
         self.score: dict[str, tuple[float, int]] = {}
         self.plain: list[bytes] = []
@@ -59,19 +98,22 @@ class Model:
         # pieces that merging can end in, by code points
         pieces = [(p, k) for p, (_, k) in self.score.items() if set(p) == {MARK} or self.merge(p) == [p]]
         chars = sorted({c for p, _ in pieces for c in p})
-        self.code = np.full(0x110000, UNSEEN, np.uint16)
-        self.code[[ord(c) for c in chars]] = np.arange(2, len(chars) + 2, dtype=np.uint16)
+        self.wide = np.uint16 if len(chars) < 0xFFF0 else np.uint32   # its largest value is no character's code
+        self.code = np.full(0x110000, UNSEEN, self.wide)
+        self.code[[ord(c) for c in chars]] = np.arange(2, len(chars) + 2, dtype=self.wide)
         self.lone = np.zeros(len(chars) + 2, bool)            # codes that are pieces by themselves
         self.lone[[self.code[ord(p)] for p, _ in pieces if len(p) == 1]] = True
         self.longest = -(-max(len(p) for p, _ in pieces) // 4) * 4
         self.lengths = np.array([len(p) for p, _ in pieces])
         self.ids = np.array([k for _, k in pieces])
-        self.patterns = np.zeros((len(pieces), self.longest), np.uint16)
+        self.patterns = np.zeros((len(pieces), self.longest), self.wide)
         for row, (p, _) in zip(self.patterns, pieces, strict=True):
             row[:len(p)] = [self.code[ord(c)] for c in p]
         self.text = {k: p for p, (_, k) in self.score.items()}
-        self.follows: dict[int, bool] = {}
-        self.memo: dict[str, bytes | None] = {}
+        self.follows: dict[int, bool] = {}                    # pairs asked lately; others in sorted arrays
+        self.asked, self.answer = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.memo: dict[str, bytes] = {}
+        self.past: dict[str, bytes] = {}                      # the generation before
 
     def merge(self, text: str) -> list[str]:
         """Pieces of a text by merging: the highest score first, then the leftmost."""
@@ -102,31 +144,49 @@ class Model:
     def _may_follow(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
         """Whether the pieces with these ids stay apart next to each other."""
         keys, place = np.unique(before * self.size + after, return_inverse=True)
-        out = np.empty(len(keys), bool)
-        for n, key in enumerate(keys.tolist()):
+        out = np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.asked, keys), max(len(self.asked) - 1, 0))
+        old = self.asked[at] == keys if len(self.asked) else out.copy()
+        out[old] = self.answer[at[old]]
+        rest = np.flatnonzero(~old)
+        for n, key in zip(rest.tolist(), keys[rest].tolist(), strict=True):
             known = self.follows.get(key)
             if known is None:
                 a, b = self.text[key // self.size], self.text[key % self.size]
                 known = self.follows[key] = self.merge(a + b) == [a, b]
             out[n] = known
-        if len(self.follows) > 4 * MEMO:
+        if len(self.follows) > 1 << 15:
+            full = len(self.asked) > 4 * MEMO
+            new = np.fromiter(self.follows, np.int64, len(self.follows))
+            said = np.fromiter(self.follows.values(), bool, len(self.follows))
+            keys_, said = (new, said) if full else (np.append(self.asked, new), np.append(self.answer, said))
+            order = np.argsort(keys_)
+            self.asked, self.answer = keys_[order], said[order]
             self.follows.clear()
         return out[place]
 
+    def _keys(self, column) -> list[np.ndarray]:
+        """64-bit keys of the characters ``column(0)``, ``column(1)``, ...: four or two to a key."""
+        bits = 8 * np.dtype(self.wide).itemsize
+        out = []
+        for k in range(0, self.longest, 64 // bits):
+            key = column(k).astype(np.uint64)
+            for j in range(1, 64 // bits):
+                key = key << np.uint64(bits) | column(k + j)
+            out.append(key)
+        return out
+
     def _index(self, codes: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """Suffix array of ``codes`` (by as many characters as the longest piece
-        has) and the suffixes' characters, four to a 64-bit key."""
-        wide = np.concatenate([codes, np.zeros(self.longest + 4, np.uint16)]).astype(np.uint64)
-        four = wide[:-3] << np.uint64(48) | wide[1:-2] << np.uint64(32) | wide[2:-1] << np.uint64(16) | wide[3:]
-        columns = [four[k:k + len(codes)] for k in range(0, self.longest, 4)]
+        has) and the suffixes' characters as keys."""
+        padded = np.concatenate([codes, np.zeros(self.longest, self.wide)])
+        columns = self._keys(lambda k: padded[k:k + len(codes)])
         order = np.lexsort(columns[::-1])
         return order, [c[order] for c in columns]
 
     def _range(self, columns: list[np.ndarray], patterns: np.ndarray) -> np.ndarray:
         """First suffix that isn't less than each pattern, by binary search."""
-        keys = [(patterns[:, k].astype(np.uint64) << np.uint64(48)) | (patterns[:, k + 1].astype(np.uint64) << np.uint64(32))
-                | (patterns[:, k + 2].astype(np.uint64) << np.uint64(16)) | patterns[:, k + 3].astype(np.uint64)
-                for k in range(0, self.longest, 4)]
+        keys = self._keys(lambda k: patterns[:, k])
         n = len(columns[0])
         low, high = np.zeros(len(patterns), np.int64), np.full(len(patterns), n)
         while (open_ := low < high).any():
@@ -146,7 +206,7 @@ class Model:
         order, columns = self._index(codes)
         first = self._range(columns, self.patterns)
         above = self.patterns.copy()
-        above[np.arange(above.shape[1]) >= self.lengths[:, None]] = 0xFFFF
+        above[np.arange(above.shape[1]) >= self.lengths[:, None]] = np.iinfo(self.wide).max
         count = self._range(columns, above) - first
         hit = np.flatnonzero(count)
         begin = np.cumsum(count[hit]) - count[hit]
@@ -156,8 +216,8 @@ class Model:
                 np.concatenate([np.repeat(self.lengths[hit], count[hit]), np.ones(len(alone), np.int64)]),
                 np.concatenate([np.repeat(self.ids[hit], count[hit]), np.full(len(alone), -1)]))
 
-    def match(self, segments: list[str]) -> list[np.ndarray]:
-        """Ids of each segment by suffix-array matching."""
+    def match(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all segments by suffix-array matching, and where each one's end."""
         text = "\0".join(segments) + "\0"
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         codes = self.code[points]
@@ -185,7 +245,7 @@ class Model:
             last[to], came[to] = k[good], b0[good]
         return self._trace(points, starts, sizes, last, came)
 
-    def _trace(self, points, starts, sizes, last, came) -> list[np.ndarray]:
+    def _trace(self, points, starts, sizes, last, came) -> tuple[np.ndarray, np.ndarray]:
         """Walk back from the segments' ends, all at once."""
         at, owner, found = starts + sizes, np.arange(len(starts)), []
         while len(at):
@@ -198,12 +258,15 @@ class Model:
         ids = np.concatenate([x[2] for x in found])
         order = np.lexsort((place, owner))
         owner, place, ids = owner[order], place[order], ids[order]
-        if (unknown := ids < 0).any():                       # bytes of characters without a piece
-            raw = [self.byte_id[list(chr(points[p]).encode("utf-8", "surrogatepass"))] if u else np.array([k])
-                   for p, k, u in zip(place, ids, unknown, strict=True)]
-            owner = np.repeat(owner, [len(x) for x in raw])
-            ids = np.concatenate(raw)
-        return np.split(ids, np.searchsorted(owner, np.arange(1, len(starts))))
+        unknown = np.flatnonzero(ids < 0)
+        if len(unknown):                                     # bytes of characters without a piece
+            raw = [self.byte_id[list(chr(p).encode("utf-8", "surrogatepass"))] for p in points[place[unknown]].tolist()]
+            count = np.ones(len(ids), np.int64)
+            count[unknown] = [len(x) for x in raw]
+            spelt = np.repeat(ids < 0, count)
+            owner, ids = np.repeat(owner, count), np.repeat(ids, count)
+            ids[spelt] = np.concatenate(raw)
+        return ids, np.searchsorted(owner, np.arange(len(starts)), "right")
 
     def _direct(self, segment: str) -> list[int]:
         out = []
@@ -214,14 +277,18 @@ class Model:
 
     def _learn(self, new: list[str]) -> None:
         """Remember the ids of new segments, under their text without the first mark."""
+        known = [s for s in new if s in self.past]
+        self.memo.update(zip(known, map(self.past.__getitem__, known), strict=True))
+        new = list(filterfalse(self.memo.__contains__, new)) if known else new
         runs = {s for s in new if s.startswith(MARK + MARK)}     # with the first mark, three and more
         for s in runs:
-            self.memo[s] = np.array(self._direct(MARK + s), "<u2").tobytes()
+            self.memo[s] = np.array(self._direct(MARK + s), self.kind).tobytes()
         group, size = [], 0
         for s in [*filterfalse(runs.__contains__, new), None]:
             if group and (s is None or size >= CHARS):
-                for p, ids in zip(group, self.match([MARK + p for p in group]), strict=True):
-                    self.memo[p] = ids.astype("<u2").tobytes()
+                ids, ends = self.match([MARK + p for p in group])
+                raw, ends = ids.astype(self.kind).tobytes(), (ends * self.kind.itemsize).tolist()
+                self.memo.update((p, raw[a:b]) for p, a, b in zip(group, [0, *ends[:-1]], ends, strict=True))
                 group, size = [], 0
             if s is not None:
                 group.append(s)
@@ -245,14 +312,14 @@ class Model:
     def encode(self, texts: list) -> Iterator[np.ndarray]:
         for at in range(0, len(texts), 512):
             if len(self.memo) > MEMO:
-                self.memo.clear()
+                self.past, self.memo = self.memo, {}
             split = [self.segments(t) if t else [] for t in texts[at:at + 512]]
             new: set[str] = set()
             for parts in split:
                 new.update(filterfalse(self.memo.__contains__, parts))
             self._learn(sorted(new))
             for parts in split:
-                yield np.frombuffer(b"".join(map(self.memo.__getitem__, parts)), "<u2")
+                yield np.frombuffer(b"".join(map(self.memo.__getitem__, parts)), self.kind)
 
     def decode(self, ids) -> str:
         """Text of ids: byte pieces joined as UTF-8 (what isn't becomes U+FFFD),

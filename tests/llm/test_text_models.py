@@ -183,3 +183,21 @@ def test_codec_query_and_tables(spark, make_docs, pieces):
     assert len(out) == 5 and all(r.round_trip for r in out) and {r.n_ids for r in out if r.doc_id in (1, 2)} == {0}
     back = sp_codec.decode_documents(sp_codec.encode_documents(make_docs(rows), PIECES), PIECES).collect()
     assert all((r.text or "") == r.decoded for r in back)
+
+
+def test_model_types_are_read():
+    import sentencepiece
+
+    proto = sentencepiece.SentencePieceProcessor(model_file=PIECES).serialized_model_proto()
+    assert sp_codec.model_type(proto) == sp_codec.BPE
+    assert sp_codec.model_type(b"") == 1 and sp_codec.model_type(b"\x12\x02\x18\x04") == 4
+
+
+def test_wide_vocabularies(monkeypatch):
+    """32-bit ids and characters give the ids that 16 bits give."""
+    texts = ["Ein Text über 上, mit\nZeilen", "the  quick   brown fox", "", "▁x"]
+    want = [x.tolist() for x in sp_codec.Model(PIECES).encode(texts)]
+    wide = sp_codec.Model(PIECES)
+    wide.kind, wide.wide = np.dtype("<u4"), np.uint32
+    wide.code, wide.patterns = wide.code.astype(np.uint32), wide.patterns.astype(np.uint32)
+    assert [x.tolist() for x in wide.encode(texts)] == want
