@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from orderlake.operators._common import sized_broadcast
 
-from .common import stored
+from .common import ranked, stored
 from .components import components
 
 BANDS, ROWS = 40, 5              # 200 universal hash minima
@@ -25,23 +25,26 @@ COLUMNS = 2048                   # shingles of a block that are compared at once
 SLACK = 6.5
 MAX_ENDS = 1_000_000             # ids of candidate documents that may be broadcast (8 bytes each)
 
-_M = 0x5851F42D4C957F2D | 1      # odd, so that it has an inverse modulo 2**64
-_MASK = (1 << 64) - 1
+#: (prime, multiplier) of the two polynomials whose values, side by side, are a word's hash.
+PRIMES = ((2_147_483_647, 1_103_515_245), (2_147_483_629, 1_999_292_263))
 _seeds = np.random.Generator(np.random.PCG64(20240607))
 _A = (_seeds.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1))
 _B = _seeds.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
 _MIX = _seeds.integers(0, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
-_POWERS: list[np.ndarray] = []
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _powers() -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the multiplier and of its inverse, up to a slice's length."""
-    if not _POWERS:
-        for base in (_M, pow(_M, -1, 1 << 64)):
-            steps = np.full(SLICE + 1, base, np.uint64)
-            steps[0] = 1
-            _POWERS.append(np.cumprod(steps, dtype=np.uint64))
-    return _POWERS[0], _POWERS[1]
+def _powers(prime: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a multiplier and of its inverse, up to a slice's length."""
+    if prime not in _POWERS or len(_POWERS[prime][0]) <= SLICE:
+        tables = []
+        for x in (base, pow(base, -1, prime)):
+            steps = np.ones(1, np.uint64)
+            while len(steps) <= SLICE:
+                steps = np.concatenate([steps, steps * np.uint64(pow(x, len(steps), prime)) % np.uint64(prime)])
+            tables.append(steps)
+        _POWERS[prime] = (tables[0], tables[1])
+    return _POWERS[prime]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -52,12 +55,15 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def _long_word(word: np.ndarray) -> int:
-    """A word's polynomial hash, piece by piece."""
-    up, total = _powers()[0], 0
-    for at in range(0, len(word), SLICE):
-        part = word[at:at + SLICE].astype(np.uint64) + np.uint64(1)
-        total += pow(_M, at, 1 << 64) * int((part * up[:len(part)]).sum(dtype=np.uint64))
-    return total & _MASK
+    """A word's polynomials, piece by piece."""
+    out = 0
+    for prime, base in PRIMES:
+        up, total = _powers(prime, base)[0], 0
+        for at in range(0, len(word), SLICE):
+            part = word[at:at + SLICE].astype(np.uint64) + np.uint64(1)
+            total += pow(base, at, prime) * int((part * up[:len(part)]).sum(dtype=np.uint64))
+        out = out << 32 | total % prime
+    return out
 
 
 def _white(data: np.ndarray) -> np.ndarray:
@@ -67,7 +73,6 @@ def _white(data: np.ndarray) -> np.ndarray:
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hash, first byte) of each word of lower-cased UTF-8."""
     whole, hashes, starts, at = np.frombuffer(data, np.uint8), [], [], 0
-    up, down = _powers()
     while at < len(whole):
         part = whole[at:at + SLICE]
         white = _white(part)
@@ -85,9 +90,14 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
             part, white = part[:ends[-1] + 1], white[:ends[-1] + 1]
         edge = np.diff(np.r_[True, white, True].astype(np.int8))
         first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[:len(part)], out=sums[1:])
-        hashes.append((sums[last] - sums[first]) * down[first])
+        sums, plain = np.zeros(len(part) + 1, np.uint64), part.astype(np.uint64) + np.uint64(1)
+        both = np.zeros(len(first), np.uint64)
+        for prime, base in PRIMES:
+            up, down = _powers(prime, base)
+            np.cumsum(plain * up[:len(part)], out=sums[1:])           # below 2**60 in a slice
+            value = (sums[last] - sums[first]) % np.uint64(prime) * down[first] % np.uint64(prime)
+            both = both << np.uint64(32) | value
+        hashes.append(both)
         starts.append(first + at)
         at += len(part)
     if not hashes:
@@ -150,14 +160,14 @@ def _signed(words: int):
             texts = batch.pop("text").tolist()
             for at in range(0, len(texts), 1000):
                 rows = []
-                for x in shingle_sets(texts[at:at + 1000], words):
+                for text, x in zip(texts[at:at + 1000], shingle_sets(texts[at:at + 1000], words), strict=True):
                     if not len(x):
                         rows.append((0, None, None, None))
                         continue
                     low = signature(x)
-                    rows.append((len(x), hashlib.blake2b(x.tobytes(), digest_size=16).digest(),
+                    rows.append((len(x), hashlib.sha256(b" ".join(text_words(text))).digest(),
                                  low.astype(np.uint16).tobytes(), band_keys(low).view(np.int64)))
-                out = pd.DataFrame(rows, columns=["n_shingles", "set_hash", "sig", "bands"])
+                out = pd.DataFrame(rows, columns=["n_shingles", "word_hash", "sig", "bands"])
                 out.insert(0, "doc_id", batch.doc_id.to_numpy()[at:at + 1000])
                 yield out.astype({"doc_id": "Int64"})
     return run
@@ -182,8 +192,12 @@ def _by_signature(percent: int):
     return run
 
 
+def text_words(text: str) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").lower().split()     # A-Z and ASCII white space, as the contract's
+
+
 def text_shingles(text: str, words: int) -> set:
-    w = text.encode("utf-8", "surrogatepass").lower().split()     # ASCII white space, as the contract's
+    w = text_words(text)
     return {tuple(w[i:i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
 
 
@@ -310,7 +324,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     linked; component_id is the smallest doc_id reachable.  Repeated rows get a
     row each; rows that share a doc_id count as one document of several sets.
 
-    1. Rows of equal sets are one node (its smallest id).
+    1. Rows of equal words (by the SHA-256 of the sequence) are one node (its
+       smallest id).  Nodes of equal sets share all bands, and are confirmed like others.
     2. Nodes that share a band of BANDS are candidates: each bucket's members
        against its smallest node (a star, linear in the bucket).
        Signatures rule pairs out, the full shingle sets confirm the others.
@@ -321,12 +336,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     (1 - s**ROWS)**BANDS: 1e-10 for 0.85, 1e-7 for 0.8.
     """
     rows = stored(docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(
-        _signed(words), "doc_id long, n_shingles long, set_hash binary, sig binary, bands array<long>"),
+        _signed(words), "doc_id long, n_shingles long, word_hash binary, sig binary, bands array<long>"),
         "minhash-sets")
-    classes = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_hash").agg(
+    classes = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("word_hash").agg(
         F.min("doc_id").alias("node"))
     nodes = stored(
-        rows.join(classes, "set_hash").filter("doc_id = node").dropDuplicates(["set_hash"])
+        rows.join(classes, "word_hash").filter("doc_id = node").dropDuplicates(["word_hash"])
         .select("node", "n_shingles", "sig", "bands"), "minhash-nodes")
     banded = nodes.select("node", F.explode("bands").alias("key"))
     hubs = banded.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_last")).filter("hub <> _last")
@@ -342,17 +357,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     rest = stored(marked.join(open_keys.select("key"), "key").join(nodes.select("node", "n_shingles"), "node"),
                   "minhash-open")
     final = labels if rest.isEmpty() else components(links.union(_rest_links(rest, texts, words, percent)))
-    named = classes.join(final, "node", "left").select("set_hash", F.coalesce("component", "node").alias("_component"))
-    return rows.join(named, "set_hash", "left").select(
+    named = classes.join(final, "node", "left").select("word_hash", F.coalesce("component", "node").alias("_component"))
+    return rows.join(named, "word_hash", "left").select(
         "doc_id", "n_shingles", F.coalesce("_component", "doc_id").alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component, columns as they were (all
-    rows that share the kept doc_id stay)."""
-    gone = near_duplicates(docs, words, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    gone = sized_broadcast(stored(gone, "minhash-gone"), MAX_ENDS)
+    """``docs`` with one row of each component, that of the smallest doc_id (nulls
+    first, then by the text's MD5); columns as they were.  Where doc_ids repeat
+    or are null, every row is a document of its own, numbered in that order."""
     plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])       # names may clash
-    left = plain.join(gone, F.col(f"c{docs.columns.index('doc_id')}") == F.col("_gone"), "left_anti")
+    own_id, text = (f"c{docs.columns.index(c)}" for c in ("doc_id", "text"))
+    repeated = plain.groupBy(own_id).agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > 1) | F.col(own_id).isNull())
+    key = own_id
+    if repeated.head(1):
+        key = "_row"
+        plain = stored(ranked(plain.withColumn("_tie", F.md5(F.col(text))), [own_id, "_tie"], "near-ranges").drop("_tie"),
+                       "near-rows")
+    near = near_duplicates(plain.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), words, percent)
+    gone = sized_broadcast(stored(near.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")), "minhash-gone"),
+                           MAX_ENDS)
+    left = plain.join(gone, F.col(key) == F.col("_gone"), "left_anti").drop("_row")
     return left.toDF(*docs.columns)

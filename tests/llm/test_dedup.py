@@ -168,3 +168,27 @@ def test_components_of_paths_and_stars(spark):
     out = dict(map(tuple, components.components(spark.createDataFrame(edges, "u long, v long")).collect()))
     assert all(out[k] == 0 for k in range(61)) and all(out[1000 + k] == 1000 for k in range(200)) and out[7000] == 6999
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_words_that_collide_in_a_power_of_two(make_docs):
+    """Thue-Morse words have equal polynomials modulo 2**64, whatever the odd multiplier."""
+    def word(n, swap):
+        return "".join("ba"[bin(k).count("1") % 2 ^ swap] for k in range(1 << n))
+    assert len({int(minhash.word_hashes(word(11, k).encode())[0][0]) for k in (0, 1)}) == 2
+    rows = [(1, word(11, 0)), (2, word(11, 1)), (3, word(11, 0).upper()), (4, f"x {word(11, 0)} y {word(11, 1)} z")]
+    out = minhash.near_duplicates(make_docs(rows), 3, 85)
+    assert sorted(map(tuple, out.collect())) == _near(rows, 3, 85)
+    assert sorted(r.component_id for r in out.collect()) == [1, 1, 2, 4]
+
+
+def test_equal_sets_of_other_sequences_are_linked(make_docs):
+    rows = [(9, "a b a b a b"), (4, "a b a b a b a b"), (7, "b a b a b"), (2, "c d")]
+    out = minhash.near_duplicates(make_docs(rows), 2, 85)
+    assert sorted(map(tuple, out.collect())) == _near(rows, 2, 85)
+
+
+def test_rows_that_share_an_id_are_dropped_one_by_one(make_docs):
+    text = "one two three four five six seven eight nine ten " * 3
+    a, copy, other = text + "end", text + "END", "nothing of the kind is said in this text at all"
+    kept = minhash.drop_near_copies(make_docs([(1, a), (5, copy), (5, other), (None, "x " + text[:49]), (7, a)])).collect()
+    assert sorted(((r.doc_id or 0), r.text) for r in kept) == [(0, "x " + text[:49]), (1, a), (5, other)]
