@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from orderlake.functions._util import col
+from orderlake.functions._util import col, strip
 
 __all__ = [
     "DATE_PATTERNS", "WEEKDAY_LABELS", "pattern_shape", "parse_timestamp_multi", "parse_date_multi", "dash_date",
@@ -74,7 +74,7 @@ def _iso(t: Column) -> Column:
 
 def parse_timestamp_multi(c: Column | str, patterns: list[str] | None = None) -> Column:
     """First layout that parses wins, then ISO 8601 with a ``T``; TIMESTAMP result."""
-    t = F.trim(col(c))
+    t = strip(c)
     pats = DATE_PATTERNS if patterns is None else patterns
     return F.coalesce(*[_ts(t, p) for p in pats], _iso(t))
 
@@ -103,7 +103,7 @@ def dash_date(c: Column | str) -> Column:
     NULL cells and slash text that is not three numbers give ''.
     """
     s = col(c)
-    blank = s.isNull() | (F.trim(s) == "")
+    blank = s.isNull() | (strip(s) == "")
     has_slash = s.contains("/")
     three = F.size(F.split(s, "/")) == 3
     numeric = s.rlike(_SLASH3)
@@ -118,7 +118,7 @@ def dash_date(c: Column | str) -> Column:
 def dash_datetime(c: Column | str) -> Column:
     """D3: as D2 on the date part; the time part is kept verbatim."""
     s = col(c)
-    blank = s.isNull() | (F.trim(s) == "")
+    blank = s.isNull() | (strip(s) == "")
     has_time = s.contains(" ")
     date_part = F.substring_index(s, " ", 1)
     time_part = F.substring(s, F.instr(s, " ") + 1, F.lit(1 << 30))
@@ -137,17 +137,17 @@ def dash_datetime(c: Column | str) -> Column:
 
 def split_datetime(c: Column | str, patterns: list[str] | None = None) -> Column:
     """One date-time cell -> struct(date DATE, time 'HH:mm:ss' text)."""
-    t = F.trim(col(c))
-    pats = DATE_PATTERNS if patterns is None else patterns
-    ts = F.coalesce(*[_ts(t, p) for p in pats])
-    return F.struct(F.to_date(ts).alias("date"),
-                    F.date_format(ts, "HH:mm:ss").alias("time"))
+    t = strip(c)
+    # the parse is one value for both fields; inlined in each it outgrows a generated method
+    both = F.transform(F.array(parse_timestamp_multi(t, patterns)), lambda ts: F.struct(
+        F.to_date(ts).alias("date"), F.date_format(ts, "HH:mm:ss").alias("time")))
+    return F.get(both, F.lit(0))
 
 
 def parse_ampm_local(c: Column | str) -> Column:
     """``2025/7/6 上午 12:00:00`` -> date of the part before the marker;
     anything else through the generic multi-layout parse."""
-    s = F.trim(col(c))
+    s = strip(c)
     marked = s.contains("上午") | s.contains("下午")
     before = F.trim(F.regexp_extract(s, "^(.*?)(上午|下午)", 1))
     return F.when(marked, F.coalesce(F.to_date(_ts(before, "yyyy/M/d")), parse_date_multi(s))) \
@@ -208,9 +208,9 @@ def year_month(c: Column | str) -> Column:
 
 def date_from_timestamp(c: Column | str) -> Column:
     """Timestamp text -> ``yyyy-MM-dd`` text, '' when unparseable."""
-    s = F.trim(col(c))
+    s = strip(c)
     ts = F.coalesce(_ts(s, "yyyy-M-d H:m:s"), _ts(s, "yyyy-M-d H:m"), _ts(s, "yyyy-M-d"),
-                    _ts(s, "yyyy/M/d H:m:s"), _ts(s, "yyyy/M/d H:m"), _ts(s, "yyyy/M/d"))
+                    _ts(s, "yyyy/M/d H:m:s"), _ts(s, "yyyy/M/d H:m"), _ts(s, "yyyy/M/d"), _iso(s))
     return F.coalesce(F.date_format(ts, "yyyy-MM-dd"), F.lit(""))
 
 

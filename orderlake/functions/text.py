@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from orderlake.functions._util import SPACES, blank_to_null, col
+from orderlake.functions._util import SPACES, blank_to_null, col, strip
 
 __all__ = [
     "NULL_TOKENS", "WS", "normalize_ws", "strip_newlines", "null_tokens",
@@ -47,7 +47,7 @@ def null_tokens(c: Column | str, tokens: list[str] | None = None) -> Column:
     """A cell equal to a null token (after trim) becomes NULL."""
     c = col(c)
     toks = NULL_TOKENS if tokens is None else tokens
-    return F.when(F.trim(c).isin(*toks), F.lit(None).cast("string")).otherwise(c)
+    return F.when(strip(c).isin(*toks), F.lit(None).cast("string")).otherwise(c)
 
 
 def strip_float_suffix(c: Column | str, mode: str = "zeros") -> Column:
@@ -76,7 +76,7 @@ def pad_right(c: Column | str, width: int) -> Column:
 
 def unquote_formula(c: Column | str) -> Column:
     """``="x"`` -> x, ``"x"`` -> x, otherwise trimmed text."""
-    t = F.trim(col(c))
+    t = strip(c)
     return (F.when(t.rlike('^=".*"$'), F.regexp_extract(t, '^="(.*)"$', 1))
             .when(t.rlike('^".*"$'), F.regexp_extract(t, '^"(.*)"$', 1))
             .otherwise(t))
@@ -94,7 +94,7 @@ def format_phone(c: Column | str, variant: str = "prefix") -> Column:
     ``prefix``: drop ``.0``, non-blank -> ``'0`` + digits (text-guarded).
     ``nine``: drop ``.0``; 9 digits starting with 9 -> ``0`` + x.
     """
-    x = F.regexp_replace(F.trim(col(c)), "\\.0$", "")
+    x = F.regexp_replace(strip(c), "\\.0$", "")
     if variant == "nine":
         return F.when(x.rlike("^9[0-9]{8}$"), F.concat(F.lit("0"), x)).otherwise(x)
     return F.when(x.isNull() | (x == ""), x).otherwise(F.concat(F.lit("'0"), x))
@@ -104,13 +104,13 @@ def truncate_at_word(c: Column | str, word: str = "無", anchored: bool = False)
     """Drop text from ``word`` to the end (whole cell if anchored)."""
     c = col(c)
     if anchored:
-        return F.when(F.trim(c) == word, F.lit("")).otherwise(c)
-    return F.trim(F.regexp_replace(c, word + ".*$", ""))
+        return F.when(strip(c) == word, F.lit("")).otherwise(c)
+    return strip(F.regexp_replace(c, word + ".*$", ""))
 
 
 def zip_prefix(c: Column | str, n: int = 3) -> Column:
     """First ``n`` characters of the trimmed zip code."""
-    return F.substring(F.trim(col(c)), 1, n)
+    return F.substring(strip(c), 1, n)
 
 
 def strip_control_chars(c: Column | str) -> Column:
@@ -194,5 +194,5 @@ def integral_text(c: Column | str) -> Column:
 
 def clean_code(c: Column | str) -> Column:
     """Lookup code cleanup — trim, drop ``.0``, blank / ``nan`` -> NULL."""
-    t = F.regexp_replace(F.trim(col(c).cast("string")), "\\.0$", "")
+    t = F.regexp_replace(strip(col(c).cast("string")), "\\.0$", "")
     return F.when((t == "") | F.lower(t).isin("nan", "none", "null"), F.lit(None).cast("string")).otherwise(t)

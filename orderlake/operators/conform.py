@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.functions.dates import parse_date_multi, parse_timestamp_multi
-from orderlake.functions._util import is_blank
+from orderlake.functions._util import is_blank, strip
 from orderlake.functions.numbers import bool_true_tokens, money2, to_bigint, to_number
 from orderlake.functions.text import null_tokens
 
@@ -103,7 +103,7 @@ def registry_rename(df: DataFrame, registry: Sequence[Field], unmapped: str = "k
 
 def normalize_text(c: Column) -> Column:
     """Raw cell -> trimmed text with null tokens as NULL (the cast input)."""
-    return F.trim(null_tokens(c.cast("string")))
+    return strip(null_tokens(c.cast("string")))
 
 
 def cast_field(c: Column, typ: str, on_error: str = "default", default=None,
@@ -193,7 +193,7 @@ def stamp(df: DataFrame, always: Mapping[str, object] | None = None,
     for c, v in (if_blank or {}).items():
         if c in out.columns:
             cur = F.col(c)
-            out = out.withColumn(c, F.when(cur.isNull() | (F.trim(cur.cast("string")) == ""), F.lit(v)).otherwise(cur))
+            out = out.withColumn(c, F.when(cur.isNull() | (strip(cur.cast("string")) == ""), F.lit(v)).otherwise(cur))
         else:
             out = out.withColumn(c, F.lit(v))
     return out
@@ -206,7 +206,7 @@ def fallback_column(df: DataFrame, target: str, keyword: str) -> DataFrame:
     if not candidates:
         return df
     if target in df.columns:
-        nonblank = df.agg(F.count_if(F.trim(F.col(target).cast("string")) != "").alias("n")).first()["n"]
+        nonblank = df.agg(F.count_if(strip(F.col(target).cast("string")) != "").alias("n")).first()["n"]
         if nonblank:
             return df
     return df.withColumn(target, F.col(f"`{candidates[0]}`"))

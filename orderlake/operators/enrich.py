@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions.text import clean_code
-from orderlake.functions._util import is_blank
+from orderlake.functions._util import is_blank, strip
 from orderlake.operators._common import BROADCAST_BYTES, as_list, proven_small, sized_broadcast
 from orderlake.operators.dedupe import keep_last
 
@@ -70,14 +70,14 @@ def prefer_longer(own: Column | str, master: Column | str) -> Column:
     or master is longer."""
     o = F.col(own) if isinstance(own, str) else own
     m = F.col(master) if isinstance(master, str) else master
-    m_ok = m.isNotNull() & (F.trim(m) != "")
-    o_empty = o.isNull() | (F.trim(o) == "")
+    m_ok = m.isNotNull() & (strip(m) != "")
+    o_empty = o.isNull() | (strip(o) == "")
     return F.when(m_ok & (o_empty | (F.length(m) > F.length(o))), m).otherwise(o)
 
 
 def casefold_key(c: Column | str) -> Column:
-    """Join key normalisation ``lower(trim(x))``."""
-    return F.lower(F.trim(F.col(c) if isinstance(c, str) else c))
+    """Join key normalisation: lower case, no white space at either end."""
+    return F.lower(strip(c))
 
 
 def casefold_join(df: DataFrame, dim: DataFrame, on: str, dim_key: str, cols: Sequence[str],

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.functions.numbers import to_number
+from orderlake.functions._util import strip
+from orderlake.functions.numbers import NUMBER_SHAPE, to_number
 
 
 def numeric_key(c: Column | str) -> Column:
@@ -35,7 +36,9 @@ def prefixed_id_order(c: Column | str, prefix: str = "RM") -> list[Column]:
 
 def sort_numeric(df: DataFrame, c: str, *then: str) -> DataFrame:
     """O1: ascending by the numeric value of text ids, NULL (unparseable) last."""
-    return df.orderBy(numeric_key(c).asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in then])
+    text = strip(F.col(c).cast("string"))
+    exact = F.when(text.rlike(NUMBER_SHAPE), text.try_cast("decimal(38,10)"))       # where doubles are equal
+    return df.orderBy(numeric_key(c).asc_nulls_last(), exact.asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in then])
 
 
 def sort_prefixed_id(df: DataFrame, c: str, prefix: str = "RM", invalid: Column | None = None,

@@ -432,7 +432,7 @@ def _catalog_key_sql(col: str) -> str:
 
 
 def _clean_sql(x: str) -> str:
-    t = f"regexp_replace(trim(CAST({x} AS VARCHAR)), '\\.0$', '')"
+    t = f"regexp_replace(trim(CAST({x} AS VARCHAR), ' ' || chr(9) || chr(12288)), '\\.0$', '')"
     return f"CASE WHEN {t} = '' OR lower({t}) IN ('nan', 'none', 'null') THEN NULL ELSE {t} END"
 
 
@@ -440,7 +440,7 @@ LOOKUP_CODE_SQL = f"""
 CASE l_linenumber
   WHEN 1 THEN {_catalog_key_sql('l_partkey')}
   WHEN 2 THEN CAST(l_partkey AS VARCHAR)
-  WHEN 3 THEN {_catalog_key_sql('l_partkey')} || '.0'
+  WHEN 3 THEN chr(9) || {_catalog_key_sql('l_partkey')} || '.0' || chr(12288)
   WHEN 4 THEN left({_catalog_key_sql('l_partkey')}, 12)
   WHEN 5 THEN {_catalog_key_sql('l_partkey')} || '7'
   WHEN 6 THEN ''
@@ -451,7 +451,7 @@ def _lookup_code(c):
     key = F.lpad(F.col(c).cast("string"), 13, "0")
     ln = F.col("l_linenumber")
     return (F.when(ln == 1, key).when(ln == 2, F.col(c).cast("string"))
-            .when(ln == 3, F.concat(key, F.lit(".0"))).when(ln == 4, F.substring(key, 1, 12))
+            .when(ln == 3, F.concat(F.lit("\t"), key, F.lit(".0\u3000"))).when(ln == 4, F.substring(key, 1, 12))
             .when(ln == 5, F.concat(key, F.lit("7"))).when(ln == 6, F.lit("")).otherwise(F.lit("nan")))
 
 
@@ -515,16 +515,16 @@ WITH m AS (SELECT lower(trim(c_mktsegment)) AS ck, arg_max(c_custkey, c_custkey)
                   arg_max(c_name, c_custkey) AS shop_shop_name
            FROM customer WHERE lower(trim(c_mktsegment)) IS NOT NULL AND lower(trim(c_mktsegment)) <> '' GROUP BY 1),
 f AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN upper(c_mktsegment)
-                                           WHEN 1 THEN '  ' || lower(c_mktsegment) || ' '
+                                           WHEN 1 THEN chr(12288) || lower(c_mktsegment) || chr(9)
                                            ELSE c_mktsegment END AS platform FROM customer)
-SELECT f.c_custkey, f.platform, m.shop_shop_id, m.shop_shop_name FROM f LEFT JOIN m ON lower(trim(f.platform)) = m.ck
+SELECT f.c_custkey, f.platform, m.shop_shop_id, m.shop_shop_name FROM f LEFT JOIN m ON lower(trim(f.platform, ' ' || chr(9) || chr(12288))) = m.ck
 """)
 def casefold_join(spark, d):
     """Platform text in mixed case/padding joined on lower(trim(...));
     the last master row per platform wins."""
     cust = table(spark, d, "customer")
     fact = cust.select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.upper("c_mktsegment"))
-                       .when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("  "), F.lower("c_mktsegment"), F.lit(" ")))
+                       .when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("\u3000"), F.lower("c_mktsegment"), F.lit("\t")))
                        .otherwise(F.col("c_mktsegment")).alias("platform"))
     master = cust.select(F.col("c_mktsegment").alias("platform"), F.col("c_custkey").alias("shop_id"),
                          F.col("c_name").alias("shop_name"), F.col("c_custkey").alias("position"))
@@ -613,14 +613,14 @@ SELECT o_orderkey,
        split_part(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), '.', 1) AS price_int_part,
        CASE WHEN length(CAST(o_orderkey % 1000 AS VARCHAR)) < 5 THEN lpad(CAST(o_orderkey % 1000 AS VARCHAR), 5, '0') ELSE CAST(o_orderkey % 1000 AS VARCHAR) END AS key_zfill,
        CASE WHEN length(CAST(o_custkey AS VARCHAR)) < 8 THEN rpad(CAST(o_custkey AS VARCHAR), 8, '0') ELSE CAST(o_custkey AS VARCHAR) END AS cust_rpad,
-       CAST(o_orderkey AS VARCHAR) AS key_unquoted,
+       CAST(o_orderkey AS VARCHAR) AS key_unquoted, CAST(o_orderkey AS VARCHAR) AS key_clean,
        '''' || CAST(o_orderkey AS VARCHAR) AS key_guarded,
        '''0' || regexp_replace('9' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') || '.0', '\\.0$', '') AS phone_prefixed,
        CASE WHEN regexp_matches(regexp_replace('9' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') || '.0', '\\.0$', ''), '^9[0-9]{{8}}$')
             THEN '0' || regexp_replace('9' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') || '.0', '\\.0$', '')
             ELSE regexp_replace('9' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') || '.0', '\\.0$', '') END AS phone_nine,
        trim(regexp_replace(o_orderpriority || ' 無 ' || o_orderstatus, '無.*$', '')) AS note_cut,
-       left(trim(' ' || CAST(o_custkey + 10000 AS VARCHAR)), 3) AS zip3,
+       left(CAST(o_custkey + 10000 AS VARCHAR), 3) AS zip3,
        regexp_replace(lpad(CAST(o_orderkey AS VARCHAR), 10, '0'), '^0+', '') AS key_unpadded,
        CASE WHEN regexp_matches(CAST(o_custkey AS VARCHAR) || '.00', '^-?[0-9]+\\.0+$')
             THEN regexp_replace(CAST(o_custkey AS VARCHAR) || '.00', '\\.0+$', '') ELSE CAST(o_custkey AS VARCHAR) || '.00' END AS cust_integral
@@ -637,12 +637,13 @@ def clean_codes(spark, d):
         fn.strip_float_suffix(F.col("o_totalprice").cast("decimal(18,2)").cast("string"), mode="cut").alias("price_int_part"),
         fn.zero_pad((F.col("o_orderkey") % 1000).cast("string"), 5).alias("key_zfill"),
         fn.pad_right(F.col("o_custkey").cast("string"), 8).alias("cust_rpad"),
-        fn.unquote_formula(F.concat(F.lit('="'), k, F.lit('"'))).alias("key_unquoted"),
+        fn.unquote_formula(F.concat(F.lit('\u3000="'), k, F.lit('"\t'))).alias("key_unquoted"),
+        fn.clean_code(F.concat(F.lit("\t"), k, F.lit(".0\u3000"))).alias("key_clean"),
         fn.text_guard_prefix(k).alias("key_guarded"),
         fn.format_phone(phone_raw).alias("phone_prefixed"),
         fn.format_phone(phone_raw, "nine").alias("phone_nine"),
         fn.truncate_at_word(F.concat(F.col("o_orderpriority"), F.lit(" 無 "), F.col("o_orderstatus"))).alias("note_cut"),
-        fn.zip_prefix(F.concat(F.lit(" "), (F.col("o_custkey") + 10000).cast("string"))).alias("zip3"),
+        fn.zip_prefix(F.concat(F.lit("\u3000\t"), (F.col("o_custkey") + 10000).cast("string"))).alias("zip3"),
         fn.strip_leading_zeros(F.lpad(k, 10, "0")).alias("key_unpadded"),
         fn.integral_text(F.concat(F.col("o_custkey").cast("string"), F.lit(".00"))).alias("cust_integral"),
     )
@@ -830,28 +831,31 @@ def calendar_parts(spark, d):
 
 # ---------------------------------------------------------------- numbers / booleans
 
+#: Some characters that count as white space at a cell's ends.
+BLANKS_SQL = "' ' || chr(9) || chr(160) || chr(12288)"
+
 NUM_TEXT_SQL = """CASE l_linenumber
   WHEN 1 THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)
   WHEN 2 THEN 'nan'
   WHEN 3 THEN CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR) || '.0'
   WHEN 4 THEN 'abc'
-  WHEN 5 THEN ' ' || CAST(CAST(l_discount AS DECIMAL(18,2)) AS VARCHAR) || ' '
+  WHEN 5 THEN chr(9) || CAST(CAST(l_discount AS DECIMAL(18,2)) AS VARCHAR) || chr(12288)
   WHEN 6 THEN ''
   ELSE CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 0.5 AS DECIMAL(18,3)) AS VARCHAR) END"""
-BOOL_TEXT_SQL = """CASE l_linenumber WHEN 1 THEN 'Yes' WHEN 2 THEN '是' WHEN 3 THEN '0' WHEN 4 THEN ' y '
+BOOL_TEXT_SQL = """CASE l_linenumber WHEN 1 THEN 'Yes' WHEN 2 THEN '是' || chr(12288) WHEN 3 THEN '0' WHEN 4 THEN chr(160) || 'y' || chr(9)
   WHEN 5 THEN 'TRUE' WHEN 6 THEN NULL ELSE 'no' END"""
 
 
 @check("numbers_bools", f"""
 WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {NUM_TEXT_SQL} AS num_text, {BOOL_TEXT_SQL} AS bool_text FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, num_text, bool_text,
-       CASE WHEN isnan(TRY_CAST(trim(num_text) AS DOUBLE)) THEN NULL ELSE TRY_CAST(trim(num_text) AS DOUBLE) END AS as_number,
-       CAST(round_even(TRY_CAST(trim(num_text) AS DECIMAL(38,10)), 2) AS DECIMAL(18,2)) AS as_money,
-       coalesce(TRY_CAST(split_part(trim(num_text), '.', 1) AS BIGINT), 0) AS as_int,
-       regexp_replace(trim(num_text), '\\.0+$', '') AS compact,
-       coalesce(lower(trim(bool_text)) IN ('true', '1', 'yes', 'y', '是'), false) AS bool_tokens,
-       CASE WHEN lower(trim(bool_text)) IN ('true', '1', 'yes') THEN true ELSE false END AS bool_mapped,
-       coalesce(trim(bool_text) = '是', false) AS bool_label
+       CASE WHEN isnan(TRY_CAST(trim(num_text, {BLANKS_SQL}) AS DOUBLE)) THEN NULL ELSE TRY_CAST(trim(num_text, {BLANKS_SQL}) AS DOUBLE) END AS as_number,
+       CAST(round_even(TRY_CAST(trim(num_text, {BLANKS_SQL}) AS DECIMAL(38,10)), 2) AS DECIMAL(18,2)) AS as_money,
+       coalesce(TRY_CAST(split_part(trim(num_text, {BLANKS_SQL}), '.', 1) AS BIGINT), 0) AS as_int,
+       regexp_replace(trim(num_text, {BLANKS_SQL}), '\\.0+$', '') AS compact,
+       coalesce(lower(trim(bool_text, {BLANKS_SQL})) IN ('true', '1', 'yes', 'y', '是'), false) AS bool_tokens,
+       CASE WHEN lower(trim(bool_text, {BLANKS_SQL})) IN ('true', '1', 'yes') THEN true ELSE false END AS bool_mapped,
+       coalesce(trim(bool_text, {BLANKS_SQL}) = '是', false) AS bool_label
 FROM t
 """)
 def numbers_bools(spark, d):
@@ -862,11 +866,11 @@ def numbers_bools(spark, d):
            .when(ln == 2, F.lit("nan"))
            .when(ln == 3, F.concat(F.floor("l_quantity").cast("bigint").cast("string"), F.lit(".0")))
            .when(ln == 4, F.lit("abc"))
-           .when(ln == 5, F.concat(F.lit(" "), F.col("l_discount").cast("decimal(18,2)").cast("string"), F.lit(" ")))
+           .when(ln == 5, F.concat(F.lit("\t"), F.col("l_discount").cast("decimal(18,2)").cast("string"), F.lit("\u3000")))
            .when(ln == 6, F.lit(""))
            .otherwise((F.col("l_extendedprice").cast("decimal(18,2)") * F.lit(0.5).cast("decimal(1,1)")).cast("decimal(18,3)").cast("string")))
-    boo = (F.when(ln == 1, F.lit("Yes")).when(ln == 2, F.lit("是")).when(ln == 3, F.lit("0"))
-           .when(ln == 4, F.lit(" y ")).when(ln == 5, F.lit("TRUE")).when(ln == 6, F.lit(None).cast("string"))
+    boo = (F.when(ln == 1, F.lit("Yes")).when(ln == 2, F.lit("是\u3000")).when(ln == 3, F.lit("0"))
+           .when(ln == 4, F.lit("\xa0y\t")).when(ln == 5, F.lit("TRUE")).when(ln == 6, F.lit(None).cast("string"))
            .otherwise(F.lit("no")))
     t = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", num.alias("num_text"), boo.alias("bool_text"))
     return t.select("*", fn.to_number("num_text").alias("as_number"), fn.money2("num_text").alias("as_money"),
@@ -1040,7 +1044,8 @@ def conform_order_lines(spark, d):
 # cells that a report may hold in a typed column, and what each type makes of them
 DIRTY_REGISTRY = [cf.Field("item", 1, type="STRING"), cf.Field("whole", 2, type="INTEGER"), cf.Field("amount", 3, type="NUMERIC"),
                   cf.Field("day", 4, type="DATE")]
-DIRTY_WHOLE = ["12345678901234567", "1e30", "7.0", "-3", "99999999999999999999", " 42 ", "x", "", "2.75"]
+DIRTY_WHOLE = ["12345678901234567", "1e30", "7.0", "-3", "99999999999999999999", " 42 ", "x", "", "2.75",
+               "12345678901234567.5", "\t43\u3000", "-9007199254740993.99999999999", "2e3"]
 DIRTY_AMOUNT = ["99999999999999999999", "1.005", "2.675", "-0.125", "1e3", "", "n/a", "12345678901234.567"]
 DIRTY_DAY = ["99999999999/1/1", "2025/7/1", "2025-07-01 10:20", "31/12/2024", "2025/13/40", "", "20250701"]
 
@@ -1064,10 +1069,12 @@ def _dirty(spark, d):
         _pick(DIRTY_AMOUNT, "l_partkey").alias("amount"), _pick(DIRTY_DAY, "l_suppkey").alias("day"))
 
 
-# the rule for a whole number: exact where the text is one, else the number without its fraction, else 0
-WHOLE_SQL = """coalesce(CASE WHEN regexp_matches(trim(whole), '^[+-]?[0-9]+([.]0+)?$')
-                   THEN TRY_CAST(regexp_replace(trim(whole), '[.]0+$', '') AS BIGINT)
-                   ELSE TRY_CAST(trunc(TRY_CAST(trim(whole) AS DOUBLE)) AS BIGINT) END, 0)"""
+# a whole number is the digits before the point; one with an exponent its integral value; else 0
+_WHOLE = "trim(whole, ' ' || chr(9) || chr(12288))"
+WHOLE_SQL = f"""coalesce(CASE WHEN regexp_matches({_WHOLE}, '^[+-]?[0-9]+([.][0-9]*)?$')
+                   THEN TRY_CAST(regexp_extract({_WHOLE}, '^[+-]?[0-9]+') AS BIGINT)
+                   WHEN regexp_matches({_WHOLE}, '^[0-9]e[0-9]$')
+                   THEN CAST(left({_WHOLE}, 1) AS BIGINT) * CAST('1' || repeat('0', CAST(right({_WHOLE}, 1) AS INTEGER)) AS BIGINT) END, 0)"""
 AMOUNT_SQL = "coalesce(TRY_CAST(round_even(TRY_CAST(trim(amount) AS DECIMAL(38,10)), 2) AS DECIMAL(18,2)), 0)"
 DAY_SQL = """CAST(coalesce(try_strptime(day, '%Y-%m-%d'), CASE WHEN length(day) < 11 THEN try_strptime(day, '%Y/%m/%d') END,
                    try_strptime(day, '%Y-%m-%d %H:%M'), try_strptime(day, '%d/%m/%Y'), try_strptime(day, '%m/%d/%Y'),
@@ -1726,16 +1733,20 @@ def messy_columns(spark, d):
 
 
 @check("sorted_positions", """
-WITH t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' ELSE CAST(o_orderkey AS VARCHAR) || CASE o_orderkey % 2 WHEN 0 THEN '.0' ELSE '' END END AS sn, o_custkey FROM orders)
-SELECT o_orderkey, sn, row_number() OVER (ORDER BY TRY_CAST(sn AS DOUBLE) ASC NULLS LAST, o_orderkey ASC) AS numeric_place,
+WITH t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' WHEN o_orderkey % 5 = 0 THEN CAST(9007199254740992 + o_orderkey AS VARCHAR)
+                  ELSE CAST(o_orderkey AS VARCHAR) || CASE o_orderkey % 2 WHEN 0 THEN '.0' ELSE '' END END AS sn, o_custkey FROM orders)
+SELECT o_orderkey, sn, row_number() OVER (ORDER BY CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN 9007199254740992 + o_orderkey
+                                                        ELSE o_orderkey END ASC NULLS LAST, o_orderkey ASC) AS numeric_place,
        row_number() OVER (ORDER BY o_custkey ASC NULLS LAST, sn ASC NULLS LAST, o_orderkey ASC) AS keyed_place FROM t
 """)
 def sorted_positions(spark, d):
-    """O1 + O3: places of all orders by the numeric value of their text ids and
-    by several keys, taken from the sorted rows themselves."""
+    """O1 + O3: places of all orders by the numeric value of their text ids (some
+    beyond what doubles tell apart) and by several keys, taken from the sorted
+    rows themselves."""
     from orderlake.operators import ordering as od
     k = F.col("o_orderkey")
-    sn = F.when(k % 13 == 0, F.lit("n/a")).otherwise(F.concat(k.cast("string"), F.when(k % 2 == 0, F.lit(".0")).otherwise(F.lit(""))))
+    sn = F.when(k % 13 == 0, F.lit("n/a")).when(k % 5 == 0, (k + 9007199254740992).cast("string")).otherwise(
+        F.concat(k.cast("string"), F.when(k % 2 == 0, F.lit(".0")).otherwise(F.lit(""))))
     t = table(spark, d, "orders").select("o_orderkey", "o_custkey", sn.alias("sn"))
 
     def placed(df, name):          # the rows' order in the sorted frame, as a number
@@ -1761,14 +1772,20 @@ def distinct_customers(spark, d):
 
 
 @check("split_date_times", f"""
-WITH s AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 3 THEN 'soon' WHEN o_orderkey % 7 = 4 THEN ' ' ELSE {_rendered_sql()} END AS cell FROM orders)
-SELECT o_orderkey, CAST({_multi_ts_sql('cell')} AS DATE) AS day, strftime({_multi_ts_sql('cell')}, '%H:%M:%S') AS time
-FROM s WHERE {_multi_ts_sql('cell')} IS NOT NULL
+WITH s AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 3 THEN 'soon' WHEN o_orderkey % 7 = 4 THEN ' '
+                  WHEN o_orderkey % 7 = 5 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T10:20:30' ELSE {_rendered_sql()} END AS cell,
+                  o_orderkey % 7 = 5 AS iso, o_orderdate FROM orders),
+x AS (SELECT o_orderkey, CASE WHEN iso THEN CAST(o_orderdate AS DATE) + INTERVAL 37230 SECOND ELSE {_multi_ts_sql('cell')} END AS moment FROM s)
+SELECT o_orderkey, CAST(moment AS DATE) AS day, strftime(moment, '%H:%M:%S') AS time, 
+       CASE WHEN o_orderkey % 7 = 5 OR o_orderkey % 9 < 6 THEN strftime(moment, '%Y-%m-%d') ELSE '' END AS day_text FROM x WHERE moment IS NOT NULL
 """)
 def split_date_times(spark, d):
-    """D4 + F5: date-time cells split into a date and a time; rows whose date
-    doesn't parse are dropped."""
+    """D4 + F5: date-time cells (ISO ones too) split into a date and a time; rows
+    whose date doesn't parse are dropped.  D12's text knows the layouts with the
+    year first."""
     k = F.col("o_orderkey")
-    cell = F.when(k % 7 == 3, F.lit("soon")).when(k % 7 == 4, F.lit(" ")).otherwise(_rendered())
+    cell = F.when(k % 7 == 3, F.lit("soon")).when(k % 7 == 4, F.lit(" ")).when(
+        k % 7 == 5, F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T10:20:30"))).otherwise(_rendered())
     s = table(spark, d, "orders").select("o_orderkey", cell.alias("cell")).withColumn("x", fn.split_datetime("cell"))
-    return quality.require_date(s, "cell", F.col("x.date")).select("o_orderkey", F.col("x.date").alias("day"), F.col("x.time").alias("time"))
+    return quality.require_date(s, "cell", F.col("x.date")).select(
+        "o_orderkey", F.col("x.date").alias("day"), F.col("x.time").alias("time"), fn.date_from_timestamp("cell").alias("day_text"))
