@@ -80,6 +80,72 @@ def date_validity(df: DataFrame, parsed: Column | str, by: str) -> DataFrame:
     return out.withColumn("valid_pct", pct)
 
 
+#: Days of one bitmap, and what makes the number of every DATE since 1970 positive.
+MAP_DAYS = 32_768
+_FIRST_DAY = 3_000_000
+
+
+def _number(day: Column) -> Column:
+    return F.unix_date(day).cast("long") + _FIRST_DAY
+
+
+def day_maps(df: DataFrame, date: Column | str, by=None) -> DataFrame:
+    """One bitmap of the days that occur per ``by`` values and stretch of
+    MAP_DAYS days: by..., bucket, bits, first, last (day numbers).  A task builds
+    its bitmaps while it scans, so only 4 kB per file and stretch are shuffled,
+    whatever the rows; ``merge_day_maps`` adds such bitmaps up."""
+    by = as_list(by)
+    d = F.col(date) if isinstance(date, str) else date
+    days = df.select(*by, _number(F.to_date(d)).alias("n")).filter(F.col("n").isNotNull())
+    return days.groupBy(*by, F.bitmap_bucket_number("n").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("bits"), F.min("n").alias("first"), F.max("n").alias("last"))
+
+
+def merge_day_maps(maps: DataFrame, by=None) -> DataFrame:
+    """The bitmaps of ``by`` values (default: of all), each day set that any has."""
+    return maps.groupBy(*as_list(by), "bucket").agg(
+        F.bitmap_or_agg("bits").alias("bits"), F.min("first").alias("first"), F.max("last").alias("last"))
+
+
+def map_days(maps: DataFrame, by=None, present: bool = True) -> DataFrame:
+    """(by..., day) of the days between the first and the last one that the
+    bitmaps have (or, not ``present``, don't have).  Work follows the days, not rows."""
+    by = as_list(by)
+    spans = maps.groupBy(*by).agg(F.min("first").alias("lo"), F.max("last").alias("hi"))
+    bucket = lambda n: F.bitmap_bucket_number(n)                                                  # noqa: E731
+    stretches = spans.select(*by, "lo", "hi", F.explode(F.sequence(bucket(F.col("lo")), bucket(F.col("hi")))).alias("bucket"))
+    own = maps.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("bucket").alias("_bucket"), "bits")
+    on = F.col("bucket") == F.col("_bucket")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    begin = (F.col("bucket") - 1) * MAP_DAYS + 1
+    days = stretches.join(own, on, "left").select(*by, "bits", begin.alias("_b"), F.explode(F.sequence(
+        F.greatest("lo", begin), F.least("hi", begin + MAP_DAYS - 1))).alias("n"))
+    at = F.col("n") - F.col("_b")
+    byte = F.conv(F.hex(F.substr("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1))
+    return days.filter(F.coalesce(bit, F.lit(0)) == int(present)).select(
+        *by, F.date_from_unix_date((F.col("n") - _FIRST_DAY).cast("int")).alias("day"))
+
+
+def missing_dates(df: DataFrame, date: Column | str, by: str = "file") -> DataFrame:
+    """(scope, ``by``, day) of missing days, from one pass over the rows.
+
+    scope ``file``: days without a row between the file's first and last one;
+    ``any``: the days that are missing in some file, each once; ``all``: those
+    between the first and the last day of all files that no file has.  The
+    file's name is NULL in the last two.  Files without a date have no rows."""
+    maps = day_maps(df, date, by).checkpoint(eager=True)          # one row per file and 90 years
+    per_file = map_days(maps, by, present=False)
+    kind = maps.schema[by].dataType
+    union = map_days(day_maps(per_file, "day"))
+    none = map_days(merge_day_maps(maps), present=False)
+    out = per_file.select(F.lit("file").alias("scope"), by, "day")
+    for scope, days in (("any", union), ("all", none)):
+        out = out.unionByName(days.select(F.lit(scope).alias("scope"), F.lit(None).cast(kind).alias(by), "day"))
+    return out
+
+
 def missing_counterpart(df: DataFrame, counterpart: DataFrame, keys, exclude_status: str | None = None,
                         status: str | None = None, date: str | None = None) -> DataFrame:
     """rows with a date and key but no counterpart row, excluding statuses

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.functions._util import is_blank
@@ -137,3 +137,36 @@ def step_counts(steps: Sequence[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
     return (out.withColumn("removed", (F.col("rows_in") - F.col("rows_out")).cast("bigint"))
             .withColumn("removed_pct", F.round((F.col("removed") * 100.0 / F.col("rows_in"))
                                                .cast("decimal(20,6)"), 2).cast("decimal(6,2)")))
+
+
+class ObservedSteps:
+    """Rows in and out of a flow's steps, counted while the flow runs once.
+
+    ``mark`` a frame after each step, run one action on what came out of them
+    (a load, say), then ask for the ``report``: the counts are metrics of that
+    action, so no source is scanned for them.  A map task that is computed again
+    after its executor is lost may count twice; ``step_counts`` counts by itself.
+    """
+
+    def __init__(self):
+        self._marks: list[tuple[str, str | None, Observation]] = []
+
+    def mark(self, df: DataFrame, name: str, after: str | None = None) -> DataFrame:
+        """``df`` with its rows counted under ``name``; ``after`` names the mark
+        whose rows went into the step (none: a source)."""
+        if after is not None and after not in [n for n, _, _ in self._marks]:
+            raise ValueError(f"no mark is named {after}")
+        seen = Observation()
+        self._marks.append((name, after, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """step, pos, rows_in, rows_out, removed and removed_pct of every step and
+        in total; to be called after the action."""
+        rows = {name: seen.get["rows"] for name, _, seen in self._marks}
+        steps = [(name, rows[after], rows[name]) for name, after, _ in self._marks if after is not None]
+        steps.append(("*total*", sum(s[1] for s in steps), sum(s[2] for s in steps)))
+        out = spark.createDataFrame([(n, k, a, b, a - b) for k, (n, a, b) in enumerate(steps)],
+                                    "step string, pos int, rows_in long, rows_out long, removed long")
+        return out.withColumn("removed_pct", F.round((F.col("removed") * 100.0 / F.nullif("rows_in", F.lit(0)))
+                                                     .cast("decimal(20,6)"), 2).cast("decimal(6,2)"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlake import functions as fn
@@ -962,6 +962,25 @@ def date_validity(spark, d):
     return cal.date_validity(t, fn.parse_date_multi("date_text"), "o_orderpriority")
 
 
+@check("missing_dates_by_file", """
+WITH t AS (SELECT o_orderpriority AS file, CAST(o_orderdate AS DATE) AS day FROM orders
+           WHERE (dayofyear(o_orderdate) + length(o_orderpriority)) % 11 <> 0 AND (o_orderpriority <> '5-LOW' OR o_orderkey % 3 = 0)
+                 AND dayofyear(o_orderdate) <> 100),
+s AS (SELECT file, min(day) AS lo, max(day) AS hi FROM t GROUP BY file),
+f AS (SELECT file, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM s EXCEPT SELECT file, day FROM t),
+a AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM t EXCEPT SELECT day FROM t)
+SELECT 'file' AS scope, file, day FROM f UNION ALL SELECT DISTINCT 'any', NULL, day FROM f UNION ALL SELECT 'all', NULL, day FROM a
+""")
+def missing_dates_by_file(spark, d):
+    """A12 + W8: days missing in each file (order priority), in any of them, and
+    in all, by day bitmaps from one pass over the orders."""
+    o = table(spark, d, "orders")
+    late = (F.dayofyear("o_orderdate") + F.length("o_orderpriority")) % 11 != 0
+    kept = o.filter(late & ((F.col("o_orderpriority") != "5-LOW") | (F.col("o_orderkey") % 3 == 0))
+                    & (F.dayofyear("o_orderdate") != 100))
+    return cal.missing_dates(kept.withColumn("file", F.col("o_orderpriority")), "o_orderdate", "file")
+
+
 @check("step_counts", f"""
 WITH s AS (
   SELECT 'dedupe_lines' AS step, 0 AS pos, (SELECT count(*) FROM lineitem) AS rows_in, (SELECT count(*) FROM ({LINES_LAST_SQL})) AS rows_out
@@ -982,6 +1001,30 @@ def step_counts(spark, d):
         .withColumn("pos", F.col("pos").cast("int"))
 
 
+@check("observed_steps", f"""
+WITH a AS (SELECT count(*) AS n FROM lineitem), b AS (SELECT count(*) AS n FROM lineitem WHERE l_returnflag <> 'R'),
+c AS (SELECT count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_returnflag <> 'R')),
+e AS (SELECT count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_returnflag <> 'R')
+      WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'O')),
+s AS (SELECT 'not_returned' AS step, 0 AS pos, a.n AS rows_in, b.n AS rows_out FROM a, b
+      UNION ALL SELECT 'one_per_part', 1, b.n, c.n FROM b, c UNION ALL SELECT 'known_orders', 2, c.n, e.n FROM c, e),
+t AS (SELECT * FROM s UNION ALL SELECT '*total*', 3, CAST(sum(rows_in) AS BIGINT), CAST(sum(rows_out) AS BIGINT) FROM s)
+SELECT *, rows_in - rows_out AS removed,
+       CAST(round(CAST((rows_in - rows_out) * 100.0 / rows_in AS DECIMAL(20,6)), 2) AS DECIMAL(6,2)) AS removed_pct FROM t
+""")
+def observed_steps(spark, d):
+    """Rows in and out of three steps, as metrics of the one job that writes
+    their result; every source is scanned once."""
+    steps = quality.ObservedSteps()
+    li = steps.mark(table(spark, d, "lineitem"), "lines")
+    kept = steps.mark(li.filter("l_returnflag <> 'R'"), "not_returned", after="lines")
+    one = steps.mark(dedupe.keep_first(kept, ["l_orderkey", "l_partkey"], ["l_linenumber"]), "one_per_part", after="not_returned")
+    done = table(spark, d, "orders").filter("o_orderstatus <> 'O'").select(F.col("o_orderkey").alias("l_orderkey"))
+    known = steps.mark(up.member_of(one, done, "l_orderkey"), "known_orders", after="one_per_part")
+    known.write.parquet(scratch_path(spark, f"observed-{uuid.uuid4().hex}"))
+    return steps.report(spark)
+
+
 # ---------------------------------------------------------------- conformance
 
 # Fixed test registry: canonical order-line fields, local header names, types.
@@ -1203,6 +1246,29 @@ def file_duplicates(spark, d):
     return r.select("doc_id", "n_chars", "digest", F.col("group_size").cast("bigint").alias("group_size"), "keep")
 
 
+@check("chunked_file_duplicates", """
+SELECT o_orderpriority AS report, copy, CAST(2 AS BIGINT) AS group_size, copy = 'a' AS keep
+FROM (SELECT DISTINCT o_orderpriority FROM orders), (VALUES ('a'), ('b')) AS v(copy)
+""")
+def chunked_file_duplicates(spark, d):
+    """Orders exported as one text file per priority, twice (a, b) and once
+    with a byte changed (c, of the same length); the identical files are found by
+    digests of byte ranges that tasks read."""
+    from orderlake.sources import digests
+    o = table(spark, d, "orders")
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus", F.col("o_custkey").cast("string"))
+    changed = F.col("o_orderkey") == F.min("o_orderkey").over(Window.partitionBy("o_orderpriority", "copy"))
+    copies = o.withColumn("copy", F.explode(F.array(F.lit("a"), F.lit("b"), F.lit("c")))).withColumn(
+        "value", F.when((F.col("copy") == "c") & changed, F.translate(line, ",", ";")).otherwise(line))
+    base = scratch_path(spark, f"digests-{uuid.uuid4().hex}")
+    (copies.select("copy", F.col("o_orderpriority").alias("report"), "o_orderkey", "value")
+     .repartition("copy", "report").sortWithinPartitions("copy", "report", "o_orderkey", "value")
+     .select("copy", "report", "value").write.partitionBy("copy", "report").text(base))
+    found = digests.duplicate_files_below(spark, base, glob="*.txt", chunk=1 << 16)
+    name = lambda k: F.regexp_extract("path", f"/{k}=([^/]+)/", 1)                                 # noqa: E731
+    return found.select(name("report").alias("report"), name("copy").alias("copy"), "group_size", "keep")
+
+
 # Fixed test values: URL fields of crawled pages.
 URL_PATTERNS = {
     "host": r"^https?://([^/?#]+)",
@@ -1532,6 +1598,42 @@ def stream_suppress_duplicates(spark, d):
     return spark.read.parquet(scratch_path(spark, name)).select("user_id", "event_type")
 
 
+@check("stream_survivors", """
+WITH RECURSIVE e AS (SELECT event_id, ts, user_id, event_type, value FROM events),
+p AS (SELECT user_id, event_type, min(ts) AS start FROM e GROUP BY ALL
+      UNION ALL
+      SELECT p.user_id, p.event_type, (SELECT min(ts) FROM e WHERE e.user_id = p.user_id AND e.event_type = p.event_type
+                                       AND e.ts >= p.start + INTERVAL 3 DAY) AS next
+      FROM p WHERE next IS NOT NULL),
+w AS (SELECT e.*, row_number() OVER (PARTITION BY e.user_id, e.event_type, p.start ORDER BY e.ts DESC, e.event_id DESC) AS rn, p.start
+      FROM e JOIN p ON e.user_id = p.user_id AND e.event_type = p.event_type AND e.ts >= p.start AND e.ts < p.start + INTERVAL 3 DAY)
+SELECT event_id, ts, user_id, event_type, value FROM w
+WHERE rn = 1 AND start + INTERVAL 3 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM e)
+""")
+def stream_survivors(spark, d):
+    """R2: the last row of every (user, event type) and period of three days, a
+    horizon far shorter than the events; the stream comes in three micro-batches,
+    the last with rows that are too late.  Periods that the watermark hasn't
+    passed at the end are still open and not reported."""
+    from orderlake.streaming.survivors import rocksdb, survivors
+    ev = table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    base = scratch_path(spark, f"survivors-{uuid.uuid4().hex}")
+    lo, hi = ev.agg(F.unix_micros(F.min("ts").cast("timestamp")), F.unix_micros(F.max("ts").cast("timestamp"))).first()
+    third = F.least(F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - lo) * 3 / (hi - lo + 1)), F.lit(2))
+    late = ev.withColumn("ts", (F.col("ts") - F.expr("INTERVAL 1000 DAYS")).cast(ev.schema["ts"].dataType)).withColumn(
+        "value", F.lit(None).cast(ev.schema["value"].dataType))
+    for k in range(3):
+        part = ev.filter(third == k)
+        # one file is one micro-batch
+        (part.unionByName(late) if k == 2 else part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    out = survivors(stream, ["user_id", "event_type"], "ts", "event_id", "3 days", "1 hour")
+    with rocksdb(spark):
+        (out.writeStream.outputMode("append").format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(ev.schema).parquet(f"{base}/out")
+
+
 @check("product_refs", """
 WITH t AS (SELECT p_partkey,
                   CASE WHEN p_partkey % 4 = 0 THEN p_name
