@@ -118,6 +118,69 @@ def _prefix_tokens(strings: DataFrame, col: str, freq: DataFrame, min_ratio: flo
     return ranked.select(col, F.explode(F.slice("__a", 1, n - tau + 1)).alias("__e")).select(col, F.col("__e.__t").alias("__t"))
 
 
+def _bigram_pairs(hs: DataFrame, rs: DataFrame, min_ratio: float) -> DataFrame:
+    """Pairs that share a prefix bigram token and may have a ratio above ``min_ratio``."""
+    hs, rs = hs.filter(F.length("__s") >= 2), rs.filter(F.length("__s") >= 2)       # one character has none
+    freq = (hs.unionByName(rs).distinct().select(F.explode(_bigram_tokens(F.col("__s"))).alias("__t"))
+            .groupBy("__t").agg(F.count(F.lit(1)).alias("__f")).checkpoint(eager=True))
+    hp = _prefix_tokens(hs, "__s", freq, min_ratio).withColumnRenamed("__s", "__hn")
+    rp = _prefix_tokens(rs, "__s", freq, min_ratio).withColumnRenamed("__s", "__rn")
+    return (hp.join(rp, "__t").select("__hn", "__rn").distinct().filter(F.col("__hn") != F.col("__rn"))
+            .filter(_ratio_possible(F.length("__hn"), F.length("__rn"), min_ratio)))
+
+
+def _char_tokens(c: Column) -> Column:
+    """Characters of ``c`` with their occurrence number, so that the token-set
+    overlap equals the character multiset overlap."""
+    chars = F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.substring(c, i, 1))
+    return F.transform(chars, lambda x, i: F.concat(
+        x, F.lit("\u0001"), F.size(F.filter(F.slice(chars, 1, i), lambda y: y == x)).cast("string")))
+
+
+def _char_prefix(strings: DataFrame, freq: DataFrame, min_ratio: float) -> DataFrame:
+    """(__s, __all, __t, __p): the rarest character tokens of each string, with
+    their place among all of them.
+
+    A difflib ratio 2M / (La + Lb) counts M characters in matching blocks, and M
+    is at most the overlap of the character multisets.  So a ratio above r needs
+    an overlap above r (La + Lb) / 2, and as Lb >= La r / (2 - r), one above
+    La r / (2 - r): pairs share one of the first La - that + 1 tokens.  This
+    holds for any r; it is weaker than the bigram bound where that one holds.
+    """
+    toks = strings.select("__s", F.explode(_char_tokens(F.col("__s"))).alias("__t"))
+    ranked = toks.join(freq, "__t").groupBy("__s").agg(F.array_sort(F.collect_list(F.struct("__f", "__t"))).alias("__a"))
+    n = F.length("__s")
+    need = F.greatest(F.lit(1), F.floor(n * (min_ratio / (2 - min_ratio)) - 1e-9).cast("int"))
+    return ranked.select("__s", F.col("__a.__t").alias("__all"), F.posexplode(F.slice("__a", 1, n - need + 1)).alias("__p", "__e")) \
+        .select("__s", "__all", F.col("__e.__t").alias("__t"), "__p")
+
+
+def _char_pairs(hs: DataFrame, rs: DataFrame, min_ratio: float) -> DataFrame:
+    """Pairs whose character overlap allows a ratio above ``min_ratio``: by
+    prefix tokens, length, place of the first shared token, then the overlap itself."""
+    freq = (hs.unionByName(rs).distinct().select(F.explode(_char_tokens(F.col("__s"))).alias("__t"))
+            .groupBy("__t").agg(F.count(F.lit(1)).alias("__f")).checkpoint(eager=True))
+    h = _char_prefix(hs, freq, min_ratio).select(F.col("__s").alias("__hn"), F.col("__all").alias("__ha"), "__t", F.col("__p").alias("__hp"))
+    r = _char_prefix(rs, freq, min_ratio).select(F.col("__s").alias("__rn"), F.col("__all").alias("__ra"), "__t", F.col("__p").alias("__rp"))
+    la, lb = F.length("__hn"), F.length("__rn")
+    need = (la + lb) * (min_ratio / 2) - 1e-9
+    near = (h.join(r, "__t").filter(_ratio_possible(la, lb, min_ratio) & (F.col("__hn") != F.col("__rn")))
+            .groupBy("__hn", "__rn").agg(F.min("__hp").alias("__hp"), F.min("__rp").alias("__rp"),
+                                         F.first("__ha").alias("__ha"), F.first("__ra").alias("__ra")))
+    return (near.filter(F.least(la - F.col("__hp"), lb - F.col("__rp")) > need)      # tokens from the first shared one on
+            .filter(F.size(F.array_intersect("__ha", "__ra")) > need).select("__hn", "__rn"))
+
+
+def _dealt(pairs: DataFrame, tasks: int) -> DataFrame:
+    """Pairs in partitions of about equal scoring cost (product of the lengths);
+    the pairs of one header are together, in as many pieces as their cost asks for."""
+    pairs = pairs.withColumn("__c", (F.length("__hn") * F.length("__rn")).cast("long")).checkpoint(eager=True)
+    share = (pairs.agg(F.sum("__c")).first()[0] or 0) / (4 * tasks) + 1
+    cost = pairs.groupBy("__hn").agg(F.ceil(F.sum("__c") / share).cast("int").alias("__pieces"))
+    return (pairs.join(cost, "__hn").withColumn("__piece", F.pmod(F.xxhash64("__rn"), F.col("__pieces")))
+            .repartition(4 * tasks, "__hn", "__piece").sortWithinPartitions("__hn").select("__hn", "__rn"))
+
+
 def match_fuzzy(headers: DataFrame, registry: DataFrame, min_ratio: float = 0.85) -> DataFrame:
     """Per file and registry field the header with the same normalised text,
     else the one with the best difflib ratio above ``min_ratio`` (the field's
@@ -125,14 +188,15 @@ def match_fuzzy(headers: DataFrame, registry: DataFrame, min_ratio: float = 0.85
     same normalised text count once; the last of them is taken.  Returns (file,
     name, position, header, score, how); fields without a header are absent.
 
-    Candidate pairs come from an equi join on *prefix* bigram tokens (see
-    ``_prefix_tokens``) of distinct normalised strings, then the length bound;
-    only those pairs reach the difflib UDF.  No pair is enumerated just for
-    sharing a common bigram.  The bound holds for ratios of 0.85 and more, so a
-    smaller ``min_ratio`` is refused.
+    Candidate pairs come from an equi join on *prefix* tokens of distinct
+    normalised strings, then the length bound; only those pairs reach the difflib
+    UDF, dealt to tasks by their cost.  The tokens are bigrams for ratios of 0.85
+    and more (see ``_prefix_tokens``); below, where that bound doesn't hold, they
+    are characters (see ``_char_prefix``), and the characters' overlap is
+    compared before scoring.
     """
-    if min_ratio < PREFIX_FILTER_MIN_RATIO:
-        raise ValueError("match_fuzzy needs min_ratio >= 0.85 (prefix-filter bound)")
+    if not 0 < min_ratio < 1:
+        raise ValueError("min_ratio lies between 0 and 1")
     tasks = int(headers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = headers.select("header").distinct().withColumn("__hn", normalize_fuzzy("header"))
     h = (headers.join(texts, "header").groupBy("file", "__hn")
@@ -142,15 +206,10 @@ def match_fuzzy(headers: DataFrame, registry: DataFrame, min_ratio: float = 0.85
     exact = (h.join(r, h["__hn"] == r["__rn"]).groupBy("file", "name")
              .agg(F.min(F.struct("reg_order", "position", "header")).alias("__e"))          # one entry a name
              .select("file", "name", "__e.position", "__e.header", F.lit(1.0).alias("score"), F.lit("exact").alias("how")))
-    hs = h.select(F.col("__hn").alias("__s")).distinct().filter(F.length("__s") >= 2)
-    rs = r.select(F.col("__rn").alias("__s")).distinct().filter(F.length("__s") >= 2)
-    freq = (hs.unionByName(rs).distinct().select(F.explode(_bigram_tokens(F.col("__s"))).alias("__t"))
-            .groupBy("__t").agg(F.count(F.lit(1)).alias("__f")).checkpoint(eager=True))
-    hp = _prefix_tokens(hs, "__s", freq, min_ratio).withColumnRenamed("__s", "__hn")
-    rp = _prefix_tokens(rs, "__s", freq, min_ratio).withColumnRenamed("__s", "__rn")
-    pairs = (hp.join(rp, "__t").select("__hn", "__rn").distinct().filter(F.col("__hn") != F.col("__rn"))
-             .filter(_ratio_possible(F.length("__hn"), F.length("__rn"), min_ratio))
-             .repartition(tasks, "__hn").sortWithinPartitions("__hn"))        # scoring is slow: not coalesced by size
+    hs = h.select(F.col("__hn").alias("__s")).distinct().filter(F.length("__s") >= 1)
+    rs = r.select(F.col("__rn").alias("__s")).distinct().filter(F.length("__s") >= 1)
+    pairs = _bigram_pairs(hs, rs, min_ratio) if min_ratio >= PREFIX_FILTER_MIN_RATIO else _char_pairs(hs, rs, min_ratio)
+    pairs = _dealt(pairs, tasks)
     scored = pairs.withColumn("score", ratio_udf(min_ratio)("__rn", "__hn")).filter(F.col("score") > min_ratio)
     near = (scored.join(r, "__rn").select("__hn", "name", "score").join(h, "__hn")
             .join(exact.select("file", "name"), ["file", "name"], "left_anti"))

@@ -101,7 +101,7 @@ def marketplace_a(spark: SparkSession, sales_path: str, shipping_path: str, prod
                                                "shipping_address", "shipping_carrier", "shipping_code", "note",
                                                "seller_product_sn", "product_id", "expected_stockin_date")]
     rec = reconcile.reconcile(sales.drop("source_file", "source_path", "source_mtime", "source_encoding", "source_line"),
-                              ship.select(*keep), "order_line_uid", suffix="_shipping",
+                              ship.select(*keep), "order_line_uid", suffix="_shipping", unique="left",
                               coalesce_cols={"order_date": ("order_date", "order_date")})
     dt = fn.split_datetime("order_date")
     rec = (rec.withColumn("order_time", dt.time).withColumn("order_date", dt.date)

@@ -98,3 +98,31 @@ def test_survivors_of_periods(spark, tmp_dir, keep):
     want = {"first": [(1, "a", "x"), (4, "b", "b"), (5, None, "null"), (6, "a", "next")],
             "last": [(3, "a", "late in period"), (5, None, "null"), (6, "a", "next"), (7, "b", "b2")]}[keep]
     assert got == want
+
+
+@pytest.mark.parametrize("min_ratio", [0.3, 0.6, 0.8, 0.85])
+def test_fuzzy_match_of_any_ratio(spark, min_ratio):
+    from difflib import SequenceMatcher
+
+    from orderlake.operators import headers
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdeé商品名") for _ in range(n))                            # noqa: E731
+    local = [word(rng.randint(1, 9)) for _ in range(25)]
+    cells = [word(rng.randint(1, 9)) for _ in range(20)]
+    cells += ["".join(c for c in rng.choice(local) + word(2) if rng.random() > 0.15) or "a" for _ in range(40)]
+    head = spark.createDataFrame([("f", k, c) for k, c in enumerate(cells)], "file string, position int, header string")
+    reg = spark.createDataFrame([(f"n{k}", t, k) for k, t in enumerate(local)], "name string, local_name string, reg_order int")
+    want = {}
+    first = {}
+    for k, c in enumerate(cells):
+        first.setdefault(c, k)
+    for k, t in enumerate(local):
+        if t in first:
+            want[f"n{k}"] = ("exact", t, 1.0)
+            continue
+        scores = [(SequenceMatcher(None, t, c).ratio(), -p, c) for c, p in first.items()]
+        best = max(scores)
+        if best[0] > min_ratio:
+            want[f"n{k}"] = ("fuzzy", best[2], best[0])
+    got = {r["name"]: (r.how, r.header, r.score) for r in headers.match_fuzzy(head, reg, min_ratio).collect()}
+    assert got == want
