@@ -85,6 +85,15 @@ def validate_headers(columns: Sequence[str], registry: Sequence[Field]) -> dict:
     return {"ok": not missing, "missing": missing, "extra": extra}
 
 
+def validate_files(headers: DataFrame, registry: Sequence[Field], header: str = "header") -> DataFrame:
+    """K10 for many files: ``headers`` (a file's column names in an array) with
+    ok, missing (required names, in registry order) and extra (others, in file order)."""
+    names = lambda fields: F.array(*[F.lit(f.name) for f in fields]).cast("array<string>")             # noqa: E731
+    missing = F.array_except(names([f for f in registry if f.required]), F.col(header))
+    return headers.select("*", (F.size(missing) == 0).alias("ok"), missing.alias("missing"),
+                          F.array_except(F.col(header), names(registry)).alias("extra"))
+
+
 def rename(df: DataFrame, mapping: Mapping[str, str], unmapped: str = "keep") -> DataFrame:
     """Local -> canonical names; unmapped columns kept or dropped."""
     sel = []

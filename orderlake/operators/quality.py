@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlake.functions._util import is_blank
@@ -107,6 +107,24 @@ def profile(df: DataFrame, samples: bool = True, hashed_sample: bool = True) ->
     return F.broadcast(meta).join(prof, "column", "left")
 
 
+def first_rows(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows by ``order`` (a file's place, say) with ``row``
+    from 1.  Every task keeps n rows and one merges them; nothing is sorted whole."""
+    top = df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(n)
+    place = F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in order]))       # over n rows
+    return top.withColumn("row", place)
+
+
+def first_values(df: DataFrame, order: Sequence[str], n: int = 3) -> DataFrame:
+    """Per column its cells in the first ``n`` rows by ``order``, as text:
+    column, position, first_values (NULL cells stay)."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("position"), F.col(f"`{c}`").cast("string").alias("value"))
+                      for k, c in enumerate(df.columns)])
+    long = first_rows(df, order, n).select("row", F.explode(cells).alias("c")).select("row", "c.*")
+    return long.groupBy("column", "position").agg(F.transform(F.array_sort(F.collect_list(F.struct("row", "value"))),
+                                                              lambda x: x["value"]).alias("first_values"))
+
+
 def changed_cells(df: DataFrame, cleaned: Mapping[str, Column]) -> DataFrame:
     """Per column, number of cells whose cleaned value differs (NULL-safe),
     plus a ``*total*`` row."""

@@ -1203,6 +1203,79 @@ def monthly_export(spark, d):
     return sinks.monthly_frame(o, "o_orderdate", EXPORT_HEADERS)
 
 
+@check("monthly_files", """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_sn, CAST(o_custkey AS VARCHAR) AS customer, coalesce(o_orderstatus, '') AS status,
+       strftime(o_orderdate, '%Y-%m-%d') AS day, strftime(o_orderdate, '%Y-%m') AS year_month, true AS sorted
+FROM orders WHERE o_orderdate IS NOT NULL
+""")
+def monthly_files(spark, d):
+    """K7: the monthly export written and read back; ``sorted`` tells that a row
+    comes after the one before it in its file."""
+    path = scratch_path(spark, f"months-{uuid.uuid4().hex}")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    sinks.monthly_export(o, "o_orderdate", path, rename=EXPORT_HEADERS, order=["o_orderdate", "o_orderkey"])
+    back, _ = files.read_reports(spark, path, null_tokens=False)
+    at = Window.partitionBy("source_path").orderBy("source_line")              # a file: one task's rows of a month
+    key = F.struct(F.col("訂單日期"), F.lpad("訂單編號", 20, " "))
+    before = F.lag(key).over(at)
+    cell = lambda c: F.coalesce(F.col(c), F.lit(""))                                               # noqa: E731
+    return back.select(F.col("訂單編號").alias("order_sn"), F.col("客戶編號").alias("customer"), cell("訂單狀態").alias("status"),
+                       F.col("訂單日期").alias("day"), F.regexp_extract("source_path", "year_month=([0-9-]+)/", 1).alias("year_month"),
+                       (before.isNull() | (before.getField("訂單日期") < F.col("訂單日期")) |
+                        (before.getField("訂單日期") == F.col("訂單日期"))).alias("sorted"))
+
+
+@check("csv_sink", """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_sn, '備註 "' || o_orderpriority || '",' || chr(10) || o_orderstatus AS note,
+       'UTF-8' AS source_encoding, (SELECT count(*) FROM orders) AS rows_loaded
+FROM orders
+""")
+def csv_sink(spark, d):
+    """K1: the CSV sink (byte-order mark, every cell quoted, line breaks inside),
+    read back by the report reader."""
+    path = scratch_path(spark, f"sink-{uuid.uuid4().hex}")
+    o = table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("訂單編號"),
+        F.concat(F.lit('備註 "'), "o_orderpriority", F.lit('",\n'), "o_orderstatus").alias("備註"))
+    loaded = sinks.write_table(o, path, fmt="csv", header="true", quoteAll="true", escape='"', multiLine="true", bom=True)
+    back, _ = files.read_reports(spark, path)
+    return back.select(F.col("訂單編號").alias("order_sn"), F.col("備註").alias("note"), "source_encoding",
+                       F.lit(loaded.first()[0]).alias("rows_loaded"))
+
+
+@check("header_validation", """
+SELECT o_orderkey AS file, o_orderkey % 3 <> 0 AND o_orderkey % 4 <> 0 AS ok,
+       concat_ws('|', CASE WHEN o_orderkey % 4 = 0 THEN 'order_sn' END, CASE WHEN o_orderkey % 3 = 0 THEN 'item_no' END) AS missing,
+       'note_' || o_orderstatus AS extra
+FROM orders
+""")
+def header_validation(spark, d):
+    """The column names of one file per order against the registry."""
+    k = F.col("o_orderkey")
+    header = F.array_compact(F.array(F.when(k % 4 != 0, F.lit("order_sn")), F.concat(F.lit("note_"), "o_orderstatus"),
+                                     F.when(k % 3 != 0, F.lit("item_no")), F.lit("price")))
+    out = cf.validate_files(table(spark, d, "orders").select(k.alias("file"), header.alias("header")), LINE_REGISTRY)
+    return out.select("file", "ok", F.array_join("missing", "|").alias("missing"), F.array_join("extra", "|").alias("extra"))
+
+
+@check("profile_first_values", """
+WITH f AS (SELECT *, row_number() OVER (ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) AS r FROM orders),
+t AS (SELECT * FROM f WHERE r <= 3),
+v AS (SELECT 'o_orderkey' AS "column", 0 AS position, r, CAST(o_orderkey AS VARCHAR) AS value FROM t
+      UNION ALL SELECT 'o_custkey', 1, r, CAST(o_custkey AS VARCHAR) FROM t
+      UNION ALL SELECT 'o_orderstatus', 2, r, o_orderstatus FROM t
+      UNION ALL SELECT 'o_orderpriority', 3, r, o_orderpriority FROM t)
+SELECT "column", position, string_agg(coalesce(value, '-'), '|' ORDER BY r) AS first_values FROM v GROUP BY ALL
+""")
+def profile_first_values(spark, d):
+    """The first three cells of every column, by the orders' date and key."""
+    o = table(spark, d, "orders").withColumn("__day", F.col("o_orderdate"))
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+    out = quality.first_values(o.select(*cols, "__day"), ["__day", "o_orderkey"])
+    return out.filter(F.col("column") != "__day").select(
+        "column", "position", F.array_join("first_values", "|", "-").alias("first_values"))
+
+
 @check("load_preview", """
 WITH l AS (SELECT *, CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) AS line_key FROM lineitem),
 k AS (SELECT line_key, count(*) AS n FROM l GROUP BY 1)

@@ -95,7 +95,7 @@ def column_names(header: Sequence[str | None]) -> list[str]:
     """Header cells as column names: blank cells by position (``Unnamed: 2``);
     a name that came before in any case, or that the provenance columns have,
     is numbered (``a``, ``a.1``).  Empty cells at the end have no column."""
-    cells = list(header)
+    cells = [c and c.removeprefix("\ufeff") for c in header]          # a mark inside the quotes of the first
     while cells and not cells[-1]:
         cells.pop()
     used, out = {c.lower() for c in [*PROVENANCE, CORRUPT]}, []

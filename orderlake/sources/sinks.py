@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,13 +23,21 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists", schema: T
     """K1/K2/K8: enforce ``schema`` by select+cast (a cell that doesn't fit
     becomes NULL), refuse empty input, write, and return the row count read back
     from the written table.  ``bom`` marks CSV files with a header as UTF-8 for
-    spreadsheets: the byte-order mark leads the first header cell."""
+    spreadsheets: the byte-order mark is the file's first character, before the
+    first header's quote where ``quoteAll`` is set."""
     if schema is not None:
         df = df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) if f.name in df.columns
                          else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
     if df.limit(1).count() == 0:
         raise ValueError("refusing to load an empty table")
-    if bom and fmt == "csv":
+    marked = bom and fmt == "csv"
+    if marked and str(options.get("quoteAll")).lower() == "true":
+        if partition_by:
+            raise ValueError("a mark before quoted headers is not written into partition folders")
+        _quoted_lines(df.sortWithinPartitions(*sort_within) if sort_within else df, options.get("sep", ",")).write.mode(
+            _MODES.get(mode.lower(), mode)).text(path)
+        return _loaded(df, path, fmt, {**options, "escape": '"', "header": "true"})
+    if marked:
         first = next(c for c in df.columns if c not in (partition_by or ()))
         df = df.withColumnRenamed(first, "\ufeff" + first)
         sort_within = ["\ufeff" + c if c == first else c for c in sort_within or ()]
@@ -38,11 +47,29 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists", schema: T
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
-    spark = df.sparkSession
-    back = spark.read.format(fmt).options(**{k: v for k, v in options.items() if k == "header"}).load(path)
+    return _loaded(df, path, fmt, options)
+
+
+def _loaded(df: DataFrame, path: str, fmt: str, options: Mapping[str, str]) -> DataFrame:
+    """Rows of the written table, read back as they were written."""
+    kept = {k: v for k, v in options.items() if k in ("header", "sep", "quote", "escape", "encoding", "multiLine")}
+    back = df.sparkSession.read.format(fmt).options(**kept).load(path)
     return back.agg(F.count(F.lit(1)).cast("bigint").alias("rows_loaded"))
 
 
+def _quoted_lines(df: DataFrame, sep: str) -> DataFrame:
+    """Records with every cell quoted; each part starts with the mark and the header."""
+    def quoted(c: Column) -> Column:
+        return F.concat(F.lit('"'), F.replace(F.coalesce(c.cast("string"), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    head = "\ufeff" + sep.join('"' + c.replace('"', '""') + '"' for c in df.columns)
+
+    def with_head(batches):
+        for k, b in enumerate(batches):
+            yield pd.concat([pd.DataFrame({"value": [head]}), b]) if k == 0 else b
+    return df.select(F.concat_ws(sep, *[quoted(F.col(f"`{c}`")) for c in df.columns]).alias("value")).mapInPandas(
+        with_head, "value string")
+
+
 def guarded_mode(df: DataFrame, key: str, mode: str, on_dup: str = "fail") -> str:
     """K3: with repeated keys an APPEND either fails (default) or becomes a
     TRUNCATE (``on_dup='overwrite'``, the reference behaviour)."""

@@ -227,3 +227,13 @@ def test_compaction_then_more_batches(spark, tmp_dir):
     upsert_batch(batch(35, 50, 2), 2, f"{tmp_dir}/c", "k", buckets=4)
     want = [(k, 0 if k < 10 else 1 if k < 35 else 2) for k in range(50)]
     assert got() == want and compact_epochs(spark, f"{tmp_dir}/c") > 0 and got() == want
+
+
+def test_mark_before_quoted_headers(spark, tmp_dir):
+    df = spark.createDataFrame([("訂1", 'x "y",\nz', None), ("訂2", "", 5)], "`編號` string, v string, n int")
+    out = sinks.write_table(df.coalesce(1), f"{tmp_dir}/q", fmt="csv", header="true", quoteAll="true", bom=True, multiLine="true")
+    assert out.first()[0] == 2
+    part = next(f for f in os.listdir(f"{tmp_dir}/q") if f.endswith(".txt"))
+    assert open(f"{tmp_dir}/q/{part}", "rb").read().decode() == '﻿"編號","v","n"\n"訂1","x ""y"",\nz",""\n"訂2","","5"\n'
+    with pytest.raises(ValueError):
+        sinks.write_table(df, f"{tmp_dir}/p", fmt="csv", header="true", quoteAll="true", bom=True, partition_by=["n"])
