@@ -1894,6 +1894,36 @@ def master_dimension(spark, d):
     return master.load_dimension(spark, path, "shop_id", position="p_partkey").select("shop_id", "shop_name")
 
 
+@check("master_yaml", """
+WITH t AS (SELECT p_brand AS code, p_partkey, p_name AS name, p_type AS kind, CAST(p_size AS VARCHAR) AS size,
+                  p_name || chr(10) || '  ' || p_type AS label FROM part
+           WHERE p_partkey % 10 <> 0 AND p_partkey % 7 <> 0)
+SELECT code, name, kind, size, label, '' AS missing
+FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY p_partkey DESC) AS k FROM t) WHERE k = 1
+""")
+def master_yaml(spark, d):
+    """The parts as YAML masters (codes plain or quoted, every tenth without a
+    code, every seventh without attributes), read by small byte ranges into one
+    dimension: blank codes dropped, the last entry of a code wins."""
+    from orderlake.sources import master
+    code, name = F.col("p_brand"), F.col("p_name")
+    quoted = F.concat(F.lit("'"), F.replace(code, F.lit("'"), F.lit("''")), F.lit("'"))
+    key = (F.when(F.col("p_partkey") % 20 == 0, "~").when(F.col("p_partkey") % 10 == 0, "''")
+           .when(F.col("p_partkey") % 3 == 0, F.to_json(F.array(code)).substr(F.lit(2), F.length(F.to_json(F.array(code))) - 2))
+           .otherwise(quoted))
+    lines = F.array(F.concat(key, F.lit(":   # a part")), F.concat(F.lit("  name: '"), F.replace(name, F.lit("'"), F.lit("''")), F.lit("'")),
+                    F.concat(F.lit("  more: {kind: '"), F.replace("p_type", F.lit("'"), F.lit("''")), F.lit("'}")),
+                    F.concat(F.lit("  size: "), F.col("p_size")), F.lit(""), F.lit("  label: |-"),
+                    F.concat(F.lit("    "), name), F.concat(F.lit("      "), F.col("p_type")))
+    text = F.when(F.col("p_partkey") % 7 == 0, F.concat(key, F.lit(": {}"))).otherwise(F.array_join(lines, "\n"))
+    path = scratch_path(spark, f"master-yaml-{uuid.uuid4().hex}")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (table(spark, d, "part").repartitionByRange(n, "p_partkey").sortWithinPartitions("p_partkey")
+     .select(text.alias("value")).write.text(path))
+    return master.load_yaml_dimension(spark, path, "code", ["name", "more.kind", "size", "label", "missing"],
+                                      split_bytes=16 << 10).withColumnRenamed("more.kind", "kind")
+
+
 @check("messy_columns", """
 SELECT p_partkey AS col_1st_key, p_name AS name中, p_size AS a_b, CAST(p_retailprice AS DECIMAL(18,2)) AS a_b_1, p_brand AS product_brand, p_brand AS brand_alt FROM part
 """)
