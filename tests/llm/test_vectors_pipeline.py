@@ -81,6 +81,54 @@ def test_rows_that_share_an_id_are_neighbours_each(spark):
                    (3, 1, 2, 3.0), (3, 2, 2, 3.0), (3, 3, 1, 4.0), (3, 4, 2, 4.0)]
 
 
+def _clusters(seed, n, dim, spread=0.05):
+    rng = np.random.default_rng(seed)
+    middles = rng.normal(size=(12, dim)) * 10
+    return middles[rng.integers(0, 12, n)] + rng.normal(size=(n, dim)) * spread
+
+
+def test_router_bounds_hold_and_leave_out_leaves():
+    rows, queries = _clusters(1, 3000, 5), _clusters(1, 40, 5)
+    router = vptree.Router(rows[:256], 4)
+    leaf, path = router.route(rows)
+    leaves = np.unique(leaf)
+    low, high = (np.array([f(path[leaf == x], axis=0) for x in leaves]) for f in (np.min, np.max))
+    gap, slack = router.gaps(queries, leaves, low, high)
+    least = np.array([[vptree.distances(rows[leaf == x], q).min() for x in leaves] for q in queries])
+    assert (gap <= least + slack).all() and np.bincount(leaf).max() < 1500
+    assert (gap > 1).mean() > 0.5                    # most leaves are left out for a limit of 1
+
+
+def test_known_bounds_rebuild_the_tree():
+    rows, ids = _clusters(2, 1000, 3), np.arange(1000)
+    tree = vptree.Tree(rows, ids)
+    again = vptree.Tree(tree.vectors[tree.order], tree.ids[tree.order], tree.bounds())
+    assert again.nodes == tree.nodes
+    for a, b in zip(tree.search(rows[:9], ids[:9], 4, 1.0), again.search(rows[:9], ids[:9], 4, 1.0), strict=True):
+        assert (a == b).all()
+    far = tree.search(rows[:9], ids[:9], 4, 1.0, np.full(9, 1e-9))[0]
+    assert (far[np.isfinite(far)] <= 1).all()
+
+
+def test_shards_by_router_with_hot_copies_and_several_dimensions(spark, monkeypatch):
+    monkeypatch.setattr(vptree, "GROUP_QUERIES", 3)
+    rows = [(k, v.tolist()) for k, v in enumerate(_clusters(3, 900, 4))]
+    rows += [(2000 + k, rows[5][1]) for k in range(450)] + [(5000 + k, [float(k), 1e8]) for k in range(150)]
+    rows += [(7000, [1.0, 2.0, 3.0])]
+    ids = [0, 5, 17, 444, 2003, 2449, 5000, 5149, 7000]
+    got, want = _search(spark, rows, ids, shard_rows=60), _brute(rows, ids, 10)
+    assert [x[:3] for x in got] == [x[:3] for x in want] and np.allclose([x[3] for x in got], [x[3] for x in want])
+
+
+def test_search_ignores_clashing_columns(spark):
+    cols = {c: F.lit("x") for c in ("_dim", "_row", "_leaf", "_path", "score", "rank", "_q", "_sub")}
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(_clusters(4, 90, 3))], VECTORS)
+    ask = df.filter("vec_id % 30 = 0").withColumnRenamed("vec_id", "query_id")
+    plain = vptree.nearest(df, ask, k=3, shard_rows=20).collect()
+    odd = vptree.nearest(df.withColumns(cols).withColumn("query_id", F.lit(1)), ask.withColumns(cols), k=3, shard_rows=20)
+    assert odd.columns == ["query_id", "rank", "vec_id", "score"] and sorted(odd.collect()) == sorted(plain)
+
+
 def test_nearest_query_matches_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF}/embeddings.parquet')")
