@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ranked, stored, utf8
+from .common import ranked, scratch, stored, utf8
 
 #: Longest sequence; longer texts come in several pieces, none is dropped or cut short.
 MAX_LENGTH = 8192
 BUCKETS = 16
 #: Padded tokens of a batch.
 BATCH_TOKENS = 65_536
+#: Token ids: 0 to 255 are bytes.
+END, PAD = 256, 257
 
 
 def bucket_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
@@ -71,6 +74,10 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, max_length: int = MAX_LENGTH,
         .withColumn("start", F.col("piece").cast("long") * max_length)
         .withColumn("n_tokens", F.least(F.lit(max_length).cast("long"), F.col("_total") - F.col("start")))
         .drop("_total").withColumn("_uid", F.monotonically_increasing_id()), "pack-pieces")
+    return _placed(pieces, buckets, batch_tokens).drop("_uid")
+
+
+def _placed(pieces: DataFrame, buckets: int, batch_tokens: int) -> DataFrame:
     histogram = pieces.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).orderBy("n_tokens").toPandas()
     bounds = bucket_bounds(histogram.n_tokens.to_numpy(), histogram.n.to_numpy(), buckets)
     bucket = bound = F.lit(None).cast("int")
@@ -82,4 +89,73 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, max_length: int = MAX_LENGTH,
     rows = F.greatest(F.lit(1), F.floor(F.lit(batch_tokens) / F.col("bound"))).cast("long")
     return placed.select("doc_id", "piece", "start", "n_tokens", "bucket", "bound",
                          (F.col("bound") - F.col("n_tokens")).alias("padding"),
-                         F.floor(F.col("_row") / rows).alias("batch"), (F.col("_row") % rows).cast("int").alias("place"))
+                         F.floor(F.col("_row") / rows).alias("batch"), (F.col("_row") % rows).cast("int").alias("place"),
+                         "_uid")
+
+
+def _dense(slices: pd.Series, lengths: pd.Series, bounds: pd.Series) -> pd.Series:
+    """A batch's matrix of token ids, unsigned 16-bit little-endian, row by row."""
+    out = []
+    for rows, sizes, bound in zip(slices, lengths, bounds, strict=True):
+        ids = np.full((len(rows), bound), PAD, "<u2")
+        for k, (row, n) in enumerate(zip(rows, sizes, strict=True)):
+            ids[k, :len(row)] = np.frombuffer(row, np.uint8)
+            ids[k, len(row):n] = END             # one place after a text's last piece, none after the others
+        out.append(ids.tobytes())
+    return pd.Series(out, dtype=object)
+
+
+def write_batches(docs: DataFrame, folder: str, buckets: int = BUCKETS, max_length: int = MAX_LENGTH,
+                  batch_tokens: int = BATCH_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> None:
+    """The batches of ``pack`` with their tokens, as Parquet in ``folder``: one row
+    per batch with bucket, batch, bound, the arrays doc_id, piece, start and
+    n_tokens by place, and ids, the dense matrix of one row per place padded to
+    ``bound`` (see ``matrix``).  Cases are those of ``pack``; other columns of
+    ``docs`` are ignored.  A text is sliced once, whatever its length, and a
+    batch holds at most ``batch_tokens`` ids or one row.
+    """
+    body = utf8(F.coalesce(F.col(text_col), F.lit("")))
+    sized = docs.select(F.col(id_col).alias("doc_id"), body.alias("_body")).withColumn(
+        "_total", F.octet_length("_body").cast("long") + 1)
+    last = F.floor((F.col("_total") - 1) / max_length).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
+        i.alias("piece"), F.substring(F.col("_body"), i * max_length + 1, F.lit(max_length)).alias("slice"),
+        F.least(F.lit(max_length).cast("long"), F.col("_total") - i.cast("long") * max_length).alias("n_tokens")))
+    pieces = stored(
+        sized.select("doc_id", cut.alias("_cut")).select("doc_id", F.inline("_cut"))
+        .withColumn("start", F.col("piece").cast("long") * max_length)
+        .withColumn("_uid", F.monotonically_increasing_id()), "pack-slices")
+    placed = _placed(pieces.drop("slice"), buckets, batch_tokens)
+    rows = placed.select("bucket", "bound", "batch", "place", "_uid").join(pieces, "_uid")
+    batches = rows.groupBy("bucket", "batch", "bound").agg(F.sort_array(F.collect_list(
+        F.struct("place", "doc_id", "piece", "start", "n_tokens", "slice"))).alias("_r"))
+    dense = F.pandas_udf(_dense, "binary")
+    batches.select("bucket", "batch", "bound", "_r.doc_id", "_r.piece", "_r.start", "_r.n_tokens",
+                   dense("_r.slice", "_r.n_tokens", "bound").alias("ids")).write.parquet(folder)
+
+
+def matrix(ids: bytes, n_tokens, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """(token ids, mask of those that aren't padding) of one written batch."""
+    mask = np.arange(bound)[None, :] < np.asarray(n_tokens)[:, None]
+    return np.frombuffer(ids, "<u2").reshape(-1, bound), mask
+
+
+def read_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per piece of the batches in ``folder``: the columns of ``pack`` and
+    tokens_crc32, of its ids (unsigned 16-bit little-endian) without padding."""
+    rows = F.transform(F.arrays_zip("doc_id", "piece", "start", "n_tokens"), lambda x, i: F.struct(
+        x["doc_id"].alias("doc_id"), x["piece"].alias("piece"), x["start"].alias("start"), x["n_tokens"].alias("n_tokens"),
+        F.crc32(F.substring(F.col("ids"), i * F.col("bound") * 2 + 1, x["n_tokens"].cast("int") * 2)).alias("tokens_crc32"),
+        i.alias("place")))
+    return (spark.read.parquet(folder).select("bucket", "batch", "bound", rows.alias("_rows"))
+            .select("bucket", "batch", "bound", F.inline("_rows"))
+            .select("doc_id", "piece", "start", "n_tokens", "bucket", "bound",
+                    (F.col("bound") - F.col("n_tokens")).alias("padding"), "batch", "place", "tokens_crc32"))
+
+
+def batch_round_trip(docs: DataFrame, **kw) -> DataFrame:
+    """Write the batches of ``docs`` in the shared folder and read their pieces back."""
+    spark = docs.sparkSession
+    folder = scratch(spark, "pack-batches")
+    write_batches(docs, folder, **kw)
+    return read_batches(spark, folder)

@@ -25,8 +25,8 @@ def op2_url_lm_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents packed into batches inside optimal length buckets."""
-    return packing.pack(_read(spark, sf_dir, "documents"))
+    """All documents as written token batches inside optimal length buckets, read back."""
+    return packing.batch_round_trip(_read(spark, sf_dir, "documents"))
 
 
 def op4_warc_seekable_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -115,7 +115,36 @@ def test_pack_loses_nothing(spark, make_docs):
     assert sum(r.padding for r in rows) == sum(c * (min(b for b in bounds if b >= x) - x) for x, c in zip(lengths, counts))
 
 
+def test_written_batches_rebuild_every_text(spark, make_docs, tmp_path):
+    rng = random.Random(6)
+    texts = [(k, rng.choice([None, "", "é" * rng.randint(0, 90), "w\0" * rng.randint(0, 75)])) for k in range(300)]
+    texts += [(407, "twice"), (407, "twice"), (None, "null id"), (2**62 + 1, "語" * 1234), (1001, "x" * 99), (1002, "x" * 100)]
+    docs = make_docs(texts, 5).withColumns({c: F.lit("clash") for c in ("piece", "bucket", "_uid", "_body", "slice", "_total")})
+    opts = dict(buckets=4, max_length=100, batch_tokens=300)
+    packing.write_batches(docs, f"{tmp_path}/b", **opts)
+    pieces, crcs = [], []
+    for r in spark.read.parquet(f"{tmp_path}/b").collect():
+        ids, mask = packing.matrix(r.ids, r.n_tokens, r.bound)
+        assert ids.shape == mask.shape == (len(r.doc_id), r.bound) and (ids[~mask] == packing.PAD).all()
+        assert ids.size <= max(300, r.bound) and (ids[mask] < packing.PAD).all()
+        for place, (i, start, n) in enumerate(zip(r.doc_id, r.start, r.n_tokens, strict=True)):
+            pieces.append((i, start, ids[place, :n].tolist()))
+            crcs.append((i, start, n, zlib.crc32(ids[place, :n].tobytes())))
+    whole, left = [], {}
+    for i, start, tokens in sorted(pieces, key=lambda x: (x[0] is not None, x[0] or 0, x[1])):
+        left[i] = tokens if start == 0 else left[i] + tokens
+        if tokens[-1] == packing.END:
+            whole.append((i, bytes(left[i][:-1])))
+    key = lambda x: (x[0] is not None, x[0] or 0, x[1])           # noqa: E731
+    assert sorted(whole, key=key) == sorted(((i, (t or "").encode()) for i, t in texts), key=key)
+    back = packing.read_batches(spark, f"{tmp_path}/b")
+    assert sorted([(r.doc_id, r.start, r.n_tokens, r.tokens_crc32) for r in back.collect()], key=str) == sorted(crcs, key=str)
+    numbers = lambda df: sorted(map(str, df.drop("tokens_crc32").collect()))      # noqa: E731
+    assert numbers(back.select(packing.pack(docs, **opts).columns)) == numbers(packing.pack(docs, **opts))
+
+
 def test_pack_empty(spark):
+    assert packing.batch_round_trip(spark.createDataFrame([], EMPTY)).count() == 0
     assert packing.pack(spark.createDataFrame([], EMPTY)).count() == 0
 
 
