@@ -20,6 +20,7 @@ from .common import stored
 
 SHARD_ROWS = 8192           # vectors of one tree, about
 LEAF = 48
+VALUES = 1 << 20            # components compared at a time
 QUERY_BLOCK = 512           # queries that walk a tree together
 GROUP_QUERIES = 16_384      # queries that meet one tree in one group, about
 SLIP = 1e-9                 # of rounding, added to every bound, relative to the distance
@@ -76,11 +77,31 @@ class Tree:
         """The intervals of every inner node by the place where it begins."""
         return {n[0]: n[4:] for n in self.nodes if n[2] >= 0}
 
+    def _limits(self, queries: np.ndarray, own: np.ndarray, k: int, limit: np.ndarray) -> np.ndarray:
+        """The k-th distance in the likeliest node of at least 4 k rows, where it is below ``limit``."""
+        limit, left = limit.copy(), [(0, np.flatnonzero(np.isinf(limit)))]
+        while left:
+            node, which = left.pop()
+            begin, end, near, far, a, b, c, e = self.nodes[node]
+            if near >= 0 and end - begin > max(LEAF, 8 * k):
+                inner = distances(queries[which], self.vectors[self.order[begin]]) <= (b + c) / 2
+                left += [(child, part) for child, part in ((near, which[inner]), (far, which[~inner])) if len(part)]
+                continue
+            rows = self.order[begin:end]
+            for part in np.array_split(which, len(which) * self.vectors[rows].size // VALUES + 1):
+                d = distances(self.vectors[rows][None, :, :], queries[part][:, None, :])
+                d = np.where(self.ids[rows][None, :] == own[part][:, None], np.inf, d)
+                if d.shape[1] >= k:
+                    limit[part] = np.minimum(limit[part], np.partition(d, k - 1, axis=1)[:, k - 1])
+        return limit
+
     def search(self, queries: np.ndarray, own: np.ndarray, k: int, factor: float,
                limit: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(distances, ids) of the k nearest rows of each query but its own id,
         padded with inf and the largest id.  Rows beyond a query's ``limit`` may be left out.
 
+        A first descent to the likeliest node of a few rows bounds the k-th
+        distance, so that one visit of each node serves all queries that need it.
         A half is visited unless its interval's distance to the query's exceeds
         the k-th distance so far divided by ``factor``; factor 1 loses nothing.
         """
@@ -100,7 +121,10 @@ class Tree:
             with np.errstate(invalid="ignore"):
                 at, row = np.nonzero(~(about > bar(which)[:, None] ** 2 * (1 + SLIP) + SLIP * both))
             d = np.full(about.shape, np.inf)
-            d[at, row] = distances(self.vectors[rows[row]], queries[which[at]])
+            step = VALUES // queries.shape[1] + 1
+            for x in range(0, len(at), step):
+                i, j = at[x:x + step], row[x:x + step]
+                d[i, j] = distances(self.vectors[rows[j]], queries[which[i]])
             return d
 
         def offer(rows: np.ndarray, which: np.ndarray, d: np.ndarray) -> None:
@@ -118,25 +142,21 @@ class Tree:
 
         def walk(node: int, which: np.ndarray) -> None:
             begin, end, near, far, a, b, c, e = self.nodes[node]
-            rows = self.order[begin:end] if near < 0 else self.order[begin:begin + 1]
             if near < 0:
-                for at in range(0, len(which), 64):
-                    part = which[at:at + 64]
-                    offer(rows, part, near_pairs(rows, part))
+                rows = self.order[begin:end]
+                offer(rows, which, near_pairs(rows, which))
                 return
+            rows = self.order[begin:begin + 1]
             d = distances(queries[which], self.vectors[rows[0]])
             offer(rows, which, d[:, None])
-            inner = d <= (b + c) / 2
-            for child, low, high, side in ((near, a, b, inner), (far, c, e, ~inner)):       # the likelier half first
-                if side.any():
-                    walk(child, which[side])
-            for child, low, high, side in ((near, a, b, ~inner), (far, c, e, inner)):
+            for child, low, high in ((near, a, b), (far, c, e)):
                 gap = np.maximum(0, np.maximum(low - d, d - high))
-                go = side & (gap <= bar(which) / factor + SLIP * (1 + d))
+                go = gap <= bar(which) / factor + SLIP * (1 + d)
                 if go.any():
                     walk(child, which[go])
 
         if len(self.ids) and q:
+            limit = self._limits(queries, own, k, limit) * (1 + SLIP)
             walk(0, np.arange(q))
         return best_d, best_i
 
