@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from orderlake.functions._util import SPACES, strip
+from orderlake.operators._common import sized_broadcast
 
 def _nfkc(text: pd.Series) -> pd.Series:
     from unicodedata import normalize
@@ -118,15 +119,38 @@ def _prefix_tokens(strings: DataFrame, col: str, freq: DataFrame, min_ratio: flo
     return ranked.select(col, F.explode(F.slice("__a", 1, n - tau + 1)).alias("__e")).select(col, F.col("__e.__t").alias("__t"))
 
 
-def _bigram_pairs(hs: DataFrame, rs: DataFrame, min_ratio: float) -> DataFrame:
-    """Pairs that share a prefix bigram token and may have a ratio above ``min_ratio``."""
+def _bigram_pairs(hs: DataFrame, rs: DataFrame, min_ratio: float, tasks: int) -> DataFrame:
+    """Pairs that share a prefix bigram token and may have a ratio above
+    ``min_ratio`` by their lengths and by the characters they lack, which is
+    looked at in the join: most pairs go no further."""
     hs, rs = hs.filter(F.length("__s") >= 2), rs.filter(F.length("__s") >= 2)       # one character has none
     freq = (hs.unionByName(rs).distinct().select(F.explode(_bigram_tokens(F.col("__s"))).alias("__t"))
             .groupBy("__t").agg(F.count(F.lit(1)).alias("__f")).checkpoint(eager=True))
-    hp = _prefix_tokens(hs, "__s", freq, min_ratio).withColumnRenamed("__s", "__hn")
-    rp = _prefix_tokens(rs, "__s", freq, min_ratio).withColumnRenamed("__s", "__rn")
-    return (hp.join(rp, "__t").select("__hn", "__rn").distinct().filter(F.col("__hn") != F.col("__rn"))
-            .filter(_ratio_possible(F.length("__hn"), F.length("__rn"), min_ratio)))
+    hp, rp = (_prefix_tokens(x, "__s", freq, min_ratio).groupBy("__s").agg(F.collect_list("__t").alias("__ts"))
+              .select(F.col("__s").alias(n + "n"), F.length("__s").alias(n + "l"), _char_bits(F.col("__s")).alias(n + "b"), "__ts")
+              for x, n in ((hs, "__h"), (rs, "__r")))
+    # few bytes and many pairs: a fixed number of pieces by text, each beside the registry where that is small
+    hp = hp.repartition(4 * tasks, "__hn").withColumn("__t", F.explode("__ts")).drop("__ts")
+    rp = rp.withColumn("__t", F.explode("__ts")).drop("__ts")
+    la, lb = F.col("__hl"), F.col("__rl")
+    need = (la + lb) * (min_ratio / 2) - 1e-9
+    return (hp.join(sized_broadcast(rp), "__t").filter(F.col("__hn") != F.col("__rn"))
+            .filter(_ratio_possible(la, lb, min_ratio))
+            .filter((la - _missing("__hb", "__rb") > need) & (lb - _missing("__rb", "__hb") > need))
+            .select("__hn", "__rn").distinct())
+
+
+def _char_bits(c: Column) -> Column:
+    """64 bits, of which each character token of ``c`` sets one."""
+    return F.aggregate(_char_tokens(c), F.lit(0).cast("bigint"), lambda bits, t: bits.bitwiseOR(
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(t), F.lit(64)).cast("int"))))
+
+
+def _missing(a: str, b: str) -> Column:
+    """Bits of ``a`` that ``b`` hasn't: each stands for a character of the one
+    text, or more, that the other lacks, so the character overlap (which no
+    difflib ratio exceeds) is at most the length less this."""
+    return F.bit_count(F.col(a).bitwiseAND(F.bitwise_not(F.col(b))))
 
 
 def _char_tokens(c: Column) -> Column:
@@ -189,8 +213,8 @@ def match_fuzzy(headers: DataFrame, registry: DataFrame, min_ratio: float = 0.85
     name, position, header, score, how); fields without a header are absent.
 
     Candidate pairs come from an equi join on *prefix* tokens of distinct
-    normalised strings, then the length bound; only those pairs reach the difflib
-    UDF, dealt to tasks by their cost.  The tokens are bigrams for ratios of 0.85
+    normalised strings, then the bounds by length and by characters; only those
+    pairs reach the difflib UDF, dealt to tasks by their cost.  The tokens are bigrams for ratios of 0.85
     and more (see ``_prefix_tokens``); below, where that bound doesn't hold, they
     are characters (see ``_char_prefix``), and the characters' overlap is
     compared before scoring.
@@ -208,7 +232,7 @@ def match_fuzzy(headers: DataFrame, registry: DataFrame, min_ratio: float = 0.85
              .select("file", "name", "__e.position", "__e.header", F.lit(1.0).alias("score"), F.lit("exact").alias("how")))
     hs = h.select(F.col("__hn").alias("__s")).distinct().filter(F.length("__s") >= 1)
     rs = r.select(F.col("__rn").alias("__s")).distinct().filter(F.length("__s") >= 1)
-    pairs = _bigram_pairs(hs, rs, min_ratio) if min_ratio >= PREFIX_FILTER_MIN_RATIO else _char_pairs(hs, rs, min_ratio)
+    pairs = _bigram_pairs(hs, rs, min_ratio, tasks) if min_ratio >= PREFIX_FILTER_MIN_RATIO else _char_pairs(hs, rs, min_ratio)
     pairs = _dealt(pairs, tasks)
     scored = pairs.withColumn("score", ratio_udf(min_ratio)("__rn", "__hn")).filter(F.col("score") > min_ratio)
     near = (scored.join(r, "__rn").select("__hn", "name", "score").join(h, "__hn")

@@ -403,3 +403,28 @@ def test_runs_of_long_and_signed_ids(spark):
 def test_unique_names_for_any_collision():
     got = cf.sanitize_names(["a", "a", "a_1", "編號", "【x】", "9", "", "A"])
     assert len(set(got)) == len(got) and got[3] == "編號" and got[4] == "x" and got[5] == "col_9" and "a_1" in got
+
+
+def test_fuzzy_scores_only_pairs_with_common_characters(spark, monkeypatch):
+    from collections import Counter
+    from difflib import SequenceMatcher
+    import random
+    rng = random.Random(5)
+    bits = ["an", "the", "in", "ou", "re", "ti", "on", "sh", "ed", "上午"]
+    words = sorted({"".join(rng.choice(bits) for _ in range(rng.randint(3, 6))) for _ in range(400)})
+    heads, names = words[::2], words[1::2]
+    h = spark.createDataFrame([("f", k, x) for k, x in enumerate(heads)], "file string, position long, header string")
+    reg = spark.createDataFrame([(x, x, k) for k, x in enumerate(names)], "name string, local_name string, reg_order long")
+    scored, dealt = [], headers._dealt
+    monkeypatch.setattr(headers, "_dealt", lambda pairs, *a: scored.extend(pairs.collect()) or dealt(pairs, *a))
+    got = {r["name"]: (r["header"], r["score"]) for r in headers.match_fuzzy(h, reg).collect()}
+    want = {}
+    for y in names:
+        score, k = max((SequenceMatcher(None, x, y).ratio(), -k) for k, x in enumerate(heads))
+        if score > 0.85:
+            want[y] = (heads[-k], score)
+    assert got == want and got
+    # most pairs that share bigrams have too few characters in common; 64 bits let some through
+    vain = [r for r in scored if 2 * sum((Counter(r["__hn"]) & Counter(r["__rn"])).values())
+            <= 0.85 * (len(r["__hn"]) + len(r["__rn"]))]
+    assert 2 * len(vain) < len(scored), (len(vain), len(scored))
