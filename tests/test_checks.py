@@ -124,3 +124,12 @@ def test_fuzzy_query_equals_brute_force_on_whole_headers(spark):
             if best:
                 want[f, name] = (best[2], "fuzzy")
     assert got == want
+
+
+def test_one_file_is_written_without_sorting_in_one_task(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+    plans, text = [], DataFrameWriter.text
+    monkeypatch.setattr(DataFrameWriter, "text", lambda self, *a, **k: plans.append(
+        self._df._jdf.queryExecution().executedPlan().toString()) or text(self, *a, **k))
+    assert QUERIES["messy_reports"](spark, SF).count() > 0
+    assert len(plans) == 1 and "Sort" not in plans[0], plans
