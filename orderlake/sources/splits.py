@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from itertools import repeat
 from urllib.parse import unquote
 
 import pandas as pd
@@ -101,27 +102,17 @@ class Cells:
     def __init__(self, sep: str, quoted: bool = True):
         self.sep, self.quoted = sep, quoted
         end = f"{re.escape(sep)}\\r\\n"
-        self.closing = re.compile(r'[^"]*+(?:""[^"]*+)*+"')
-        self.rest = re.compile(f"[^{re.escape(sep)}\\r]*+")
+        closing, rest, ends = r'[^"]*+(?:""[^"]*+)*+"', f"[^{re.escape(sep)}\\r]*+", f"[{re.escape(sep)}\\r]"
+        whole = f'(?:(?:"{closing}|(?!")){rest}(?:{ends}|\\Z))*+'
+        self.closed = re.compile(whole)                                  # a line of cells that all end in it
+        self.closes = re.compile(f"{closing}{rest}(?:\\Z|{ends}{whole})")  # the same, from inside a cell
         self.cell = re.compile(f'(?:"([^"]*+(?:""[^"]*+)*+)("?))?([^{end}]*+)({re.escape(sep)}|\\r\\n|\\r|\\n|\\Z)')
 
     def after(self, line: str, inside: bool) -> bool:
         """Whether the line feed after ``line`` is inside quotes, given its start."""
         if not self.quoted or '"' not in line:
             return inside
-        at = 0
-        while True:
-            if inside:
-                m = self.closing.match(line, at)
-                if not m:
-                    return True
-                at, inside = m.end(), False
-            elif line.startswith('"', at):
-                at, inside = at + 1, True
-                continue
-            at = self.rest.match(line, at).end() + 1
-            if at > len(line):
-                return False
+        return (self.closes if inside else self.closed).fullmatch(line) is None
 
     def after_all(self, text: str) -> bool:
         """Whether a text of whole lines, started outside quotes, ends inside."""
@@ -209,8 +200,13 @@ def _by_split(batches: Iterator[pa.RecordBatch], start: Callable, step: Callable
     """Runs of rows of one (source_path, block, ...): ``step`` per piece, ``finish`` at the end of each."""
     key, now = None, None
     for b in batches:
-        *heads, values = (c.to_pylist() for c in b.columns)
-        for k, piece in zip(zip(*heads, strict=True), values, strict=True):
+        if not b.num_rows:
+            continue
+        *heads, values = b.columns
+        first, last = (tuple(c[k].as_py() for c in heads) for k in (0, b.num_rows - 1))
+        # a split's rows are together: with the same ends a batch is of one split
+        keys = repeat(first) if first == last else zip(*(c.to_pylist() for c in heads), strict=True)
+        for k, piece in zip(keys, values.to_pylist()):
             if k != key:
                 if key is not None:
                     yield from finish(key, now)
@@ -225,19 +221,30 @@ def _summary(cells: Cells, encoding: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def start(_):
-            return [Scan(cells, encoding, bool(s & 2), bool(s & 1)) for s in states]
-
-        def step(_, scans, piece):
-            for s in scans:
+            return [Scan(cells, encoding, bool(s & 2), bool(s & 1)) for s in states], list(states)
+
+        def step(_, now, piece):
+            scans, scan_of = now
+            ended = None                       # the first scan here that a line ended for
+            for k, s in enumerate(scans):
+                if s is None:
+                    continue
                 s.feed(piece)
-                if not s.inside and not s.odd:
-                    s.held.clear()
+                if s.line:
+                    continue
+                s.held.clear()
+                if ended is None:
+                    ended = k
+                elif s.inside == scans[ended].inside:                  # they go on alike
+                    scans[k] = None
+                    scan_of[:] = [ended if j == k else j for j in scan_of]
             return ()
 
-        def finish(key, scans):
-            for s in scans:
+        def finish(key, now):
+            scans, scan_of = now
+            for s in filter(None, scans):
                 s.end()
-            yield (*key, [s.state for s in scans])
+            yield (*key, [scans[k].state for k in scan_of])
         rows = list(_by_split(batches, start, step, finish))           # one per split of the task
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(

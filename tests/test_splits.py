@@ -151,3 +151,18 @@ def test_tsv_in_splits_and_utf8_fallback(spark, tmp_dir, tiny):
         mine = sorted((r for r in rows.collect() if r.source_file == name), key=lambda r: r.line_no)
         assert ["\t".join(r["values"]) for r in mine][:2000] == lines and mine[0].line_no == 2
         assert mine[0].header == ["訂單", "名", "電話"]
+
+
+def test_states_that_meet_are_followed_once(monkeypatch):
+    import pyarrow as pa
+    ended, end = [], splits.Scan._end_line
+    monkeypatch.setattr(splits.Scan, "_end_line", lambda s: ended.append(1) or end(s))
+    for encoding, states in (("UTF-8", 2), ("UTF-16LE", 4)):
+        ended.clear()
+        lines = [f'{k},"a ""{k}"" b, c",d' for k in range(1000)]
+        pieces = [x.encode(splits.codec(encoding)) for x in lines]
+        batch = pa.RecordBatch.from_arrays([pa.array(["p"] * 1000), pa.array([0] * 1000), pa.array(pieces)],
+                                           ["source_path", "block", "piece"])
+        out = [r for b in splits._summary(splits.Cells(","), encoding)(iter([batch])) for r in b.to_pylist()]
+        assert len(out) == 1 and len(out[0]["ends"]) == states and out[0]["ends"][0] == 0
+        assert len(ended) < 1100
