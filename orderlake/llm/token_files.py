@@ -17,6 +17,7 @@ the data bytes with numpy.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -35,6 +36,9 @@ MAGIC, HEAD = b"TKB1", struct.Struct("<4sIQIQ")
 NULL_ID = np.iinfo(np.int64).min
 BLOCK_IDS = 4_000_000          # ids of a block, and one document more at most
 MEMO = 700_000                 # pieces of a generation; a worker remembers two
+LETTERS = "[A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ӿ]+"         # letters in every version of Unicode
+#: A word with marks behind it, and perhaps a line's first word after them.
+PARTS = re.compile(f"({LETTERS})([.,;:!?]+)(?:(\n)({LETTERS})([.,;:!?]*))?")
 SPARK_BLOCKS = "path string, part int, block int, block_offset long, block_bytes long, n_ids long"
 
 #: Lengths of the four ids of each control byte.
@@ -47,7 +51,8 @@ class Pieces:
     The byte-level pre-tokenizer never joins a character that isn't white space
     with a following space, so a text may be cut there and its pieces encoded
     (and remembered) one by one.  Spaces after other white space stay inside
-    their piece.
+    their piece.  A new piece of words and marks (``PARTS``) is put together from
+    the ids of its word, which most often are known, and those of the rest.
     """
 
     def __init__(self, path: str):
@@ -59,6 +64,8 @@ class Pieces:
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         names = [self.tokenizer.id_to_token(k) or "" for k in range(size)]
+        cuts = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ab.\nCd,") if self.tokenizer.pre_tokenizer else []
+        self.parted = {3, 5, 7} <= {at for _, (at, _) in cuts}        # words, marks and a line's first word are cut
         self.opens = np.array([x.startswith("Ġ") for x in names])     # begins with the space byte
         self.memo: dict[str, bytes | bool] = {}           # text after a space; True: look at the whole text
         self.past: dict[str, bytes | bool] = {}           # the generation before
@@ -68,15 +75,27 @@ class Pieces:
         return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[str]) -> None:
-        plain = []
+        plain, parts, rest = {}, [], []
         for p in new:
             known = self.past.get(p)
             if known is not None:
                 self.memo[p] = known
             elif not p or p[-1].isspace():
                 self.memo[p] = True
+            elif self.parted and (m := PARTS.fullmatch(p)):
+                word, marks, feed, first, more = m.groups()
+                after = (marks + feed, first, more) if feed else (marks,)
+                parts.append((p, word, after))
+                rest.extend(after)
+                if word not in self.memo:
+                    known = self.past.get(word)
+                    if known is None:
+                        plain[word] = None
+                    else:
+                        self.memo[word] = known
             else:
-                plain.append(p)
+                plain[p] = None
+        plain = list(plain)
         for at in range(0, len(plain), 20_000):
             groups = [plain[k:k + 100] for k in range(at, min(at + 20_000, len(plain)), 100)]
             for group, ids in zip(groups, self._encode([" " + " ".join(g) for g in groups]), strict=True):
@@ -87,6 +106,9 @@ class Pieces:
                 else:
                     for p, x in zip(group, self._encode([" " + p for p in group]), strict=True):
                         self.memo[p] = x.tobytes()
+        self._odd(rest)
+        for p, word, after in parts:
+            self.memo[p] = b"".join([self.memo[word], *map(self.odd.__getitem__, after)])
 
     def _odd(self, pieces: list[str]) -> list[bytes]:
         new = list(dict.fromkeys(filterfalse(self.odd.__contains__, pieces)))
@@ -108,7 +130,7 @@ class Pieces:
         for at in range(0, len(texts), 256):
             if len(self.memo) > MEMO:
                 self.past, self.memo = self.memo, {}
-            if len(self.odd) > MEMO:
+            if len(self.odd) > MEMO // 4:
                 self.odd = {}
             split = [t.split(" ") for t in texts[at:at + 256]]
             flat = list(chain.from_iterable(split))

@@ -201,3 +201,23 @@ def test_wide_vocabularies(monkeypatch):
     wide.kind, wide.wide = np.dtype("<u4"), np.uint32
     wide.code, wide.patterns = wide.code.astype(np.uint32), wide.patterns.astype(np.uint32)
     assert [x.tolist() for x in wide.encode(texts)] == want
+
+
+def test_pieces_put_together_from_known_words(monkeypatch):
+    """A known word with marks behind it isn't encoded again, and the ids are those of the whole text."""
+    import public_tokenizers
+    coder = token_files.Pieces(public_tokenizers.path("byte_bpe_50k.json"))
+    asked, encode = [], coder._encode
+    monkeypatch.setattr(coder, "_encode", lambda texts: asked.extend(texts) or encode(texts))
+    texts = ["x word word, word. word.\nNext, word!? word;\nNext word", "x ça ça. don't. don't, a²., é\u0301. 上, 上午. a.b. x:\n\nA a.\n",
+             "x word.\n Next word.\nNext. word.\r\nA Word,.;\nÉté:  word. \n a"]
+    for k in range(2):
+        asked.clear()
+        for t, ids in zip(texts, coder.ids(texts), strict=True):
+            assert ids.tolist() == coder.tokenizer.encode(t, add_special_tokens=False).ids, t
+        if k:
+            assert not asked
+    asked.clear()
+    again = ["x word: ça, ça;\nNext: word.\nWord,"]
+    assert next(coder.ids(again)).tolist() == coder.tokenizer.encode(again[0], add_special_tokens=False).ids
+    assert not any("word" in a or "ça" in a or "Next" in a for a in asked), asked
