@@ -1698,13 +1698,13 @@ def stream_survivors(spark, d):
         "value", F.lit(None).cast(ev.schema["value"].dataType))
     for k in range(3):
         part = ev.filter(third == k)
-        # one file is one micro-batch
-        (part.unionByName(late) if k == 2 else part).coalesce(1).write.mode("append").parquet(f"{base}/in")
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
-    out = survivors(stream, ["user_id", "event_type"], "ts", "event_id", "3 days", "1 hour")
-    with rocksdb(spark):
-        (out.writeStream.outputMode("append").format("parquet").option("path", f"{base}/out")
-         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination())
+        (part.unionByName(late) if k == 2 else part).write.mode("append").parquet(f"{base}/in")
+        # the files that are new to the checkpoint are one micro-batch
+        stream = spark.readStream.schema(ev.schema).parquet(f"{base}/in")
+        out = survivors(stream, ["user_id", "event_type"], "ts", "event_id", "3 days", "1 hour")
+        with rocksdb(spark):
+            (out.writeStream.outputMode("append").format("parquet").option("path", f"{base}/out")
+             .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination())
     return spark.read.schema(ev.schema).parquet(f"{base}/out")
 
 

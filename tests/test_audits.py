@@ -100,6 +100,59 @@ def test_survivors_of_periods(spark, tmp_dir, keep):
     assert got == want
 
 
+def _plain_survivors(rows, horizon, keep):
+    """(begin, survivor) of every period of rows (key, ts, order)."""
+    by, out = defaultdict(list), []
+    for r in sorted(rows, key=lambda r: r[1:]):
+        if not by[r[0]] or r[1] >= by[r[0]][-1][0][1] + horizon:
+            by[r[0]].append([])
+        by[r[0]][-1].append(r)
+    for periods in by.values():
+        out += [(p[0][1], p[0] if keep == "first" else p[-1]) for p in periods]
+    return out
+
+
+@pytest.mark.parametrize("keep", ["first", "last"])
+def test_survivors_of_many_keys_are_held_by_bucket(spark, tmp_dir, keep):
+    rng, schema = random.Random(11), "k string, g long, ts timestamp, n long"
+    start, day = dt.datetime(2025, 1, 1), dt.timedelta(days=1)
+    rows = [((f"k{rng.randint(0, 700)}", rng.choice([None, 1, 2 ** 60 + 1, 2 ** 60 + 2])), start + day * 30 * rng.random(), n)
+            for n in range(6000)]
+    rows += [(("k1", 1), start + day * (10 * part + 1), -1) for part in range(3)]
+    for part in range(3):
+        now = [(*k, ts, None if n < 0 else n) for k, ts, n in rows if (ts - start) // (10 * day) == part]
+        now.append(("k1", 1, None, 9))                       # a row without a time is in no period
+        spark.createDataFrame(now, schema).repartition(3).write.mode("append").parquet(f"{tmp_dir}/in")
+        with rocksdb(spark):
+            stream = spark.readStream.schema(schema).parquet(f"{tmp_dir}/in")
+            query = (survivors(stream, ["k", "g"], "ts", "n", "3 days", keep=keep, buckets=16).writeStream.format("parquet")
+                     .option("path", f"{tmp_dir}/out").option("checkpointLocation", f"{tmp_dir}/c").trigger(availableNow=True).start())
+            query.awaitTermination()
+        held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        assert held and max(held) <= 16                      # one for every bucket, not for every key
+    passed = max(ts for _, ts, _ in rows)
+    want = [(*k, ts, None if n < 0 else n) for begin, (k, ts, n) in _plain_survivors(rows, 3 * day, keep)
+            if begin + 3 * day <= passed]
+    assert sorted(map(tuple, spark.read.schema(schema).parquet(f"{tmp_dir}/out").collect()), key=str) == sorted(want, key=str)
+
+
+def test_stream_survivors_over_files(spark, tmp_dir):
+    from orderlake.plans import checks
+    from orderlake.session import scratch_path
+    rng, start, day = random.Random(12), dt.datetime(2025, 1, 1), dt.timedelta(days=1)
+    rows = [(n, start + day * 30 * rng.random(), rng.randint(0, 60), rng.choice(["view", "click"]), float(n)) for n in range(4000)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
+    spark.createDataFrame(rows, schema).repartition(4).write.parquet(f"{tmp_dir}/events.parquet")
+    before = set(os.listdir(tables)) if os.path.isdir(tables := scratch_path(spark, "").removeprefix("file:")) else set()
+    got = sorted(map(tuple, checks.stream_survivors(spark, tmp_dir).collect()))
+    passed = max(r[1] for r in rows) - dt.timedelta(hours=1)
+    want = _plain_survivors([((r[2], r[3]), r[1], r[0]) for r in rows], 3 * day, "last")
+    assert got == sorted(rows[r[2]] for begin, r in want if begin + 3 * day <= passed)
+    (made,) = [x for x in os.listdir(tables) if x not in before and x.startswith("survivors-")]
+    files = [f for f in os.listdir(f"{tables}/{made}/in") if f.endswith(".parquet")]
+    assert len(files) > 3                                    # a part is written by all tasks and not by one
+
+
 @pytest.mark.parametrize("min_ratio", [0.3, 0.6, 0.8, 0.85])
 def test_fuzzy_match_of_any_ratio(spark, min_ratio):
     from difflib import SequenceMatcher
